@@ -7,10 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import licenses, quality, secrets, sharding
-from .common import table
+from . import bpe, licenses, packing, quality, secrets, sharding, topk, warc
+from .common import table, vocabulary
 
 SHARDS = 40
+SEQUENCE = 2048
 
 
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,10 +43,38 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = packing.pieces(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), SEQUENCE)
+    rows = rows.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
+    return packing.pack(rows, packing.Capacity(SEQUENCE, SEQUENCE, SEQUENCE**2), ["doc_id", "piece"])
+
+
+def op6_warc_salvage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = warc.round_trip(table(spark, sf_dir, "pages")).where("kind = 'record'")
+    return rows.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    ranks = vocabulary("byte_bpe_50k.tiktoken")
+    rows = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN), ranks)
+    return rows.select("doc_id", "n_tokens", bpe.digest("ids").alias("ids_sha256"), bpe.digest("decoded").alias("decoded_sha256"))
+
+
+def op10_threshold_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    return topk.topk(rows, F.col("vec_id") % 50 == 0, 5)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
+    "op2_best_fit_packing": op2_best_fit_packing,
     "op3_quality_rules": op3_quality_rules,
     "op4_jump_shards": op4_jump_shards,
     "op5_secret_scan": op5_secret_scan,
+    "op6_warc_salvage": op6_warc_salvage,
+    "op9_byte_bpe": op9_byte_bpe,
+    "op10_threshold_topk": op10_threshold_topk,
 }
 ORACLE_SQL: dict[str, str] = {}
