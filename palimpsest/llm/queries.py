@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, licenses, packing, quality, secrets, sharding, topk, warc
+from . import bpe, licenses, neardup, packing, quality, secrets, sharding, substrings, topk, warc
 from .common import table, vocabulary
 
 SHARDS = 40
@@ -54,6 +54,15 @@ def op6_warc_salvage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op7_hamming_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), 85, 5)
+
+
+def op8_suffix_tree_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = substrings.remove_repeats(table(spark, sf_dir, "documents"), 50)
+    return rows.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -74,6 +83,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_jump_shards": op4_jump_shards,
     "op5_secret_scan": op5_secret_scan,
     "op6_warc_salvage": op6_warc_salvage,
+    "op7_hamming_near_dedup": op7_hamming_near_dedup,
+    "op8_suffix_tree_dedup": op8_suffix_tree_dedup,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_threshold_topk": op10_threshold_topk,
 }
