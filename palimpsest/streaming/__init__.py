@@ -1,0 +1 @@
+"""Arriving units, taken once each."""
