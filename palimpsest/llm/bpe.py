@@ -10,17 +10,18 @@ from __future__ import annotations
 import base64
 import heapq
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Pre-tokens that a worker remembers before it starts anew; bounds its memory.
-REMEMBERED = 150_000
-#: Characters in a block of texts that is looked up at once (a longer text is a block of its own).
-BLOCK_CHARS = 1 << 20
+from .textblocks import BLOCK_BYTES, slices
+
+#: Pre-tokens in a generation of what a worker remembers; bounds its memory.
+REMEMBERED = 80_000
 _U = np.uint64
 
 
@@ -153,45 +154,73 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     return out
 
 
+def _ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The numbers from each start on, as many as counted, one range after another."""
+    return np.repeat(starts - (np.cumsum(counts) - counts), counts) + np.arange(int(counts.sum()))
+
+
 class Memory(dict):
-    """Numbers of pre-tokens, given out as they come; their ids lie one after another in ``flat``."""
+    """Numbers of pre-tokens, given out as they come; their ids lie one after another in ``flat``.
 
-    def __init__(self) -> None:
+    Bounded by two generations: a full memory becomes the old one of a new memory, which looks there before it asks.
+    """
+
+    def __init__(self, old: Memory | None = None) -> None:
         self.fresh: list[str] = []
         self.starts, self.counts, self.flat = array("q"), array("q"), array("I")
+        self.old = old
+        if old is not None:
+            old.old = None
 
     def __missing__(self, key: str) -> int:
         self[key] = n = len(self)
         self.fresh.append(key)
         return n
 
-    def add(self, ids: list[int]) -> None:
-        self.starts.append(len(self.flat))
-        self.counts.append(len(ids))
-        self.flat.extend(ids)
+    def learn(self, ask: Callable[[list[str]], tuple[np.ndarray, np.ndarray]]) -> None:
+        """Take the ids of the new pre-tokens from the old memory, or else from ``ask``: their ids and how many each has."""
+        if not self.fresh:
+            return
+        old = self.old
+        known = np.fromiter((old.get(k, -1) for k in self.fresh), np.int64, len(self.fresh)) if old is not None else np.full(len(self.fresh), -1)
+        new = np.flatnonzero(known < 0)
+        flat, n = ask([self.fresh[k] for k in new.tolist()] if old is not None else self.fresh)
+        counts = np.empty(len(known), dtype=np.int64)
+        counts[new] = n
+        place = np.flatnonzero(known >= 0)
+        if len(place):
+            n_old = np.array(old.counts)[known[place]]
+            counts[place] = n_old
+            ids = np.empty(int(counts.sum()), dtype=np.uint32)
+            starts = np.cumsum(counts) - counts
+            ids[_ranges(starts[new], counts[new])] = flat
+            ids[_ranges(starts[place], n_old)] = np.array(old.flat, dtype=np.uint32)[_ranges(np.array(old.starts)[known[place]], n_old)]
+        else:
+            ids = np.asarray(flat, dtype=np.uint32)
+        self.starts.frombytes((np.cumsum(counts) - counts + len(self.flat)).astype(np.int64).tobytes())
+        self.counts.frombytes(counts.tobytes())
+        self.flat.frombytes(ids.tobytes())
+        self.fresh.clear()
 
     def ids(self, codes: list[np.ndarray]) -> list[np.ndarray]:
         """The ids that each array of numbers stands for, as unsigned 32-bit little-endian integers."""
         starts, counts, flat = np.array(self.starts), np.array(self.counts), np.array(self.flat, dtype="<u4")
         out = []
         for c in codes:
-            n = counts[c]
-            total = int(n.sum())
-            out.append(flat[np.repeat(starts[c] - (np.cumsum(n) - n), n) + np.arange(total)] if total else np.empty(0, "<u4"))
+            out.append(flat[_ranges(starts[c], counts[c])])
         return out
 
 
-def blocks(texts: list[str | None], size: int = BLOCK_CHARS) -> Iterator[list[str]]:
-    """Consecutive texts of about so many characters together; nulls become empty."""
-    block, chars = [], 0
-    for t in texts:
-        block.append(t or "")
-        chars += len(block[-1])
-        if chars >= size:
-            yield block
-            block, chars = [], 0
-    if block:
-        yield block
+def blocks(column: pa.Array, size: int = BLOCK_BYTES) -> Iterator[tuple[int, list[str]]]:
+    """Where it begins and its texts, for consecutive texts of about so many bytes together; nulls become empty."""
+    for a, b in slices(column, size):
+        yield a, [t or "" for t in column.slice(a, b - a).to_pylist()]
+
+
+def flattened(ids: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """All ids, one list after another, and the lists' lengths."""
+    counts = np.array([len(x) for x in ids], dtype=np.int64)
+    return np.fromiter(chain.from_iterable(ids), np.int64, int(counts.sum())), counts
 
 
 class Encoder:
@@ -203,18 +232,17 @@ class Encoder:
         self.ranks, self.table, self.find = ranks, table, regex.compile(pattern).findall
         self.memory = Memory()
 
-    def _learn(self) -> None:
-        fresh = [k.encode() for k in self.memory.fresh]
-        self.memory.fresh.clear()
-        for key, value in zip(fresh, self.table.lookup(fresh).tolist(), strict=True):
-            self.memory.add([value] if value >= 0 else merge(key, self.ranks))
+    def _ask(self, keys: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        raw = [k.encode() for k in keys]
+        ids = [[v] if v >= 0 else merge(k, self.ranks) for k, v in zip(raw, self.table.lookup(raw).tolist(), strict=True)]
+        return flattened(ids)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if len(self.memory) > REMEMBERED:
-            self.memory = Memory()
+            self.memory = Memory(self.memory)
         number = self.memory.__getitem__
         codes = [np.fromiter(map(number, self.find(t)), dtype=np.int64) for t in texts]
-        self._learn()
+        self.memory.learn(self._ask)
         return self.memory.ids(codes)
 
 
@@ -239,11 +267,9 @@ def encode(docs: DataFrame, rank_path: str, pattern: str, id_col: str = "doc_id"
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = Encoder(*shared.value, pat)
         for batch in batches:
-            at = 0
-            for block in blocks(batch.column(1).to_pylist()):
+            for at, block in blocks(batch.column(1)):
                 ids = coder.encode(block)
                 out = [batch.column(0).slice(at, len(block)), pa.array([len(x) for x in ids], pa.int64()), pa.array([x.tobytes() for x in ids], pa.binary())]
-                at += len(block)
                 yield pa.RecordBatch.from_arrays(out, ["_id", "n_tokens", "ids"])
 
     out = src.mapInArrow(run, f"_id {src.schema['_id'].dataType.simpleString()}, n_tokens bigint, ids binary")
@@ -263,7 +289,7 @@ def decode(rows: DataFrame, rank_path: str, ids_col: str = "ids") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         token = shared.value.__getitem__
         for batch in batches:
-            size = max(1, BLOCK_CHARS * 4 * batch.num_rows // max(1, batch.column(at).nbytes))
+            size = max(1, BLOCK_BYTES * 4 * batch.num_rows // max(1, batch.column(at).nbytes))
             for k in range(0, batch.num_rows, size):
                 part = batch.slice(k, size)
                 texts = [None if x is None else b"".join(map(token, np.frombuffer(x.as_buffer(), "<u4").tolist())) for x in part.column(at)]

@@ -8,6 +8,8 @@ the executors look up each piece's place by its rank among the pieces of its len
 
 from __future__ import annotations
 
+import os
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -17,16 +19,80 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .bpe import Memory, blocks
+from .bpe import Memory, blocks, flattened
 from .common import written
+from .wordbpe import LETTERS, WordMerger
 
-#: Words that a worker remembers before it starts anew.
-REMEMBERED = 200_000
+#: Words in a generation of what a worker remembers.
+REMEMBERED = 80_000
+#: Words tokenized in one call; bounds the library's own objects.
+FRESH = 8192
+#: Separators that Python takes for white space and the tokenizer does not.
+_ODD = re.compile("[\x1c-\x1f]")
+#: Characters that normalization or lower-casing could treat by their neighbours.
+_WIDE = re.compile("[^\x00-\u02ff]")
+_coders: dict[str, WordCoder] = {}
 
 
 def _words(text: str) -> list[str]:
-    """Split at ASCII white space only: what the tokenizer splits on as well, whatever else it does."""
-    return text.translate({9: 32, 10: 32, 13: 32}).split(" ") if any(c in text for c in "\t\n\r") else text.split(" ")
+    """Split at white space, as the tokenizer does."""
+    return text.split() if not _ODD.search(text) else re.split("[\t\n\r ]+", text)
+
+
+class Numbers(dict):
+    """Numbers keys as they come."""
+
+    def __missing__(self, key: str) -> int:
+        self[key] = n = len(self)
+        return n
+
+
+class WordCoder:
+    """One worker's tokenizer and what it remembers; kept from task to task."""
+
+    def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.coder = Tokenizer.from_file(path)
+        self.coder.encode_special_tokens = True
+        self.coder.no_padding()
+        self.coder.no_truncation()
+        self.memory = Memory()
+        self.merger = WordMerger.load(path)
+
+    def _library(self, words: list[str]) -> list[list[int]]:
+        return [e.ids for k in range(0, len(words), FRESH) for e in self.coder.encode_batch_fast(words[k : k + FRESH], add_special_tokens=False)]
+
+    def _ask(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The words' ids. Plain words are parted into letters and marks, and each distinct run of letters is merged once."""
+        if self.merger is None:
+            return flattened(self._library(words))
+        split = LETTERS.fullmatch
+        number, parts = Numbers(), []
+        for w in words:
+            m = split(w.lower()) if w.isascii() or not _WIDE.search(w) else None
+            parts.append((number[m[1]], number[m[2]] if m[2] else -1) if m else (number[w], -1))
+        letters = [w for w in number if w.isalpha() and LETTERS.fullmatch(w)]
+        ids: list[list[int]] = [[]] * len(number)
+        flat, counts = self.merger.merge(letters)
+        flat = flat.tolist()
+        at = 0
+        for w, n in zip(letters, counts.tolist(), strict=True):
+            ids[number[w]] = flat[at : at + n]
+            at += n
+        rest = [w for w in number if not (w.isalpha() and LETTERS.fullmatch(w))]
+        for w, x in zip(rest, self._library(rest), strict=True):
+            ids[number[w]] = x
+        return flattened([ids[a] + ids[b] if b >= 0 else ids[a] for a, b in parts])
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        if len(self.memory) > REMEMBERED:
+            self.memory = Memory(self.memory)
+        number = self.memory.__getitem__
+        codes = [np.fromiter(map(number, _words(t)), dtype=np.int64) for t in texts]
+        self.memory.learn(self._ask)
+        return self.memory.ids(codes)
 
 
 def pieces(
@@ -43,31 +109,17 @@ def pieces(
     last = [] if end_id is None else [end_id]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from tokenizers import Tokenizer
-
-        coder = Tokenizer.from_file(tokenizer_path)
-        coder.encode_special_tokens = True
-        coder.no_padding()
-        coder.no_truncation()
-        memory = Memory()
+        coder = _coders.get(tokenizer_path) or _coders.setdefault(tokenizer_path, WordCoder(tokenizer_path))
         for batch in batches:
-            at = 0
-            for block in blocks(batch.column(1).to_pylist()):
-                if len(memory) > REMEMBERED:
-                    memory = Memory()
-                number = memory.__getitem__
-                codes = [np.fromiter(map(number, _words(t)), dtype=np.int64) for t in block]
-                for e in coder.encode_batch_fast(memory.fresh, add_special_tokens=False):
-                    memory.add(e.ids)
-                memory.fresh.clear()
+            for at, block in blocks(batch.column(1)):
+                every = coder.encode(block)
                 out: list[list] = [[], [], [], [], []]
-                for k, ids in enumerate(memory.ids(codes)):
+                for k, ids in enumerate(every):
                     ids = np.concatenate([ids, np.array(last, "<u4")])
                     for piece, start in enumerate(range(0, len(ids), size)):
                         part = ids[start : start + size]
                         for column, x in zip(out, (at + k, piece, start, len(part), part.tobytes()), strict=True):
                             column.append(x)
-                at += len(block)
                 kinds = (pa.int32(), pa.int64(), pa.int64(), pa.binary())
                 rest = [pa.array(x, t) for x, t in zip(out[1:], kinds, strict=True)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(out[0], pa.int64())), *rest], ["_id", "piece", "start", "length", "ids"])
