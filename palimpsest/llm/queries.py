@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from . import bpe, licenses, neardup, packing, quality, secrets, sharding, substrings, topk, warc
 from .common import table, vocabulary
+from .oracles import ORACLE_SQL  # noqa: F401
 
 SHARDS = 40
 SEQUENCE = 2048
@@ -88,4 +89,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_byte_bpe": op9_byte_bpe,
     "op10_threshold_topk": op10_threshold_topk,
 }
-ORACLE_SQL: dict[str, str] = {}
+
