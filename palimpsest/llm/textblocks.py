@@ -68,7 +68,8 @@ class Words:
             terms = (_LOWER if lower else _SAME)[raw].astype(np.uint64) + _U(1)
             terms *= _POWERS[inside & ((1 << 14) - 1)]
             if inside.max() >= 1 << 14:
-                terms += mix((inside >> 14).astype(np.uint64) + _U(7)) * (terms | _U(1))
+                far = np.flatnonzero(inside >> 14)
+                terms[far] *= mix((inside[far] >> 14).astype(np.uint64)) | _U(1)
             terms[~word] = 0
             sizes = (self.ends - self.starts).astype(np.uint64)
             self.hashes = mix(np.add.reduceat(terms, self.starts) ^ (sizes << _U(44)))
