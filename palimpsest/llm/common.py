@@ -61,6 +61,31 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Tables in the shared folder by name, so that they can go as soon as they have been read."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, {}
+
+    def put(self, name: str, df: DataFrame) -> DataFrame:
+        path = scratch_path(self.spark, name)
+        self.paths.setdefault(name, []).append(path)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, *names: str) -> None:
+        """Delete the tables of these names; all without a name."""
+        for name in names or [*self.paths]:
+            for path in self.paths.pop(name):
+                drop_path(self.spark, path)
+
+    def keep(self, *names: str) -> None:
+        """Delete all tables but those of these names, which stay for good: what is returned reads them."""
+        for name in names:
+            self.paths.pop(name, None)
+        self.drop()
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` computed once per row, also if the body names it in lambdas."""
     return F.element_at(F.transform(F.array(value), body), 1)

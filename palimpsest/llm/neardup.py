@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import Scratch
 from .components import connected_components
 from .textblocks import Words, mix, sequence_hash, slices
 
@@ -29,10 +29,12 @@ from .textblocks import Words, mix, sequence_hash, slices
 #: meet; of pairs with a similarity of 0.85, about 2 in a million do not meet in any chunk.
 CHUNKS, WIDTH, ERRORS = 6, 4, 1
 POSITIONS = CHUNKS * WIDTH
-#: Documents under a key up to which its pairs are listed.
+#: Documents under a key up to which its pairs are listed; twice as many in every further round.
 SMALL = 16
 #: Rounds of pivots, after which the groups that are left list their pairs, however many.
 ROUNDS = 12
+#: Cells in which frequencies of shingles are counted.
+COUNTERS = 1 << 19
 _U = np.uint64
 _rng = np.random.default_rng(20240607)
 _ODD = _rng.integers(0, 1 << 63, POSITIONS, dtype=np.uint64) * _U(2) + _U(1)
@@ -101,6 +103,33 @@ def full_sets(docs: DataFrame, n: int = 5, id_col: str = "doc_id", text_col: str
     return _source(docs, id_col, text_col).mapInArrow(run, "x bigint, n bigint, s array<bigint>")
 
 
+def by_rarity(sets: DataFrame) -> DataFrame:
+    """The sets with their shingles from rare to frequent, and ``often``: the mean frequency of a shingle, times 1000.
+
+    Any order that all sets share is right for prefixes; a good one puts shingles first that few documents
+    have. Frequencies are counted in COUNTERS cells, whatever the number of shingles, so what is broadcast is bounded.
+    """
+    cell = F.pmod("h", F.lit(COUNTERS)).cast("int")
+    found = sets.select(F.explode("s").alias("h")).groupBy(cell.alias("cell")).agg(F.count("*").alias("c"))
+    cells = np.zeros(COUNTERS, dtype=np.int64)
+    for batch in found.toArrow().to_batches():
+        cells[batch.column(0).to_numpy()] = batch.column(1).to_numpy()
+    shared = sets.sparkSession.sparkContext.broadcast(cells)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(2)
+            flat = np.asarray(lists.flatten())
+            edges = np.asarray(lists.offsets).astype(np.int64)
+            row = np.repeat(np.arange(len(lists)), np.diff(edges))
+            order = np.lexsort((flat, shared.value[flat % COUNTERS], row))
+            again = pa.ListArray.from_arrays(pa.array(edges - edges[0], pa.int32()), pa.array(flat[order], pa.int64()))
+            often = np.add.reduceat(shared.value[flat % COUNTERS], (edges - edges[0])[:-1]) * 1000 // np.diff(edges)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), again, pa.array(often, pa.int64())], ["x", "n", "s", "often"])
+
+    return sets.where("n > 0").mapInArrow(run, "x bigint, n bigint, s array<bigint>, often bigint")
+
+
 def index_keys(sig: Column) -> Column:
     """The keys of a signature: every chunk with every choice of one position left out."""
     keys = []
@@ -132,34 +161,33 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(a, "a").join(b, "b").where(near(percent, inter, F.col("na"), F.col("nb"))).select("a", "b")
 
 
-def _with_counts(groups: DataFrame) -> DataFrame:
+def _with_counts(groups: DataFrame, hold: Scratch) -> DataFrame:
     """Groups of two or more with a must row, with their number of rows ``c``."""
     counts = groups.groupBy("g").agg(F.count("*").alias("c"), F.bool_or("must").alias("_any"))
-    counts = written(counts.where("c > 1 AND _any").select("g", "c"), "counts")
-    return written(groups.join(counts, "g"), "groups")
+    counts = hold.put("counts", counts.where("c > 1 AND _any").select("g", "c"))
+    return hold.put("groups", groups.join(counts, "g"))
 
 
-def _pivot_round(groups: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+def _pivot_round(groups: DataFrame, sets: DataFrame, percent: int, hold: Scratch) -> tuple[DataFrame, DataFrame]:
     """Links to a pivot of each group, and the groups that pairs without the pivot can still share."""
-    often = groups.groupBy("x").agg(F.count("*").alias("k"))
-    ranked = groups.join(often, "x")
-    # The document of most groups, so that overlapping groups agree on their pivot.
+    # The document of the most frequent shingles: what the others are copies of, rather than one with changes of its own.
+    ranked = groups.join(sets.groupBy("x").agg(F.max("often").alias("k")), "x")
     pivots = ranked.groupBy("g").agg(F.max(F.struct("k", (-F.col("x")).alias("m"))).alias("p"))
-    pivots = written(pivots.select("g", (-F.col("p.m")).alias("b")), "pivots")
+    pivots = hold.put("pivots", pivots.select("g", (-F.col("p.m")).alias("b")))
     rel = groups.join(pivots, "g").where("x <> b").groupBy("b", "x").agg(F.bool_or("must").alias("must"))
-    rel = written(rel, "related")
+    rel = hold.put("related", rel)
     own = sets.select("x", "n", "s")
     other = sets.select(F.col("x").alias("b"), F.col("n").alias("nb"), F.col("s").alias("sb"))
-    other = written(other.join(pivots.select("b").distinct(), "b"), "pivotsets")
+    other = hold.put("pivotsets", other.join(pivots.select("b").distinct(), "b"))
     rel = rel.join(own, "x").join(other, "b")
     rel = rel.withColumns({"inter": F.size(F.array_intersect("s", "sb")).cast("long"), "rest": F.array_except("s", "sb")})
     linked = near(percent, F.col("inter"), F.col("n"), F.col("nb"))
     need = F.ceil(percent * F.col("n") / 100) - F.col("inter")  # shared shingles that the pivot lacks
     rel = rel.select("b", "x", "n", "must", "inter", "rest", linked.alias("linked"), need.cast("long").alias("need"))
-    rel = written(rel, "compared")
+    rel = hold.put("compared", rel)
     links = rel.where("linked").select(F.col("b").alias("a"), F.col("x").alias("b"))
     still = F.col("must") & ~F.col("linked")
-    # Shingles in one order: two documents that must share `need` of them share one of the first size - need + 1.
+    # Shingles from rare to frequent: two documents that must share `need` of them share one of the first size - need + 1.
     prefix = F.slice("rest", F.lit(1), F.greatest(F.size("rest") - F.greatest(F.col("need"), F.lit(1)) + 1, F.lit(0)).cast("int"))
     by_shingle = rel.select(F.explode(prefix).alias("h"), "b", "x", "n", still.alias("must"))
     by_shingle = by_shingle.select(F.xxhash64("b", "h").alias("g"), "x", "n", "must")
@@ -181,41 +209,44 @@ def near_duplicates(
     linked with nothing. Null id: component null, kept, links nothing. Rows that share an id count as
     one document with the links of all of them. Empty table: no rows. Other columns are not read.
     """
-    prof = written(profiles(docs, n, id_col, text_col), "profiles")
+    hold = Scratch(docs.sparkSession)
+    prof = hold.put("profiles", profiles(docs, n, id_col, text_col))
     full = prof.where("_id IS NOT NULL AND n_shingles > 0")
     classes = full.groupBy("p1", "p2", "n_shingles").agg(F.min("_id").alias("x"), F.max("_id").alias("last"), F.first("sig").alias("sig"))
-    classes = written(classes, "classes")
+    classes = hold.put("classes", classes)
     keyed = classes.select(F.explode(index_keys(F.col("sig"))).alias("g"), "x", F.col("n_shingles").alias("n"), F.lit(True).alias("must"))
     # Two sets may fall to one id (rows that share it): once in a group is enough.
-    groups = _with_counts(keyed.distinct())
-    wanted = written(groups.select(F.col("x").alias("_id")).distinct(), "wanted")
+    groups = _with_counts(keyed.distinct(), hold)
+    wanted = hold.put("wanted", groups.select(F.col("x").alias("_id")).distinct())
     texts = _source(docs, id_col, text_col).join(wanted, "_id", "left_semi")
     sets = full_sets(texts, n, "_id", "_text").where("n > 0")
-    sets = written(sets, "sets")
+    sets = hold.put("sets", by_rarity(hold.put("hashes", sets)))
     pairs, links = [], []
     for turn in range(rounds + 1):
         last = turn == rounds
-        few = groups if last else groups.where(F.col("c") <= small)
+        most = small << turn  # groups shrink from round to round, and a round has its price
+        few = groups if last else groups.where(F.col("c") <= most)
         pairs.append(_listed_pairs(few, percent))
         if last:
             break
-        many = groups.where(F.col("c") > small)
+        many = groups.where(F.col("c") > most)
         if many.isEmpty():
             break
-        found, children = _pivot_round(many.drop("c"), sets, percent)
+        found, children = _pivot_round(many.drop("c"), sets, percent, hold)
         links.append(found)
-        groups = _with_counts(children.distinct())
+        groups = _with_counts(children.distinct(), hold)
     listed = pairs[0]
     for p in pairs[1:]:
         listed = listed.unionByName(p)
-    links.append(_confirmed(written(listed.distinct(), "pairs"), sets, percent))
+    links.append(_confirmed(hold.put("pairs", listed.distinct()), sets, percent))
     joined = links[0]
     for x in links[1:]:
         joined = joined.unionByName(x)
-    comps = connected_components(written(joined, "found"))
+    comps = connected_components(hold.put("found", joined))
     # Only classes of several documents, or with links, need a lookup.
     lookup = classes.join(comps, classes["x"] == comps["node"], "left").where("component IS NOT NULL OR last <> x")
-    lookup = written(lookup.select("p1", "p2", F.col("n_shingles").alias("n"), F.coalesce("component", "x").alias("_c")), "lookup")
+    lookup = hold.put("lookup", lookup.select("p1", "p2", F.col("n_shingles").alias("n"), F.coalesce("component", "x").alias("_c")))
+    hold.keep("profiles", "lookup")
     on = (prof["p1"] == lookup["p1"]) & (prof["p2"] == lookup["p2"]) & (prof["n_shingles"] == lookup["n"])
     out = prof.join(lookup, on, "left").select(prof["_id"], "n_shingles", F.when(prof["n_shingles"] > 0, F.col("_c")).alias("_c"))
     comp = F.when(F.col("_id").isNotNull(), F.coalesce("_c", "_id"))
