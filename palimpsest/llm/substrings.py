@@ -2,10 +2,10 @@
 
 A suffix starts at a word. Only suffixes that can repeat are put into trees: every window of words names the
 lowest-ranked short gram in it, so equal windows name equal grams, and a window whose gram is in one document
-only has no equal. The other suffixes are split by prefix: by their first 8 words, or, where so many share those
-that a group would outgrow its bound, by 24, or by the whole window. Each group is sorted by the
-nodes on its suffixes' paths (at 8, 24 and 50 words), which lays its subtree out in order; the internal nodes as deep as the
-window are the repeats, and each is held by its smallest document. Runs of repeated windows give the
+only has no equal. The other suffixes are split by prefix, as far as their groups need it to stay within a bound:
+by bits of the hash of their first 8 words, by all 8 words, by 24, or by the whole window. Each group is
+sorted by the nodes on its suffixes' paths, which lays its subtree out in order; the internal nodes as deep as
+the window are the repeats, and each is held by its smallest document. Runs of repeated windows give the
 maximal repeats. A node that outgrows the bound by itself needs no tree, only its smallest document: a partial aggregate.
 """
 
@@ -19,13 +19,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import written
+from .common import Scratch, written
 from .textblocks import Words, mix, slices
 
 #: Words in a gram that windows are compared by first.
 GRAM = 8
 #: Suffixes in a group; prefixes of more are lengthened.
-GROUP = 4096
+GROUP = 8192
+#: Groups by bits of the shortest prefix, before any is lengthened.
+CELLS = 1 << 18
 _U = np.uint64
 
 
@@ -95,12 +97,13 @@ def _suffixes(texts: DataFrame, window: int) -> DataFrame:
                     docs.append(np.full(len(hit), ids[k]))
                     places.append(hit)
                 every = np.concatenate(hits)
-                paths = [w.grams(d, salt=d)[every].astype(np.int64) if len(every) else every for d in at]
-                cols = [np.concatenate(docs), np.concatenate(places), *paths]
+                # Of the inner nodes 32 bits do, as they only part groups.
+                paths = [w.grams(d, salt=d)[every].astype(k) if len(every) else every for d, k in zip(at, (np.int32, np.int32, np.int64), strict=True)]
+                cols, kinds = [np.concatenate(docs), np.concatenate(places), *paths], (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64())
                 for k in range(0, len(every), 1 << 16):
-                    yield pa.RecordBatch.from_arrays([pa.array(c[k : k + (1 << 16)], pa.int64()) for c in cols], ["doc", "pos", "h0", "h1", "h2"])
+                    yield pa.RecordBatch.from_arrays([pa.array(c[k : k + (1 << 16)], t) for c, t in zip(cols, kinds, strict=True)], ["doc", "pos", "h0", "h1", "h2"])
 
-    return texts.mapInArrow(run, "doc bigint, pos bigint, h0 bigint, h1 bigint, h2 bigint")
+    return texts.mapInArrow(run, "doc bigint, pos int, h0 int, h1 int, h2 bigint")
 
 
 def repeated_windows(docs: DataFrame, window: int = 50, id_col: str = "doc_id", text_col: str = "text", group: int = GROUP) -> DataFrame:
@@ -110,36 +113,47 @@ def repeated_windows(docs: DataFrame, window: int = 50, id_col: str = "doc_id",
     sequence of words. Words are compared as they are.
     """
     src = _source(docs, id_col, text_col).where("_id IS NOT NULL")
-    prof = written(_profiles(src, window).where(F.col("n") >= window), "profiles")
+    hold = Scratch(docs.sparkSession)
+    prof = hold.put("profiles", _profiles(src, window).where(F.col("n") >= window))
     same = ["f1", "f2", "n"]
     owners = prof.groupBy(*same).agg(F.min("_id").alias("owner"), F.max("_id").alias("last")).where("owner <> last")
-    owners = written(owners.select(*same, "owner"), "owners")
+    owners = hold.put("owners", owners.select(*same, "owner"))
     prof = prof.join(owners, same, "left").select("_id", "grams", (F.col("_id") > F.col("owner")).alias("copy"))
-    copies = written(prof.where("copy").select("_id").distinct(), "copies")
+    copies = hold.put("copies", prof.where("copy").select("_id").distinct())
     named = prof.where("copy IS NULL OR NOT copy").select("_id", F.explode("grams").alias("h"))
     shared = named.groupBy("h").agg(F.min("_id").alias("a"), F.max("_id").alias("b")).where("a <> b").select("h")
-    shared = written(shared, "shared")
+    shared = hold.put("shared", shared)
     wanted = named.join(shared, "h").groupBy("_id").agg(F.collect_set("h").alias("grams"))
-    wanted = written(wanted, "wanted")
-    suffixes = written(_suffixes(src.join(wanted, "_id"), window), "suffixes")
+    wanted = hold.put("wanted", wanted)
+    suffixes = hold.put("suffixes", _suffixes(src.join(wanted, "_id"), window).withColumn("cell", F.pmod("h0", F.lit(CELLS)).cast("int")))
+    hold.drop("profiles", "owners", "shared", "wanted")
 
     # Prefixes, lengthened while more suffixes than a group holds share them. At most rows / group are heavy.
-    heavy0 = written(suffixes.groupBy("h0").count().where(F.col("count") > group).select("h0", F.lit(True).alias("big0")), "heavy0")
-    some = suffixes.join(heavy0, "h0")
-    heavy1 = written(some.groupBy("h0", "h1").count().where(F.col("count") > group).select("h0", "h1", F.lit(True).alias("big1")), "heavy1")
-    some = suffixes.join(heavy1, ["h0", "h1"])
-    nodes = some.groupBy("h0", "h1", "h2").agg(F.count("*").alias("count"), F.min("doc").alias("least")).where(F.col("count") > group)
-    nodes = written(nodes.select("h0", "h1", "h2", "least"), "nodes")
-    rows = suffixes.join(heavy0, "h0", "left").join(heavy1, ["h0", "h1"], "left").join(nodes, ["h0", "h1", "h2"], "left")
-    rows = written(rows, "prefixed")
+    count = lambda df, *keys: df.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > group)
+    heavy = hold.put("heavy", count(suffixes, "cell").select("cell", F.lit(True).alias("big")))
+    some = suffixes.join(heavy, "cell")
+    heavy0 = hold.put("heavy0", count(some, "cell", "h0").select("cell", "h0", F.lit(True).alias("big0")))
+    some = suffixes.join(heavy0, ["cell", "h0"])
+    heavy1 = hold.put("heavy1", count(some, "cell", "h0", "h1").select("cell", "h0", "h1", F.lit(True).alias("big1")))
+    path = ["cell", "h0", "h1", "h2"]
+    nodes = suffixes.join(heavy1, path[:3]).groupBy(*path).agg(F.count("*").alias("_n"), F.min("doc").alias("least"))
+    nodes = hold.put("nodes", nodes.where(F.col("_n") > group).select(*path, "least"))
+    rows = suffixes.join(heavy, "cell", "left").join(heavy0, path[:2], "left").join(heavy1, path[:3], "left").join(nodes, path, "left")
     by_node = rows.where("least < doc").select("doc", "pos")
-    prefix = F.when(F.col("big0").isNull(), F.col("h0")).when(F.col("big1").isNull(), F.col("h1")).otherwise(F.col("h2"))
-    tree = rows.where("least IS NULL").select(prefix.alias("prefix"), "h0", "h1", "h2", "doc", "pos").repartition("prefix")
-    deep = Window.partitionBy("prefix", "h0", "h1", "h2").orderBy("doc")
+    prefix = (
+        F.when(F.col("big").isNull(), F.col("cell").cast("long"))
+        .when(F.col("big0").isNull(), F.xxhash64("h0"))
+        .when(F.col("big1").isNull(), F.xxhash64("h0", "h1"))
+        .otherwise(F.xxhash64("h0", "h1", "h2"))
+    )
+    tree = rows.where("least IS NULL").select(prefix.alias("prefix"), F.col("h2").alias("node"), "doc", "pos").repartition("prefix")
+    deep = Window.partitionBy("prefix", "node").orderBy("doc")
     by_tree = tree.withColumn("least", F.first("doc").over(deep)).where("least < doc").select("doc", "pos")
     found = by_node.unionByName(by_tree).select(F.col("doc").alias("_id"), "pos", F.lit(False).alias("whole"))
-    found = found.unionByName(copies.select("_id", F.lit(None).cast("bigint").alias("pos"), F.lit(True).alias("whole")))
-    return written(found.groupBy("_id").agg(F.collect_set("pos").alias("starts"), F.bool_or("whole").alias("whole")), "repeats")
+    found = found.unionByName(copies.select("_id", F.lit(None).cast("int").alias("pos"), F.lit(True).alias("whole")))
+    out = written(found.groupBy("_id").agg(F.collect_set("pos").alias("starts"), F.bool_or("whole").alias("whole")), "repeats")
+    hold.drop()
+    return out
 
 
 def remove_repeats(
@@ -175,7 +189,7 @@ def remove_repeats(
                         gone[s] += 1
                         gone[e] -= 1
                     elif starts[a + k].is_valid:
-                        at = np.asarray(starts[a + k].values)
+                        at = np.asarray(starts[a + k].values).astype(np.int64)
                         at = at[at + window <= e - s] + s
                         np.add.at(gone, at, 1)
                         np.add.at(gone, at + window, -1)
