@@ -2,10 +2,12 @@
 
 A suffix starts at a word. Only suffixes that can repeat are put into trees: every window of words names the
 lowest-ranked short gram in it, so equal windows name equal grams, and a window whose gram is in one document
-only has no equal. The other suffixes are split by prefix, as far as their groups need it to stay within a bound:
+only has no equal. Neighbouring windows that name the same gram are a run. Of runs with equal words only the smallest
+document's goes into trees, and only if its gram has runs of other words too; the windows of the others repeat as
+they are. The suffixes are split by prefix, as far as their groups need it to stay within a bound:
 by bits of the hash of their first 8 words, by all 8 words, by 24, or by the whole window. Each group is
 sorted by the nodes on its suffixes' paths, which lays its subtree out in order; the internal nodes as deep as
-the window are the repeats, and each is held by its smallest document. Runs of repeated windows give the
+the window are the repeats, and each is held by its smallest document. Neighbouring repeated windows give the
 maximal repeats. A node that outgrows the bound by itself needs no tree, only its smallest document: a partial aggregate.
 """
 
@@ -26,8 +28,8 @@ from .textblocks import Words, mix, slices
 GRAM = 8
 #: Suffixes in a group; prefixes of more are lengthened.
 GROUP = 8192
-#: Groups by bits of the shortest prefix, before any is lengthened.
-CELLS = 1 << 18
+#: Parts of a group that bits of the shortest prefix make on average, before any is lengthened.
+PARTS = 16
 _U = np.uint64
 
 
@@ -46,11 +48,43 @@ def lowest(grams: np.ndarray, width: int) -> np.ndarray:
     return out
 
 
-def _windows(words: Words, window: int) -> tuple[np.ndarray, list[tuple[int, int]]]:
-    """The lowest gram of each window, and for each text the range of words that begin a window."""
-    low = lowest(words.grams(GRAM), window - GRAM + 1) if len(words.hashes) >= window else np.empty(0, np.uint64)
-    ranges = [(int(a), max(int(a), int(b) - window + 1)) for a, b in zip(words.edges[:-1], words.edges[1:], strict=True)]
-    return low, ranges
+def _wide(grams: np.ndarray, at: np.ndarray, width: int, salt: int) -> np.ndarray:
+    """Hash of the ``width`` words from each word of ``at`` on, from the hashes of the grams that cover them."""
+    out = np.full(len(at), 0x51ED270B + salt, dtype=np.uint64)
+    for k in [*range(0, width - GRAM, GRAM), width - GRAM]:
+        out = (out ^ grams[at + k]) * _U(0x9E3779B97F4A7C15)
+        out ^= out >> _U(29)
+    return mix(out)
+
+
+class Runs:
+    """Runs of windows in a block of texts: each names one gram and has no more windows than can hold a gram.
+
+    first, size: the word a run starts at and its windows; gram; words (hash of all its words);
+    edges: runs of row k are edges[k] to edges[k + 1].
+    """
+
+    def __init__(self, words: Words, grams: np.ndarray, window: int):
+        many = window - GRAM + 1
+        low = lowest(grams, many) if len(words.hashes) >= window else np.empty(0, np.uint64)
+        begin, end = words.edges[:-1], np.maximum(words.edges[:-1], words.edges[1:] - window + 1)
+        marks = np.zeros(len(words.hashes) + 1, dtype=np.int32)
+        some = end > begin
+        np.add.at(marks, begin[some], 1)
+        np.add.at(marks, end[some], -1)
+        every = np.flatnonzero(np.cumsum(marks) > 0)
+        fresh = np.zeros(len(words.hashes) + 1, dtype=bool)
+        fresh[begin[some]] = True
+        new = fresh[every] | (low[every] != low[every - 1]) if len(every) else np.empty(0, bool)
+        heads = np.flatnonzero(new)
+        new |= (np.arange(len(every)) - np.repeat(heads, np.diff([*heads, len(every)]))) % many == 0 if len(every) else new
+        heads = np.flatnonzero(new)
+        self.first, self.size = every[heads], np.diff([*heads, len(every)]) if len(every) else np.empty(0, np.int64)
+        self.gram = low[self.first]
+        # The first window and the last one cover a run, as it is no longer than a window.
+        ends = [_wide(grams, at, window, salt) for at, salt in ((self.first, 11), (self.first + self.size - 1, 12))]
+        self.words = mix(ends[0] ^ mix(ends[1] + self.size.astype(np.uint64)))
+        self.edges = np.searchsorted(self.first, words.edges)
 
 
 def _source(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -58,48 +92,47 @@ def _source(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def _profiles(src: DataFrame, window: int) -> DataFrame:
-    """_id, n, f1, f2 (fingerprint of the words in order), grams (those its windows name, once each)."""
+    """_id, n, f1, f2 (fingerprint of the words in order), runs of windows: gram h, hash of words r, pos, size."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b in slices(batch.column(1)):
                 w = Words(batch.column(1).slice(a, b - a), lower=False)
-                low, ranges = _windows(w, window)
+                runs = Runs(w, w.grams(GRAM), window)
                 n, place = np.diff(w.edges), np.arange(len(w.hashes)) - np.repeat(w.edges[:-1], np.diff(w.edges))
                 sums = []
                 for salt in (1, 2):
                     terms = mix(w.hashes ^ mix(place.astype(np.uint64) * _U(2) + _U(salt)) * _U(2 * salt + 1))
                     total = np.concatenate([[0], np.cumsum(terms, dtype=np.uint64)]).astype(np.uint64)
                     sums.append((total[w.edges[1:]] - total[w.edges[:-1]]).astype(np.int64))
-                named = [np.unique(low[s:e]).astype(np.int64) for s, e in ranges]
-                edges = np.concatenate([[0], np.cumsum([len(x) for x in named])])
-                lists = pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(np.concatenate(named), pa.int64()))
+                fields = [pa.array(x.astype(np.int64), pa.int64()) for x in (runs.gram, runs.words)]
+                fields += [pa.array(x, pa.int32()) for x in (place[runs.first], runs.size)]
+                lists = pa.ListArray.from_arrays(pa.array(runs.edges, pa.int32()), pa.StructArray.from_arrays(fields, ["h", "r", "pos", "size"]))
                 cols = [pa.array(x, pa.int64()) for x in (n, *sums)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), *cols, lists], ["_id", "n", "f1", "f2", "grams"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), *cols, lists], ["_id", "n", "f1", "f2", "runs"])
 
-    return src.mapInArrow(run, "_id bigint, n bigint, f1 bigint, f2 bigint, grams array<bigint>")
+    return src.mapInArrow(run, "_id bigint, n bigint, f1 bigint, f2 bigint, runs array<struct<h:bigint,r:bigint,pos:int,size:int>>")
 
 
 def _suffixes(texts: DataFrame, window: int) -> DataFrame:
-    """From _id, _text, grams: a row per window that names one of the grams: doc, pos, and its path h0, h1, h2."""
+    """From _id, _text, wanted: a row per window of the wanted runs: doc, pos, and its path h0, h1, h2."""
     at = depths(window)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b in slices(batch.column(1)):
                 w = Words(batch.column(1).slice(a, b - a), lower=False)
-                low, ranges = _windows(w, window)
+                grams = w.grams(GRAM)
+                runs = Runs(w, grams, window)
                 ids, lists = batch.column(0).slice(a, b - a).to_numpy(), batch.column(2).slice(a, b - a)
-                hits, docs, places = [], [], []
-                for k, (s, e) in enumerate(ranges):
-                    hit = np.flatnonzero(np.isin(low[s:e], np.asarray(lists[k].values).astype(np.uint64)))
-                    hits.append(hit + s)
-                    docs.append(np.full(len(hit), ids[k]))
-                    places.append(hit)
-                every = np.concatenate(hits)
+                hits = [s + np.flatnonzero(np.isin(runs.words[s:e], np.asarray(lists[k].values).astype(np.uint64))) for k, (s, e) in enumerate(zip(runs.edges[:-1], runs.edges[1:], strict=True))]
+                hit, row = np.concatenate(hits), np.repeat(np.arange(w.rows), [len(x) for x in hits])
+                size = runs.size[hit]
+                row = np.repeat(row, size)
+                every = np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size) + np.repeat(runs.first[hit], size)
                 # Of the inner nodes 32 bits do, as they only part groups.
-                paths = [w.grams(d, salt=d)[every].astype(k) if len(every) else every for d, k in zip(at, (np.int32, np.int32, np.int64), strict=True)]
-                cols, kinds = [np.concatenate(docs), np.concatenate(places), *paths], (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64())
+                paths = [_wide(grams, every, d, d).astype(k) for d, k in zip(at, (np.int32, np.int32, np.int64), strict=True)]
+                cols, kinds = [ids[row], every - w.edges[row], *paths], (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64())
                 for k in range(0, len(every), 1 << 16):
                     yield pa.RecordBatch.from_arrays([pa.array(c[k : k + (1 << 16)], t) for c, t in zip(cols, kinds, strict=True)], ["doc", "pos", "h0", "h1", "h2"])
 
@@ -109,8 +142,8 @@ def _suffixes(texts: DataFrame, window: int) -> DataFrame:
 def repeated_windows(docs: DataFrame, window: int = 50, id_col: str = "doc_id", text_col: str = "text", group: int = GROUP) -> DataFrame:
     """_id, starts, whole: where windows start whose words also start in a document of smaller id.
 
-    Only documents with such a window are listed. ``whole`` marks copies of a smaller document's whole
-    sequence of words. Words are compared as they are.
+    ``starts`` is array<struct<pos,size>>: so many neighbouring windows from a word on. Only documents with such a window
+    are listed. ``whole`` marks copies of a smaller document's whole sequence of words. Words are compared as they are.
     """
     src = _source(docs, id_col, text_col).where("_id IS NOT NULL")
     hold = Scratch(docs.sparkSession)
@@ -118,30 +151,33 @@ def repeated_windows(docs: DataFrame, window: int = 50, id_col: str = "doc_id",
     same = ["f1", "f2", "n"]
     owners = prof.groupBy(*same).agg(F.min("_id").alias("owner"), F.max("_id").alias("last")).where("owner <> last")
     owners = hold.put("owners", owners.select(*same, "owner"))
-    prof = prof.join(owners, same, "left").select("_id", "grams", (F.col("_id") > F.col("owner")).alias("copy"))
+    prof = prof.join(owners, same, "left").select("_id", "runs", (F.col("_id") > F.col("owner")).alias("copy"))
     copies = hold.put("copies", prof.where("copy").select("_id").distinct())
-    named = prof.where("copy IS NULL OR NOT copy").select("_id", F.explode("grams").alias("h"))
-    shared = named.groupBy("h").agg(F.min("_id").alias("a"), F.max("_id").alias("b")).where("a <> b").select("h")
-    shared = hold.put("shared", shared)
-    wanted = named.join(shared, "h").groupBy("_id").agg(F.collect_set("h").alias("grams"))
-    wanted = hold.put("wanted", wanted)
-    suffixes = hold.put("suffixes", _suffixes(src.join(wanted, "_id"), window).withColumn("cell", F.pmod("h0", F.lit(CELLS)).cast("int")))
-    hold.drop("profiles", "owners", "shared", "wanted")
+    runs = prof.where("copy IS NULL OR NOT copy").select("_id", F.inline("runs"))
+    kinds = hold.put("kinds", runs.groupBy("h", "r").agg(F.min("_id").alias("owner"), F.max("_id").alias("last")))
+    shared = kinds.groupBy("h").agg(F.min("owner").alias("a"), F.max("last").alias("b"), (F.min("r") < F.max("r")).alias("mixed"))
+    shared = kinds.join(shared.where("a < b").select("h", "mixed"), "h").where("mixed OR owner < last")
+    shared = hold.put("shared", shared.select("h", "r", "owner", "mixed"))
+    runs = hold.put("runs", runs.join(shared, ["h", "r"]).where("mixed OR owner < _id").select("_id", "r", "pos", "size", "owner"))
+    by_run = runs.where("owner < _id").select(F.col("_id").alias("doc"), "pos", "size")
+    wanted = hold.put("wanted", runs.where("owner = _id").groupBy("_id").agg(F.collect_set("r").alias("wanted")))
+    suffixes = hold.put("suffixes", _suffixes(src.join(wanted, "_id"), window))
+    hold.drop("profiles", "owners", "kinds", "shared", "wanted")
 
     # Prefixes, lengthened while more suffixes than a group holds share them. At most rows / group are heavy.
-    count = lambda df, *keys: df.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > group)
-    heavy = hold.put("heavy", count(suffixes, "cell").select("cell", F.lit(True).alias("big")))
-    some = suffixes.join(heavy, "cell")
-    heavy0 = hold.put("heavy0", count(some, "cell", "h0").select("cell", "h0", F.lit(True).alias("big0")))
-    some = suffixes.join(heavy0, ["cell", "h0"])
-    heavy1 = hold.put("heavy1", count(some, "cell", "h0", "h1").select("cell", "h0", "h1", F.lit(True).alias("big1")))
+    cells = 1 << min(31, max(10, (PARTS * suffixes.count() // group).bit_length()))
+    suffixes = suffixes.withColumn("cell", F.pmod(F.col("h0").cast("long"), F.lit(cells)))
     path = ["cell", "h0", "h1", "h2"]
-    nodes = suffixes.join(heavy1, path[:3]).groupBy(*path).agg(F.count("*").alias("_n"), F.min("doc").alias("least"))
-    nodes = hold.put("nodes", nodes.where(F.col("_n") > group).select(*path, "least"))
-    rows = suffixes.join(heavy, "cell", "left").join(heavy0, path[:2], "left").join(heavy1, path[:3], "left").join(nodes, path, "left")
+    counts = hold.put("counts", suffixes.groupBy(*path).agg(F.count("*").alias("_n"), F.min("doc").alias("least")))
+    many = lambda k, name: counts.groupBy(*path[:k]).agg(F.sum("_n").alias("_n")).where(F.col("_n") > group).select(*path[:k], F.lit(True).alias(name))
+    heavy = [hold.put(name, many(k, name)) for k, name in ((1, "big"), (2, "big0"), (3, "big1"))]
+    nodes = hold.put("nodes", counts.where(F.col("_n") > group).select(*path, "least"))
+    rows = suffixes
+    for k, side in enumerate([*heavy, nodes], 1):
+        rows = rows.join(side, path[:k], "left")
     by_node = rows.where("least < doc").select("doc", "pos")
     prefix = (
-        F.when(F.col("big").isNull(), F.col("cell").cast("long"))
+        F.when(F.col("big").isNull(), F.col("cell"))
         .when(F.col("big0").isNull(), F.xxhash64("h0"))
         .when(F.col("big1").isNull(), F.xxhash64("h0", "h1"))
         .otherwise(F.xxhash64("h0", "h1", "h2"))
@@ -149,9 +185,11 @@ def repeated_windows(docs: DataFrame, window: int = 50, id_col: str = "doc_id",
     tree = rows.where("least IS NULL").select(prefix.alias("prefix"), F.col("h2").alias("node"), "doc", "pos").repartition("prefix")
     deep = Window.partitionBy("prefix", "node").orderBy("doc")
     by_tree = tree.withColumn("least", F.first("doc").over(deep)).where("least < doc").select("doc", "pos")
-    found = by_node.unionByName(by_tree).select(F.col("doc").alias("_id"), "pos", F.lit(False).alias("whole"))
-    found = found.unionByName(copies.select("_id", F.lit(None).cast("int").alias("pos"), F.lit(True).alias("whole")))
-    out = written(found.groupBy("_id").agg(F.collect_set("pos").alias("starts"), F.bool_or("whole").alias("whole")), "repeats")
+    found = by_node.unionByName(by_tree).withColumn("size", F.lit(1)).unionByName(by_run)
+    found = found.select(F.col("doc").alias("_id"), F.struct("pos", "size").alias("start"), F.lit(False).alias("whole"))
+    none = F.lit(None).cast(found.schema["start"].dataType)
+    found = found.unionByName(copies.select("_id", none.alias("start"), F.lit(True).alias("whole")))
+    out = written(found.groupBy("_id").agg(F.collect_list("start").alias("starts"), F.bool_or("whole").alias("whole")), "repeats")
     hold.drop()
     return out
 
@@ -189,10 +227,11 @@ def remove_repeats(
                         gone[s] += 1
                         gone[e] -= 1
                     elif starts[a + k].is_valid:
-                        at = np.asarray(starts[a + k].values).astype(np.int64)
-                        at = at[at + window <= e - s] + s
-                        np.add.at(gone, at, 1)
-                        np.add.at(gone, at + window, -1)
+                        at, size = (starts[a + k].values.field(c).to_numpy().astype(np.int64) for c in (0, 1))
+                        end = np.minimum(at + size - 1 + window, e - s)
+                        fits = at + window <= e - s
+                        np.add.at(gone, at[fits] + s, 1)
+                        np.add.at(gone, end[fits] + s, -1)
                 gone = np.cumsum(gone[:n]) > 0
                 left = np.flatnonzero(~gone)
                 row = w.row_of_words()
