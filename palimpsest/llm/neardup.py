@@ -8,8 +8,8 @@ pairs that are further apart may meet as well. Pairs that meet are confirmed on
 Only one document of each distinct set takes part. Keys with few documents give their pairs. Under a key
 with many, pairs are not listed: a pivot is compared with all others, and an unlinked pair can then only
 be similar if it shares a shingle that the pivot lacks (or is mostly contained in the pivot), so the
-group splits into the groups of those shingles. No pair of different components is lost; pairs that the
-pivot already connects are not needed.
+group splits into the groups of those shingles. After each round rows get in ``of`` the component that
+all links so far give their document; pairs within one are not needed, and no other similar pair is lost.
 """
 
 from __future__ import annotations
@@ -147,11 +147,11 @@ def near(percent: int, inter: Column, a: Column, b: Column) -> Column:
 
 
 def _listed_pairs(groups: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b), a < b, of groups (g, x, n, must) whose sizes allow the similarity and of which one is must."""
-    left = groups.select("g", F.col("x").alias("a"), F.col("n").alias("na"), F.col("must").alias("ma"))
-    right = groups.select("g", F.col("x").alias("b"), F.col("n").alias("nb"), F.col("must").alias("mb"))
+    """Pairs (a, b), a < b, of groups (g, x, n, of) whose sizes allow the similarity and that differ in ``of``."""
+    left = groups.select("g", F.col("x").alias("a"), F.col("n").alias("na"), F.col("of").alias("oa"))
+    right = groups.select("g", F.col("x").alias("b"), F.col("n").alias("nb"), F.col("of").alias("ob"))
     sizes = 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
-    return left.join(right, "g").where((F.col("a") < F.col("b")) & (F.col("ma") | F.col("mb")) & sizes).select("a", "b").distinct()
+    return left.join(right, "g").where((F.col("a") < F.col("b")) & (F.col("oa") != F.col("ob")) & sizes).select("a", "b").distinct()
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -162,9 +162,9 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _with_counts(groups: DataFrame, hold: Scratch) -> DataFrame:
-    """Groups of two or more with a must row, with their number of rows ``c``."""
-    counts = groups.groupBy("g").agg(F.count("*").alias("c"), F.bool_or("must").alias("_any"))
-    counts = hold.put("counts", counts.where("c > 1 AND _any").select("g", "c"))
+    """Groups whose rows are not all alike in ``of``, with their number of rows ``c``."""
+    counts = groups.groupBy("g").agg(F.count("*").alias("c"), F.min("of").alias("_least"), F.max("of").alias("_most"))
+    counts = hold.put("counts", counts.where("_least < _most").select("g", "c"))
     return hold.put("groups", groups.join(counts, "g"))
 
 
@@ -174,7 +174,7 @@ def _pivot_round(groups: DataFrame, sets: DataFrame, percent: int, hold: Scratch
     ranked = groups.join(sets.groupBy("x").agg(F.max("often").alias("k")), "x")
     pivots = ranked.groupBy("g").agg(F.max(F.struct("k", (-F.col("x")).alias("m"))).alias("p"))
     pivots = hold.put("pivots", pivots.select("g", (-F.col("p.m")).alias("b")))
-    rel = groups.join(pivots, "g").where("x <> b").groupBy("b", "x").agg(F.bool_or("must").alias("must"))
+    rel = groups.join(pivots, "g").where("x <> b").select("b", "x").distinct()
     rel = hold.put("related", rel)
     own = sets.select("x", "n", "s")
     other = sets.select(F.col("x").alias("b"), F.col("n").alias("nb"), F.col("s").alias("sb"))
@@ -183,19 +183,23 @@ def _pivot_round(groups: DataFrame, sets: DataFrame, percent: int, hold: Scratch
     rel = rel.withColumns({"inter": F.size(F.array_intersect("s", "sb")).cast("long"), "rest": F.array_except("s", "sb")})
     linked = near(percent, F.col("inter"), F.col("n"), F.col("nb"))
     need = F.ceil(percent * F.col("n") / 100) - F.col("inter")  # shared shingles that the pivot lacks
-    rel = rel.select("b", "x", "n", "must", "inter", "rest", linked.alias("linked"), need.cast("long").alias("need"))
+    # Without a shingle that the pivot lacks the smaller of two lies almost wholly in the pivot.
+    inside = (100 + percent) * F.col("inter") >= 2 * percent * F.col("n")
+    rel = rel.select("b", "x", "n", "rest", linked.alias("linked"), need.cast("long").alias("need"), inside.alias("inside"))
     rel = hold.put("compared", rel)
     links = rel.where("linked").select(F.col("b").alias("a"), F.col("x").alias("b"))
-    still = F.col("must") & ~F.col("linked")
+    lone = ~F.col("linked") & (F.col("need") <= 0)
+    sizes = {f"{f.__name__}_{k}": f(F.when(c, F.col("n"))) for k, c in (("lone", lone), ("inside", lone & F.col("inside"))) for f in (F.min, F.max)}
+    spans = rel.groupBy("b").agg(*[c.alias(k) for k, c in sizes.items()]).where("min_lone IS NOT NULL")
     # Shingles from rare to frequent: two documents that must share `need` of them share one of the first size - need + 1.
     prefix = F.slice("rest", F.lit(1), F.greatest(F.size("rest") - F.greatest(F.col("need"), F.lit(1)) + 1, F.lit(0)).cast("int"))
-    by_shingle = rel.select(F.explode(prefix).alias("h"), "b", "x", "n", still.alias("must"))
-    by_shingle = by_shingle.select(F.xxhash64("b", "h").alias("g"), "x", "n", "must")
-    # Without such a shingle the smaller of two lies almost wholly in the pivot: inter >= 2 * percent / (100 + percent) * n.
-    inside = still & ((100 + percent) * F.col("inter") >= 2 * percent * F.col("n"))
-    spans = rel.where(inside).groupBy("b").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
-    within = rel.join(spans, "b").where((F.col("need") <= 0) & (F.col("n") >= F.col("lo")) & (percent * F.col("n") <= 100 * F.col("hi")))
-    within = within.select(F.xxhash64("b", F.lit("inside")).alias("g"), "x", "n", inside.alias("must"))
+    by_shingle = rel.select(F.explode(prefix).alias("h"), "b", "x", "n")
+    by_shingle = by_shingle.select(F.xxhash64("b", "h").alias("g"), "x", "n")
+    # One of the two is not linked: this row, the smaller one (so it is inside) or the larger one (so this row is inside).
+    larger = (F.col("n") >= F.col("min_inside")) & (percent * F.col("n") <= 100 * F.col("max_inside"))
+    smaller = F.col("inside") & (F.col("n") <= F.col("max_lone")) & (100 * F.col("n") >= percent * F.col("min_lone"))
+    within = rel.join(spans, "b").where((F.col("need") <= 0) & (~F.col("linked") | larger | smaller))
+    within = within.select(F.xxhash64("b", F.lit("inside")).alias("g"), "x", "n")
     return links, by_shingle.unionByName(within)
 
 
@@ -214,14 +218,14 @@ def near_duplicates(
     full = prof.where("_id IS NOT NULL AND n_shingles > 0")
     classes = full.groupBy("p1", "p2", "n_shingles").agg(F.min("_id").alias("x"), F.max("_id").alias("last"), F.first("sig").alias("sig"))
     classes = hold.put("classes", classes)
-    keyed = classes.select(F.explode(index_keys(F.col("sig"))).alias("g"), "x", F.col("n_shingles").alias("n"), F.lit(True).alias("must"))
+    keyed = classes.select(F.explode(index_keys(F.col("sig"))).alias("g"), "x", F.col("n_shingles").alias("n"), F.col("x").alias("of"))
     # Two sets may fall to one id (rows that share it): once in a group is enough.
     groups = _with_counts(keyed.distinct(), hold)
     wanted = hold.put("wanted", groups.select(F.col("x").alias("_id")).distinct())
     texts = _source(docs, id_col, text_col).join(wanted, "_id", "left_semi")
     sets = full_sets(texts, n, "_id", "_text").where("n > 0")
     sets = hold.put("sets", by_rarity(hold.put("hashes", sets)))
-    pairs, links = [], []
+    pairs, known = [], None
     for turn in range(rounds + 1):
         last = turn == rounds
         most = small << turn  # groups shrink from round to round, and a round has its price
@@ -233,16 +237,14 @@ def near_duplicates(
         if many.isEmpty():
             break
         found, children = _pivot_round(many.drop("c"), sets, percent, hold)
-        links.append(found)
-        groups = _with_counts(children.distinct(), hold)
+        known = hold.put("known", connected_components(found if known is None else found.unionByName(known)).selectExpr("node AS a", "component AS b"))
+        of = known.select(F.col("a").alias("x"), F.col("b").alias("of"))
+        groups = _with_counts(children.distinct().join(of, "x", "left").select("g", "x", "n", F.coalesce("of", "x").alias("of")), hold)
     listed = pairs[0]
     for p in pairs[1:]:
         listed = listed.unionByName(p)
-    links.append(_confirmed(hold.put("pairs", listed.distinct()), sets, percent))
-    joined = links[0]
-    for x in links[1:]:
-        joined = joined.unionByName(x)
-    comps = connected_components(hold.put("found", joined))
+    links = _confirmed(hold.put("pairs", listed.distinct()), sets, percent)
+    comps = connected_components(hold.put("found", links if known is None else links.unionByName(known)))
     # Only classes of several documents, or with links, need a lookup.
     lookup = classes.join(comps, classes["x"] == comps["node"], "left").where("component IS NOT NULL OR last <> x")
     lookup = hold.put("lookup", lookup.select("p1", "p2", F.col("n_shingles").alias("n"), F.coalesce("component", "x").alias("_c")))

@@ -65,6 +65,50 @@ def test_near_duplicates(spark, copies, small, rounds):
             assert r["kept"] == (r["component_id"] == r["doc_id"])
 
 
+@pytest.fixture
+def one_key(monkeypatch):
+    """All documents meet under one key, so that only pivots can lose a pair."""
+    monkeypatch.setattr(neardup, "index_keys", lambda sig: F.array(F.lit(0).cast("long")))
+
+
+def alike(rows):
+    """Components by brute force on sets of single words."""
+    return brute.components(rows, 85, 1)
+
+
+@pytest.mark.parametrize("small", [16, 2])
+def test_near_duplicates_through_one_linked_to_the_pivot(spark, one_key, small):
+    """A large document is linked to a smaller one, which lies in the pivot, and not to the pivot; nothing outside the pivot is shared."""
+    rnd = random.Random(6)
+    texts = []
+    for f in range(3):
+        word = [f"f{f}w{k}" for k in range(100)]
+        texts += [word, word[:89], word[:87] + [f"f{f}far{k}" for k in range(13)]]
+        for c in range(60):
+            gone = set(rnd.sample(range(87), 6))
+            texts.append([f"f{f}c{c}n{k}" if k in gone else w for k, w in enumerate(word)])
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    want = alike(rows)
+    assert len({c for _, c in want.values()}) == 3
+    got = neardup.near_duplicates(frame(spark, rows), 85, 1, small=small).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == want
+
+
+def test_near_duplicates_between_two_pivots(spark, one_key):
+    """One document is linked to the first pivot, another to the second, and the only link between the pivots is theirs."""
+    texts = [[f"w{k}" for k in range(8 * i, 8 * i + 100)] for i in range(4)]
+    # The first 8 words and the last 16 become frequent, which makes the first and the last text pivots.
+    for c in range(60):
+        texts.append([f"w{k}" for k in range(8)] + [f"a{c}x{k}" for k in range(92)])
+    for c in range(10):
+        texts.append([f"w{k}" for k in range(108, 124)] + [f"b{c}x{k}" for k in range(84)])
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    want = alike(rows)
+    assert [want[i][1] for i in range(4)] == [0] * 4 and len({c for _, c in want.values()}) == 71
+    got = neardup.near_duplicates(frame(spark, rows), 85, 1, small=1).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == want
+
+
 def test_near_duplicates_of_awkward_texts(docs, texts, no_docs):
     want = brute.components([(i * 3, t) for i, t in enumerate(texts)])
     got = neardup.near_duplicates(docs).where("doc_id IS NOT NULL").collect()
