@@ -152,7 +152,7 @@ def _detections(words: Column) -> Column:
         by_key.setdefault(r.keyword, []).append(r)
 
     def one(r: Rule) -> Column:
-        pattern = rf"(?:^| )((?:{r.left})?)\x01({r.right})(?= |$)" if r.rank >= 2 else rf"(?:^| )({r.left})\x01({r.right})(?= |$)"
+        pattern = rf"(?:^| )((?:{r.left})?)\x01({r.right})(?= |\z)" if r.rank >= 2 else rf"(?:^| )({r.left})\x01({r.right})(?= |\z)"
         return F.struct(
             F.lit(pattern).alias("pattern"), F.lit(r.rank).alias("rank"), F.lit(r.confidence).alias("conf"), F.lit(r.label).alias("label")
         )
@@ -233,7 +233,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     src = docs.select(docs[id_col].alias("_id"), F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("_text"))
     text = F.col("_text")
     phrases = "|".join(p for p, _ in BASE)
-    any_base = rf"(?:^| )({phrases})(?= |$)"
+    any_base = rf"(?:^| )({phrases})(?= |\z)"
     spaces = lambda s: F.length(s) - F.length(F.replace(s, F.lit(" "), F.lit("")))
     count = lambda s: F.when(s == "", 0).otherwise(spaces(s) + 1)
 
@@ -243,7 +243,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
         return F.struct(
             F.regexp_count(low, F.lit(any_base)).cast("long").alias("n"),
             F.when(hit, count(F.get(F.split(low, any_base, 2), F.lit(0)))).cast("long").alias("first"),
-            F.when(hit, count(F.regexp_extract(low, rf"^(.*)(?:^| )(?:{phrases})(?= |$)", 1))).cast("long").alias("last"),
+            F.when(hit, count(F.regexp_extract(low, rf"(?s)^(.*)(?:^| )(?:{phrases})(?= |\z)", 1))).cast("long").alias("last"),
             F.transform(found, lambda b: b["x"]).alias("labels"),
         )
 

@@ -147,6 +147,16 @@ def test_licenses(docs, texts, no_docs):
     assert licenses.scan(no_docs).count() == 0
 
 
+def test_licenses_around_line_separators(spark):
+    """U+0085, U+2028 and U+2029 are parts of words: they end no word and no search."""
+    rows = [(k, f"apache license a{c} b mit license", f"see the apache license{c}") for k, c in enumerate("\x85\u2028\u2029")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, tail string")
+    for r in licenses.scan(df).collect():
+        assert (r["n_words"], r["n_base"], r["first_word"], r["last_word"]) == (6, 2, 0, 4)
+    for r in licenses.scan(df, text_col="tail").collect():
+        assert (r["n_words"], r["n_base"], r["first_word"], r["last_word"], r["labels"]) == (4, 0, None, None, [])
+
+
 def test_license_rules_are_many_and_ranked():
     rules = licenses.rules()
     assert len(rules) > 200 and [r.rank for r in rules] == sorted(r.rank for r in rules)
