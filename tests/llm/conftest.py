@@ -21,6 +21,7 @@ def awkward_texts(seed: int = 5) -> list:
         "THE GNU GENERAL PUBLIC LICENSE. http://www.apache.org/licenses/LICENSE-2.0 all rights reserved",
         "submit licenses; permit license; commit license mit  license\nMIT\tLICENSE cc_by cc-by",
         "password: token: abcdefghijklmnop secret=tooshort token='a.b.c.d.e.f.g' API_KEY=abcdefABCDEF123456== apikey:0123456789abcdef0",
+        "a <|endoftext|> b<|endoftext|>c <|startoftext|>. <|ENDOFTEXT|> <|endoftext| |>",
         "k9QzLw3Xv7Bn2Rt8YpJ4dHs6 customer_order_table_name_2024 aGVsbG8gd29ybGQxMjM0NTY3ODk/+=",
     ]
     return texts

@@ -2,8 +2,10 @@
 
 import base64
 import hashlib
+import math
 import random
 from collections import Counter
+from fractions import Fraction
 
 import numpy as np
 import public_tokenizers
@@ -68,7 +70,6 @@ def test_pieces(docs, texts, no_docs):
 
     path = vocabulary("word_bpe_49k.json")
     coder = Tokenizer.from_file(path)
-    coder.encode_special_tokens = True
     rows = packing.pieces(docs, path).collect()
     by = {}
     for r in rows:
@@ -191,15 +192,34 @@ def test_salvage_after_damage(spark, tmp_path, compress):
 
 
 def brute_topk(rows, k):
+    """With Python's fractions and whole numbers only."""
     out = []
-    good = {(i, tuple(int(np.floor(max(-(m := float(int((2**62 / len(v)) ** 0.5))), min(m, 256 * float(x))))) for x in v)) for i, v in rows if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)}
+    good = {(i, tuple(math.floor(256 * Fraction(x)) for x in v)) for i, v in rows if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)}
     for i, q in good:
         if i % 50 == 0:
             scored = sorted({(-sum(a * b for a, b in zip(q, v)), j) for j, v in good if j != i and len(v) == len(q)})[:k]
-            out += [(i, r + 1, j, -s) for r, (s, j) in enumerate(scored)]
+            out += [(i, r + 1, j, max(-(2**63), min(2**63 - 1, -s))) for r, (s, j) in enumerate(scored)]
     return sorted(out)
 
 
+@pytest.mark.parametrize("size", [1e5, 1e8, 1e12, 1e30, 1e300, 1.7e308])
+def test_topk_with_large_components(spark, size):
+    rnd = random.Random(11)
+    rows = [(i, [rnd.uniform(-0.5, 0.5) for _ in range(64)]) for i in range(300)]
+    for i in (0, 7, 50, 133, 200):
+        rows[i][1][i % 64] = rnd.choice([size, -size])
+        rows[i + 1][1][3] = size / 3
+    rows += [(400, [size] * 64), (401, [size] * 64), (402, [-size] * 64), (403, [0.1] * 63 + [size])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(2)
+    for sizes in ({}, {"candidates": 60, "queries": 4}):
+        assert sorted(tuple(r) for r in topk.topk(df, F.col("vec_id") % 50 == 0, 5, **sizes).collect()) == brute_topk(rows, 5)
+
+
+def test_sortable():
+    numbers = [0, 1, -1, 255, 256, -255, -256, -257, 2**64, -(2**64), 10**600, -(10**600), 65535, -65536]
+    assert sorted(numbers, key=topk.sortable) == sorted(numbers)
+
+
 def test_topk(spark):
     rnd = random.Random(4)
     vec = lambda n=6: [rnd.uniform(-0.5, 0.5) for _ in range(n)]
@@ -220,4 +240,4 @@ def test_threshold_stops_early():
     rows[17] = 100
     ids = np.arange(len(rows))
     found = topk.threshold_search(ids, rows, np.array([-1]), np.array([[1, 2, 3, 4]]), 1)
-    assert found[1].tolist() == [17] and found[2].tolist() == [1000]
+    assert found[1].tolist() == [17] and found[2] == [1000]

@@ -65,7 +65,6 @@ def test_op2(spark, documents):
     from tokenizers import Tokenizer
 
     coder = Tokenizer.from_file(vocabulary("word_bpe_49k.json"))
-    coder.encode_special_tokens = True
     bins, total, seen = {}, 0, 0
     for r in run(spark, "op2_best_fit_packing"):
         ids = np.array([*coder.encode(documents[r["doc_id"]], add_special_tokens=False).ids, 0], "<u4")
