@@ -23,8 +23,8 @@ from .bpe import Memory, blocks, flattened
 from .common import written
 from .wordbpe import LETTERS, WordMerger
 
-#: Words in a generation of what a worker remembers.
-REMEMBERED = 80_000
+#: Words in a generation of what a worker remembers; two generations take about 150 bytes a word.
+REMEMBERED = 400_000
 #: Words tokenized in one call; bounds the library's own objects.
 FRESH = 8192
 #: Separators that Python takes for white space and the tokenizer does not.
@@ -55,7 +55,6 @@ class WordCoder:
         from tokenizers import Tokenizer
 
         self.coder = Tokenizer.from_file(path)
-        self.coder.encode_special_tokens = True
         self.coder.no_padding()
         self.coder.no_truncation()
         self.memory = Memory()
@@ -102,8 +101,10 @@ def pieces(
 
     A document's ids are the tokenizer's, without special tokens, then ``end_id``. Documents of more than
     ``size`` ids are cut there. Texts are split at white space and each distinct word is tokenized once,
-    which gives the same ids for tokenizers that drop white space. Null or empty text: only ``end_id``
-    (no piece if that is None). Repeated rows: pieces each. Other columns are not read.
+    which gives the same ids for tokenizers that drop white space. A special token that a text spells out is
+    that token, as the library has it. Null or empty text: only ``end_id`` (no piece if that is None). Null id: pieces
+    like any other. Repeated rows: pieces each. Very long texts are blocks of their own. Empty table: no rows. Other
+    columns are not read.
     """
     src = docs.select(docs[id_col].alias("_id"), docs[text_col].cast("string").alias("_text"))
     last = [] if end_id is None else [end_id]
@@ -148,8 +149,9 @@ def plan(
 
     Items go longest first into the bin of the smallest weighted norm of what would remain (``norm``), or
     of the smallest weighted dot product of item and residual (``dot``), among the bins that have room in
-    every dimension; a new bin is opened where none has. Both rules prefer the fullest bin, so a bin that
-    takes an item takes the next equal one too. Bins with the same residual and contents are one class
+    every dimension; a new bin is opened where none has. The dot product is with what is left of a bin, not with
+    what it holds, so the smallest one is the tightest fit in the dimensions that the item needs most. Both rules
+    prefer the fullest bin, so a bin that takes an item takes the next equal one too. Bins with the same residual and contents are one class
     with a count, so the work depends on the number of lengths, not of pieces.
     """
     if rule not in ("norm", "dot"):
@@ -224,32 +226,35 @@ def plan(
     return np.array(rows, dtype=np.int64).reshape(-1, 6)
 
 
-def pack(rows: DataFrame, capacity: Capacity, id_cols: list[str], length_col: str = "length", rule: str = "norm", buckets: int = 64) -> DataFrame:
+def pack(rows: DataFrame, capacity: Capacity, id_cols: list[str], length_col: str = "length", rule: str = "norm", parts: int = 0) -> DataFrame:
     """The rows with sequence_id and offset; offsets are gapless from 0 in each sequence.
 
-    ``id_cols`` spread and order the rows of one length, which may be a third of all rows: they are numbered
-    in ``buckets`` parts that are counted first. The rows are read twice, so they are written to the
-    shared folder before. Lengths must lie between 0 and the capacity. Empty table: no rows.
+    A third of all rows may have one length, and any number one id: the rows of a length are dealt evenly into
+    ``parts`` (0: as many as shuffle partitions, 64 at least), which are counted first, and numbered in each by
+    ``id_cols``. The rows are read twice, so they are written to the shared folder before. Lengths must lie between 0
+    and the capacity. Null ids sort first. Empty table: no rows.
     """
-    rows = written(rows, "pieces")
+    spark = rows.sparkSession
+    parts = parts or max(64, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    names = rows.columns
+    rows = written(rows.withColumn("_at", F.monotonically_increasing_id()), "pieces")
     length = F.col(length_col)
-    spread = F.pmod(F.xxhash64(*id_cols), F.lit(buckets)).cast("int")
+    spread = F.pmod(F.xxhash64("_at"), F.lit(parts)).cast("int")
     counts = written(rows.groupBy(length.alias("_len"), spread.alias("_part")).agg(F.count("*").alias("_n")), "lengths")
     histogram = {r["_len"]: r["n"] for r in counts.groupBy("_len").agg(F.sum("_n").alias("n")).collect()}
     table = plan(histogram, capacity, rule)
     before = Window.partitionBy("_len").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select("_len", "_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    inside = Window.partitionBy("_len", "_part").orderBy(*id_cols)
+    inside = Window.partitionBy("_len", "_part").orderBy(*id_cols, "_at")
     ranked = (
         rows.withColumns({"_len": length, "_part": spread})
         .withColumn("_row", F.row_number().over(inside))
         .join(starts, ["_len", "_part"])
-        .select(*rows.columns, (F.col("_before") + F.col("_row") - 1).alias("_rank"))
+        .select(*names, (F.col("_before") + F.col("_row") - 1).alias("_rank"))
     )
     # Rows of the plan in order of (length, rank): a piece's row is the last one that begins at or before it.
     table = table[np.lexsort((table[:, 1], table[:, 0]))]
-    shared = rows.sparkSession.sparkContext.broadcast(table)
-    names = [*rows.columns]
+    shared = spark.sparkContext.broadcast(table)
     at = names.index(length_col)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -263,5 +268,5 @@ def pack(rows: DataFrame, capacity: Capacity, id_cols: list[str], length_col: st
             seq, off = row[:, 3] + inner // row[:, 4], row[:, 5] + inner % row[:, 4] * n
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(seq, pa.int64()), pa.array(off, pa.int64())], [*names, "sequence_id", "offset"])
 
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields if f.name != "_at")
     return ranked.mapInArrow(place, f"{kinds}, sequence_id bigint, offset bigint")
