@@ -6,10 +6,12 @@ chunk is indexed once for every choice of ERRORS positions left out, so all such
 pairs that are further apart may meet as well. Pairs that meet are confirmed on their full sets.
 
 Only one document of each distinct set takes part. Keys with few documents give their pairs. Under a key
-with many, pairs are not listed: a pivot is compared with all others, and an unlinked pair can then only
-be similar if it shares a shingle that the pivot lacks (or is mostly contained in the pivot), so the
-group splits into the groups of those shingles. After each round rows get in ``of`` the component that
-all links so far give their document; pairs within one are not needed, and no other similar pair is lost.
+with many, pairs are not listed: a pivot is compared with all others, and the group splits. How many shingles a
+similar pair has in common follows from the two sizes; a document that is not linked to the pivot has fewer in common with
+the pivot than that, unless its partner is smaller than the pivot. So the pair shares shingles that the pivot lacks,
+and meets again under one of them. Partners of a size with which a document may do without are met by size. After each
+round rows get in ``of`` the component that all links so far give their document; pairs within one are not needed,
+and no other similar pair is lost. Rounds go on until all groups are small: each takes the pivot out of its group.
 """
 
 from __future__ import annotations
@@ -29,10 +31,12 @@ from .textblocks import Words, mix, sequence_hash, slices
 #: meet; of pairs with a similarity of 0.85, about 2 in a million do not meet in any chunk.
 CHUNKS, WIDTH, ERRORS = 6, 4, 1
 POSITIONS = CHUNKS * WIDTH
-#: Documents under a key up to which its pairs are listed; twice as many in every further round.
-SMALL = 16
-#: Rounds of pivots, after which the groups that are left list their pairs, however many.
-ROUNDS = 12
+#: Documents under a key up to which its pairs are listed.
+SMALL = 32
+#: Rows of one document or pivot that its set of shingles is joined to in one task; of more, in several.
+SPREAD = 256
+#: Sizes of documents in a band lie within one part in so many.
+BANDS = 100
 #: Cells in which frequencies of shingles are counted.
 COUNTERS = 1 << 19
 _U = np.uint64
@@ -154,11 +158,23 @@ def _listed_pairs(groups: DataFrame, percent: int) -> DataFrame:
     return left.join(right, "g").where((F.col("a") < F.col("b")) & (F.col("oa") != F.col("ob")) & sizes).select("a", "b").distinct()
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    a = sets.select(F.col("x").alias("a"), F.col("n").alias("na"), F.col("s").alias("sa"))
-    b = sets.select(F.col("x").alias("b"), F.col("n").alias("nb"), F.col("s").alias("sb"))
+def _with_set(rows: DataFrame, key: str, other: str, sets: DataFrame, names: list[str], hold: Scratch) -> DataFrame:
+    """Rows with size and shingles of the document in ``key``. A key of more than SPREAD rows is dealt by ``other`` over several tasks."""
+    many = rows.groupBy(key).agg(F.count("*").alias("_c")).where(F.col("_c") > SPREAD)
+    many = hold.put("many", many.select(F.col(key).alias("_key"), F.ceil(F.col("_c") / SPREAD).cast("int").alias("_parts")))
+    sets = sets.select(F.col("x").alias(key), F.col("n").alias(names[0]), F.col("s").alias(names[1]))
+    if many.isEmpty():
+        return rows.join(sets, key)
+    parts = F.coalesce("_parts", F.lit(1))
+    rows = rows.join(many, rows[key] == many["_key"], "left").withColumn("_part", F.pmod(F.xxhash64(other), parts.cast("bigint"))).drop("_key", "_parts")
+    sets = sets.join(many, sets[key] == many["_key"], "left").withColumn("_part", F.explode(F.sequence(F.lit(0).cast("bigint"), (parts - 1).cast("bigint")))).drop("_key", "_parts")
+    return rows.join(sets, [key, "_part"]).drop("_part")
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int, hold: Scratch) -> DataFrame:
+    both = _with_set(_with_set(pairs, "a", "b", sets, ["na", "sa"], hold), "b", "a", sets, ["nb", "sb"], hold)
     inter = F.size(F.array_intersect("sa", "sb"))
-    return pairs.join(a, "a").join(b, "b").where(near(percent, inter, F.col("na"), F.col("nb"))).select("a", "b")
+    return both.where(near(percent, inter, F.col("na"), F.col("nb"))).select("a", "b")
 
 
 def _with_counts(groups: DataFrame, hold: Scratch) -> DataFrame:
@@ -168,50 +184,55 @@ def _with_counts(groups: DataFrame, hold: Scratch) -> DataFrame:
     return hold.put("groups", groups.join(counts, "g"))
 
 
-def _pivot_round(groups: DataFrame, sets: DataFrame, percent: int, hold: Scratch) -> tuple[DataFrame, DataFrame]:
-    """Links to a pivot of each group, and the groups that pairs without the pivot can still share."""
+def _compared(groups: DataFrame, sets: DataFrame, percent: int, hold: Scratch) -> DataFrame:
+    """Rows (b, x) of each group's pivot with every other document: their sizes, what they have in common, the rest of x, whether linked."""
     # The document of the most frequent shingles: what the others are copies of, rather than one with changes of its own.
-    ranked = groups.join(sets.groupBy("x").agg(F.max("often").alias("k")), "x")
-    pivots = ranked.groupBy("g").agg(F.max(F.struct("k", (-F.col("x")).alias("m"))).alias("p"))
+    pivots = groups.groupBy("g").agg(F.max(F.struct("k", (-F.col("x")).alias("m"))).alias("p"))
     pivots = hold.put("pivots", pivots.select("g", (-F.col("p.m")).alias("b")))
-    rel = groups.join(pivots, "g").where("x <> b").select("b", "x").distinct()
-    rel = hold.put("related", rel)
-    own = sets.select("x", "n", "s")
-    other = sets.select(F.col("x").alias("b"), F.col("n").alias("nb"), F.col("s").alias("sb"))
-    other = hold.put("pivotsets", other.join(pivots.select("b").distinct(), "b"))
-    rel = rel.join(own, "x").join(other, "b")
+    rel = hold.put("related", groups.join(pivots, "g").where("x <> b").select("b", "x", "k").distinct())
+    own = sets.join(rel.select("x").distinct(), "x", "left_semi")
+    other = sets.join(pivots.select(F.col("b").alias("x")).distinct(), "x", "left_semi")
+    rel = _with_set(_with_set(rel, "x", "b", own, ["n", "s"], hold), "b", "x", other, ["nb", "sb"], hold)
     rel = rel.withColumns({"inter": F.size(F.array_intersect("s", "sb")).cast("long"), "rest": F.array_except("s", "sb")})
     linked = near(percent, F.col("inter"), F.col("n"), F.col("nb"))
-    need = F.ceil(percent * F.col("n") / 100) - F.col("inter")  # shared shingles that the pivot lacks
-    # Without a shingle that the pivot lacks the smaller of two lies almost wholly in the pivot.
-    inside = (100 + percent) * F.col("inter") >= 2 * percent * F.col("n")
-    rel = rel.select("b", "x", "n", "rest", linked.alias("linked"), need.cast("long").alias("need"), inside.alias("inside"))
-    rel = hold.put("compared", rel)
-    links = rel.where("linked").select(F.col("b").alias("a"), F.col("x").alias("b"))
-    lone = ~F.col("linked") & (F.col("need") <= 0)
-    sizes = {f"{f.__name__}_{k}": f(F.when(c, F.col("n"))) for k, c in (("lone", lone), ("inside", lone & F.col("inside"))) for f in (F.min, F.max)}
-    spans = rel.groupBy("b").agg(*[c.alias(k) for k, c in sizes.items()]).where("min_lone IS NOT NULL")
+    return hold.put("compared", rel.select("b", "x", "n", "k", "inter", "rest", linked.alias("linked")))
+
+
+def _band(n: Column) -> Column:
+    return F.floor(F.ln(n.cast("double")) * BANDS).cast("int")
+
+
+def _smallest(band: Column) -> Column:
+    """The smallest size in a band, or less."""
+    return F.ceil(F.exp(band.cast("double") / BANDS) * (1 - 1e-12)).cast("long")
+
+
+def _children(rel: DataFrame, percent: int, hold: Scratch) -> DataFrame:
+    """The groups in which similar pairs of compared rows meet again, unless both are linked to the pivot."""
+    bands = rel.groupBy("b").agg(F.collect_set(_band(F.col("n"))).alias("bands"))  # at most BANDS * ln(largest size)
+    rel = rel.join(bands, "b").withColumn("band", _band(F.col("n")))
+    fits = lambda v: (_smallest(v + 1) * 100 >= percent * F.col("n")) & (percent * _smallest(v) <= 100 * F.col("n"))
+    # Shingles that the pivot lacks and that a partner of the size must share, at least: what a similar pair has in common, less what the pivot has of x.
+    least = lambda v: F.ceil(F.lit(percent) * (F.col("n") + _smallest(v)) / (100 + percent) - 1e-9).cast("long") - F.col("inter")
+    needs = F.transform(F.filter("bands", fits), lambda v: F.struct(v.alias("band"), least(v).alias("need")))
+    rel = rel.withColumn("needs", needs).withColumn("need", F.array_min(F.transform("needs", lambda v: v["need"])))
     # Shingles from rare to frequent: two documents that must share `need` of them share one of the first size - need + 1.
     prefix = F.slice("rest", F.lit(1), F.greatest(F.size("rest") - F.greatest(F.col("need"), F.lit(1)) + 1, F.lit(0)).cast("int"))
-    by_shingle = rel.select(F.explode(prefix).alias("h"), "b", "x", "n")
-    by_shingle = by_shingle.select(F.xxhash64("b", "h").alias("g"), "x", "n")
-    # One of the two is not linked: this row, the smaller one (so it is inside) or the larger one (so this row is inside).
-    larger = (F.col("n") >= F.col("min_inside")) & (percent * F.col("n") <= 100 * F.col("max_inside"))
-    smaller = F.col("inside") & (F.col("n") <= F.col("max_lone")) & (100 * F.col("n") >= percent * F.col("min_lone"))
-    within = rel.join(spans, "b").where((F.col("need") <= 0) & (~F.col("linked") | larger | smaller))
-    within = within.select(F.xxhash64("b", F.lit("inside")).alias("g"), "x", "n")
-    return links, by_shingle.unionByName(within)
-
-
-def near_duplicates(
-    docs: DataFrame, percent: int = 85, n: int = 5, id_col: str = "doc_id", text_col: str = "text", small: int = SMALL, rounds: int = ROUNDS
-) -> DataFrame:
+    by_shingle = rel.select(F.explode(prefix).alias("h"), "b", "x", "n", "k", "of").select(F.xxhash64("b", "h").alias("g"), "x", "n", "k", "of")
+    free = rel.where("NOT linked AND need <= 0").select("b", "x", "n", "k", "of", F.explode(F.filter("needs", lambda v: v["need"] <= 0)["band"]).alias("band"))
+    free = hold.put("free", free)
+    met = rel.where("need <= 0").join(free.select("b", "band").distinct(), ["b", "band"]).select("b", "x", "n", "k", "of", "band")
+    by_size = free.unionByName(met).select(F.xxhash64("b", F.col("band"), F.lit("size")).alias("g"), "x", "n", "k", "of")
+    return by_shingle.unionByName(by_size).distinct()
+
+
+def near_duplicates(docs: DataFrame, percent: int = 80, n: int = 5, id_col: str = "doc_id", text_col: str = "text", small: int = SMALL) -> DataFrame:
     """One row per document: id, n_shingles, component_id (smallest id reachable over links), kept.
 
     Documents are linked if 100 * |intersection| >= percent * |union| of their sets of distinct n-word shingles,
     A-Z lower-cased; a text of fewer words has its whole sequence as one. No words or null text: empty set,
     linked with nothing. Null id: component null, kept, links nothing. Rows that share an id count as
-    one document with the links of all of them. Empty table: no rows. Other columns are not read.
+    one document with the links of all of them. Whole texts count, however long. Empty table: no rows. Other columns are not read.
     """
     hold = Scratch(docs.sparkSession)
     prof = hold.put("profiles", profiles(docs, n, id_col, text_col))
@@ -225,25 +246,22 @@ def near_duplicates(
     texts = _source(docs, id_col, text_col).join(wanted, "_id", "left_semi")
     sets = full_sets(texts, n, "_id", "_text").where("n > 0")
     sets = hold.put("sets", by_rarity(hold.put("hashes", sets)))
-    pairs, known = [], None
-    for turn in range(rounds + 1):
-        last = turn == rounds
-        most = small << turn  # groups shrink from round to round, and a round has its price
-        few = groups if last else groups.where(F.col("c") <= most)
-        pairs.append(_listed_pairs(few, percent))
-        if last:
-            break
-        many = groups.where(F.col("c") > most)
-        if many.isEmpty():
-            break
-        found, children = _pivot_round(many.drop("c"), sets, percent, hold)
+    often = sets.groupBy("x").agg(F.max("often").alias("k"))
+    pairs, known = [_listed_pairs(groups.where(F.col("c") <= small), percent)], None
+    many = hold.put("many groups", groups.where(F.col("c") > small).drop("c").join(often, "x"))
+    while not many.isEmpty():
+        rel = _compared(many, sets, percent, hold)
+        found = rel.where("linked").select(F.col("b").alias("a"), F.col("x").alias("b"))
         known = hold.put("known", connected_components(found if known is None else found.unionByName(known)).selectExpr("node AS a", "component AS b"))
         of = known.select(F.col("a").alias("x"), F.col("b").alias("of"))
-        groups = _with_counts(children.distinct().join(of, "x", "left").select("g", "x", "n", F.coalesce("of", "x").alias("of")), hold)
+        rel = hold.put("rows", rel.join(of, "x", "left").withColumn("of", F.coalesce("of", "x")))
+        groups = _with_counts(_children(rel, percent, hold), hold)
+        pairs.append(_listed_pairs(groups.where(F.col("c") <= small), percent))
+        many = groups.where(F.col("c") > small).drop("c")
     listed = pairs[0]
     for p in pairs[1:]:
         listed = listed.unionByName(p)
-    links = _confirmed(hold.put("pairs", listed.distinct()), sets, percent)
+    links = _confirmed(hold.put("pairs", listed.distinct()), sets, percent, hold)
     comps = connected_components(hold.put("found", links if known is None else links.unionByName(known)))
     # Only classes of several documents, or with links, need a lookup.
     lookup = classes.join(comps, classes["x"] == comps["node"], "left").where("component IS NOT NULL OR last <> x")

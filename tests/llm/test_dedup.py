@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 import brute  # noqa: E402
 
+from palimpsest.llm.common import Scratch
 from palimpsest.llm import neardup, substrings  # noqa: E402
 from palimpsest.llm.components import connected_components  # noqa: E402
 
@@ -48,13 +49,10 @@ def frame(spark, rows):
     return spark.createDataFrame(rows, SCHEMA).repartition(3)
 
 
-@pytest.mark.parametrize("small", [16, 2])
-@pytest.mark.parametrize("rounds", [12, 1])
-def test_near_duplicates(spark, copies, small, rounds):
-    if (small, rounds) == (16, 1):
-        pytest.skip("covered by the others")
+@pytest.mark.parametrize("small", [32, 8])
+def test_near_duplicates(spark, copies, small):
     df = frame(spark, [*copies, (None, copies[0][1]), copies[3]])
-    got = neardup.near_duplicates(df, 85, 5, small=small, rounds=rounds).collect()
+    got = neardup.near_duplicates(df, 85, 5, small=small).collect()
     want = brute.components(copies)
     assert len(got) == len(copies) + 2
     for r in got:
@@ -76,7 +74,7 @@ def alike(rows):
     return brute.components(rows, 85, 1)
 
 
-@pytest.mark.parametrize("small", [16, 2])
+@pytest.mark.parametrize("small", [32, 8])
 def test_near_duplicates_through_one_linked_to_the_pivot(spark, one_key, small):
     """A large document is linked to a smaller one, which lies in the pivot, and not to the pivot; nothing outside the pivot is shared."""
     rnd = random.Random(6)
@@ -94,6 +92,35 @@ def test_near_duplicates_through_one_linked_to_the_pivot(spark, one_key, small):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == want
 
 
+@pytest.mark.parametrize("percent, seed", [(85, 1), (80, 2)])
+def test_similar_pairs_meet_again_after_a_round(spark, monkeypatch, percent, seed):
+    """Sets of many sizes, with losses and gains of their own and shared ones, most of them near the threshold to the pivot and to each other."""
+    monkeypatch.setattr(neardup, "SPREAD", 5)
+    rnd = random.Random(seed)
+    base = [f"b{k}" for k in range(60)]
+    rows = []
+    for i in range(150):
+        keep = rnd.sample(base, rnd.choice([60, 57, 54, 52, 50, 45]))
+        gains = [f"g{rnd.randrange(25)}" for _ in range(rnd.choice([0, 0, 2, 4, 6, 9]))] + [f"own{i}x{k}" for k in range(rnd.choice([0, 0, 0, 3, 6]))]
+        rows.append((i, " ".join(keep + gains)))
+    bags = {i: set(t.split()) for i, t in rows}
+    similar = lambda x, y: 100 * len(bags[x] & bags[y]) >= percent * len(bags[x] | bags[y])
+    hold = Scratch(spark)
+    sets = hold.put("sets", neardup.by_rarity(neardup.full_sets(frame(spark, rows), 1)))
+    groups = sets.select(F.lit(0).cast("long").alias("g"), "x", "n", F.col("x").alias("of"), F.col("often").alias("k"))
+    rel = neardup._compared(groups, sets, percent, hold)
+    compared = rel.collect()
+    (b,) = {r["b"] for r in compared}
+    linked = {r["x"] for r in compared if r["linked"]}
+    assert {r["x"] for r in compared} == bags.keys() - {b} and linked == {x for x in bags if x != b and similar(x, b)}
+    meet = {}
+    for r in neardup._children(rel.withColumn("of", F.col("x")), percent, hold).collect():
+        meet.setdefault(r["x"], set()).add(r["g"])
+    pairs = [(x, y) for x in bags for y in bags if x < y and b not in (x, y) and similar(x, y) and not {x, y} <= linked]
+    assert len(pairs) > 100 and all(meet[x] & meet[y] for x, y in pairs)
+    hold.drop()
+
+
 def test_near_duplicates_between_two_pivots(spark, one_key):
     """One document is linked to the first pivot, another to the second, and the only link between the pivots is theirs."""
     texts = [[f"w{k}" for k in range(8 * i, 8 * i + 100)] for i in range(4)]
@@ -110,8 +137,8 @@ def test_near_duplicates_between_two_pivots(spark, one_key):
 
 
 def test_near_duplicates_of_awkward_texts(docs, texts, no_docs):
-    want = brute.components([(i * 3, t) for i, t in enumerate(texts)])
-    got = neardup.near_duplicates(docs).where("doc_id IS NOT NULL").collect()
+    want = brute.components([(i * 3, t) for i, t in enumerate(texts)], 85)
+    got = neardup.near_duplicates(docs, 85).where("doc_id IS NOT NULL").collect()
     assert all((r["n_shingles"], r["component_id"]) == want[r["doc_id"]] for r in got) and len(got) == len(texts) + 1
     assert neardup.near_duplicates(no_docs).count() == 0
 
