@@ -1,8 +1,8 @@
 """License scans (native): ordered signature rules behind a keyword prefilter.
 
-Each rule is a regex over a text's words, tied to a keyword. A text without any keyword is passed over. At each
-keyword only that keyword's rules are tried, on a window of words around it. Detections that lie within a
-detection of higher rank are suppressed.
+Each rule is a regex over a text's words, tied to a keyword. A text without any keyword is passed over. The rules of a
+keyword are one alternation, which is searched over the whole text only if that keyword is in it. Detections that lie
+within a detection of higher rank, or within a longer one of their own, are suppressed.
 """
 
 from __future__ import annotations
@@ -12,7 +12,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import let
+from .common import let, running_starts
+from .license_rules import TEXT
 
 #: Phrases and their labels (fixed values).
 BASE = [
@@ -24,112 +25,31 @@ BASE = [
 #: What separates words, before A-Z are lower-cased (fixed value).
 OTHER = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Words before and after a keyword that a rule can see.
-LEFT, RIGHT = 10, 20
-
-#: Families: label, keyword, words before the keyword in the name, the keyword and words after it, address words.
-#: The first two name parts are regexes over lower-case words; {v} stands for "version 2" and the like.
-V = r"(?: (?:version|v))?"
-FAMILIES = [
-    ("apache-2.0", "apache", "(?:the )?", rf"apache(?: software)?(?: license|licence)?{V} (?:2 0|2)", "www ", "apache org licenses license 2 0"),
-    ("apache-1.1", "apache", "(?:the )?", rf"apache(?: software)?(?: license|licence)?{V} 1 1", "www ", "apache org licenses license 1 1"),
-    ("apache", "apache", "(?:the )?", r"apache(?: software)? (?:license|licence)", "www ", "apache org licenses"),
-    ("mit", "mit", "(?:the )?", r"mit(?: x11)?(?: open source)? (?:license|licence)", "opensource org licenses ", "mit"),
-    ("mit-0", "mit", "(?:the )?", r"mit (?:0|no attribution)(?: license)?", "opensource org licenses ", "mit 0"),
-    ("x11", "x11", "(?:the )?", r"x11 (?:license|licence)", "", "x11 copyright"),
-    ("gpl-1.0", "gnu", "(?:the )?", rf"gnu general public (?:license|licence){V} 1", "www ", "gnu org licenses gpl 1 0"),
-    ("gpl-2.0", "gnu", "(?:the )?", rf"gnu general public (?:license|licence){V} 2(?: 0)?", "www ", "gnu org licenses gpl 2 0"),
-    ("gpl-3.0", "gnu", "(?:the )?", rf"gnu general public (?:license|licence){V} 3(?: 0)?", "www ", "gnu org licenses gpl 3 0"),
-    ("gpl", "gnu", "(?:the )?", r"gnu (?:general public (?:license|licence)|gpl)", "www ", "gnu org licenses gpl"),
-    ("gpl-2.0-short", "gpl", "(?:the )?(?:gnu )?", rf"gpl{V} ?2(?: 0)?", "licenses ", "gpl 2 0"),
-    ("gpl-3.0-short", "gpl", "(?:the )?(?:gnu )?", rf"gpl{V} ?3(?: 0)?", "licenses ", "gpl 3 0"),
-    ("lgpl-2.1", "gnu", "(?:the )?", rf"gnu (?:lesser|library) general public (?:license|licence){V} 2 1", "www ", "gnu org licenses lgpl 2 1"),
-    ("lgpl-3.0", "gnu", "(?:the )?", rf"gnu lesser general public (?:license|licence){V} 3(?: 0)?", "www ", "gnu org licenses lgpl 3 0"),
-    ("lgpl", "lgpl", "(?:the )?(?:gnu )?", rf"lgpl(?:{V} [23](?: [01])?)?", "licenses ", "lgpl"),
-    ("agpl-3.0", "affero", "(?:the )?(?:gnu )?", rf"affero general public (?:license|licence)(?:{V} 3(?: 0)?)?", "www gnu org licenses ", "agpl"),
-    ("agpl", "agpl", "(?:the )?(?:gnu )?", rf"agpl(?:{V} 3(?: 0)?)?", "licenses ", "agpl 3 0"),
-    ("gfdl", "gnu", "(?:the )?", rf"gnu free documentation (?:license|licence)(?:{V} 1 [123])?", "www ", "gnu org licenses fdl"),
-    ("cc-by-4.0", "cc", "", r"cc by 4 0", "", "creativecommons org licenses by 4 0"),
-    ("cc-by-3.0", "cc", "", r"cc by 3 0", "", "creativecommons org licenses by 3 0"),
-    ("cc-by-sa-4.0", "cc", "", r"cc by sa 4 0", "", "creativecommons org licenses by sa 4 0"),
-    ("cc-by-sa-3.0", "cc", "", r"cc by sa 3 0", "", "creativecommons org licenses by sa 3 0"),
-    ("cc-by-sa", "cc", "", r"cc by sa", "", "creativecommons org licenses by sa"),
-    ("cc-by-nc-4.0", "cc", "", r"cc by nc 4 0", "", "creativecommons org licenses by nc 4 0"),
-    ("cc-by-nc", "cc", "", r"cc by nc", "", "creativecommons org licenses by nc"),
-    ("cc-by-nc-sa-4.0", "cc", "", r"cc by nc sa 4 0", "", "creativecommons org licenses by nc sa 4 0"),
-    ("cc-by-nc-sa", "cc", "", r"cc by nc sa", "", "creativecommons org licenses by nc sa"),
-    ("cc-by-nc-nd-4.0", "cc", "", r"cc by nc nd 4 0", "", "creativecommons org licenses by nc nd 4 0"),
-    ("cc-by-nc-nd", "cc", "", r"cc by nc nd", "", "creativecommons org licenses by nc nd"),
-    ("cc-by-nd-4.0", "cc", "", r"cc by nd 4 0", "", "creativecommons org licenses by nd 4 0"),
-    ("cc-by-nd", "cc", "", r"cc by nd", "", "creativecommons org licenses by nd"),
-    ("cc0-1.0", "cc0", "", r"cc0(?: 1 0)?(?: universal)?", "", "creativecommons org publicdomain zero"),
-    ("cc-by", "creative", "(?:the )?(?:a )?", r"creative commons attribution(?: (?:license|licence))?", "", "creativecommons org licenses by"),
-    ("cc-by-sa-name", "creative", "(?:the )?(?:a )?", r"creative commons attribution share ?alike", "", "creativecommons org licenses by sa"),
-    ("cc-by-nc-name", "creative", "(?:the )?(?:a )?", r"creative commons attribution non ?commercial", "", "creativecommons org licenses by nc"),
-    ("bsd-2-clause", "bsd", "(?:the )?(?:2 clause |simplified )?", r"bsd (?:2 clause|simplified)(?: (?:license|licence))?", "licenses ", "bsd 2 clause"),
-    ("bsd-3-clause", "bsd", "(?:the )?(?:3 clause |new |modified )?", r"bsd 3 clause(?: (?:license|licence))?", "licenses ", "bsd 3 clause"),
-    ("bsd-4-clause", "bsd", "(?:the )?(?:4 clause |original )?", r"bsd 4 clause(?: (?:license|licence))?", "licenses ", "bsd 4 clause"),
-    ("bsd", "bsd", "(?:the )?", r"bsd(?: style)? (?:license|licence)", "licenses ", "bsd license"),
-    ("0bsd", "0bsd", "", r"0bsd(?: (?:license|licence))?", "licenses ", "0bsd"),
-    ("isc", "isc", "(?:the )?", r"isc (?:license|licence)", "licenses ", "isc"),
-    ("mpl-1.1", "mozilla", "(?:the )?", rf"mozilla public (?:license|licence){V} 1 1", "www ", "mozilla org mpl 1 1"),
-    ("mpl-2.0", "mozilla", "(?:the )?", rf"mozilla public (?:license|licence){V} 2(?: 0)?", "www ", "mozilla org mpl 2 0"),
-    ("mpl", "mpl", "(?:the )?", rf"mpl(?:{V} [12] [01])?", "mozilla org ", "mpl"),
-    ("epl-1.0", "eclipse", "(?:the )?", rf"eclipse public (?:license|licence){V} 1(?: 0)?", "www ", "eclipse org legal epl v10"),
-    ("epl-2.0", "eclipse", "(?:the )?", rf"eclipse public (?:license|licence){V} 2(?: 0)?", "www ", "eclipse org legal epl 2 0"),
-    ("edl-1.0", "eclipse", "(?:the )?", r"eclipse distribution (?:license|licence)", "www ", "eclipse org org documents edl"),
-    ("cddl-1.0", "cddl", "(?:the )?", rf"cddl(?:{V} 1 [01])?", "licenses ", "cddl"),
-    ("cpl-1.0", "common", "(?:the )?", r"common public (?:license|licence)", "licenses ", "common public license"),
-    ("artistic-2.0", "artistic", "(?:the )?", rf"artistic (?:license|licence){V} 2(?: 0)?", "licenses ", "artistic license 2 0"),
-    ("artistic", "artistic", "(?:the )?", r"artistic (?:license|licence)", "licenses ", "artistic license"),
-    ("zlib", "zlib", "(?:the )?", r"zlib(?: libpng)? (?:license|licence)", "licenses ", "zlib"),
-    ("libpng", "libpng", "(?:the )?", r"libpng (?:license|licence)", "licenses ", "libpng"),
-    ("boost-1.0", "boost", "(?:the )?", rf"boost software (?:license|licence)(?:{V} 1 0)?", "www ", "boost org license 1 0"),
-    ("unlicense", "unlicense", "(?:the )?", r"unlicense", "", "unlicense org"),
-    ("wtfpl", "wtfpl", "(?:the )?", r"wtfpl", "www ", "wtfpl net"),
-    ("python-2.0", "python", "(?:the )?", r"python(?: software foundation)? (?:license|licence)", "licenses ", "python 2 0"),
-    ("ruby", "ruby", "(?:the )?", r"ruby (?:license|licence)", "licenses ", "ruby"),
-    ("php-3.01", "php", "(?:the )?", r"php (?:license|licence)", "www ", "php net license"),
-    ("openssl", "openssl", "(?:the )?", r"openssl (?:license|licence)", "www ", "openssl org source license"),
-    ("eupl-1.2", "eupl", "(?:the )?", rf"eupl(?:{V} 1 [12])?", "licenses ", "eupl"),
-    ("ofl-1.1", "ofl", "(?:the )?(?:sil )?", rf"ofl(?:{V} 1 1)?", "scripts sil org ", "ofl"),
-    ("ofl", "font", "(?:the )?(?:sil )?(?:open )?", r"font (?:license|licence)", "scripts sil org ", "font license"),
-    ("odbl-1.0", "database", "(?:the )?(?:open )", r"database (?:license|licence)", "opendatacommons org licenses ", "database license"),
-    ("public-domain", "domain", "(?:dedicated |released )?(?:in |into |to )?(?:the )?public ", "domain", "", "domain dedication"),
-    ("proprietary", "rights", "all ", "rights reserved", "", "rights strictly reserved"),
-    ("copyleft", "copyleft", "", "copyleft(?: license)?", "", "copyleft org"),
-]
+#: Confidence of a detection by its rule's rank.
+CONFIDENCE = [1.0, 0.95, 0.9, 0.85, 0.7]
+RANKS = len(CONFIDENCE)
 
 
 @dataclass(frozen=True)
 class Rule:
     """rank: 0 is highest; a detection hides others of lower rank that lie within it."""
 
-    label: str
     keyword: str
     rank: int
-    confidence: float
-    left: str
-    right: str
+    label: str
+    pattern: str
 
 
 def rules() -> list[Rule]:
-    """Four rules for each family: identifier tag, grant sentence, address, bare name. In order of rank."""
-    grant = r"(?:licensed|released|distributed|available|published|provided|covered|governed|made available) (?:under|by) (?:the )?(?:terms (?:of|and conditions of) )?"
-    out = []
-    for label, keyword, before, name, host, address in FAMILIES:
-        clean = label.removesuffix("-short").removesuffix("-name")
-        tag = clean.replace("-", " ").replace(".", " ")
-        if tag.split()[0] == keyword:
-            out.append(Rule(clean, keyword, 0, 1.0, "spdx license identifier ", tag + "(?: only| or later)?"))
-        out.append(Rule(clean, keyword, 1, 0.95, grant + before, name))
-        head = address.split()[0]
-        out.append(Rule(clean, head, 2, 0.9, f"(?:https? )?(?:{host})?" if host else "(?:https? )?(?:www )?", address))
-        out.append(Rule(clean, keyword, 3, 0.75, before, name))
-    return sorted(set(out), key=lambda r: (r.rank, r.keyword, -len(r.right), r.label))
-
-
-RANKS = 4
+    """The rules in their order."""
+    out, keyword = [], ""
+    for line in TEXT.strip().splitlines():
+        if line.startswith("["):
+            keyword = line[1:-1]
+        else:
+            rank, label, pattern = line.split(" ", 2)
+            out.append(Rule(keyword, int(rank), label, pattern))
+    return out
 
 
 def keywords() -> list[str]:
@@ -145,44 +65,38 @@ def n_words(norm: Column) -> Column:
     return F.when(norm == "", 0).otherwise(F.length(norm) - F.length(F.replace(norm, F.lit(" "), F.lit(""))) + 1).cast("long")
 
 
-def _detections(words: Column) -> Column:
-    """All rules' hits: array<struct<start,less,rank,conf,label>>, less: minus the end, so that a sort puts the longest first."""
+def _spaces(s: Column) -> Column:
+    return F.length(s) - F.length(F.replace(s, F.lit(" "), F.lit("")))
+
+
+def _detections(padded: Column) -> Column:
+    """All hits in words with a space around each: array<struct<start,less,rank,conf,label>>, less: minus the end, so that a sort puts the longest first."""
     by_key: dict[str, list[Rule]] = {}
     for r in rules():
         by_key.setdefault(r.keyword, []).append(r)
+    kind = "array<struct<start:bigint,less:bigint,rank:int,conf:double,label:string>>"
 
-    def one(r: Rule) -> Column:
-        pattern = rf"(?:^| )((?:{r.left})?)\x01({r.right})(?= |\z)" if r.rank >= 2 else rf"(?:^| )({r.left})\x01({r.right})(?= |\z)"
-        return F.struct(
-            F.lit(pattern).alias("pattern"), F.lit(r.rank).alias("rank"), F.lit(r.confidence).alias("conf"), F.lit(r.label).alias("label")
-        )
-
-    table = F.create_map(*[x for k, v in sorted(by_key.items()) for x in (F.lit(k), F.array(*[one(r) for r in v]))])
-    keys = F.array(*[F.lit(k) for k in sorted(by_key)])
-    spaces = lambda s: F.length(s) - F.length(F.replace(s, F.lit(" "), F.lit("")))
+    def of(keyword: str) -> Column:
+        own = by_key[keyword]
+        pattern = rf"(?<= )(?:{'|'.join(f'(?:{r.pattern})' for r in own)})(?= )"
 
-    def at(i: Column) -> Column:
-        before = F.array_join(F.slice(words, F.greatest(i - LEFT, F.lit(0)) + 1, F.least(i, F.lit(LEFT))), " ")
-        after = F.array_join(F.slice(words, i + 1, RIGHT), " ")
-        window = F.concat(before, F.when(i > 0, " ").otherwise(""), F.lit("\x01"), after)
+        def hit(h: Column, start: Column) -> Column:
+            which = F.lit(len(own) - 1)
+            for k in range(len(own) - 2, -1, -1):
+                which = F.when(h.rlike(rf"\A(?:{own[k].pattern})\z"), F.lit(k)).otherwise(which)
+            table = F.array(*[F.struct(F.lit(r.rank).alias("rank"), F.lit(CONFIDENCE[r.rank]).alias("conf"), F.lit(r.label).alias("label")) for r in own])
+            less = (-(start + _spaces(h) + 1)).cast("long").alias("less")
+            return let(F.get(table, which), lambda r: F.struct(start.alias("start"), less, r["rank"].alias("rank"), r["conf"].alias("conf"), r["label"].alias("label")))
 
-        def hit(w: Column, r: Column) -> Column:
-            left, right = (F.call_function("regexp_extract", w, r["pattern"], F.lit(k)) for k in (1, 2))
-            return F.when(
-                right != "",
-                F.struct(
-                    (i - spaces(left)).cast("long").alias("start"),
-                    (-(i + spaces(right) + 1)).cast("long").alias("less"),
-                    r["rank"].alias("rank"),
-                    r["conf"].alias("conf"),
-                    r["label"].alias("label"),
-                ),
-            )
+        def hits(s: Column) -> Column:
+            sizes = F.transform(s["hits"], lambda h, i: (_spaces(F.get(s["gaps"], i)) + _spaces(h)).cast("long"))
+            starts = lambda at: F.transform(s["hits"], lambda h, i: hit(h, (F.get(at, i) + _spaces(F.get(s["gaps"], i)) - 1).cast("long")))
+            return let(running_starts(sizes), starts)
 
-        return let(window, lambda w: F.filter(F.transform(F.element_at(table, F.get(words, i)), lambda r: hit(w, r)), lambda h: h.isNotNull()))
+        both = F.struct(F.split(padded, pattern, -1).alias("gaps"), F.regexp_extract_all(padded, F.lit(pattern), F.lit(0)).alias("hits"))
+        return F.when(F.contains(padded, F.lit(f" {keyword} ")), let(both, hits)).otherwise(F.array().cast(kind)).cast(kind)
 
-    places = F.filter(F.sequence(F.lit(0), F.size(words) - 1), lambda i: F.array_contains(keys, F.get(words, i)))
-    return F.array_distinct(F.flatten(F.transform(places, at)))
+    return F.flatten(F.array(*[of(k) for k in by_key]))
 
 
 def _surviving(hits: Column) -> Column:
@@ -228,14 +142,15 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 
     Words are lower-cased runs of letters, digits and characters over 0x7F. ``score`` is the highest
     confidence of a surviving detection, at least 0.5 with a base phrase, 0 without a label. Null or
-    empty text: no words. Repeated rows: a row each. Other columns are not read.
+    empty text: no words. Null ids are ids like any other. Whole texts are searched, however long. Rules of one
+    keyword do not overlap: at each place the first in their order counts, and the search goes on behind it.
+    Repeated rows: a row each. Empty table: no rows. Other columns are not read.
     """
     src = docs.select(docs[id_col].alias("_id"), F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("_text"))
     text = F.col("_text")
     phrases = "|".join(p for p, _ in BASE)
     any_base = rf"(?:^| )({phrases})(?= |\z)"
-    spaces = lambda s: F.length(s) - F.length(F.replace(s, F.lit(" "), F.lit("")))
-    count = lambda s: F.when(s == "", 0).otherwise(spaces(s) + 1)
+    count = lambda s: F.when(s == "", 0).otherwise(_spaces(s) + 1)
 
     def base(low: Column) -> Column:
         hit = low.rlike(any_base)
@@ -248,7 +163,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
         )
 
     def all_of(low: Column) -> Column:
-        more = let(F.split(low, " ", -1), lambda w: let(_detections(w), _surviving))
+        more = let(F.concat(F.lit(" "), low, F.lit(" ")), lambda w: let(_detections(w), _surviving))
         return F.struct(base(low).alias("base"), more.alias("more"))
 
     def row(norm: Column) -> Column:
