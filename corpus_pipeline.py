@@ -25,8 +25,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest id stays."""
-    rows = neardup.near_duplicates(docs, 85, 5)
+    """Of each group of near duplicates (0.8 of five-word shingles in common) the document with the smallest id stays."""
+    rows = neardup.near_duplicates(docs, 80, 5)
     gone = written(rows.where("NOT kept").select("doc_id").distinct(), "gone")
     return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
 
