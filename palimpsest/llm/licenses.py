@@ -7,6 +7,7 @@ within a detection of higher rank, or within a longer one of their own, are supp
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -74,29 +75,26 @@ def _detections(padded: Column) -> Column:
     by_key: dict[str, list[Rule]] = {}
     for r in rules():
         by_key.setdefault(r.keyword, []).append(r)
-    kind = "array<struct<start:bigint,less:bigint,rank:int,conf:double,label:string>>"
+    # Which rule a hit is of is asked for hits only: the first of its keyword's rules that matches it wholly.
+    table = [[{"pattern": rf"\A(?:{r.pattern})\z", "rank": r.rank, "conf": CONFIDENCE[r.rank], "label": r.label} for r in own] for own in by_key.values()]
+    known = F.from_json(F.lit(json.dumps(table)), "array<array<struct<pattern:string,rank:int,conf:double,label:string>>>")
 
-    def of(keyword: str) -> Column:
-        own = by_key[keyword]
-        pattern = rf"(?<= )(?:{'|'.join(f'(?:{r.pattern})' for r in own)})(?= )"
+    def searched(k: int, keyword: str) -> Column:
+        pattern = rf"(?<= )(?:{'|'.join(f'(?:{r.pattern})' for r in by_key[keyword])})(?= )"
+        both = F.struct(F.lit(k).alias("k"), F.split(padded, pattern, -1).alias("gaps"), F.regexp_extract_all(padded, F.lit(pattern), F.lit(0)).alias("hits"))
+        return F.when(F.contains(padded, F.lit(f" {keyword} ")), both)
 
+    def hits(g: Column) -> Column:
         def hit(h: Column, start: Column) -> Column:
-            which = F.lit(len(own) - 1)
-            for k in range(len(own) - 2, -1, -1):
-                which = F.when(h.rlike(rf"\A(?:{own[k].pattern})\z"), F.lit(k)).otherwise(which)
-            table = F.array(*[F.struct(F.lit(r.rank).alias("rank"), F.lit(CONFIDENCE[r.rank]).alias("conf"), F.lit(r.label).alias("label")) for r in own])
+            rule = F.get(F.filter(F.get(known, g["k"]), lambda r: F.call_function("rlike", h, r["pattern"])), F.lit(0))
             less = (-(start + _spaces(h) + 1)).cast("long").alias("less")
-            return let(F.get(table, which), lambda r: F.struct(start.alias("start"), less, r["rank"].alias("rank"), r["conf"].alias("conf"), r["label"].alias("label")))
+            return let(rule, lambda r: F.struct(start.alias("start"), less, r["rank"].alias("rank"), r["conf"].alias("conf"), r["label"].alias("label")))
 
-        def hits(s: Column) -> Column:
-            sizes = F.transform(s["hits"], lambda h, i: (_spaces(F.get(s["gaps"], i)) + _spaces(h)).cast("long"))
-            starts = lambda at: F.transform(s["hits"], lambda h, i: hit(h, (F.get(at, i) + _spaces(F.get(s["gaps"], i)) - 1).cast("long")))
-            return let(running_starts(sizes), starts)
+        sizes = F.transform(g["hits"], lambda h, i: (_spaces(F.get(g["gaps"], i)) + _spaces(h)).cast("long"))
+        return let(running_starts(sizes), lambda at: F.transform(g["hits"], lambda h, i: hit(h, (F.get(at, i) + _spaces(F.get(g["gaps"], i)) - 1).cast("long"))))
 
-        both = F.struct(F.split(padded, pattern, -1).alias("gaps"), F.regexp_extract_all(padded, F.lit(pattern), F.lit(0)).alias("hits"))
-        return F.when(F.contains(padded, F.lit(f" {keyword} ")), let(both, hits)).otherwise(F.array().cast(kind)).cast(kind)
-
-    return F.flatten(F.array(*[of(k) for k in by_key]))
+    groups = F.array(*[searched(k, keyword) for k, keyword in enumerate(by_key)])
+    return F.flatten(F.transform(F.filter(groups, lambda g: F.isnotnull(g) & (F.size(g["hits"]) > 0)), hits))
 
 
 def _surviving(hits: Column) -> Column:
