@@ -41,6 +41,7 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         *[count(k).alias(f"n_{k}") for k in secrets.KINDS[:3]],
         F.sha2(secrets.rendered(F.col("base")), 256).alias("base_sha256"),
         secrets.rendered(F.col("spans")).alias("spans"),
+        "n_random",
     )
 
 

@@ -22,7 +22,7 @@ ASSIGN_LEAST, ACCESS_LEAST, HEX_LEAST = 12, 18, 16
 KINDS = ["assign", "access", "hex", "random"]
 
 #: Candidates for the models: tokens of so many characters with at least a letter and a digit.
-TOKEN = r"[A-Za-z0-9+/_=-]{20,}"
+TOKEN = r"[A-Za-z0-9+/_=-]{16,}"
 #: Characters that the models tell apart; any other counts as the last class.
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
 CLASSES = len(ALPHABET) + 1
@@ -56,24 +56,35 @@ PARTS = (
 def labelled_samples(spark: SparkSession, each: int = SAMPLES) -> DataFrame:
     """(token, is_random): ``each`` random strings and ``each`` ordinary identifiers, made by rule; no corpus rows.
 
-    Random strings are digests in base64, url-safe base64 and hexadecimal. Identifiers join two to four
-    parts in snake, kebab, camel, path and constant case, some with a short number.
+    Random strings are digests in base64, its url-safe form, letters and digits of either or one case, base32 and hexadecimal of
+    either case. Identifiers join two to four parts in snake, kebab, camel, path and constant case, most of them with
+    numbers, versions, dates or times as people write them.
     """
     n = F.col("id")
-    digest = F.base64(F.unhex(F.sha2(F.concat(F.lit("sample "), n), 256)))
-    rand = F.when(n % 4 == 3, F.substring(F.sha2(F.concat(F.lit("hex "), n), 256), 1, 40)).otherwise(
-        F.when(n % 4 == 2, F.translate(digest, "+/", "-_")).otherwise(digest)
-    )
+    hexes = F.sha2(F.concat(F.lit("sample "), n), 256)
+    digest = F.base64(F.unhex(hexes))
+    plain = F.translate(digest, "+/=", "")
+    forms = [digest, F.translate(digest, "+/", "-_"), plain, F.lower(plain), F.upper(F.translate(plain, "0189", "")), F.substring(hexes, 1, 40), F.upper(F.substring(hexes, 1, 40)), F.substring(plain, 1, 20)]
+    rand = F.get(F.array(*forms), (n % len(forms)).cast("int"))
     parts = F.array(*[F.lit(p) for p in PARTS])
-    part = lambda k: F.get(parts, F.pmod(F.xxhash64(n, F.lit(k)), F.lit(len(PARTS))).cast("int"))
-    some = F.slice(F.array(*[part(k) for k in range(4)]), F.lit(1), (F.pmod(F.xxhash64(n), F.lit(3)) + 2).cast("int"))
-    tail = F.when(n % 3 == 0, F.pmod(F.xxhash64(n, F.lit("n")), F.lit(2030)).cast("string")).otherwise("")
+    draw = lambda key, count: F.pmod(F.xxhash64(n, F.lit(key)), F.lit(count)).cast("int")
+    some = F.slice(F.array(*[F.get(parts, draw(k, len(PARTS))) for k in range(4)]), F.lit(1), draw("words", 3) + 2)
+    two = lambda key, least, count: F.lpad((draw(key, count) + least).cast("string"), 2, "0")
+    year, month, day = (draw("year", 60) + 1970).cast("string"), two("month", 1, 12), two("day", 1, 28)
+    time = F.concat(two("hour", 0, 24), two("minute", 0, 60), two("second", 0, 60))
+    number = draw("number", 3000).cast("string")
+    tails = [
+        F.lit(""), F.substring(number, 1, 1), number, F.concat(F.lit("_"), number), F.concat(F.lit("-"), number), F.concat(F.lit("_v"), F.substring(number, 1, 1)),
+        F.concat(F.lit("-v"), F.substring(number, 1, 2), F.lit("beta1")), F.concat_ws("_", F.lit(""), year, month, day), F.concat_ws("-", F.lit(""), year, month, day),
+        F.concat_ws("/", F.lit(""), year, month, day), F.concat(F.lit("_"), year, month, day, F.lit("_"), time), F.concat(F.lit("-"), year, month, day, F.lit("T"), time, F.lit("Z")),
+        F.lit("_x86_64"), F.lit("-64bit"), F.lit("_utf8"), F.lit("-sha256"), F.concat(F.lit("-"), number, F.lit("x"), draw("more", 3000).cast("string")),
+    ]
     camel = F.array_join(F.transform(some, lambda w: F.initcap(w)), "")
     styles = [F.array_join(some, "_"), F.array_join(some, "-"), camel, F.array_join(some, "/"), F.upper(F.array_join(some, "_"))]
-    style = F.get(F.array(*styles), (n % len(styles)).cast("int"))
+    style = F.get(F.array(*styles), draw("style", len(styles)))
     rows = spark.range(each)
     return rows.select(rand.alias("token"), F.lit(True).alias("is_random")).unionByName(
-        rows.select(F.concat(style, tail).alias("token"), F.lit(False).alias("is_random"))
+        rows.select(F.concat(style, F.get(F.array(*tails), draw("tail", len(tails)))).alias("token"), F.lit(False).alias("is_random"))
     )
 
 
@@ -143,11 +154,12 @@ def random_spans(text: Column, model: list[float], threshold: float = THRESHOLD)
 def scan(
     docs: DataFrame, model: list[float], id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None
 ) -> DataFrame:
-    """One row per document: id, base and spans: array<struct<start,kind,end>> in code points, end exclusive. No shuffle.
+    """One row per document: id, base and spans: array<struct<start,kind,end>> in code points, end exclusive; n_random. No shuffle.
 
-    ``base`` has the fixed patterns' spans; ``spans`` adds tokens that the models call random and that
-    overlap no base span. Null or empty text: no spans. Repeated rows: a row each. ``keep`` names columns
-    to carry along; others are not read.
+    ``base`` has the fixed patterns' spans; ``spans`` adds tokens that the models call random and that base spans
+    do not cover wholly; ``n_random`` counts all tokens that the models call random, covered ones too. Null or empty text: no
+    spans. Null ids are ids like any other. Whole texts are searched, however long. Repeated rows: a row each. Empty table: no
+    rows. ``keep`` names columns to carry along; others are not read.
     """
     keep = keep or []
     src = docs.select(
@@ -158,13 +170,18 @@ def scan(
     text = F.col("_text")
 
     def joined(base: Column) -> Column:
-        clear = lambda r: ~F.exists(base, lambda b: (b["start"] < r["end"]) & (b["end"] > r["start"]))
-        more = F.filter(random_spans(text, model), clear)
-        return F.struct(base.alias("base"), F.sort_array(F.concat(base, more)).alias("spans"))
+        # Base spans are sorted by start: how far they cover a token without a break, from its start on.
+        reach = lambda r: F.aggregate(base, r["start"], lambda a, b: F.when((b["start"] <= a) & (b["end"] > a), b["end"]).otherwise(a))
+        both = lambda found: F.struct(
+            base.alias("base"),
+            F.sort_array(F.concat(base, F.filter(found, lambda r: reach(r) < r["end"]))).alias("spans"),
+            F.size(found).cast("long").alias("n_random"),
+        )
+        return let(random_spans(text, model), both)
 
     src = src.select("_id", "_kept", F.explode(F.array(let(base_spans(text), joined))).alias("_s"))
     return src.select(
-        *[F.col("_kept")[c].alias(c) for c in keep if c != id_col], F.col("_id").alias(id_col), F.col("_s.base").alias("base"), F.col("_s.spans").alias("spans")
+        *[F.col("_kept")[c].alias(c) for c in keep if c != id_col], F.col("_id").alias(id_col), F.col("_s.base").alias("base"), F.col("_s.spans").alias("spans"), F.col("_s.n_random").alias("n_random")
     )
 
 

@@ -1,5 +1,6 @@
 """Native operators against plain Python versions."""
 
+import math
 import re
 import zlib
 from collections import Counter
@@ -85,6 +86,76 @@ def secret_spans(t):
     return [(kind, s, e) for s, _, kind, e in sorted(out)]
 
 
+#: Random strings from the system's source, of kinds that keys, tokens and passwords have; no keyword is near them.
+PLANTED = """
+NkdF17EyJs5yOOik h4lRFX2NkekbAz7R CxovicNu014F7r0HUuFY cipJJ2Qaob7KkJFtKSZL IOskyJ2to7NUI6P8lYjyYiJ1 UKBZ3BENCH5YXeFEbRDsbUPt
+7LP7wxkHVqS4ZtYAwWBbLMMTnKSLA7cc Hv3IvhedQkkHXS3bFnDMTW9PPuD1gM4n YEUKhO5c8WVqpqpAslHrauzqG59qFTp3DjaRF3tj
+fhf9Nue99POnggME9CLpET2ggQ3nBvl5v7yMlsUV 0z1lktpknv6ytimymb0g yzgujh15gy0hxz2ykk4d jnf1a3sz2lxkaa1dmlvf4oi40k27fiqf
+9ptlos8reb75dc6u9b1v7me48gtuf5p8 015D922F65AA0EB61CEB70A156F23F70 DF98C92CE8DD550A83917EC88682FCA0
+A94B409A05FD58B6430399DA1949C8F42838AACE ABD5A966549FF569084287D858BC2F00680252CE MC5DL5JAYW64ONJQA2G7ZEVFXR
+MIFFCNYMIT3AP3WXPFF52JAUKL IQ44ZH4BYOPW2MSJIHNUCSDCBY4JJDKN THO2BORQO6BFPB6TMIQ7O6UDXCBFETA6 QPNt-gTqib15OR4nLMJofM
+Y4Bi59LGFO_O_NxcPGcfM7 1_bwcCJ6cLsL0QWCtfvcQURhFntkMW5EweNxTqLnPYE QtXnd_97MQlFErbcxHSacOjfq35ku8HAKdLsBISClD1
+/nnMWZ8oeddODqjWHAVZVTUleG3/AgqAp7wZla9C zGouTMbWHNkuksUpHbPhORgXkai3hS9svIvy7ckW
+""".split()
+#: Identifiers, names and addresses as they occur in code, logs and prose.
+ORDINARY = """
+java/util/concurrent/ConcurrentHashMap8 test_should_return_404_when_missing application_1700000000000_0001 IMG_20230405_174233
+2024-01-15T10-22-33Z libstdc++6-10-dbgsym x86_64-unknown-linux-gnu org-apache-spark-sql-execution-3 py3-none-any-manylinux2014_x86_64
+v1beta1_CustomResourceDefinition utf8_general_ci_index_0 sha256sum_check_results_v2 ISO8859-1_to_UTF8_table MAX_CONNECTIONS_PER_HOST_32
+getElementsByClassName2 window_size_1920x1080 EC2_INSTANCE_m5_24xlarge customer_order_table_name_2024 src/main/resources/schema_v3
+com/example/service/UserRepository2 node_modules/lodash4/fp/_mapping kube-system-coredns-5 release-notes-2023-11-07-final
+Quarterly_Report_Q3_2022_final_v2 DSC00123_edited_copy_small backup-2021-12-31-full-weekly TestCase017_LoginWithWrongName
+Windows-Server-2019-Datacenter error_code_0x80070005_access build-and-test-ubuntu-22 int32_to_float64_conversion
+firmware-update-v10-stable Chapter12_The_Long_Road_Home usr/lib/python3/dist-packages user-agent-mozilla5-compatible
+section-3-paragraph-14-of-law Boeing-747-400-freighter-plan H2O_and_CO2_measurements BERT-base-uncased-L12-H768
+""".split()
+
+
+def test_secret_models_on_written_lists(spark):
+    """Neither list has to do with the rule that made the training samples."""
+    model = secrets.train(secrets.labelled_samples(spark))
+    df = spark.createDataFrame([(k, f"see {t} there") for k, t in enumerate(PLANTED + ORDINARY)], "doc_id long, text string")
+    found = secrets.scan(df, model)
+    said = {r["doc_id"] for r in found.select("doc_id", secrets.rendered(found["spans"]).alias("s")).collect() if r["s"].endswith(f":{4 + len((PLANTED + ORDINARY)[r['doc_id']])}")}
+    hit = len([k for k in said if k < len(PLANTED)])
+    missed = [t for k, t in enumerate(PLANTED) if k not in said], [t for k, t in enumerate(ORDINARY, len(PLANTED)) if k in said]
+    assert hit / len(said) > 0.95 and hit / len(PLANTED) > 0.95, missed
+
+
+def plain_model(rows):
+    """The ratios of all steps, counted in Python."""
+    code = lambda c: secrets.ALPHABET.find(c) if c in secrets.ALPHABET else len(secrets.ALPHABET)
+    counts = {True: Counter(), False: Counter()}
+    for token, random in rows:
+        counts[random].update((code(a), code(b)) for a, b in zip(token, token[1:]))
+    size = secrets.CLASSES
+    total = {k: Counter() for k in counts}
+    for k, c in counts.items():
+        for (a, _), n in c.items():
+            total[k][a] += n
+    log = lambda k, a, b: math.log((counts[k][a, b] + 1) / (total[k][a] + size))
+    return lambda token: sum(log(True, code(a), code(b)) - log(False, code(a), code(b)) for a, b in zip(token, token[1:])) / max(1, len(token) - 1)
+
+
+def test_random_spans_against_a_plain_model(spark, docs, texts):
+    samples = secrets.labelled_samples(spark)
+    score = plain_model([tuple(r) for r in samples.collect()])
+    found = secrets.scan(docs, secrets.train(samples))
+    some = 0
+    for r, t in by_id(found.withColumn("s", secrets.rendered(found["spans"])).collect(), texts):
+        base = [(s, e) for _, s, e in secret_spans(t)]
+        want, n = [], 0
+        for m in re.finditer(secrets.TOKEN, t):
+            value = score(m[0])
+            if re.search("[0-9]", m[0]) and re.search("[A-Za-z]", m[0]) and value > secrets.THRESHOLD:
+                n += 1
+                if any(not any(s <= k < e for s, e in base) for k in range(m.start(), m.end())):
+                    want.append(f"random:{m.start()}:{m.end()}")
+        assert [x for x in r["s"].split(",") if x.startswith("random")] == want and r["n_random"] == n
+        some += len(want)
+    assert some
+
+
 def test_secrets(spark, docs, texts, no_docs):
     model = secrets.train(secrets.labelled_samples(spark))
     found = secrets.scan(docs, model)
@@ -100,7 +171,7 @@ def test_secrets(spark, docs, texts, no_docs):
                 hit = t[int(s) : int(e)]
                 assert re.fullmatch(secrets.TOKEN, hit) and re.search("[0-9]", hit)
     last = next(r for r, t in rows if t.startswith("k9QzLw"))
-    assert "random:0:24" in last["spans"] and "random:25" not in last["spans"]
+    assert "random:0:24" in last["spans"] and "random:25:55" not in last["spans"]
     assert secrets.scan(no_docs, model).count() == 0
 
 
