@@ -1,14 +1,17 @@
 """Repeated passages across documents: prefix-partitioned suffix trees over words.
 
-A suffix starts at a word. Only suffixes that can repeat are put into trees: every window of words names the
-lowest-ranked short gram in it, so equal windows name equal grams, and a window whose gram is in one document
-only has no equal. Neighbouring windows that name the same gram are a run. Of runs with equal words only the smallest
-document's goes into trees, and only if its gram has runs of other words too; the windows of the others repeat as
-they are. The suffixes are split by prefix, as far as their groups need it to stay within a bound:
-by bits of the hash of their first 8 words, by all 8 words, by 24, or by the whole window. Each group is
-sorted by the nodes on its suffixes' paths, which lays its subtree out in order; the internal nodes as deep as
-the window are the repeats, and each is held by its smallest document. Neighbouring repeated windows give the
-maximal repeats. A node that outgrows the bound by itself needs no tree, only its smallest document: a partial aggregate.
+A suffix starts at a word and is read in grams of eight words, as deep as the window. Only suffixes that can repeat are
+put into trees: every window of words names the lowest-ranked gram in it, so equal windows name equal grams, and a
+window whose gram is in one document only has no equal. Neighbouring windows that name the same gram are a run. Copies are
+kept as classes: a document whose whole sequence of words a smaller one has is removed whole, and of runs with equal
+words only the smallest document's goes into trees, and only if its gram has runs of other words too; the windows of the
+others repeat as they are.
+
+The suffixes are split by prefix, as far as their groups need it to stay within a bound: by bits of the first gram, by
+one gram, by three, or by all. In each group a task sorts the suffixes, takes the lengths of their neighbours' common
+prefixes and from these the internal nodes of the subtree. Nodes as deep as the window are the repeats, each held by its
+smallest document; neighbouring repeated windows of a document give the maximal repeats. A node that outgrows the
+bound by itself needs no tree, only its smallest document: a partial aggregate.
 """
 
 from __future__ import annotations
@@ -19,7 +22,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from .common import Scratch, written
 from .textblocks import Words, mix, slices
@@ -28,14 +30,37 @@ from .textblocks import Words, mix, slices
 GRAM = 8
 #: Suffixes in a group; prefixes of more are lengthened.
 GROUP = 8192
-#: Parts of a group that bits of the shortest prefix make on average, before any is lengthened.
-PARTS = 16
+#: Parts of a group that bits of the first gram make on average, before any prefix is lengthened.
+PARTS = 4
 _U = np.uint64
 
 
-def depths(window: int) -> list[int]:
-    """Depths of the nodes that are kept on a suffix's path; the last is the window."""
-    return [GRAM, max(GRAM, window // 2 - 1), window]
+def gram_starts(window: int) -> list[int]:
+    """Where the grams of a suffix begin that together cover the window; the last one ends with it."""
+    return [*range(0, window - GRAM, GRAM), window - GRAM]
+
+
+def subtree(paths: np.ndarray, least: int = 1) -> tuple[np.ndarray, list[tuple[int, np.ndarray, np.ndarray]]]:
+    """The suffix tree of the rows: their order, and the internal nodes of each depth from ``least`` on.
+
+    A row is a suffix, a column a symbol. Nodes of a depth are given by the first and the last suffix, in order, of each.
+    They are the intervals of common prefixes: the longest runs of neighbours that have so many symbols in common, of which
+    some have no more.
+    """
+    n, size = paths.shape
+    order = np.lexsort(paths.T[::-1])
+    rows = paths[order]
+    common = np.cumprod(rows[1:] == rows[:-1], axis=1, dtype=np.int8).sum(1) if n > 1 else np.empty(0, np.int64)
+    nodes = []
+    for depth in range(size, least - 1, -1):
+        cuts = np.concatenate([[-1], np.flatnonzero(common < depth), [n - 1]])  # behind these suffixes runs end
+        first, last = cuts[:-1] + 1, cuts[1:]
+        many = last > first
+        first, last = first[many], last[many]
+        if len(first):
+            exact = np.minimum.reduceat(np.append(common, size + 1), np.stack([first, last], 1).ravel())[::2] == depth
+            nodes.append((depth, first[exact], last[exact]))
+    return order, nodes
 
 
 def lowest(grams: np.ndarray, width: int) -> np.ndarray:
@@ -51,7 +76,7 @@ def lowest(grams: np.ndarray, width: int) -> np.ndarray:
 def _wide(grams: np.ndarray, at: np.ndarray, width: int, salt: int) -> np.ndarray:
     """Hash of the ``width`` words from each word of ``at`` on, from the hashes of the grams that cover them."""
     out = np.full(len(at), 0x51ED270B + salt, dtype=np.uint64)
-    for k in [*range(0, width - GRAM, GRAM), width - GRAM]:
+    for k in gram_starts(width):
         out = (out ^ grams[at + k]) * _U(0x9E3779B97F4A7C15)
         out ^= out >> _U(29)
     return mix(out)
@@ -115,8 +140,9 @@ def _profiles(src: DataFrame, window: int) -> DataFrame:
 
 
 def _suffixes(texts: DataFrame, window: int) -> DataFrame:
-    """From _id, _text, wanted: a row per window of the wanted runs: doc, pos, and its path h0, h1, h2."""
-    at = depths(window)
+    """From _id, _text, wanted: a row per window of the wanted runs: doc, pos, and its grams s0, s1 and so on, 32 bits of each."""
+    at = gram_starts(window)
+    names = ["doc", "pos", *[f"s{k}" for k in range(len(at))]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -130,13 +156,25 @@ def _suffixes(texts: DataFrame, window: int) -> DataFrame:
                 size = runs.size[hit]
                 row = np.repeat(row, size)
                 every = np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size) + np.repeat(runs.first[hit], size)
-                # Of the inner nodes 32 bits do, as they only part groups.
-                paths = [_wide(grams, every, d, d).astype(k) for d, k in zip(at, (np.int32, np.int32, np.int64), strict=True)]
-                cols, kinds = [ids[row], every - w.edges[row], *paths], (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64())
+                cols, kinds = [ids[row], every - w.edges[row], *[grams[every + k].astype(np.int32) for k in at]], [pa.int64(), *[pa.int32()] * (len(at) + 1)]
                 for k in range(0, len(every), 1 << 16):
-                    yield pa.RecordBatch.from_arrays([pa.array(c[k : k + (1 << 16)], t) for c, t in zip(cols, kinds, strict=True)], ["doc", "pos", "h0", "h1", "h2"])
+                    yield pa.RecordBatch.from_arrays([pa.array(c[k : k + (1 << 16)], t) for c, t in zip(cols, kinds, strict=True)], names)
+
+    return texts.mapInArrow(run, ", ".join(["doc bigint", *[f"{k} int" for k in names[1:]]]))
+
 
-    return texts.mapInArrow(run, "doc bigint, pos int, h0 int, h1 int, h2 bigint")
+def _deep_repeats(group: pa.Table) -> pa.Table:
+    """Of the suffixes under one prefix those below a node as deep as the window that a smaller document has too."""
+    doc = group.column("doc").to_numpy()
+    names = [c for c in group.column_names if c.startswith("s")]
+    order, nodes = subtree(np.stack([group.column(c).to_numpy() for c in names], 1), least=len(names))
+    hit = np.empty(0, np.int64)
+    if nodes:
+        _, first, last = nodes[0]
+        inside = np.concatenate([np.arange(a, b + 1) for a, b in zip(first.tolist(), last.tolist(), strict=True)])
+        held = np.minimum.reduceat(doc[order][inside], np.cumsum(last - first + 1) - (last - first + 1))
+        hit = order[inside][doc[order][inside] > np.repeat(held, last - first + 1)]
+    return pa.table({"doc": doc[hit], "pos": group.column("pos").to_numpy()[hit]}, schema=pa.schema([("doc", pa.int64()), ("pos", pa.int32())]))
 
 
 def repeated_windows(docs: DataFrame, window: int = 50, id_col: str = "doc_id", text_col: str = "text", group: int = GROUP) -> DataFrame:
@@ -165,27 +203,29 @@ def repeated_windows(docs: DataFrame, window: int = 50, id_col: str = "doc_id",
     hold.drop("profiles", "owners", "kinds", "shared", "wanted")
 
     # Prefixes, lengthened while more suffixes than a group holds share them. At most rows / group are heavy.
-    cells = 1 << min(31, max(10, (PARTS * suffixes.count() // group).bit_length()))
-    suffixes = suffixes.withColumn("cell", F.pmod(F.col("h0").cast("long"), F.lit(cells)))
-    path = ["cell", "h0", "h1", "h2"]
-    counts = hold.put("counts", suffixes.groupBy(*path).agg(F.count("*").alias("_n"), F.min("doc").alias("least")))
-    many = lambda k, name: counts.groupBy(*path[:k]).agg(F.sum("_n").alias("_n")).where(F.col("_n") > group).select(*path[:k], F.lit(True).alias(name))
-    heavy = [hold.put(name, many(k, name)) for k, name in ((1, "big"), (2, "big0"), (3, "big1"))]
-    nodes = hold.put("nodes", counts.where(F.col("_n") > group).select(*path, "least"))
-    rows = suffixes
-    for k, side in enumerate([*heavy, nodes], 1):
-        rows = rows.join(side, path[:k], "left")
-    by_node = rows.where("least < doc").select("doc", "pos")
-    prefix = (
-        F.when(F.col("big").isNull(), F.col("cell"))
-        .when(F.col("big0").isNull(), F.xxhash64("h0"))
-        .when(F.col("big1").isNull(), F.xxhash64("h0", "h1"))
-        .otherwise(F.xxhash64("h0", "h1", "h2"))
-    )
-    tree = rows.where("least IS NULL").select(prefix.alias("prefix"), F.col("h2").alias("node"), "doc", "pos").repartition("prefix")
-    deep = Window.partitionBy("prefix", "node").orderBy("doc")
-    by_tree = tree.withColumn("least", F.first("doc").over(deep)).where("least < doc").select("doc", "pos")
-    found = by_node.unionByName(by_tree).withColumn("size", F.lit(1)).unionByName(by_run)
+    cells = 1 << min(31, max(4, (PARTS * suffixes.count() // group).bit_length()))
+    rows = suffixes.withColumn("cell", F.pmod(F.col("s0").cast("long"), F.lit(cells)))
+    grams = [c for c in rows.columns if c.startswith("s")]
+    levels = [["cell"], *[grams[:k] for k in sorted({1, min(3, len(grams)), len(grams)})]]
+    prefix, tall, repeats = F.col("cell"), rows, [by_run]
+    for level, path in enumerate(levels):
+        flag = f"held{level}"
+        heavy = tall.groupBy(*path).agg(F.count("*").alias("_n"), F.min("doc").alias(flag)).where(F.col("_n") > group)
+        heavy = hold.put(flag, heavy.select(*[F.col(c).alias(f"_{c}") for c in path], flag))
+        if heavy.isEmpty():
+            break
+        same = [F.col(c) == F.col(f"_{c}") for c in path]
+        rows = rows.join(heavy, same, "left").drop(*[f"_{c}" for c in path])
+        if path == grams:  # nodes that outgrow the bound
+            repeats.append(rows.where(F.col(flag) < F.col("doc")).select("doc", "pos", F.lit(1).alias("size")))
+            rows = rows.where(F.col(flag).isNull())
+        else:
+            prefix = F.when(F.col(flag).isNotNull(), F.xxhash64(*levels[level + 1])).otherwise(prefix)
+            tall = tall.join(heavy, same, "left_semi")
+    trees = rows.select(prefix.alias("prefix"), "doc", "pos", *grams).groupBy("prefix").applyInArrow(_deep_repeats, "doc bigint, pos int")
+    found = trees.withColumn("size", F.lit(1))
+    for r in repeats:
+        found = found.unionByName(r)
     found = found.select(F.col("doc").alias("_id"), F.struct("pos", "size").alias("start"), F.lit(False).alias("whole"))
     none = F.lit(None).cast(found.schema["start"].dataType)
     found = found.unionByName(copies.select("_id", none.alias("start"), F.lit(True).alias("whole")))

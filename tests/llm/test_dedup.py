@@ -5,14 +5,15 @@ import random
 import re
 import sys
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 import brute  # noqa: E402
 
-from palimpsest.llm.common import Scratch
 from palimpsest.llm import neardup, substrings  # noqa: E402
+from palimpsest.llm.common import Scratch  # noqa: E402
 from palimpsest.llm.components import connected_components  # noqa: E402
 
 from .conftest import SCHEMA  # noqa: E402
@@ -175,6 +176,23 @@ def test_components(spark):
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_subtree_equals_a_plain_one():
+    """Internal nodes: prefixes of two rows or more behind which these go on in different ways, or end."""
+    rnd = random.Random(8)
+    for n, size, letters in [(0, 3, 2), (1, 3, 2), (2, 4, 1), (40, 5, 2), (300, 7, 3), (500, 7, 2), (60, 1, 4)]:
+        rows = [[rnd.randrange(letters) - 1 for _ in range(size)] for _ in range(n)]
+        want = set()
+        for depth in range(1, size + 1):
+            for prefix in {tuple(r[:depth]) for r in rows}:
+                under = [i for i, r in enumerate(rows) if tuple(r[:depth]) == prefix]
+                if len(under) > 1 and (depth == size or len({tuple(rows[i][: depth + 1]) for i in under}) > 1):
+                    want.add((depth, frozenset(under)))
+        order, nodes = substrings.subtree(np.array(rows, dtype=np.int32).reshape(n, size))
+        assert [rows[i] for i in order] == sorted(rows)
+        got = {(d, frozenset(order[a : b + 1].tolist())) for d, first, last in nodes for a, b in zip(first, last)}
+        assert got == want and all(d >= 4 for d, *_ in substrings.subtree(np.array(rows, dtype=np.int32).reshape(n, size), 4)[1])
+
+
 @pytest.mark.parametrize("group", [4096, 20, 1])
 def test_repeats(spark, copies, group):
     df = frame(spark, [*copies, (None, copies[0][1]), copies[3]])
@@ -216,7 +234,7 @@ def test_pipeline_stages(spark, docs, copies, no_docs):
     good = {r["doc_id"] for r in quality.apply_policy(quality.ledger(rows)).where("kept").collect()}
     assert {r["doc_id"] for r in first.collect()} == good
     second = stages["near-duplicate removal"](spark, first, "").cache()
-    comps = brute.components([(r["doc_id"], r["text"]) for r in first.collect() if r["doc_id"] is not None])
+    comps = brute.components([(r["doc_id"], r["text"]) for r in first.collect() if r["doc_id"] is not None], 80)
     assert {r["doc_id"] for r in second.collect()} - {None} == {i for i, (_, c) in comps.items() if i == c}
     third = stages["substring dedup"](spark, second, "").cache()
     assert third.columns == rows.columns
