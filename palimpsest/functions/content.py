@@ -37,6 +37,34 @@ def is_binary(data: Column, window: int = 8192) -> Column:
     return F.hex(F.substring(data, 1, window)).rlike("^(?:..)*?00")
 
 
+#: Characters of bytes 80 to 9F in the Windows code page 1252; five bytes have none (fixed values).
+CP1252 = "\u20ac\ufffd\u201a\u0192\u201e\u2026\u2020\u2021\u02c6\u2030\u0160\u2039\u0152\ufffd\u017d\ufffd\ufffd\u2018\u2019\u201c\u201d\u2022\u2013\u2014\u02dc\u2122\u0161\u203a\u0153\ufffd\u017e\u0178"
+
+
+def decoded(data: Column) -> Column:
+    """Bytes as text: UTF-16 behind its byte-order mark, else UTF-8 if they are, else code page 1252. Null for null."""
+    mark = F.hex(F.substring(data, 1, 2))
+    narrow = F.translate(F.decode(data, "ISO-8859-1"), "".join(map(chr, range(0x80, 0xA0))), CP1252)
+    plain = F.when(F.is_valid_utf8(data.cast("string")), data.cast("string")).otherwise(narrow)
+    wide = mark.isin("FFFE", "FEFF") & (F.octet_length(data) % 2 == 0)
+    return F.when(wide, F.decode(F.when(wide, data), "UTF-16")).otherwise(plain)
+
+
+def decoded_lines(data: Column) -> Column:
+    """The lines of a content, each decoded for itself: array<string>. A content in UTF-16 is decoded as a whole."""
+    wide = F.hex(F.substring(data, 1, 2)).isin("FFFE", "FEFF")
+    rows = F.split(F.regexp_replace(F.hex(data), "(..)", "$1 "), "0A ")
+    return F.when(wide, F.split(decoded(data), "\n")).otherwise(F.transform(rows, lambda h: decoded(F.unhex(F.replace(h, F.lit(" "), F.lit(""))))))
+
+
+def looks_text(data: Column, window: int = 65536) -> Column:
+    """Whether the first bytes are text: a byte-order mark, or UTF-8 without NUL that may be cut within a character."""
+    head = F.substring(data, 1, window)
+    mark = F.hex(F.substring(data, 1, 2)).isin("FFFE", "FEFF") | (F.hex(F.substring(data, 1, 3)) == "EFBBBF")
+    whole = [F.is_valid_utf8(F.substring(head, F.lit(1), F.octet_length(head) - k).cast("string")) for k in range(4)]
+    return mark | (~is_binary(data, window) & (whole[0] | whole[1] | whole[2] | whole[3]))
+
+
 def lfs_pointer(data: Column) -> Column:
     """struct<oid, size> of a large-file stub of at most 1024 bytes; null otherwise."""
     text = F.when(F.octet_length(data) <= 1024, F.decode(data, "UTF-8"))

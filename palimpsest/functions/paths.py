@@ -78,26 +78,36 @@ def vendor_of(path: Column) -> Column:
     return F.coalesce(*hit, F.lit(""))
 
 
-def full_path(rel: Column, filename: Column, org: Column, repo: Column) -> Column:
-    """A path within its repository: slashes, no leading ./ or /, nothing up to '<org>/<repo>/', name appended if it is missing."""
-    rel = F.regexp_replace(slashes(rel), r"\A(?:\./|/)+", "")
-    mark = F.lower(F.concat_ws("/", org, repo))
-    at = F.instr(F.concat(F.lit("/"), F.lower(rel), F.lit("/")), F.concat(F.lit("/"), mark, F.lit("/")))
-    inside = F.when(at > 0, F.substr(rel, at + F.length(mark) + 1)).otherwise(rel)
-    inside = F.regexp_replace(inside, r"/+\z|\A/+", "")
-    name = slashes(filename)
-    return (
-        F.when(name == "", inside)
-        .when(inside == "", name)
-        .when((inside == name) | inside.endswith(F.concat(F.lit("/"), name)), inside)
-        .otherwise(F.concat_ws("/", inside, name))
+def _stripped(text: Column) -> Column:
+    return F.regexp_replace(slashes(F.coalesce(text, F.lit(""))), r"\A\s+|\s+\z", "")
+
+
+def full_path(rel: Column, filename: Column, org: Column, repo: Column, strip_root: bool = True) -> Column:
+    """A path within its repository: slashes, no leading ./ or /, no doubled ones, nothing up to '<org>/<repo>/', name appended if it is missing.
+
+    With ``strip_root`` off, folders down to the repository stay. Null parts are empty.
+    """
+    rel, name = F.regexp_replace(_stripped(rel), r"\A(?:\./)*/*", ""), _stripped(filename)
+    if strip_root:
+        mark = F.lower(F.concat(org, F.lit("/"), repo))
+        at = F.instr(F.concat(F.lit("/"), F.lower(rel), F.lit("/")), F.concat(F.lit("/"), mark, F.lit("/")))
+        rel = F.when((at > 0) & (org != "") & (repo != ""), F.substr(rel, at + F.length(mark) + 1)).otherwise(rel)
+    rel = F.when(rel == ".", "").otherwise(rel)
+    both = (
+        F.when(name == "", rel)
+        .when(rel == "", name)
+        .when((rel == name) | rel.endswith(F.concat(F.lit("/"), name)), rel)
+        .otherwise(F.concat(rel, F.lit("/"), name))
     )
+    return F.regexp_replace(F.regexp_replace(both, "/{2,}", "/"), r"\A/+|/+\z", "")
 
 
 def candidates(rel: Column, filename: Column, org: Column, repo: Column) -> Column:
-    """Paths to look for, best first, each once."""
-    plain = F.regexp_replace(slashes(rel), r"\A(?:\./|/)+", "")
-    return F.filter(F.array_distinct(F.array(full_path(rel, filename, org, repo), F.concat_ws("/", F.nullif(plain, F.lit("")), filename), plain)), lambda p: p != "")
+    """Paths to look for, best first, each once: within the repository, without a leading '<repo>/', and with the folders before the repository."""
+    path = full_path(rel, filename, org, repo)
+    inner = F.when(path.startswith(F.concat(repo, F.lit("/"))), F.substr(path, F.length(repo) + 2))
+    every = F.array(path, F.coalesce(inner, F.lit("")), full_path(rel, filename, org, repo, strip_root=False))
+    return F.filter(F.array_distinct(every), lambda p: p != "")
 
 
 def root_of(rel: Column, org: Column, repo: Column) -> Column:
@@ -232,13 +242,15 @@ def shape_flags(path: Column) -> dict[str, Column]:
 
 
 def name_relation(rel: Column, filename: Column) -> Column:
-    """Whether a relative path includes the file name, is only its folder, or names another file."""
-    last = F.regexp_extract(slashes(rel), r"(?s)([^/]*)\z", 1)
+    """Whether a relative path includes the file name, is only its folder, or ends in another name of the same ending (conflict)."""
+    rel, name = F.coalesce(slashes(rel), F.lit("")), F.coalesce(filename, F.lit(""))
+    last = F.substring_index(rel, "/", -1)
+    dotted = F.contains(last, F.lit(".")) & F.contains(name, F.lit("."))
     return (
-        F.when(slashes(rel) == "", "empty")
-        .when(last == filename, "includes")
-        .when((last == "") | ~F.contains(last, F.lit(".")), "directory")
-        .otherwise("conflict")
+        F.when((rel == "") | (name == ""), "empty")
+        .when((rel == name) | rel.endswith(F.concat(F.lit("/"), name)), "includes")
+        .when(dotted & (F.substring_index(last, ".", -1) == F.substring_index(name, ".", -1)), "conflict")
+        .otherwise("directory")
     )
 
 

@@ -8,10 +8,10 @@ from pyspark.sql.window import Window
 
 
 def last_wins(rows: DataFrame, keys: list[str], order: str) -> DataFrame:
-    """One row per key, the last in order, with how many there were."""
-    w = Window.partitionBy(*keys)
-    ranked = rows.withColumns({"_rn": F.row_number().over(w.orderBy(F.desc(order))), "copies": F.count("*").over(w)})
-    return ranked.where("_rn = 1").drop("_rn")
+    """One row per key, the last in order, with how many there were. Partial aggregates: a hot key costs one row a task."""
+    rest = [c for c in rows.columns if c not in keys]
+    last = rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), order).alias("_r"), F.count("*").alias("copies"))
+    return last.select(*[c if c in keys else F.col("_r")[c].alias(c) for c in rows.columns], "copies")
 
 
 def path_lens(a: DataFrame, b: DataFrame, keys: list[str], value: str) -> DataFrame:

@@ -59,8 +59,9 @@ def root_dedup(rows: DataFrame, winners: DataFrame, repo: str, root: str, path:
 
 
 def signatures(rows: DataFrame, key: list[str], content: str, within: list[str], order: str) -> DataFrame:
-    """Paths with equal sets of contents: one is kept within each ``within``."""
-    sets = rows.groupBy(*key).agg(F.array_join(F.sort_array(F.collect_set(content)), "|").alias("signature"), F.count_distinct(content).alias("contents"))
+    """Paths with equal sets of contents, by a hash of the sorted set: one is kept within each ``within``."""
+    sets = rows.select(*key, content).distinct().groupBy(*key).agg(F.sort_array(F.collect_list(content)).alias("_s"))
+    sets = sets.select(*key, F.sha2(F.array_join("_s", "|"), 256).alias("signature"), F.size("_s").cast("long").alias("contents"))
     nth = F.row_number().over(Window.partitionBy(*within, "signature").orderBy(order, *key))
     return sets.withColumn("kept", nth == 1)
 

@@ -6,24 +6,42 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def reachable(tips: DataFrame, edges: DataFrame, node: str, parent: str, every: int = 8) -> DataFrame:
+def reachable(tips: DataFrame, edges: DataFrame, node: str, parent: str) -> DataFrame:
     """Nodes that the tips reach over edges, tips included: a row each.
 
-    Paths are doubled in every round (node to 2^k-th ancestor), so the number of rounds is the logarithm of
-    the longest path. Lineage is cut by checkpoints in the shared folder.
+    Two nodes joined over pointers that double in length: of each node the first parent's 2^k-th ancestor is kept, one
+    row a node, so whole chains of first parents are marked in as many rounds as the logarithm of the longest one. Edges to
+    other parents begin chains of their own: rounds over them go on until no node is new. Rows are at most nodes
+    times the rounds of doubling, never the transitive closure. Lineage is cut by checkpoints in the shared folder.
     """
-    seen = tips.select(node).distinct()
-    jump = edges.select(F.col(node).alias("_a"), F.col(parent).alias("_b")).distinct()
-    size = -1
+    pairs = edges.select(F.col(node).alias("_a"), F.col(parent).alias("_b")).where("_a IS NOT NULL AND _b IS NOT NULL").distinct()
+    first = pairs.groupBy("_a").agg(F.min("_b").alias("_b"))
+    levels = [first.checkpoint()]
     while True:
-        step = seen.join(jump, seen[node] == jump["_a"]).select(F.col("_b").alias(node))
-        seen = seen.unionByName(step).distinct().checkpoint()
-        now = seen.count()
-        if now == size:
-            return seen
-        size = now
+        jump = levels[-1]
         ahead = jump.select(F.col("_a").alias("_b"), F.col("_b").alias("_c"))
-        jump = jump.unionByName(jump.join(ahead, "_b").select("_a", F.col("_c").alias("_b"))).distinct().checkpoint()
+        further = jump.join(ahead, "_b").select("_a", F.col("_c").alias("_b")).checkpoint()
+        if further.isEmpty():
+            break
+        levels.append(further)
+        if len(levels) > 40:  # longer than any chain: the edges have a cycle
+            break
+    seen = tips.select(node).where(F.col(node).isNotNull()).distinct().checkpoint()
+    fresh = seen
+    while not fresh.isEmpty():
+        # From the longest pointers to the shortest, all ancestors over first parents are marked.
+        chain = fresh
+        for jump in reversed(levels):
+            step = chain.join(jump, chain[node] == jump["_a"]).select(F.col("_b").alias(node))
+            chain = chain.unionByName(step).distinct()
+        chain = chain.checkpoint()
+        others = chain.join(pairs, chain[node] == pairs["_a"]).select(F.col("_b").alias(node))
+        both = chain.unionByName(others).distinct()
+        fresh = both.join(seen, node, "left_anti").checkpoint()
+        begin = others.distinct().join(chain, node, "left_anti").join(seen, node, "left_anti")
+        seen = seen.unionByName(fresh).checkpoint()
+        fresh = begin.checkpoint()
+    return seen
 
 
 def current_names(renames: DataFrame, old: str = "old", new: str = "new", order: str = "ord") -> DataFrame:

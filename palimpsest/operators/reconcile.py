@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+
+#: Places that names are looked up in, at most: their list becomes part of the plan.
+PLACES = 1000
 
 
 def reconcile(source: DataFrame, share: DataFrame, unit: str = "unit", rel: str = "rel", size: str = "bytes") -> DataFrame:
@@ -44,10 +46,13 @@ def by_prefix(rows: DataFrame, path: str, stores: DataFrame, prefix: str, store:
 
 
 def lookup_places(wanted: DataFrame, name: str, places: DataFrame) -> DataFrame:
-    """Whether each name is in each place: exact, fuzzy (letters and digits only) or missing. The list of places is short."""
+    """Whether each name is in each place: exact, fuzzy (letters and digits only) or missing. At most PLACES places."""
     from palimpsest.functions.paths import fuzzy
 
-    every = wanted.join(F.broadcast(places.select("place").distinct()))
+    names = [r["place"] for r in places.select("place").where("place IS NOT NULL").distinct().limit(PLACES + 1).collect()]
+    if len(names) > PLACES:
+        raise ValueError(f"more than {PLACES} places")
+    every = wanted.withColumn("place", F.explode(F.array(*[F.lit(p) for p in sorted(names)]).cast("array<string>")))
     exact = places.select("place", F.col("name").alias(name), F.lit(1).alias("_e")).distinct()
     near = places.select("place", fuzzy(F.col("name")).alias("_f"), F.lit(1).alias("_n")).distinct()
     rows = every.join(exact, ["place", name], "left").withColumn("_f", fuzzy(F.col(name))).join(near, ["place", "_f"], "left")
@@ -55,8 +60,8 @@ def lookup_places(wanted: DataFrame, name: str, places: DataFrame) -> DataFrame:
 
 
 def store_actions(rows: DataFrame, stored: DataFrame, content: str, order: list[str]) -> DataFrame:
-    """in_stored, deduped or written: a content that is not stored yet is written for its first row."""
+    """in_stored, deduped or written: a content that is not stored yet is written for its first row. ``order`` tells the rows of a content apart."""
     there = stored.select(content).distinct().withColumn("_there", F.lit(True))
-    nth = F.row_number().over(Window.partitionBy(content).orderBy(*order))
-    action = F.when(F.col("_there"), "in_stored").when(nth > 1, "deduped").otherwise("written")
-    return rows.join(there, content, "left").withColumn("action", action).drop("_there")
+    first = rows.groupBy(content).agg(F.min(F.struct(*order)).alias("_first"))
+    action = F.when(F.col("_there"), "in_stored").when(F.struct(*order) != F.col("_first"), "deduped").otherwise("written")
+    return rows.join(there, content, "left").join(first, content).withColumn("action", action).drop("_there", "_first")

@@ -6,11 +6,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def _has_files(rows: DataFrame, path: str) -> bool:
+    """Whether anything is stored under the path, in any file system that Spark reads."""
+    spark = rows.sparkSession
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return files.exists(at) and any(s.isDirectory() for s in files.listStatus(at))
+
+
 def content_store(contents: DataFrame, path: str, ext: str = "ext", blob: str = "blob", content: str = "content") -> DataFrame:
-    """Write each (ext, blob) once, parted by ext; returns what was refused because its bytes do not hash to its id."""
+    """Write each (ext, blob) that the store lacks once, parted by ext; returns what was refused because its bytes do not hash to its id."""
     head = F.concat(F.lit("blob ").cast("binary"), F.octet_length(content).cast("string").cast("binary"), F.unhex(F.lit("00")))
     rows = contents.withColumn("_ok", F.sha1(F.concat(head, F.col(content))) == F.col(blob))
     good = rows.where("_ok").dropDuplicates([ext, blob]).select(ext, blob, F.octet_length(content).cast("long").alias("bytes"), content)
+    if _has_files(contents, path):
+        schema = good.schema
+        stored = contents.sparkSession.read.schema(schema).parquet(path).select(F.coalesce(ext, F.lit("")).alias(ext), blob)
+        good = good.join(stored, [F.coalesce(good[ext], F.lit("")) == stored[ext], good[blob] == stored[blob]], "left_anti")
     good.write.mode("append").partitionBy(ext).parquet(path)
     return rows.where("NOT coalesce(_ok, false)").select(ext, blob)
 

@@ -267,10 +267,11 @@ def resend(spark, sf):
     return again.groupBy("sha").agg(F.min("path").alias("path"))
 
 
-@query("j36_unreachable", sql("WITH RECURSIVE r AS (SELECT sha FROM commits WHERE sha IN (399, 380, 250) UNION SELECT c.parent FROM r JOIN commits c ON c.sha = r.sha WHERE c.parent IS NOT NULL) SELECT sha FROM commits WHERE sha NOT IN (SELECT sha FROM r)", "commits"))
+@query("j36_unreachable", sql("WITH RECURSIVE r AS (SELECT sha FROM commits c WHERE branch = 'view' AND NOT EXISTS (SELECT 1 FROM commits d WHERE d.parent = c.sha) UNION SELECT c.parent FROM r JOIN commits c ON c.sha = r.sha WHERE c.parent IS NOT NULL) SELECT sha FROM commits WHERE sha NOT IN (SELECT sha FROM r)", "commits"))
 def unreachable(spark, sf):
     from palimpsest.operators import lineage
 
     commits = role(spark, sf, "commits")
-    tips = commits.where("sha IN (399, 380, 250)").select("sha")
+    childless = commits.join(commits.select(F.col("parent").alias("sha")), "sha", "left_anti")
+    tips = childless.where("branch = 'view'").select("sha")
     return commits.select("sha").join(lineage.reachable(tips, commits.where("parent IS NOT NULL"), "sha", "parent"), "sha", "left_anti")

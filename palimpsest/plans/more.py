@@ -12,7 +12,7 @@ from .catalog import query
 from .standins import role, sql
 
 _EXT = "substr(path, strpos(path, '.') + 1)"
-_LIST = "fl AS (SELECT c_custkey AS id, org, repo, path FROM (SELECT c_custkey, concat('org', c_custkey % 7 % 3) AS org, concat('repo', c_custkey % 7) AS repo, concat('src/m', c_custkey % 4, '/f', c_custkey, CASE c_custkey % 5 WHEN 0 THEN '.py' WHEN 1 THEN '.java' WHEN 2 THEN '.txt' WHEN 3 THEN '' ELSE '.csv' END) AS path FROM customer WHERE c_custkey < 300))"
+_LIST = "fl AS (SELECT c_custkey AS id, org, repo, path FROM (SELECT c_custkey, concat('org', c_custkey % 7 % 3) AS org, concat('repo', c_custkey % 7) AS repo, concat('src/m', c_custkey % 4, '/f', c_custkey, CASE c_custkey % 5 WHEN 0 THEN '.py' WHEN 1 THEN '.java' WHEN 2 THEN '.txt' WHEN 3 THEN '' ELSE '.csv' END) AS path FROM customer))"
 
 
 @query(
@@ -22,7 +22,7 @@ _LIST = "fl AS (SELECT c_custkey AS id, org, repo, path FROM (SELECT c_custkey,
 def file_list_history(spark, sf):
     """Rows name their file in three ways: whole path, folder and name, path with organisation and repository in front."""
     k = F.col("c_custkey")
-    rows = spark.read.parquet(f"{sf}/customer.parquet").where("c_custkey < 300")
+    rows = spark.read.parquet(f"{sf}/customer.parquet")
     name = F.concat(F.lit("f"), k, F.expr("CASE c_custkey % 5 WHEN 0 THEN '.py' WHEN 1 THEN '.java' WHEN 2 THEN '.txt' WHEN 3 THEN '' ELSE '.csv' END"))
     org, repo = F.concat(F.lit("org"), k % 7 % 3), F.concat(F.lit("repo"), k % 7)
     folder = F.concat(F.lit("src/m"), k % 4)
@@ -79,10 +79,10 @@ def at_head_backfill(spark, sf):
     return rows.select("org", "repo", "path", F.when(F.col("_r"), F.coalesce("_a", F.lit(False))).alias("at_head"))
 
 
-@query("j34_new_contents", sql("SELECT sha, min(path) AS path FROM manifest WHERE ord % 2 = 1 AND sha NOT IN (SELECT sha FROM manifest WHERE ord % 2 = 0 AND ord < 9000) GROUP BY sha", "manifest"))
+@query("j34_new_contents", sql("SELECT sha, min(path) AS path FROM manifest WHERE ord % 2 = 1 AND sha NOT IN (SELECT sha FROM manifest WHERE ord % 2 = 0 AND action <> 'failed') GROUP BY sha", "manifest"))
 def new_contents(spark, sf):
     rows = role(spark, sf, "manifest")
-    before = rows.where("ord % 2 = 0 AND ord < 9000").select("sha")
+    before = rows.where("ord % 2 = 0 AND action <> 'failed'").select("sha")
     return rows.where("ord % 2 = 1").join(before, "sha", "left_anti").groupBy("sha").agg(F.min("path").alias("path"))
 
 
@@ -169,10 +169,16 @@ def case_names(spark, sf):
     return rows.select("unit", "rel", F.when(F.col("n") > 1, F.concat(stem, F.lit("__case"), "n", F.regexp_extract("rel", "^([^.]*)(.*)$", 2))).otherwise(F.col("rel")).alias("new_name"))
 
 
-@query("w11_rename_lineage")
+@query(
+    "w11_rename_lineage",
+    """WITH RECURSIVE r AS (SELECT concat('f', user_id) AS old, concat('f', (user_id + 1) % 150) AS new, event_id AS ord FROM events WHERE event_type = 'purchase'),
+    n AS (SELECT *, (SELECT min(b.ord) FROM r b WHERE b.old = a.new AND b.ord > a.ord) AS nx FROM r a),
+    w AS (SELECT old, ord, new, nx FROM n UNION ALL SELECT w.old, w.ord, n.new, n.nx FROM w JOIN n ON n.ord = w.nx)
+    SELECT old, ord, new AS name FROM w WHERE nx IS NULL""",
+)
 def rename_lineage(spark, sf):
     """Renames f<u> to f<u + 1 modulo 150>, followed to the end by order."""
-    rows = spark.read.parquet(f"{sf}/events.parquet").where("event_type = 'purchase' AND event_id % 5 = 0")
+    rows = spark.read.parquet(f"{sf}/events.parquet").where("event_type = 'purchase'")
     pairs = rows.select(F.concat(F.lit("f"), "user_id").alias("old"), F.concat(F.lit("f"), (F.col("user_id") + 1) % 150).alias("new"), F.col("event_id").alias("ord"))
     return lineage.current_names(pairs)
 
@@ -204,11 +210,10 @@ def history_or_active(spark, sf):
     return rows.groupBy("org", "repo", "path").agg(F.bool_or("h").alias("in_history"), F.bool_or(~F.col("h")).alias("in_active"))
 
 
-@query("u07_repo_sides", sql("SELECT coalesce(a.repo, b.repo) AS repo, CASE WHEN b.repo IS NULL THEN 'left' WHEN a.repo IS NULL THEN 'right' ELSE 'both' END AS side FROM (SELECT DISTINCT repo FROM manifest WHERE ord < 4000 AND ord % 2 = 0) a FULL JOIN (SELECT DISTINCT repo FROM manifest WHERE ord < 50) b ON a.repo = b.repo", "manifest"))
+@query("u07_repo_sides", sql("SELECT coalesce(a.repo, b.repo) AS repo, CASE WHEN b.repo IS NULL THEN 'left' WHEN a.repo IS NULL THEN 'right' ELSE 'both' END AS side FROM (SELECT DISTINCT repo FROM manifest WHERE org = 'org3') a FULL JOIN (SELECT DISTINCT repo FROM changes) b ON a.repo = b.repo", "manifest", "changes"))
 def repo_sides(spark, sf):
-    rows = role(spark, sf, "manifest")
-    a = rows.where("ord < 4000 AND ord % 2 = 0").select("repo").distinct().withColumn("l", F.lit(1))
-    b = rows.where("ord < 50").select("repo").distinct().withColumn("r", F.lit(1))
+    a = role(spark, sf, "manifest").where("org = 'org3'").select("repo").distinct().withColumn("l", F.lit(1))
+    b = role(spark, sf, "changes").select("repo").distinct().withColumn("r", F.lit(1))
     return a.join(b, "repo", "full_outer").select("repo", F.when(F.col("r").isNull(), "left").when(F.col("l").isNull(), "right").otherwise("both").alias("side"))
 
 

@@ -129,13 +129,13 @@ def root_dedup(spark, sf):
 @query(
     "w13_signatures",
     sql(
-        """WITH g AS (SELECT repo, path, string_agg(DISTINCT blob, '|' ORDER BY blob) AS signature, count(DISTINCT blob) AS contents FROM changes WHERE ord % 50 = 0 GROUP BY ALL)
+        """WITH g AS (SELECT repo, path, sha256(string_agg(DISTINCT blob, '|' ORDER BY blob)) AS signature, count(DISTINCT blob) AS contents FROM changes GROUP BY ALL)
         SELECT *, row_number() OVER (PARTITION BY repo, signature ORDER BY path) = 1 AS kept FROM g""",
         "changes",
     ),
 )
 def signatures(spark, sf):
-    rows = role(spark, sf, "changes").where("ord % 50 = 0")
+    rows = role(spark, sf, "changes")
     return dedup.signatures(rows, ["repo", "path"], "blob", ["repo"], "path")
 
 
@@ -243,9 +243,9 @@ def list_profile(spark, sf):
     return a.join(b).join(c).join(d)
 
 
-@query("a36_not_found_split", sql("WITH r AS (SELECT repo, count(*) AS files, count(*) FILTER (action <> 'failed') AS found FROM manifest WHERE ord % 3 = 0 GROUP BY repo) SELECT found = 0 AS whole_repo, count(*) AS repos, CAST(sum(files - found) AS BIGINT) AS not_found FROM r GROUP BY 1", "manifest"))
+@query("a36_not_found_split", sql("WITH r AS (SELECT repo, count(*) AS files, count(*) FILTER (action <> 'failed') AS found FROM manifest GROUP BY repo) SELECT found = 0 AS whole_repo, count(*) AS repos, CAST(sum(files - found) AS BIGINT) AS not_found FROM r GROUP BY 1", "manifest"))
 def not_found(spark, sf):
-    per = role(spark, sf, "manifest").where("ord % 3 = 0").groupBy("repo").agg(F.count("*").alias("files"), F.count_if(F.col("action") != "failed").alias("found"))
+    per = role(spark, sf, "manifest").groupBy("repo").agg(F.count("*").alias("files"), F.count_if(F.col("action") != "failed").alias("found"))
     return per.groupBy((F.col("found") == 0).alias("whole_repo")).agg(F.count("*").alias("repos"), F.sum(F.col("files") - F.col("found")).alias("not_found"))
 
 

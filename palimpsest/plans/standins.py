@@ -21,7 +21,7 @@ ROLES: dict[str, tuple[str, list[str], str]] = {
         [*_place("user_id"), "event_id AS ord", "concat('c', event_id % 2500) AS commit", "ts", "concat('a', event_id % 11) AS author", _STATUS, *_BLOB, "CAST(floor(value) AS BIGINT) AS added", "event_id % 97 AS deleted"],
         "true",
     ),
-    "active": ("customer", [*_place("c_custkey"), "concat('b', c_custkey % 490) AS blob", "c_custkey % 490 * 37 % 5000 AS bytes"], "c_custkey % 7 <> 3 AND c_custkey < 200"),
+    "active": ("customer", [*_place("c_custkey"), "concat('b', c_custkey % 490) AS blob", "c_custkey % 490 * 37 % 5000 AS bytes"], "c_custkey % 7 <> 3"),
     "processed": ("part", ["concat('repo', p_partkey % 7) AS repo", "concat('b', p_partkey % 490) AS blob"], "p_partkey % 4 = 0"),
     "inv_a": ("documents", ["source AS repo", "concat(lang, '/d', doc_id, '.txt') AS path", "md5(text) AS hash", "n_chars AS bytes"], "doc_id % 3 <> 0"),
     "inv_b": (
@@ -42,8 +42,8 @@ ROLES: dict[str, tuple[str, list[str], str]] = {
         "o_orderkey % 5 <> 0",
     ),
     "source": ("orders", ["concat('unit', o_custkey % 11) AS unit", "concat('f', o_orderkey % 3000) AS rel", "o_orderkey % 3000 AS bytes"], "o_orderkey % 4 <> 0"),
-    "runs": ("events", ["concat('repo', user_id) AS unit", "event_id % 6 AS run", "ts AS finished", "event_id AS ord", "CASE WHEN event_type IN ('view', 'click') THEN 'ok' WHEN event_type = 'error' THEN 'timeout' ELSE 'failed' END AS status"], "event_id % 9 = 0"),
-    "commits": ("events", ["event_id AS sha", "CASE WHEN event_id % 17 = 0 THEN NULL ELSE event_id - 1 - event_id % 3 END AS parent"], "event_id < 400"),
+    "runs": ("events", ["concat('repo', user_id) AS unit", "event_id % 6 AS run", "ts AS finished", "event_id AS ord", "CASE WHEN event_type IN ('view', 'click') THEN 'ok' WHEN event_type = 'error' THEN 'timeout' ELSE 'failed' END AS status"], "true"),
+    "commits": ("events", ["event_id AS sha", "CASE WHEN event_id % 17 = 0 THEN NULL ELSE event_id - 1 - event_id % 3 END AS parent", "event_type AS branch"], "true"),
 }
 
 

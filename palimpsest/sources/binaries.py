@@ -210,8 +210,8 @@ def pickle_strings(files: DataFrame, least: int = 4) -> DataFrame:
     return files.select("path", "content").mapInPandas(run, "path string, ord bigint, kind string, text string, status string")
 
 
-def sqlite_rows(files: DataFrame, most: int = 1_000_000) -> DataFrame:
-    """Rows of all tables of embedded databases as JSON text: path, table, ord, row, status. At most ``most`` rows a table."""
+def sqlite_rows(files: DataFrame, block: int = 4096) -> DataFrame:
+    """Rows of all tables of embedded databases as JSON text: path, table, ord, row, status. Handed on ``block`` rows at a time."""
     import json
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -229,10 +229,10 @@ def sqlite_rows(files: DataFrame, most: int = 1_000_000) -> DataFrame:
                             found = db.execute(f'SELECT * FROM "{quoted}"')
                             cols = [d[0] for d in found.description]
                             for k, row in enumerate(found):
-                                status = "ok" if k < most else "cut"
-                                rows.append((path, table, k, json.dumps(dict(zip(cols, row, strict=True)), default=str) if k < most else None, status))
-                                if k >= most:
-                                    break
+                                rows.append((path, table, k, json.dumps(dict(zip(cols, row, strict=True)), default=str), "ok"))
+                                if len(rows) == block:
+                                    yield pd.DataFrame(rows, columns=names)
+                                    rows = []
                         db.close()
                     except sqlite3.DatabaseError:
                         rows.append((path, None, None, None, "not_read"))
