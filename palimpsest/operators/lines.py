@@ -6,15 +6,27 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+#: White space but the line feed: Unicode's and the separators U+001C to U+001F.
+_BLANK = r"[[\s\x1c-\x1f]&&[^\n]]"
+
+
 def stripped(text: Column) -> Column:
     """Without white space at both ends, Unicode's and the separators U+001C to U+001F included."""
     return F.regexp_replace(text, r"(?U)\A[\s\x1c-\x1f]+|[\s\x1c-\x1f]+\z", "")
 
 
+def stripped_lines(text: Column) -> Column:
+    """The lines of a text, each stripped: the white space around line feeds goes in one pass over the whole text.
+
+    A run of white space is looked at once, however long: matches begin where one begins.
+    """
+    inner = F.regexp_replace(text, rf"(?U)(?<!{_BLANK}){_BLANK}*+\n{_BLANK}*+", "\n")
+    return F.split(F.regexp_replace(inner, rf"(?U)\A{_BLANK}++|(?<!{_BLANK}){_BLANK}++\z", ""), "\n", -1)
+
+
 def lines(texts: DataFrame, text: str, keys: list[str]) -> DataFrame:
     """A row per line with something on it: keys, line_no (from 0), line (stripped). Lines end at line feeds only."""
-    rows = texts.select(*keys, F.posexplode(F.split(text, "\n", -1)).alias("line_no", "_raw"))
-    return rows.select(*keys, "line_no", stripped(F.col("_raw")).alias("line")).where("line <> ''")
+    return texts.select(*keys, F.posexplode(stripped_lines(F.col(text))).alias("line_no", "line")).where("line <> ''")
 
 
 def first_seen(rows: DataFrame, group: list[str], order: list[str], line: str = "line") -> DataFrame:
@@ -27,14 +39,28 @@ def delta(history: DataFrame, current: DataFrame, group: list[str], line: str =
     return history.join(current.select(*group, line).distinct(), [*group, line], "left_anti")
 
 
-def delta_counts(history: DataFrame, current: DataFrame, groups: DataFrame, group: list[str], line: str = "line") -> DataFrame:
+def lines_by_side(texts: DataFrame, text: str, group: list[str], is_current: Column, in_history: Column | None = None) -> DataFrame:
+    """Each distinct line of a group once: ``_c`` if a current version has it, ``_h`` if history has.
+
+    Versions are marked before they are split, so that lines are shuffled once, by group and line with partial aggregates, and
+    never joined. Without ``in_history`` all texts are history.
+    """
+    history = F.lit(True) if in_history is None else in_history
+    marked = texts.select(*group, F.coalesce(is_current, F.lit(False)).alias("_c"), F.coalesce(history, F.lit(False)).alias("_h"), text)
+    return lines(marked, text, [*group, "_c", "_h"]).groupBy(*group, "line").agg(F.bool_or("_c").alias("_c"), F.bool_or("_h").alias("_h"))
+
+
+def text_delta(texts: DataFrame, text: str, group: list[str], is_current: Column, in_history: Column | None = None) -> DataFrame:
+    """Lines of a group's history that its current version lacks, from the texts."""
+    return lines_by_side(texts, text, group, is_current, in_history).where("_h AND NOT _c").select(*group, "line")
+
+
+def delta_counts(texts: DataFrame, text: str, group: list[str], is_current: Column, in_history: Column | None = None) -> DataFrame:
     """Per group: lines of history, of the current version, removed, kept, and what became of the group."""
-    h = history.groupBy(*group).agg(F.count("*").alias("lines_history"))
-    c = current.select(*group, line).distinct().groupBy(*group).agg(F.count("*").alias("lines_current"))
-    k = delta(history, current, group, line).groupBy(*group).agg(F.count("*").alias("lines_kept"))
+    sides = lines_by_side(texts, text, group, is_current, in_history).groupBy(*group)
+    counts = sides.agg(F.count_if("_h").alias("lines_history"), F.count_if("_c").alias("lines_current"), F.count_if(F.col("_h") & ~F.col("_c")).alias("lines_kept"))
     zero = lambda name: F.coalesce(name, F.lit(0)).alias(name)
-    rows = groups.select(*group).distinct().join(h, group, "left").join(c, group, "left").join(k, group, "left")
-    rows = rows.select(*group, zero("lines_history"), zero("lines_current"), zero("lines_kept"))
+    rows = texts.select(*group).distinct().join(counts, group, "left").select(*group, zero("lines_history"), zero("lines_current"), zero("lines_kept"))
     action = (
         F.when(F.col("lines_history") == 0, "no_history")
         .when(F.col("lines_current") == 0, "no_current")

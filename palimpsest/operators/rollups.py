@@ -64,10 +64,21 @@ def status_trail(runs: DataFrame, unit: str) -> DataFrame:
     return out.withColumn("fixed", F.col("ever_failed") & (F.col("last_status") == "ok"))
 
 
+def quantiles(rows: DataFrame, group: list[str], value: str, fractions: dict[str, float]) -> DataFrame:
+    """Linear-interpolated quantiles of each group by counts of its values: no aggregate holds all values of a group."""
+    counts = rows.where(F.col(value).isNotNull()).groupBy(*group, value).agg(F.count("*").alias("_n"))
+    whole = Window.partitionBy(*group)
+    counts = counts.withColumns({"_upto": F.sum("_n").over(whole.orderBy(value)), "_all": F.sum("_n").over(whole)})
+    at = {name: (F.col("_all") - 1) * F.lit(p) for name, p in fractions.items()}
+    ends = [f(F.when(F.col("_upto") > g(at[n]), F.col(value))).alias(f"_{k}_{n}") for n in at for k, f, g in (("a", F.min, F.floor), ("b", F.min, F.ceil))]
+    found = counts.groupBy(*group).agg(F.max("_all").alias("_all"), *ends)
+    part = lambda n: at[n] - F.floor(at[n])
+    return found.select(*group, *[(F.col(f"_a_{n}") * (1 - part(n)) + F.col(f"_b_{n}") * part(n)).alias(n) for n in at])
+
+
 def size_stats(rows: DataFrame, group: list[str], value: str) -> DataFrame:
-    """Count, sum, median cut to a whole number, linear-interpolated quartiles and 90 %, maximum."""
-    q = lambda p, n: F.round(F.percentile(value, F.lit(p)), 4).alias(n)
-    return rows.groupBy(*group).agg(
-        F.count("*").alias("n"), F.sum(value).alias("total"), F.floor(F.percentile(value, F.lit(0.5))).cast("long").alias("median"),
-        q(0.25, "p25"), q(0.5, "p50"), q(0.75, "p75"), q(0.9, "p90"), F.max(value).alias("max"),
-    )
+    """Count, sum, median cut to a whole number, linear-interpolated quartiles and 90 %, maximum. Groups are not null."""
+    parts = {"p25": 0.25, "p50": 0.5, "p75": 0.75, "p90": 0.9}
+    sums = rows.groupBy(*group).agg(F.count("*").alias("n"), F.sum(value).alias("total"), F.max(value).alias("max"))
+    out = sums.join(quantiles(rows, group, value, parts), group, "left")
+    return out.select(*group, "n", "total", F.floor("p50").cast("long").alias("median"), *[F.round(p, 4).alias(p) for p in parts], "max")

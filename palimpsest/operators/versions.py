@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .rollups import quantiles
+
 PATH = ["org", "repo", "path"]
 
 
@@ -50,16 +52,17 @@ def levels(changes: DataFrame, ext: Column) -> DataFrame:
     overall = per_repo.groupBy("ext", "blob").agg(
         F.max("bytes").alias("bytes"), F.sum("n_file").alias("n_file"), F.sum("file_bytes").alias("file_bytes"), F.count("*").alias("n_repo"), F.sum("bytes").alias("repo_bytes")
     )
-    return overall.groupBy("ext").agg(
+    sums = overall.groupBy("ext").agg(
         F.sum("n_file").alias("versions_by_file"),
         F.sum("n_repo").alias("versions_by_repo"),
         F.count("*").alias("versions"),
         F.sum("file_bytes").alias("bytes_by_file"),
         F.sum("repo_bytes").alias("bytes_by_repo"),
         F.sum("bytes").alias("bytes"),
-        F.floor(F.percentile("bytes", F.lit(0.5))).cast("long").alias("median_bytes"),
         F.max("bytes").alias("max_bytes"),
     )
+    median = quantiles(overall, ["ext"], "bytes", {"m": 0.5}).select("ext", F.floor("m").cast("long").alias("median_bytes"))
+    return sums.join(median, "ext", "left").select(*sums.columns[:-1], "median_bytes", "max_bytes")
 
 
 def active_state(history: DataFrame, active: DataFrame) -> DataFrame:

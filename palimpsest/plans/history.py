@@ -244,18 +244,16 @@ def line_first_seen(spark, sf):
 _CURRENT = "SELECT ll.* FROM ll JOIN (SELECT source, max(doc_id) AS doc_id FROM documents GROUP BY source) USING (source, doc_id)"
 
 
-def _history_and_current(spark, sf):
+def _marked(spark, sf):
+    """The texts, and in ``newest`` whether each is the current version of its source."""
     texts = _texts(spark, sf)
-    rows = lines.lines(texts, "text", ["source", "doc_id"])
-    newest = texts.groupBy("source").agg(F.max("doc_id").alias("doc_id"))
-    history = lines.first_seen(rows, ["source"], ["doc_id", "line_no"])
-    return texts, history, rows.join(newest, ["source", "doc_id"])
+    newest = texts.groupBy("source").agg(F.max("doc_id").alias("doc_id")).withColumn("newest", F.lit(True))
+    return texts.join(newest, ["source", "doc_id"], "left")
 
 
 @query("j06_line_delta", f"WITH {_LINES}, c AS ({_CURRENT}) SELECT DISTINCT source, line FROM ll WHERE NOT EXISTS (SELECT 1 FROM c WHERE c.source = ll.source AND c.line = ll.line)")
 def line_delta(spark, sf):
-    _, history, current = _history_and_current(spark, sf)
-    return lines.delta(history, current, ["source"]).select("source", "line")
+    return lines.text_delta(_marked(spark, sf), "text", ["source"], F.col("newest"))
 
 
 @query(
@@ -267,8 +265,7 @@ def line_delta(spark, sf):
     WHEN lines_kept = lines_history THEN 'unchanged' ELSE 'reduced' END AS action FROM s""",
 )
 def line_delta_counts(spark, sf):
-    texts, history, current = _history_and_current(spark, sf)
-    return lines.delta_counts(history, current, texts, ["source"])
+    return lines.delta_counts(_marked(spark, sf), "text", ["source"], F.col("newest"))
 
 
 @query(
