@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import os
+import re
 import shutil
 import tempfile
 import uuid
@@ -31,9 +32,11 @@ def keyed(docs: DataFrame, id_col: str, text_col: str, blank: bool = True) -> Da
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only where the session names none (tests)."""
+    """The folder that driver and executors share; a temporary one only where a local session names none (tests)."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not named:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir has to name a folder that driver and executors share")
         named = tempfile.mkdtemp(prefix="palimpsest-")
         atexit.register(shutil.rmtree, named, ignore_errors=True)
         spark.sparkContext.setCheckpointDir(named)
@@ -41,9 +44,21 @@ def shared_dir(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
+_folders: set[str] = set()
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    """A new path in the application's part of the shared folder, which is deleted when the driver's process ends."""
+    folder = f"{shared_dir(spark)}/palimpsest-{spark.sparkContext.applicationId}"
+    if folder not in _folders:
+        _folders.add(folder)
+        atexit.register(_drop_folder, spark, folder)
+    return f"{folder}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def _drop_folder(spark: SparkSession, folder: str) -> None:
+    if spark.sparkContext._jsc is not None:  # the session is still there
+        drop_path(spark, folder)
 
 
 def drop_path(spark: SparkSession, path: str) -> None:

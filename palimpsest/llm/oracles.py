@@ -48,4 +48,12 @@ s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5"""
 
-ORACLE_SQL = {"op3_quality_rules": _quality(), "op7_hamming_near_dedup": _NEAR, "op8_suffix_tree_dedup": _REPEATS, "op10_threshold_topk": _TOPK}
+#: Base32 of SHA-1: 32 groups of five bits, from 40 hexadecimal digits.
+_WARC = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h, min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first FROM pages),
+n AS (SELECT page_id, first, strlen(h) AS bytes, list_transform(string_split(sha1(h), ''), lambda c: strpos('0123456789abcdef', c) - 1) AS n FROM p),
+g AS (SELECT page_id, first, bytes, list_transform(range(0, 32), lambda i: list_sum(list_transform(range(0, 5), lambda j: ((n[(5 * i + j) // 4 + 1] >> (3 - (5 * i + j) % 4)) & 1) << (4 - j)))) AS g FROM n)
+SELECT page_id, CAST(bytes AS BIGINT) AS payload_bytes, array_to_string(list_transform(g, lambda v: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(v AS INTEGER) + 1, 1)), '') AS payload_digest,
+CASE WHEN first = page_id THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN first <> page_id THEN first END AS refers_to FROM g"""
+
+ORACLE_SQL = {"op6_warc_salvage": _WARC, "op3_quality_rules": _quality(), "op7_hamming_near_dedup": _NEAR, "op8_suffix_tree_dedup": _REPEATS, "op10_threshold_topk": _TOPK}

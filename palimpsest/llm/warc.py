@@ -27,6 +27,8 @@ from .common import scratch_path, written
 ROLL = 32 << 20
 #: Bytes that the reader asks for at once.
 CHUNK = 1 << 18
+#: Bytes of headers within which their end has to come; beyond, the record counts as damaged.
+HEADER = 64 << 20
 GZIP = b"\x1f\x8b\x08"
 VERSION = b"WARC/1."
 RECORD = "<urn:palimpsest:page:"
@@ -95,8 +97,10 @@ class Source:
 
     def find(self, what: bytes, start: int) -> int:
         """Where ``what`` is next, from ``start`` on; the size if nowhere."""
+        ask = 4096  # small at first, so that marks close together are found in what is read already
         while start < self.size:
-            chunk = self.get(start, CHUNK)
+            chunk = self.get(start, ask)
+            ask = min(2 * ask, CHUNK)
             if (k := chunk.find(what)) >= 0:
                 return start + k
             start += max(1, len(chunk) - len(what) + 1) if start + len(chunk) < self.size else len(chunk)
@@ -109,7 +113,7 @@ def _parse(get: Callable[[int, int], bytes], start: int, size: int) -> tuple[dic
         raise Damaged("no version line")
     n = 4096
     while (k := (head := get(start, n)).find(b"\r\n\r\n")) < 0:
-        if len(head) < n or n > 1 << 20:
+        if len(head) < n or n > HEADER:
             raise Damaged("header has no end")
         n *= 4
     headers = _headers(head[:k])
@@ -131,49 +135,70 @@ def _parse(get: Callable[[int, int], bytes], start: int, size: int) -> tuple[dic
     return headers, block, begin + length + 4
 
 
-def _member(source: Source, start: int) -> tuple[bytes, int]:
-    """The data and the end of the gzip member that begins at ``start``."""
-    if source.get(start, 3) != GZIP:
-        raise Damaged("no member")
-    z, out, at = zlib.decompressobj(31), [], start
+def _member(source: Source, start: int) -> tuple[bytes, int, str]:
+    """The data and the end of the gzip member that begins at ``start``; of a damaged one what could be read, and the reason."""
+    z, out, at, ask = zlib.decompressobj(31), [], start, 4096
     try:
         while not z.eof:
-            chunk = source.get(at, CHUNK)
+            chunk = source.get(at, ask)
+            ask = min(2 * ask, CHUNK)
             if not chunk:
-                raise Damaged("member cut short")
+                return b"".join(out), at, "member cut short"
             out.append(z.decompress(chunk))
             at += len(chunk)
             if len(out) == 1 and out[0] and not VERSION.startswith(out[0][:7]) and out[0][:7] != VERSION:
-                raise Damaged("member is no record")
+                return b"", at, "member is no record"
     except zlib.error as e:
-        raise Damaged(f"gzip: {str(e)[:60]}") from None
-    return b"".join(out), at - len(z.unused_data)
+        return b"".join(out), at, f"gzip: {str(e)[:60]}"
+    return b"".join(out), at - len(z.unused_data), ""
+
+
+def _inside(data: bytes) -> tuple[list[tuple[dict[str, str], bytes]], str]:
+    """The valid records of a member's data, and the reason of the first gap between them."""
+    found, reason, k = [], "", 0
+    while 0 <= k < len(data):
+        try:
+            headers, block, k = _parse(lambda s, n: data[s : s + n], k, len(data))
+            found.append((headers, block))
+        except Damaged as e:
+            reason = reason or str(e)
+            k = data.find(VERSION, k + 1)
+    return found, reason
 
 
 def salvage(source: Source) -> Iterator[tuple]:
-    """('record', start, end, headers, block) and ('gap', start, end, reason), in order; they cover the file."""
+    """('record', start, end, headers, block) and ('gap', start, end, reason), in order; they cover the file.
+
+    Records that are valid within a damaged member are recovered too: they come before the member's gap, with no length.
+    """
     at = 0
     bad: list = []  # start and reason of the gap that is open
+    ahead = {GZIP: -1, VERSION: -1}  # where each mark is next
     while at < source.size:
-        try:
-            if source.get(at, 3) == GZIP:
-                data, end = _member(source, at)
-                k, found = 0, []
-                while k < len(data):
-                    headers, block, k = _parse(lambda s, n: data[s : s + n], k, len(data))  # noqa: B023
-                    found.append((headers, block))
-            else:
+        found, reason, end = [], "", at
+        if source.get(at, 3) == GZIP:
+            data, end, reason = _member(source, at)
+            found, inner = _inside(data)
+            reason = reason or inner
+        else:
+            try:
                 headers, block, end = _parse(source.get, at, source.size)
                 found = [(headers, block)]
-            if bad:
-                yield ("gap", bad[0], at, bad[1])
-                bad = []
-            for headers, block in found:
-                yield ("record", at, end, headers, block)
+            except Damaged as e:
+                reason = str(e)
+        if bad and (found or not reason):
+            yield ("gap", bad[0], at, bad[1])
+            bad = []
+        for headers, block in found:
+            yield ("record", at, at if reason else end, headers, block)
+        if not reason:
             at = end
-        except Damaged as e:
-            bad = bad or [at, str(e)]
-            at = min(source.find(GZIP, at + 1), source.find(VERSION, at + 1))
+            continue
+        bad = bad or [at, reason]
+        for mark in ahead:
+            if ahead[mark] <= at:
+                ahead[mark] = source.find(mark, at + 1)
+        at = min(ahead.values())
     if bad:
         yield ("gap", bad[0], source.size, bad[1])
 
@@ -201,7 +226,8 @@ def write_archives(
     """Write a record per page into archives under ``folder``; returns the list of archives: path, records, bytes.
 
     Of the pages with equal payloads of at least ``min_bytes`` bytes, that with the smallest id is the response;
-    the others revisit it. Null html: empty payload. Null id: always a response. Repeated rows: a record each.
+    the others revisit it. Null html: empty payload. Null id: always a response. Repeated rows: a record each. Empty table: no
+    archives. A payload is held whole while its record is written.
     A task writes under a name of its own and moves the file when it is whole; a file of a task that was
     lost is not in the list, so it is never read. Other columns are not read.
     """

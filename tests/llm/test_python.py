@@ -191,6 +191,34 @@ def test_salvage_after_damage(spark, tmp_path, compress):
     assert all(r["reason"] for r in rows if r["kind"] == "gap")
 
 
+@pytest.mark.parametrize("cut", [False, True])
+def test_salvage_within_a_member(cut):
+    """One member with many records: those before and after a damaged one are recovered, also if the member is cut short."""
+    rnd = random.Random(3)
+    records = [warc.record(i, "u" * 10, bytes(rnd.randrange(256) for _ in range(2000))) for i in range(30)]
+    raw = bytearray(b"".join(records))
+    raw[sum(map(len, records[:10])) + 1000] ^= 0xFF
+    data = warc.gzipped(bytes(raw))
+    data = data[: len(data) * 2 // 3] if cut else data
+    after = warc.gzipped(warc.record(99, None, b"next"))
+    source = warc.Source(lambda start, n: (data + after)[start : start + n], len(data + after))
+    rows = list(warc.salvage(source))
+    ids = [int(r[3]["warc-record-id"].split(":")[-1][:-1]) for r in rows if r[0] == "record"]
+    assert ids[:15] == [*range(10), *range(11, 16)] and ids[-1] == 99 and (len(ids) == 30 or cut)
+    assert [r[1:3] for r in rows if r[0] == "gap"] == [(0, len(data))]
+
+
+def test_salvage_of_long_headers_and_of_much_junk():
+    long = warc.record(1, "x" * (5 << 20), b"body")
+    junk = b"".join(warc.GZIP + b"\0" * 20 for _ in range(20000))  # a mark of one kind again and again, none of the other
+    data = junk + long
+    reads = []
+    source = warc.Source(lambda start, n: (reads.append(n), data[start : start + n])[1], len(data))
+    rows = list(warc.salvage(source))
+    assert [r[:3] for r in rows] == [("gap", 0, len(junk)), ("record", len(junk), len(data))]
+    assert sum(reads) < 40 * len(data)
+
+
 def brute_topk(rows, k):
     """With Python's fractions and whole numbers only."""
     out = []
