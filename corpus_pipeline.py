@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from palimpsest.llm import neardup, packing, quality, secrets, substrings
-from palimpsest.llm.common import table, vocabulary, written
+from palimpsest.llm.common import Scratch, table, vocabulary, written
 
 SEQUENCE = 2048
 
@@ -70,7 +70,10 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the whole table of documents."""
-    docs = table(spark, sf_dir, "documents")
+    docs, hold = table(spark, sf_dir, "documents"), Scratch(spark)
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        before = [*hold.paths]
+        docs = hold.put(name.replace(" ", "-"), stage(spark, docs, sf_dir))
+        if before:  # the stage that read it is written
+            hold.drop(*before)
     return STAGES[-1][1](spark, docs, sf_dir)
