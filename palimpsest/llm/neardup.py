@@ -31,8 +31,9 @@ from .textblocks import Words, mix, sequence_hash, slices
 #: meet; of pairs with a similarity of 0.85, about 2 in a million do not meet in any chunk.
 CHUNKS, WIDTH, ERRORS = 6, 4, 1
 POSITIONS = CHUNKS * WIDTH
-#: Documents under a key up to which its pairs are listed.
-SMALL = 32
+#: Documents under a key up to which its pairs are listed: at first, and in groups that have been split, where most
+#: documents are in few components and only pairs between these count.
+SMALL, SPLIT = 32, 256
 #: Rows of one document or pivot that its set of shingles is joined to in one task; of more, in several.
 SPREAD = 256
 #: Sizes of documents in a band lie within one part in so many.
@@ -226,7 +227,7 @@ def _children(rel: DataFrame, percent: int, hold: Scratch) -> DataFrame:
     return by_shingle.unionByName(by_size).distinct()
 
 
-def near_duplicates(docs: DataFrame, percent: int = 80, n: int = 5, id_col: str = "doc_id", text_col: str = "text", small: int = SMALL) -> DataFrame:
+def near_duplicates(docs: DataFrame, percent: int = 80, n: int = 5, id_col: str = "doc_id", text_col: str = "text", small: int = SMALL, split: int = SPLIT) -> DataFrame:
     """One row per document: id, n_shingles, component_id (smallest id reachable over links), kept.
 
     Documents are linked if 100 * |intersection| >= percent * |union| of their sets of distinct n-word shingles,
@@ -256,8 +257,8 @@ def near_duplicates(docs: DataFrame, percent: int = 80, n: int = 5, id_col: str
         of = known.select(F.col("a").alias("x"), F.col("b").alias("of"))
         rel = hold.put("rows", rel.join(of, "x", "left").withColumn("of", F.coalesce("of", "x")))
         groups = _with_counts(_children(rel, percent, hold), hold)
-        pairs.append(_listed_pairs(groups.where(F.col("c") <= small), percent))
-        many = groups.where(F.col("c") > small).drop("c")
+        pairs.append(_listed_pairs(groups.where(F.col("c") <= split), percent))
+        many = groups.where(F.col("c") > split).drop("c")
     listed = pairs[0]
     for p in pairs[1:]:
         listed = listed.unionByName(p)

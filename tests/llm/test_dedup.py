@@ -53,7 +53,7 @@ def frame(spark, rows):
 @pytest.mark.parametrize("small", [32, 8])
 def test_near_duplicates(spark, copies, small):
     df = frame(spark, [*copies, (None, copies[0][1]), copies[3]])
-    got = neardup.near_duplicates(df, 85, 5, small=small).collect()
+    got = neardup.near_duplicates(df, 85, 5, small=small, split=small).collect()
     want = brute.components(copies)
     assert len(got) == len(copies) + 2
     for r in got:
@@ -89,7 +89,7 @@ def test_near_duplicates_through_one_linked_to_the_pivot(spark, one_key, small):
     rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
     want = alike(rows)
     assert len({c for _, c in want.values()}) == 3
-    got = neardup.near_duplicates(frame(spark, rows), 85, 1, small=small).collect()
+    got = neardup.near_duplicates(frame(spark, rows), 85, 1, small=small, split=small).collect()
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == want
 
 
@@ -133,7 +133,7 @@ def test_near_duplicates_between_two_pivots(spark, one_key):
     rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
     want = alike(rows)
     assert [want[i][1] for i in range(4)] == [0] * 4 and len({c for _, c in want.values()}) == 71
-    got = neardup.near_duplicates(frame(spark, rows), 85, 1, small=1).collect()
+    got = neardup.near_duplicates(frame(spark, rows), 85, 1, small=1, split=1).collect()
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == want
 
 
