@@ -65,6 +65,10 @@ def per_group(rows: DataFrame, group: str, most: int, order: list[str]) -> DataF
 
 
 def seeded_sample(rows: DataFrame, group: str, key: str, seed: int, most: int) -> DataFrame:
-    """A sample of so many rows that takes one of each group in turn, in an order that the seed fixes."""
-    turn = F.row_number().over(Window.partitionBy(group).orderBy(F.xxhash64(F.lit(seed), key), key))
-    return rows.withColumn("turn", turn).orderBy("turn", F.xxhash64(F.lit(seed), group), group).limit(most)
+    """A sample of so many rows that takes one of each group in turn, in an order that the seed fixes (MD5 of seed and key).
+
+    No group gives more rows than the sample has, so only its first ones are ranked further.
+    """
+    draw = lambda c: F.md5(F.concat_ws("|", F.lit(str(seed)), F.col(c).cast("string")))
+    turn = F.row_number().over(Window.partitionBy(group).orderBy(draw(key), key))
+    return rows.withColumn("turn", turn).where(F.col("turn") <= most).orderBy("turn", draw(group), group).limit(most)

@@ -12,6 +12,7 @@ import hashlib
 import io
 import lzma
 import pickletools
+import re
 import sqlite3
 import struct
 import tarfile
@@ -22,6 +23,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+from pyarrow import feather
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -121,12 +124,97 @@ def archive_members(files: DataFrame, depth: int = 5, most: int = 64 << 20, memb
     return files.select("path", "content").mapInPandas(run, MEMBERS)
 
 
-def join_split_sets(parts: DataFrame, key: str, part: str, content: str) -> DataFrame:
-    """Sets of numbered parts: the joined bytes if parts 1 to n are all there, else null and the status 'gap'."""
-    rows = parts.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(F.col(part).alias("n"), F.col(content).alias("c")))).alias("p"))
-    whole = F.forall(F.transform("p", lambda x, i: x["n"] == i + 1), lambda ok: ok)
-    joined = F.aggregate("p", F.unhex(F.lit("")), lambda a, x: F.concat(a, x["c"]))
-    return rows.select(key, F.size("p").alias("parts"), F.when(whole, "ok").otherwise("gap").alias("status"), F.when(whole, joined).alias("content"))
+def split_part_status(parts: DataFrame, key: str, part: str, version: str) -> DataFrame:
+    """The rows with ``status``: split_part (the newest version of its part, in a set that has parts 1 to n),
+    split_part_older_version, or incomplete_set. Partial aggregates; ``version`` tells the versions of a part apart.
+    """
+    newest = parts.groupBy(key, part).agg(F.max(version).alias("_v"))
+    sets = newest.groupBy(key).agg(F.count("*").alias("_n"), F.min(part).alias("_a"), F.max(part).alias("_b"))
+    rows = parts.join(newest, [key, part]).join(sets.select(key, ((F.col("_a") == 1) & (F.col("_b") == F.col("_n"))).alias("_whole")), key)
+    status = F.when(~F.col("_whole"), "incomplete_set").when(F.col(version) == F.col("_v"), "split_part").otherwise("split_part_older_version")
+    return rows.withColumn("status", status).drop("_v", "_whole")
+
+
+def join_split_sets(parts: DataFrame, key: str, part: str, content: str, version: str | None = None, most: int = 1 << 30) -> DataFrame:
+    """Sets of numbered parts: the joined bytes if parts 1 to n are all there, else null and the status 'gap'.
+
+    Of several versions of a part the newest counts. A set of more than ``most`` bytes is never brought together: its status is
+    'too_large', and its parts are to be read in order, part by part. Sizes are added up before any bytes are moved.
+    """
+    rows = parts.select(key, F.col(part).alias("n"), F.col(content).alias("c"), (F.col(version) if version else F.lit(0)).alias("v"))
+    newest = rows.groupBy(key, "n").agg(F.max(F.struct("v", F.octet_length("c").cast("long").alias("b"))).alias("m")).select(key, "n", "m.v", "m.b")
+    sets = newest.groupBy(key).agg(F.count("*").alias("parts"), F.min("n").alias("a"), F.max("n").alias("z"), F.sum("b").alias("b"))
+    status = F.when((F.col("a") != 1) | (F.col("z") != F.col("parts")), "gap").when(F.col("b") > most, "too_large").otherwise("ok")
+    sets = sets.select(key, F.col("parts").cast("int").alias("parts"), status.alias("status"))
+    whole = rows.join(newest.drop("b"), [key, "n", "v"]).join(sets.where("status = 'ok'").select(key), key, "left_semi")
+    joined = whole.dropDuplicates([key, "n"]).groupBy(key).agg(F.array_sort(F.collect_list(F.struct("n", "c"))).alias("p"))
+    joined = joined.select(key, F.unhex(F.array_join(F.transform("p", lambda x: F.hex(x["c"])), "")).alias("content"))
+    return sets.join(joined, key, "left").select(key, "parts", "status", "content")
+
+
+def columnar_rows(files: DataFrame, block: int = 4096) -> DataFrame:
+    """Rows of Arrow files and streams and of Feather files: path, ord, text (cells joined by ' | ', nested ones as JSON), status. A header row first."""
+    import json
+
+    def cell(v: object) -> str:
+        text = json.dumps(v, default=str, ensure_ascii=False) if isinstance(v, (list, dict)) else "" if v is None else str(v)
+        return re.sub(r"\r\n|\r|\n", " ", text)
+
+    def batches(data: bytes) -> Iterator[pa.RecordBatch]:
+        if data[:6] == b"ARROW1":
+            reader = pa.ipc.open_file(pa.py_buffer(data))
+            for k in range(reader.num_record_batches):
+                yield reader.get_batch(k)
+        elif data[:4] == b"FEA1":
+            yield from feather.read_table(pa.BufferReader(data)).to_batches(block)
+        else:
+            yield from pa.ipc.open_stream(pa.py_buffer(data))
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        names = ["path", "ord", "text", "status"]
+        for pdf in frames:
+            for path, data in zip(pdf["path"], pdf["content"], strict=True):
+                n = 0
+                try:
+                    for batch in batches(data):
+                        if not n:
+                            yield pd.DataFrame([(path, 0, " | ".join(batch.schema.names), "ok")], columns=names)
+                        for k in range(0, batch.num_rows, block):
+                            part = batch.slice(k, block)
+                            rows = [(path, n + 1 + i, " | ".join(map(cell, r)), "ok") for i, r in enumerate(zip(*(c.to_pylist() for c in part.columns), strict=True))]
+                            n += len(rows)
+                            yield pd.DataFrame(rows, columns=names)
+                except (pa.ArrowInvalid, OSError, ValueError) as e:
+                    yield pd.DataFrame([(path, n + 1, None, f"not_read: {str(e)[:40]}")], columns=names)
+
+    return files.select("path", "content").mapInPandas(run, "path string, ord bigint, text string, status string")
+
+
+def npy_text(files: DataFrame, block: int = 65536) -> DataFrame:
+    """Strings in saved arrays: path, ord, text, status (text, numeric, object, structured or bad_header; only the first has text). Nothing is unpickled."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        names = ["path", "ord", "text", "status"]
+        for pdf in frames:
+            for path, data in zip(pdf["path"], pdf["content"], strict=True):
+                stream = io.BytesIO(data)
+                try:
+                    major = np.lib.format.read_magic(stream)[0]
+                    _, _, kind = (np.lib.format.read_array_header_1_0 if major == 1 else np.lib.format.read_array_header_2_0)(stream)
+                except (ValueError, EOFError, SyntaxError):
+                    yield pd.DataFrame([(path, None, None, "bad_header")], columns=names)
+                    continue
+                what = "structured" if kind.names else "object" if kind.kind == "O" else "text" if kind.kind in "US" and kind.itemsize else "numeric"
+                if what != "text":
+                    yield pd.DataFrame([(path, None, None, what)], columns=names)
+                    continue
+                many = (len(data) - stream.tell()) // kind.itemsize
+                for k in range(0, many, block):
+                    part = np.frombuffer(data, kind, min(block, many - k), stream.tell() + k * kind.itemsize)
+                    texts = [x.decode("utf-8", "replace") if isinstance(x, bytes) else x for x in part.tolist()]
+                    yield pd.DataFrame([(path, k + i, t, "text") for i, t in enumerate(texts) if t], columns=names)
+
+    return files.select("path", "content").mapInPandas(run, "path string, ord bigint, text string, status string")
 
 
 def pack_index(files: DataFrame) -> DataFrame:

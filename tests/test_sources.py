@@ -88,6 +88,52 @@ def test_pickles_are_read_and_never_loaded(spark):
     assert [r["status"] for r in rows if r["path"] == "c"] == ["not_read"]
 
 
+def test_newest_versions_of_split_parts(spark):
+    rows = [("s", 1, 1, b"old"), ("s", 1, 2, b"new-"), ("s", 2, 1, b"two"), ("t", 2, 1, b"x"), ("u", 1, 5, b"abc"), ("u", 3, 1, b"d"), ("v", 1, 1, b"12345678")]
+    df = spark.createDataFrame([(k, n, v, bytearray(c)) for k, n, v, c in rows], "k string, n int, v int, c binary")
+    got = {r["k"]: (r["parts"], r["status"], r["content"] and bytes(r["content"])) for r in binaries.join_split_sets(df, "k", "n", "c", "v", most=7).collect()}
+    assert got == {"s": (2, "ok", b"new-two"), "t": (1, "gap", None), "u": (2, "gap", None), "v": (1, "too_large", None)}
+    status = {(r["k"], r["n"], r["v"]): r["status"] for r in binaries.split_part_status(df, "k", "n", "v").collect()}
+    assert status == {
+        ("s", 1, 1): "split_part_older_version", ("s", 1, 2): "split_part", ("s", 2, 1): "split_part", ("t", 2, 1): "incomplete_set", ("u", 1, 5): "incomplete_set",
+        ("u", 3, 1): "incomplete_set", ("v", 1, 1): "split_part",
+    }
+
+
+def test_columnar_files_and_arrays(spark):
+    import io
+
+    import numpy as np
+    import pyarrow as pa
+    from pyarrow import feather
+
+    table = pa.table({"a": [1, None, 3], "b": ["x\ny", "z", ""], "c": [[1], None, [2, 3]]})
+    files = {}
+    for name, opened in (("file", pa.ipc.new_file), ("stream", pa.ipc.new_stream)):
+        out = io.BytesIO()
+        with opened(out, table.schema) as w:
+            w.write_table(table)
+        files[name] = out.getvalue()
+    out = io.BytesIO()
+    feather.write_feather(table.drop_columns("c"), out, version=1)
+    files |= {"old": out.getvalue(), "bad": b"ARROW1 no more", "junk": b"\xff\xff\xff\xff junk"}
+    rows = binaries.columnar_rows(frame(spark, files), block=2).collect()
+    texts = lambda p: [r["text"] for r in sorted(rows, key=lambda r: r["ord"]) if r["path"] == p]
+    assert texts("file") == texts("stream") == ["a | b | c", "1 | x y | [1]", " | z | ", "3 |  | [2, 3]"]
+    assert texts("old")[0] == "a | b" and len(texts("old")) == 4
+    assert all(r["status"].startswith("not_read") for r in rows if r["path"] in ("bad", "junk"))
+
+    def saved(x):
+        out = io.BytesIO()
+        np.save(out, x, allow_pickle=True)
+        return out.getvalue()
+
+    arrays = {"u": np.array(["é", "", "long one"]), "s": np.array([b"a", b"bc"]), "n": np.arange(3), "o": np.array([{"a": 1}], dtype=object), "st": np.zeros(2, "i4,f8"), "big": np.array(["w"], ">U3")}
+    got = binaries.npy_text(frame(spark, {k: saved(v) for k, v in arrays.items()} | {"bad": b"\x93NUMPY\x01"}), block=1).collect()
+    assert sorted((r["path"], r["ord"], r["text"]) for r in got if r["status"] == "text") == [("big", 0, "w"), ("s", 0, "a"), ("s", 1, "bc"), ("u", 0, "é"), ("u", 2, "long one")]
+    assert {r["path"]: r["status"] for r in got if r["status"] != "text"} == {"n": "numeric", "o": "object", "st": "structured", "bad": "bad_header"}
+
+
 def test_other_binaries(spark, tmp_path):
     db = sqlite3.connect(tmp_path / "x.db")
     db.execute("CREATE TABLE t (a INT, b TEXT)")
