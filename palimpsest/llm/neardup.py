@@ -39,7 +39,7 @@ SPREAD = 256
 #: Sizes of documents in a band lie within one part in so many.
 BANDS = 100
 #: Cells in which frequencies of shingles are counted.
-COUNTERS = 1 << 19
+COUNTERS = 1 << 21
 _U = np.uint64
 _rng = np.random.default_rng(20240607)
 _ODD = _rng.integers(0, 1 << 63, POSITIONS, dtype=np.uint64) * _U(2) + _U(1)
@@ -109,16 +109,17 @@ def full_sets(docs: DataFrame, n: int = 5, id_col: str = "doc_id", text_col: str
 
 
 def by_rarity(sets: DataFrame) -> DataFrame:
-    """The sets with their shingles from rare to frequent, and ``often``: the mean frequency of a shingle, times 1000.
+    """The sets with their shingles from rare to frequent, ``own``: how many of them, the first ones, no other set has (or
+    fewer), and ``often``: the mean frequency of a shingle, times 1000.
 
     Any order that all sets share is right for prefixes; a good one puts shingles first that few documents
     have. Frequencies are counted in COUNTERS cells, whatever the number of shingles, so what is broadcast is bounded.
     """
     cell = F.pmod("h", F.lit(COUNTERS)).cast("int")
     found = sets.select(F.explode("s").alias("h")).groupBy(cell.alias("cell")).agg(F.count("*").alias("c"))
-    cells = np.zeros(COUNTERS, dtype=np.int64)
+    cells = np.zeros(COUNTERS, dtype=np.uint32)
     for batch in found.toArrow().to_batches():
-        cells[batch.column(0).to_numpy()] = batch.column(1).to_numpy()
+        cells[batch.column(0).to_numpy()] = np.minimum(batch.column(1).to_numpy(), (1 << 32) - 1)
     shared = sets.sparkSession.sparkContext.broadcast(cells)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -127,12 +128,14 @@ def by_rarity(sets: DataFrame) -> DataFrame:
             flat = np.asarray(lists.flatten())
             edges = np.asarray(lists.offsets).astype(np.int64)
             row = np.repeat(np.arange(len(lists)), np.diff(edges))
-            order = np.lexsort((flat, shared.value[flat % COUNTERS], row))
+            count = shared.value[flat % COUNTERS].astype(np.int64)
+            order = np.lexsort((flat, count, row))
             again = pa.ListArray.from_arrays(pa.array(edges - edges[0], pa.int32()), pa.array(flat[order], pa.int64()))
-            often = np.add.reduceat(shared.value[flat % COUNTERS], (edges - edges[0])[:-1]) * 1000 // np.diff(edges)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), again, pa.array(often, pa.int64())], ["x", "n", "s", "often"])
+            often = np.add.reduceat(count, (edges - edges[0])[:-1]) * 1000 // np.diff(edges)
+            own = np.add.reduceat((count == 1).astype(np.int64), (edges - edges[0])[:-1])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), again, pa.array(own, pa.int64()), pa.array(often, pa.int64())], ["x", "n", "s", "own", "often"])
 
-    return sets.where("n > 0").mapInArrow(run, "x bigint, n bigint, s array<bigint>, often bigint")
+    return sets.where("n > 0").mapInArrow(run, "x bigint, n bigint, s array<bigint>, own bigint, often bigint")
 
 
 def index_keys(sig: Column) -> Column:
@@ -163,7 +166,7 @@ def _with_set(rows: DataFrame, key: str, other: str, sets: DataFrame, names: lis
     """Rows with size and shingles of the document in ``key``. A key of more than SPREAD rows is dealt by ``other`` over several tasks."""
     many = rows.groupBy(key).agg(F.count("*").alias("_c")).where(F.col("_c") > SPREAD)
     many = hold.put("many", many.select(F.col(key).alias("_key"), F.ceil(F.col("_c") / SPREAD).cast("int").alias("_parts")))
-    sets = sets.select(F.col("x").alias(key), F.col("n").alias(names[0]), F.col("s").alias(names[1]))
+    sets = sets.select(F.col("x").alias(key), *[F.col(c).alias(name) for c, name in zip(("n", "s", "own"), names, strict=False)])
     if many.isEmpty():
         return rows.join(sets, key)
     parts = F.coalesce("_parts", F.lit(1))
@@ -186,17 +189,20 @@ def _with_counts(groups: DataFrame, hold: Scratch) -> DataFrame:
 
 
 def _compared(groups: DataFrame, sets: DataFrame, percent: int, hold: Scratch) -> DataFrame:
-    """Rows (b, x) of each group's pivot with every other document: their sizes, what they have in common, the rest of x, whether linked."""
+    """Rows (b, x) of each group's pivot with every other document: their sizes, what they have in common, the rest of x, whether linked.
+
+    Shingles that no other document has are left out of the rest: no pair shares them.
+    """
     # The document of the most frequent shingles: what the others are copies of, rather than one with changes of its own.
     pivots = groups.groupBy("g").agg(F.max(F.struct("k", (-F.col("x")).alias("m"))).alias("p"))
     pivots = hold.put("pivots", pivots.select("g", (-F.col("p.m")).alias("b")))
     rel = hold.put("related", groups.join(pivots, "g").where("x <> b").select("b", "x", "k").distinct())
     own = sets.join(rel.select("x").distinct(), "x", "left_semi")
     other = sets.join(pivots.select(F.col("b").alias("x")).distinct(), "x", "left_semi")
-    rel = _with_set(_with_set(rel, "x", "b", own, ["n", "s"], hold), "b", "x", other, ["nb", "sb"], hold)
+    rel = _with_set(_with_set(rel, "x", "b", own, ["n", "s", "own"], hold), "b", "x", other, ["nb", "sb"], hold)
     rel = rel.withColumns({"inter": F.size(F.array_intersect("s", "sb")).cast("long"), "rest": F.array_except("s", "sb")})
     linked = near(percent, F.col("inter"), F.col("n"), F.col("nb"))
-    return hold.put("compared", rel.select("b", "x", "n", "k", "inter", "rest", linked.alias("linked")))
+    return hold.put("compared", rel.select("b", "x", "n", "k", "inter", F.expr("slice(rest, CAST(own AS INT) + 1, size(rest))").alias("rest"), linked.alias("linked")))
 
 
 def _band(n: Column) -> Column:
