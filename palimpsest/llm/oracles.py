@@ -56,4 +56,21 @@ g AS (SELECT page_id, first, bytes, list_transform(range(0, 32), lambda i: list_
 SELECT page_id, CAST(bytes AS BIGINT) AS payload_bytes, array_to_string(list_transform(g, lambda v: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(v AS INTEGER) + 1, 1)), '') AS payload_digest,
 CASE WHEN first = page_id THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN first <> page_id THEN first END AS refers_to FROM g"""
 
-ORACLE_SQL = {"op6_warc_salvage": _WARC, "op3_quality_rules": _quality(), "op7_hamming_near_dedup": _NEAR, "op8_suffix_tree_dedup": _REPEATS, "op10_threshold_topk": _TOPK}
+#: Pieces at the fixed signs, words of a piece, phrases of 1 to 4 words; arithmetic in 128 bits.
+_PHRASES = r"""
+WITH t AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+w AS (SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS p FROM t)),
+g AS (SELECT lang, k, array_to_string(list_slice(w, i, i + k - 1), ' ') AS g FROM w, unnest(generate_series(1, 4)) s(k), unnest(generate_series(1, len(w) - k + 1)) r(i)),
+f AS (SELECT lang, k, g, count(*) AS a FROM g GROUP BY ALL),
+n AS (SELECT lang, CAST(sum(a) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (SELECT lang, g, a, string_split(g, ' ') AS w FROM f WHERE k > 1 AND a >= 30),
+cuts AS (SELECT c.lang, c.g, c.a, j, x.a AS l, y.a AS r, CAST(CAST(2000000 AS HUGEINT) * c.a // (x.a + y.a) AS BIGINT) AS score
+FROM c, unnest(generate_series(1, len(w) - 1)) s(j), f x, f y
+WHERE x.lang = c.lang AND y.lang = c.lang AND x.g = array_to_string(list_slice(w, 1, j), ' ') AND y.g = array_to_string(list_slice(w, j + 1, len(w)), ' ')),
+best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, j) = 1),
+longer AS (SELECT lang, array_to_string(list_slice(w, i, i + k - 1), ' ') AS g, max(a) AS a FROM c, unnest(generate_series(2, len(w) - 1)) s(k), unnest(generate_series(1, len(w) - k + 1)) r(i) GROUP BY ALL),
+kept AS (SELECT b.* FROM best b LEFT JOIN longer o USING (lang, g) WHERE o.a IS NULL OR CAST(100 AS HUGEINT) * o.a < CAST(80 AS HUGEINT) * b.a),
+ranks AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(g)) AS rank FROM kept)
+SELECT lang, rank, g AS phrase, a, l, r, n, score FROM ranks JOIN n USING (lang) WHERE rank <= 2000"""
+
+ORACLE_SQL = {"op13_phrase_collocations": _PHRASES, "op6_warc_salvage": _WARC, "op3_quality_rules": _quality(), "op7_hamming_near_dedup": _NEAR, "op8_suffix_tree_dedup": _REPEATS, "op10_threshold_topk": _TOPK}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, licenses, neardup, packing, quality, secrets, sharding, substrings, topk, warc
+from . import bpe, languages, licenses, neardup, packing, periods, phrases, quality, secrets, sharding, substrings, topk, warc
 from .common import table, vocabulary
 from .oracles import ORACLE_SQL  # noqa: F401
 
@@ -78,6 +78,21 @@ def op10_threshold_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.topk(rows, F.col("vec_id") % 50 == 0, 5)
 
 
+def op11_nearest_centroid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return languages.identify(table(spark, sf_dir, "documents"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = periods.periodic_runs(table(spark, sf_dir, "documents"), plant=True)
+    return rows.select(
+        "doc_id", "n_runs", "start", "length", "period", "exponent_milli", F.sha2(periods.rendered(), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256")
+    )
+
+
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"), least=30, most=4, within=80, top=2000)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -89,5 +104,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix_tree_dedup": op8_suffix_tree_dedup,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_threshold_topk": op10_threshold_topk,
+    "op11_nearest_centroid": op11_nearest_centroid,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_phrase_collocations": op13_phrase_collocations,
 }
 

@@ -40,9 +40,12 @@ def slices(column: pa.Array, size: int = BLOCK_BYTES) -> Iterator[tuple[int, int
 
 
 class Words:
-    """The words of a block of texts: bytes, where each begins and ends, its 64-bit hash, its text's row."""
+    """The words of a block of texts: bytes, where each begins and ends, its 64-bit hash, its text's row.
 
-    def __init__(self, texts: pa.Array, lower: bool):
+    ``gaps`` marks the bytes between words (256 of them, all below 0x80).
+    """
+
+    def __init__(self, texts: pa.Array, lower: bool, gaps: np.ndarray = _SPACE):
         texts = texts.fill_null("") if texts.null_count else texts
         large = pa.types.is_large_string(texts.type)
         _, offsets, data = texts.buffers()
@@ -52,7 +55,7 @@ class Words:
         raw = np.frombuffer(data, dtype=np.uint8, count=last)[first:] if data is not None and last > first else np.empty(0, np.uint8)
         edges = edges - first
         self.rows, self.data = len(texts), raw
-        word = ~_SPACE[raw]
+        word = ~gaps[raw]
         cut = np.zeros(len(raw) + 1, dtype=bool)
         cut[edges] = True  # texts begin and end here
         begins = word.copy()
