@@ -204,9 +204,9 @@ def clean_name(name: Column, most: int = 150) -> Column:
 
 
 def case_name(path: Column, n: Column) -> Column:
-    """'a/b.txt' to 'a/b__case2.txt' for n = 2; unchanged for n = 1."""
-    stem = F.regexp_extract(path, r"(?s)\A(.*?)(\.[^./]*)?\z", 1)
-    end = F.regexp_extract(path, r"(?s)\A(.*?)(\.[^./]*)?\z", 2)
+    """'a/b.txt' to 'a/b__case2.txt' for n = 2; unchanged for n = 1. A dot that begins a name begins no extension."""
+    stem = F.regexp_replace(path, r"(?s)(?<=[^/])\.[^./]*\z", "")
+    end = F.regexp_extract(path, r"(?s)[^/](\.[^./]*)\z", 1)
     return F.when(n > 1, F.concat(stem, F.lit("__case"), n, end)).otherwise(path)
 
 

@@ -5,9 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Places that names are looked up in, at most: their list becomes part of the plan.
-PLACES = 1000
-
 
 def reconcile(source: DataFrame, share: DataFrame, unit: str = "unit", rel: str = "rel", size: str = "bytes") -> DataFrame:
     """Every file of both sides: ok, size_differs, other_case, missing; temp, case_twin or extra on the share only."""
@@ -46,15 +43,17 @@ def by_prefix(rows: DataFrame, path: str, stores: DataFrame, prefix: str, store:
 
 
 def lookup_places(wanted: DataFrame, name: str, places: DataFrame) -> DataFrame:
-    """Whether each name is in each place: exact, fuzzy (letters and digits only) or missing. At most PLACES places."""
+    """Whether each name is in each place: exact, fuzzy (letters and digits only) or missing. Null places are left out.
+
+    The answer has a row for each name and place: each name is spread over the list of places, one row; what is found is joined by name.
+    """
     from palimpsest.functions.paths import fuzzy
 
-    names = [r["place"] for r in places.select("place").where("place IS NOT NULL").distinct().limit(PLACES + 1).collect()]
-    if len(names) > PLACES:
-        raise ValueError(f"more than {PLACES} places")
-    every = wanted.withColumn("place", F.explode(F.array(*[F.lit(p) for p in sorted(names)]).cast("array<string>")))
-    exact = places.select("place", F.col("name").alias(name), F.lit(1).alias("_e")).distinct()
-    near = places.select("place", fuzzy(F.col("name")).alias("_f"), F.lit(1).alias("_n")).distinct()
+    there = places.where("place IS NOT NULL")
+    listed = there.agg(F.sort_array(F.collect_set("place")).alias("_all"))
+    every = wanted.join(F.broadcast(listed)).withColumn("place", F.explode("_all")).drop("_all")
+    exact = there.select("place", F.col("name").alias(name), F.lit(1).alias("_e")).distinct()
+    near = there.select("place", fuzzy(F.col("name")).alias("_f"), F.lit(1).alias("_n")).distinct()
     rows = every.join(exact, ["place", name], "left").withColumn("_f", fuzzy(F.col(name))).join(near, ["place", "_f"], "left")
     return rows.select(name, "place", F.when(F.col("_e") == 1, "exact").when(F.col("_n") == 1, "fuzzy").otherwise("missing").alias("found"))
 

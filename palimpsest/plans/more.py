@@ -35,12 +35,6 @@ def file_list_history(spark, sf):
     return out.select("id", F.when(F.col("b").isNull(), "not_found").otherwise("found").alias("status"), F.col("b.path").alias("found_path"), F.col("b.commits").alias("commits"))
 
 
-@query("j28_path_tips", sql("SELECT repo, path, count(DISTINCT author) AS tips, string_agg(DISTINCT author, '|' ORDER BY author) AS held_by FROM changes WHERE status <> 'D' GROUP BY ALL", "changes"))
-def path_tips(spark, sf):
-    rows = role(spark, sf, "changes").where("status <> 'D'")
-    return rows.groupBy("repo", "path").agg(F.count_distinct("author").alias("tips"), F.array_join(F.sort_array(F.collect_set("author")), "|").alias("held_by"))
-
-
 @query("j29_renamed_exists", sql("WITH r AS (SELECT DISTINCT repo, path AS renamed_to FROM changes WHERE status = 'R'), l AS (SELECT repo, path, arg_max(status, ord) <> 'D' AS alive FROM changes GROUP BY ALL) SELECT r.repo, renamed_to, coalesce(alive, false) AS exists_today FROM r LEFT JOIN l ON l.repo = r.repo AND l.path = r.renamed_to", "changes"))
 def renamed_exists(spark, sf):
     rows = role(spark, sf, "changes")
@@ -49,12 +43,6 @@ def renamed_exists(spark, sf):
     return moved.join(alive, ["repo", "renamed_to"], "left").select("repo", "renamed_to", F.coalesce("alive", F.lit(False)).alias("exists_today"))
 
 
-@query("j35_exclusive_paths", sql("SELECT DISTINCT repo, path, blob FROM changes c WHERE author = 'a1' AND NOT EXISTS (SELECT 1 FROM changes d WHERE d.author <> 'a1' AND d.repo = c.repo AND d.path = c.path AND d.blob = c.blob)", "changes"))
-def exclusive_paths(spark, sf):
-    rows = role(spark, sf, "changes").select("repo", "path", "blob", "author")
-    return rows.where("author = 'a1'").join(rows.where("author <> 'a1'"), ["repo", "path", "blob"], "left_anti").select("repo", "path", "blob").distinct()
-
-
 @query("j30_history_share", sql("WITH t AS (SELECT repo, count(*) AS files FROM changes GROUP BY repo), g AS (SELECT repo, count(*) AS gone FROM changes WHERE status = 'D' AND bytes > 3000 GROUP BY repo) SELECT t.repo, files, coalesce(gone, 0) AS gone, round(coalesce(gone, 0) * 100.0 / files, 2) AS share FROM t LEFT JOIN g USING (repo)", "changes"))
 def history_share(spark, sf):
     rows = role(spark, sf, "changes")
@@ -160,15 +148,6 @@ def page_dedup(spark, sf):
     return rows.withColumn("n", F.row_number().over(Window.partitionBy("conv_id").orderBy("first")))
 
 
-@query("w09_case_names", sql("SELECT unit, rel, CASE WHEN n > 1 THEN regexp_replace(rel, '^([^.]*)', concat('\\1__case', n)) ELSE rel END AS new_name FROM (SELECT unit, rel, row_number() OVER (PARTITION BY unit, lower(rel) ORDER BY rel) AS n FROM (SELECT DISTINCT unit, rel FROM share))", "share"))
-def case_names(spark, sf):
-    rows = role(spark, sf, "share").select("unit", "rel").distinct()
-    n = F.row_number().over(Window.partitionBy("unit", F.lower("rel")).orderBy("rel"))
-    stem = F.regexp_extract("rel", "^([^.]*)(.*)$", 1)
-    rows = rows.withColumn("n", n)
-    return rows.select("unit", "rel", F.when(F.col("n") > 1, F.concat(stem, F.lit("__case"), "n", F.regexp_extract("rel", "^([^.]*)(.*)$", 2))).otherwise(F.col("rel")).alias("new_name"))
-
-
 @query(
     "w11_rename_lineage",
     """WITH RECURSIVE r AS (SELECT concat('f', user_id) AS old, concat('f', (user_id + 1) % 150) AS new, event_id AS ord FROM events WHERE event_type = 'purchase'),

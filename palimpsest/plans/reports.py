@@ -296,12 +296,6 @@ def batches(spark, sf):
     return planning.deal(planning.tiers(units, "bytes", "repo", {"G": 3, "L": 7}), "tier", "repo", 4, "bytes")
 
 
-@query("w14_balanced")
-def balanced(spark, sf):
-    units = role(spark, sf, "manifest").groupBy("org", "repo").agg(F.sum("bytes").alias("bytes"))
-    return planning.balanced(units, "repo", "bytes", 4, "org")
-
-
 @query("w16_seeded_sample", sql("SELECT repo, path, ord, CAST(turn AS INTEGER) AS turn FROM (SELECT repo, path, ord, row_number() OVER (PARTITION BY repo ORDER BY md5('7|' || ord), ord) AS turn FROM manifest) ORDER BY turn, md5('7|' || repo), repo LIMIT 50", "manifest"))
 def seeded_sample(spark, sf):
     return planning.seeded_sample(role(spark, sf, "manifest").select("repo", "path", "ord"), "repo", "ord", 7, 50)

@@ -8,6 +8,7 @@ _PATH = "concat('src/m', {0} % 4, '/f', {0}, CASE {0} % 5 WHEN 0 THEN '.py' WHEN
 _PLACE = ["concat('org', {0} % 7 % 3) AS org", "concat('repo', {0} % 7) AS repo", _PATH + " AS path"]
 _STATUS = "CASE event_type WHEN 'signup' THEN 'A' WHEN 'error' THEN 'D' WHEN 'purchase' THEN 'R' WHEN 'click' THEN 'T' ELSE 'M' END AS status"
 _BLOB = ["concat('b', CAST(floor(value) AS BIGINT)) AS blob", "CAST(floor(value) AS BIGINT) * 37 % 5000 AS bytes"]
+_DAY = "concat(CAST(year(l_shipdate) AS VARCHAR(4)), '/', CAST(month(l_shipdate) AS VARCHAR(2)), '/', CAST(day(l_shipdate) AS VARCHAR(2)), '/', CAST(l_orderkey AS VARCHAR(20))) AS path"
 
 
 def _place(key: str) -> list[str]:
@@ -43,6 +44,16 @@ ROLES: dict[str, tuple[str, list[str], str]] = {
     ),
     "source": ("orders", ["concat('unit', o_custkey % 11) AS unit", "concat('f', o_orderkey % 3000) AS rel", "o_orderkey % 3000 AS bytes"], "o_orderkey % 4 <> 0"),
     "runs": ("events", ["concat('repo', user_id) AS unit", "event_id % 6 AS run", "ts AS finished", "event_id AS ord", "CASE WHEN event_type IN ('view', 'click') THEN 'ok' WHEN event_type = 'error' THEN 'timeout' ELSE 'failed' END AS status"], "true"),
+    "old_files": ("lineitem", ["l_linenumber AS unit", _DAY, "concat('b', CAST(floor(l_quantity) AS BIGINT)) AS blob"], "l_shipdate < TIMESTAMP '1998-10-01 00:00:00'"),
+    "new_files": ("lineitem", ["l_linenumber AS unit", _DAY, "concat('b', CAST(floor(l_quantity) AS BIGINT), CASE WHEN l_returnflag = 'R' AND l_quantity > 49 THEN 'x' ELSE '' END) AS blob"], "l_shipdate >= TIMESTAMP '1992-03-01 00:00:00'"),
+    # A main line of 200 commits a repository; every ten commits a branch of three, merged back or left as a tip.
+    "history": (
+        "events",
+        ["concat('repo', CAST(floor(event_id / 200) AS BIGINT)) AS repo", "event_id AS sha", "ts", _PATH.format("user_id") + " AS path", _STATUS, *_BLOB,
+         "CASE WHEN event_id % 200 = 0 THEN NULL WHEN event_id % 10 = 6 THEN event_id - 4 ELSE event_id - 1 END AS parent", "CASE WHEN event_id % 10 = 6 AND event_type <> 'view' THEN event_id - 1 END AS merged"],
+        "true",
+    ),
+    "moves": ("events", ["concat('repo', user_id % 7) AS repo", "event_id AS ord", "ts", "concat('c', event_id) AS commit", "CASE WHEN event_type = 'purchase' AND value >= 100 THEN 'R100' WHEN event_type = 'signup' THEN 'A' WHEN event_type = 'error' THEN 'D' ELSE 'M' END AS status", "CASE WHEN event_type = 'purchase' AND value >= 100 THEN concat('f', user_id + 7) ELSE concat('f', user_id) END AS path", "CASE WHEN event_type = 'purchase' AND value >= 100 THEN concat('f', user_id) END AS old_path"], "true"),
     "commits": ("events", ["event_id AS sha", "CASE WHEN event_id % 17 = 0 THEN NULL ELSE event_id - 1 - event_id % 3 END AS parent", "event_type AS branch"], "true"),
 }
 

@@ -148,7 +148,10 @@ def join_split_sets(parts: DataFrame, key: str, part: str, content: str, version
     sets = sets.select(key, F.col("parts").cast("int").alias("parts"), status.alias("status"))
     whole = rows.join(newest.drop("b"), [key, "n", "v"]).join(sets.where("status = 'ok'").select(key), key, "left_semi")
     joined = whole.dropDuplicates([key, "n"]).groupBy(key).agg(F.array_sort(F.collect_list(F.struct("n", "c"))).alias("p"))
-    joined = joined.select(key, F.unhex(F.array_join(F.transform("p", lambda x: F.hex(x["c"])), "")).alias("content"))
+    # Some parts together, then these together, so that bytes are not copied once for each part.
+    whole_of = lambda parts: F.aggregate(parts, F.lit(b""), lambda a, c: F.concat(a, c))
+    some = F.transform(F.sequence(F.lit(1), F.size("p"), F.lit(32)), lambda k: whole_of(F.transform(F.slice("p", k, F.lit(32)), lambda x: x["c"])))
+    joined = joined.select(key, whole_of(some).alias("content"))
     return sets.join(joined, key, "left").select(key, "parts", "status", "content")
 
 
