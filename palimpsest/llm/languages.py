@@ -194,8 +194,11 @@ def train(rows: DataFrame, sample: int = SAMPLE, clusters: int = CLUSTERS, tail:
     found = document_frequencies(src.select("text"))
     idf = np.log((1.0 + found[DIMS]) / (1.0 + found[:DIMS])) + 1.0
     each = src.groupBy("lang").agg(F.count("*").alias("n")).select(F.col("lang").alias("_lang"), "n")
+    if each.count() * clusters * DIMS * 8 > MODEL_BYTES:
+        raise ValueError(f"a model of so many labels has more than {MODEL_BYTES} bytes: use fewer clusters")
+    # So the counts have few rows. A join without the hint would first deal whole texts out by language.
     part = F.pmod(F.xxhash64("key", F.lit("sample")), F.lit(1 << 32)) / F.lit(float(1 << 32))
-    drawn = src.join(each, src["lang"] == each["_lang"]).where(part < F.lit(float(sample)) / F.col("n")).select("lang", "text", "key")
+    drawn = src.join(F.broadcast(each), src["lang"] == each["_lang"]).where(part < F.lit(float(sample)) / F.col("n")).select("lang", "text", "key")
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -222,8 +225,6 @@ def train(rows: DataFrame, sample: int = SAMPLE, clusters: int = CLUSTERS, tail:
 
     points = drawn.mapInArrow(vectors, "lang string, key bigint, band int, dims array<int>, x array<float>")
     fitted = points.groupBy("lang").applyInArrow(fit, "lang string, k int, centroid binary, limits array<double>")
-    if each.count() * clusters * DIMS * 8 > MODEL_BYTES:
-        raise ValueError(f"a model of so many labels has more than {MODEL_BYTES} bytes: use fewer clusters")
     got = sorted(fitted.collect(), key=lambda r: (r["lang"], r["k"]))
     centroids = np.stack([np.frombuffer(r["centroid"], "<f8") for r in got]) if got else np.empty((0, DIMS))
     return Model([r["lang"] for r in got], centroids, np.array([r["limits"] for r in got]).reshape(len(got), BANDS), idf)

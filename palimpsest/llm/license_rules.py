@@ -1,8 +1,8 @@
 """Signature rules of the license scan, written by hand. A heading names the keyword without which no rule under it is tried.
 
 A line is: rank, label, regex over lower-case words with single spaces between them. Rank 0 is an identifier
-tag, 1 a sentence of a license's body or its grant, 2 an address, 3 a name with its version or variant, 4 a name alone. Under a
-keyword earlier rules win at the same place. No rule is a single word that prose may have.
+tag, 1 a sentence of a license's body or its grant, 2 an address, 3 a name with its version or variant, 4 a name alone. No rule
+is a single word that prose may have.
 """
 
 TEXT = r"""
@@ -44,6 +44,7 @@ TEXT = r"""
 1 mit permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files(?: the software)? to deal in the software without restriction
 1 mit permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation
 1 ncsa of this software and associated documentation files the software to deal with the software without restriction
+1 ncsa permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files(?: the software)? to deal with the software without restriction
 [substantial]
 1 mit the above copyright notice and this permission notice (?:\(including the next paragraph\) )?(?:including the next paragraph )?shall be included in all copies or substantial portions of the software
 [furnished]

@@ -1,8 +1,9 @@
 """License scans (native): ordered signature rules behind a keyword prefilter.
 
-Each rule is a regex over a text's words, tied to a keyword. A text without any keyword is passed over. The rules of a
-keyword are one alternation, which is searched over the whole text only if that keyword is in it. Detections that lie
-within a detection of higher rank, or within a longer one of their own, are suppressed.
+Each rule is a regex over a text's words, tied to a keyword. A text without any keyword is passed over. Every rule whose
+keyword is in a text is searched over the whole text by itself, so that detections may overlap in any way; only then rank
+and containment decide. Detections that lie within a detection of higher rank, or within a longer one of their own, are
+suppressed.
 """
 
 from __future__ import annotations
@@ -41,15 +42,28 @@ class Rule:
     pattern: str
 
 
+#: What a declaration such as `license: MIT` becomes before its words are taken; a word that no text has.
+DECLARED = "declaredlicense"
+#: The sign of a declaration, with the name of the field before it, if a name follows that a rule knows.
+DECLARATION = r"""(?i)(licen[cs]e)s?(?:["']?\s{0,4}[:=]|\s{0,4}=>)\s{0,4}[\["'(]{0,2}(?=(?:a?gpl|l?gpl|apache|bsd|mit|mpl|epl|isc|zlib|bsl|unlicense|wtfpl|cc0?|ofl|eupl|cddl|python|psf|artistic|postgresql|ncsa|0bsd)\b)"""
+_TAG = "spdx license identifier "
+
+
 def rules() -> list[Rule]:
-    """The rules in their order."""
+    """The rules in their order. A rule of an identifier tag stands for three: the tag's first name, a later name of an
+    expression (after `or` or `and`), and the name in a declaration."""
     out, keyword = [], ""
     for line in TEXT.strip().splitlines():
         if line.startswith("["):
             keyword = line[1:-1]
-        else:
-            rank, label, pattern = line.split(" ", 2)
-            out.append(Rule(keyword, int(rank), label, pattern))
+            continue
+        rank, label, pattern = line.split(" ", 2)
+        out.append(Rule(keyword, int(rank), label, pattern))
+        if pattern.startswith(_TAG):
+            name = pattern[len(_TAG) :]
+            out.append(Rule(keyword, int(rank), label, rf"(?<={_TAG}[0-9a-z ]{{1,200}} (?:or|and) ){name}"))
+            out.append(Rule(DECLARED, 3, label, rf"{DECLARED} {name}"))
+            out.append(Rule(DECLARED, 3, label, rf"(?<={DECLARED} [0-9a-z ]{{1,200}} (?:or|and) ){name}"))
     return out
 
 
@@ -72,29 +86,30 @@ def _spaces(s: Column) -> Column:
 
 def _detections(padded: Column) -> Column:
     """All hits in words with a space around each: array<struct<start,less,rank,conf,label>>, less: minus the end, so that a sort puts the longest first."""
-    by_key: dict[str, list[Rule]] = {}
+    by_key: dict[str, list[dict]] = {}
     for r in rules():
-        by_key.setdefault(r.keyword, []).append(r)
-    # Which rule a hit is of is asked for hits only: the first of its keyword's rules that matches it wholly.
-    table = [[{"pattern": rf"\A(?:{r.pattern})\z", "rank": r.rank, "conf": CONFIDENCE[r.rank], "label": r.label} for r in own] for own in by_key.values()]
-    known = F.from_json(F.lit(json.dumps(table)), "array<array<struct<pattern:string,rank:int,conf:double,label:string>>>")
-
-    def searched(k: int, keyword: str) -> Column:
-        pattern = rf"(?<= )(?:{'|'.join(f'(?:{r.pattern})' for r in by_key[keyword])})(?= )"
-        both = F.struct(F.lit(k).alias("k"), F.split(padded, pattern, -1).alias("gaps"), F.regexp_extract_all(padded, F.lit(pattern), F.lit(0)).alias("hits"))
-        return F.when(F.contains(padded, F.lit(f" {keyword} ")), both)
+        by_key.setdefault(f" {r.keyword} ", []).append({"pattern": rf"(?<= )(?:{r.pattern})(?= )", "rank": r.rank, "conf": CONFIDENCE[r.rank], "label": r.label})
+    table = [{"key": k, "own": own} for k, own in by_key.items()]
+    known = F.from_json(F.lit(json.dumps(table)), "array<struct<key:string,own:array<struct<pattern:string,rank:int,conf:double,label:string>>>>")
+    tried = F.flatten(F.transform(F.filter(known, lambda k: F.contains(padded, k["key"])), lambda k: k["own"]))
+    found = F.filter(
+        F.transform(tried, lambda r: F.struct(r.alias("r"), F.regexp_extract_all(padded, r["pattern"], F.lit(0)).alias("hits"))), lambda g: F.size(g["hits"]) > 0
+    )
 
     def hits(g: Column) -> Column:
+        r, gaps = g["r"], F.split(padded, g["r"]["pattern"], -1)
+
         def hit(h: Column, start: Column) -> Column:
-            rule = F.get(F.filter(F.get(known, g["k"]), lambda r: F.call_function("rlike", h, r["pattern"])), F.lit(0))
             less = (-(start + _spaces(h) + 1)).cast("long").alias("less")
-            return let(rule, lambda r: F.struct(start.alias("start"), less, r["rank"].alias("rank"), r["conf"].alias("conf"), r["label"].alias("label")))
+            return F.struct(start.alias("start"), less, r["rank"].alias("rank"), r["conf"].alias("conf"), r["label"].alias("label"))
+
+        def placed(gap: Column) -> Column:
+            sizes = F.transform(g["hits"], lambda h, i: (_spaces(F.get(gap, i)) + _spaces(h)).cast("long"))
+            return let(running_starts(sizes), lambda at: F.transform(g["hits"], lambda h, i: hit(h, (F.get(at, i) + _spaces(F.get(gap, i)) - 1).cast("long"))))
 
-        sizes = F.transform(g["hits"], lambda h, i: (_spaces(F.get(g["gaps"], i)) + _spaces(h)).cast("long"))
-        return let(running_starts(sizes), lambda at: F.transform(g["hits"], lambda h, i: hit(h, (F.get(at, i) + _spaces(F.get(g["gaps"], i)) - 1).cast("long"))))
+        return let(gaps, placed)
 
-    groups = F.array(*[searched(k, keyword) for k, keyword in enumerate(by_key)])
-    return F.flatten(F.transform(F.filter(groups, lambda g: F.isnotnull(g) & (F.size(g["hits"]) > 0)), hits))
+    return F.flatten(F.transform(found, hits))
 
 
 def _surviving(hits: Column) -> Column:
@@ -131,7 +146,7 @@ def _surviving(hits: Column) -> Column:
 
 def prefilter() -> str:
     """A text that this does not match has no keyword and no base phrase."""
-    words = sorted({*keywords(), *[p.split()[0] for p, _ in BASE]})
+    words = sorted({*keywords(), *[p.split()[0] for p, _ in BASE], "licen[cs]es?"} - {DECLARED})
     return rf"(?i)(?<![0-9A-Za-z\x80-\x{{10FFFF}}])(?:{'|'.join(words)})(?![0-9A-Za-z\x80-\x{{10FFFF}}])"
 
 
@@ -140,8 +155,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 
     Words are lower-cased runs of letters, digits and characters over 0x7F. ``score`` is the highest
     confidence of a surviving detection, at least 0.5 with a base phrase, 0 without a label. Null or
-    empty text: no words. Null ids are ids like any other. Whole texts are searched, however long. Rules of one
-    keyword do not overlap: at each place the first in their order counts, and the search goes on behind it.
+    empty text: no words. Null ids are ids like any other. Whole texts are searched, however long. Each rule's hits
+    do not overlap one another; those of different rules may.
     Repeated rows: a row each. Empty table: no rows. Other columns are not read.
     """
     src = docs.select(docs[id_col].alias("_id"), F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("_text"))
@@ -160,8 +175,11 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
             F.transform(found, lambda b: b["x"]).alias("labels"),
         )
 
+    # Words as the rules read them: declarations are marked.
+    marked = F.translate(normal(F.regexp_replace(text, DECLARATION, f"$1 {DECLARED} ")), UPPER, LOWER)
+
     def all_of(low: Column) -> Column:
-        more = let(F.concat(F.lit(" "), low, F.lit(" ")), lambda w: let(_detections(w), _surviving))
+        more = let(F.concat(F.lit(" "), marked, F.lit(" ")), lambda w: let(_detections(w), _surviving))
         return F.struct(base(low).alias("base"), more.alias("more"))
 
     def row(norm: Column) -> Column:

@@ -199,17 +199,18 @@ def test_redaction(spark, docs, texts):
         assert r["out"] == out + t[at:]
 
 
-def license_labels(words):
-    """Labels and confidence of the method's own rules, plainly: every hit against every other."""
-    padded = " " + " ".join(words) + " "
-    by_key, hits = {}, []
+def license_labels(text):
+    """Labels and confidence of the method's own rules, plainly: every hit of every rule against every other."""
+    marked = re.sub(licenses.DECLARATION, rf"\1 {licenses.DECLARED} ", text)
+    padded = " " + " ".join(re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", marked.translate(str.maketrans(licenses.UPPER, licenses.LOWER)))) + " "
+    hits = []
     for r in licenses.rules():
-        by_key.setdefault(r.keyword, []).append(r)
-    for keyword, own in by_key.items():
-        if keyword in words:
-            for m in re.finditer(r"(?<= )(?:" + "|".join(f"(?:{r.pattern})" for r in own) + r")(?= )", padded):
-                rule = next(r for r in own if re.fullmatch(r.pattern, m[0]))
-                hits.append((padded[: m.start()].count(" ") - 1, padded[: m.end()].count(" "), rule))
+        if f" {r.keyword} " in padded:
+            behind = re.fullmatch(r"\(\?<=(.*?) \[0-9a-z \]\{1,200\} (.*?) \)(.*)", r.pattern)
+            # Python's re wants look-behinds of one length: the words before a hit are looked at apart.
+            for m in re.finditer(rf"(?<= )(?:{behind[3] if behind else r.pattern})(?= )", padded):
+                if not behind or re.search(rf"{behind[1]} [0-9a-z ]{{1,200}} {behind[2]} \Z", padded[: m.start()]):
+                    hits.append((padded[: m.start()].count(" ") - 1, padded[: m.end()].count(" "), r))
     hidden = lambda h: any(o[0] <= h[0] and h[1] <= o[1] and (o[2].rank < h[2].rank or o[2].rank == h[2].rank and o[:2] != h[:2]) for o in hits)
     left = [h[2] for h in hits if not hidden(h)]
     return {r.label for r in left}, max((licenses.CONFIDENCE[r.rank] for r in left), default=0.0)
@@ -224,7 +225,7 @@ def test_licenses(docs, texts, no_docs):
         hits = sorted((i, x) for p, x in licenses.BASE for i in range(len(words)) if words[i : i + len(p.split())] == p.split())
         assert r["n_words"] == len(words) and r["n_base"] == len(hits), t[:60]
         assert r["first_word"] == (hits[0][0] if hits else None) and r["last_word"] == (hits[-1][0] if hits else None)
-        more, score = license_labels(words)
+        more, score = license_labels(t)
         assert r["base_labels"] == sorted({x for _, x in hits}) and r["labels"] == sorted(more | {x for _, x in hits})
         assert r["score"] == max(score, 0.5 if hits else 0.0)
     labels = {t[:30]: r["labels"] for r, t in rows}
@@ -294,6 +295,14 @@ LABELLED = [
     ("available under the MIT No Attribution license", "mit-0"),
     ("Unauthorized copying of this file, via any medium is strictly prohibited", "proprietary"),
     ("the server side of the public house; business source of income", ""),
+    # Hits that overlap: rank and containment decide, not which begins first.
+    ("Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal with the Software without restriction", "ncsa"),
+    ("SPDX-License-Identifier: (MIT OR Apache-2.0)", "apache-2.0,mit"),
+    ("SPDX-License-Identifier: Apache-2.0 AND (BSD-3-Clause OR MIT)", "apache-2.0,bsd-3-clause,mit"),
+    ("License: MIT", "mit"),
+    ("license = \"MIT\"", "mit"),
+    ("\"license\": \"Apache-2.0\",", "apache-2.0"),
+    ("Bring the license mit nach Hause; Lizenz mit Foto", ""),
 ]
 
 
@@ -306,6 +315,12 @@ def test_license_labels_of_written_texts(spark):
     assert hit / sum(map(len, got.values())) > 0.95 and hit / sum(map(len, want)) > 0.95, wrong
 
 
+def test_overlapping_rules(spark):
+    the, gpl = "GNU General Public License Version 3, 29 June 2007", "Licensed under GPL version 3"
+    got = [r for r in licenses.scan(spark.createDataFrame(list(enumerate([the, f"The {the}", gpl])), "doc_id long, text string")).orderBy("doc_id").collect()]
+    assert got[0]["score"] == got[1]["score"] == 0.95 and "gpl-3.0" in got[2]["labels"] and got[2]["score"] > 0.7
+
+
 def test_suppression_hides_contained_hits(spark):
     from pyspark.sql import functions as F
 
