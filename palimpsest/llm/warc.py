@@ -27,10 +27,9 @@ from .common import scratch_path, written
 ROLL = 32 << 20
 #: Bytes that the reader asks for at once.
 CHUNK = 1 << 18
-#: Bytes of headers within which their end has to come; beyond, the record counts as damaged.
-HEADER = 64 << 20
 GZIP = b"\x1f\x8b\x08"
 VERSION = b"WARC/1."
+BLANK = b"\r\n\r\n"
 RECORD = "<urn:palimpsest:page:"
 _LINE = re.compile(rb"([!-9;-~]+):[ \t]*(.*)")
 
@@ -107,15 +106,28 @@ class Source:
         return self.size
 
 
-def _parse(get: Callable[[int, int], bytes], start: int, size: int) -> tuple[dict[str, str], bytes, int]:
-    """Headers, block and end of the record that begins at ``start``; every check must pass."""
+class Ahead:
+    """Where a mark is next, looked up once while reading goes forward: however many places ask, the bytes are searched once."""
+
+    def __init__(self, find: Callable[[bytes, int], int]):
+        self._find, self._known = find, {}
+
+    def next(self, mark: bytes, start: int) -> int:
+        since, at = self._known.get(mark, (0, -1))
+        if not since <= start <= at:
+            at = self._find(mark, start)
+            self._known[mark] = start, at
+        return at
+
+
+def _parse(get: Callable[[int, int], bytes], ahead: Ahead, start: int, size: int) -> tuple[dict[str, str], bytes, int]:
+    """Headers, block and end of the record that begins at ``start``; every check must pass. Headers may be of any length."""
     if get(start, len(VERSION)) != VERSION:
         raise Damaged("no version line")
-    n = 4096
-    while (k := (head := get(start, n)).find(b"\r\n\r\n")) < 0:
-        if len(head) < n or n > HEADER:
-            raise Damaged("header has no end")
-        n *= 4
+    k = ahead.next(BLANK, start) - start
+    if start + k >= size:
+        raise Damaged("header has no end")
+    head = get(start, k)
     headers = _headers(head[:k])
     if not headers.get("content-length", "").isdigit() or "warc-type" not in headers:
         raise Damaged("header fields")
@@ -156,9 +168,10 @@ def _member(source: Source, start: int) -> tuple[bytes, int, str]:
 def _inside(data: bytes) -> tuple[list[tuple[dict[str, str], bytes]], str]:
     """The valid records of a member's data, and the reason of the first gap between them."""
     found, reason, k = [], "", 0
+    ahead = Ahead(lambda mark, start: at if (at := data.find(mark, start)) >= 0 else len(data))
     while 0 <= k < len(data):
         try:
-            headers, block, k = _parse(lambda s, n: data[s : s + n], k, len(data))
+            headers, block, k = _parse(lambda s, n: data[s : s + n], ahead, k, len(data))
             found.append((headers, block))
         except Damaged as e:
             reason = reason or str(e)
@@ -173,7 +186,7 @@ def salvage(source: Source) -> Iterator[tuple]:
     """
     at = 0
     bad: list = []  # start and reason of the gap that is open
-    ahead = {GZIP: -1, VERSION: -1}  # where each mark is next
+    ahead = Ahead(source.find)
     while at < source.size:
         found, reason, end = [], "", at
         if source.get(at, 3) == GZIP:
@@ -182,7 +195,7 @@ def salvage(source: Source) -> Iterator[tuple]:
             reason = reason or inner
         else:
             try:
-                headers, block, end = _parse(source.get, at, source.size)
+                headers, block, end = _parse(source.get, ahead, at, source.size)
                 found = [(headers, block)]
             except Damaged as e:
                 reason = str(e)
@@ -195,10 +208,7 @@ def salvage(source: Source) -> Iterator[tuple]:
             at = end
             continue
         bad = bad or [at, reason]
-        for mark in ahead:
-            if ahead[mark] <= at:
-                ahead[mark] = source.find(mark, at + 1)
-        at = min(ahead.values())
+        at = min(ahead.next(mark, at + 1) for mark in (GZIP, VERSION))
     if bad:
         yield ("gap", bad[0], source.size, bad[1])
 

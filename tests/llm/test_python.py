@@ -219,6 +219,18 @@ def test_salvage_of_long_headers_and_of_much_junk():
     assert sum(reads) < 40 * len(data)
 
 
+def test_headers_have_no_bound():
+    """A header of 70 MB, in a member and in a plain file; and one without an end before the next record."""
+    long, short = warc.record(1, "x" * (70 << 20), b"body"), warc.record(2, "u", b"more")
+    for data in (long + short, warc.gzipped(long) + warc.gzipped(short)):
+        source = warc.Source(lambda start, n: data[start : start + n], len(data))
+        rows = list(warc.salvage(source))
+        assert [r[0] for r in rows] == ["record", "record"] and len(rows[0][3]["warc-target-uri"]) == 70 << 20
+    data = b"WARC/1.1\r\nWARC-Type: response\r\nno end" + short
+    rows = list(warc.salvage(warc.Source(lambda start, n: data[start : start + n], len(data))))
+    assert [r[0] for r in rows] == ["gap", "record"]
+
+
 def brute_topk(rows, k):
     """With Python's fractions and whole numbers only."""
     out = []
