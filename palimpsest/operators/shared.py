@@ -29,14 +29,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
 _folders: set[str] = set()
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """The rows as a Parquet table in the shared folder: no lineage, and they survive lost executors. It goes when the driver ends."""
-    spark = df.sparkSession
+def scratch(spark: SparkSession) -> str:
+    """A new path in the application's part of the shared folder. It goes when the driver ends."""
     folder = f"{checkpoint_dir(spark).rstrip('/')}/tables-{spark.sparkContext.applicationId}"
     if folder not in _folders:
         _folders.add(folder)
         atexit.register(_drop, spark, folder)
-    path = f"{folder}/{uuid.uuid4().hex}"
+    return f"{folder}/{uuid.uuid4().hex}"
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """The rows as a Parquet table in the shared folder: no lineage, and they survive lost executors."""
+    spark, path = df.sparkSession, scratch(df.sparkSession)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -12,27 +12,6 @@ from .catalog import query
 from .standins import role, sql
 
 _EXT = "substr(path, strpos(path, '.') + 1)"
-_LIST = "fl AS (SELECT c_custkey AS id, org, repo, path FROM (SELECT c_custkey, concat('org', c_custkey % 7 % 3) AS org, concat('repo', c_custkey % 7) AS repo, concat('src/m', c_custkey % 4, '/f', c_custkey, CASE c_custkey % 5 WHEN 0 THEN '.py' WHEN 1 THEN '.java' WHEN 2 THEN '.txt' WHEN 3 THEN '' ELSE '.csv' END) AS path FROM customer))"
-
-
-@query(
-    "j01_file_list_history",
-    sql(f"WITH {_LIST}, h AS (SELECT org, repo, path, count(*) AS commits FROM changes GROUP BY ALL) SELECT fl.id, CASE WHEN h.path IS NULL THEN 'not_found' ELSE 'found' END AS status, h.path AS found_path, h.commits FROM fl LEFT JOIN h USING (org, repo, path)", "changes"),
-)
-def file_list_history(spark, sf):
-    """Rows name their file in three ways: whole path, folder and name, path with organisation and repository in front."""
-    k = F.col("c_custkey")
-    rows = spark.read.parquet(f"{sf}/customer.parquet")
-    name = F.concat(F.lit("f"), k, F.expr("CASE c_custkey % 5 WHEN 0 THEN '.py' WHEN 1 THEN '.java' WHEN 2 THEN '.txt' WHEN 3 THEN '' ELSE '.csv' END"))
-    org, repo = F.concat(F.lit("org"), k % 7 % 3), F.concat(F.lit("repo"), k % 7)
-    folder = F.concat(F.lit("src/m"), k % 4)
-    rel = F.when(k % 3 == 0, F.concat_ws("/", folder, name)).when(k % 3 == 1, F.concat(F.lit("./"), folder)).otherwise(F.concat_ws("\\", F.lit("x"), org, F.upper(repo), F.translate(folder, "/", "\\"), name))
-    listed = rows.select(k.alias("id"), org.alias("org"), repo.alias("repo"), F.posexplode(paths.candidates(rel, name, org, repo)).alias("pos", "path"))
-    history = role(spark, sf, "changes").groupBy("org", "repo", "path").agg(F.count("*").alias("commits"))
-    met = listed.join(history, ["org", "repo", "path"], "left")
-    best = F.min(F.when(F.col("commits").isNotNull(), F.struct("pos", "path", "commits")))
-    out = met.groupBy("id").agg(best.alias("b"))
-    return out.select("id", F.when(F.col("b").isNull(), "not_found").otherwise("found").alias("status"), F.col("b.path").alias("found_path"), F.col("b.commits").alias("commits"))
 
 
 @query("j29_renamed_exists", sql("WITH r AS (SELECT DISTINCT repo, path AS renamed_to FROM changes WHERE status = 'R'), l AS (SELECT repo, path, arg_max(status, ord) <> 'D' AS alive FROM changes GROUP BY ALL) SELECT r.repo, renamed_to, coalesce(alive, false) AS exists_today FROM r LEFT JOIN l ON l.repo = r.repo AND l.path = r.renamed_to", "changes"))

@@ -53,6 +53,8 @@ ROLES: dict[str, tuple[str, list[str], str]] = {
          "CASE WHEN event_id % 200 = 0 THEN NULL WHEN event_id % 10 = 6 THEN event_id - 4 ELSE event_id - 1 END AS parent", "CASE WHEN event_id % 10 = 6 AND event_type <> 'view' THEN event_id - 1 END AS merged"],
         "true",
     ),
+    "lfs_changes": ("events", [*_place("user_id"), "event_id AS ord", "concat('c', event_id % 2500) AS commit", _STATUS, "concat('b', CAST(floor(value) AS BIGINT)) AS blob", "CAST(floor(value) AS BIGINT) * 37 % 5000 AS bytes", "CASE WHEN CAST(floor(value) AS BIGINT) % 6 = 0 THEN concat('o', CAST(floor(value) AS BIGINT)) END AS lfs_oid", "CASE WHEN CAST(floor(value) AS BIGINT) % 6 = 0 THEN CAST(floor(value) AS BIGINT) * 1000 END AS lfs_bytes"], "true"),
+    "lfs_active": ("customer", [*_place("c_custkey"), "CASE WHEN c_nationkey <> 7 THEN concat('b', c_custkey % 190) END AS blob", "concat('o', c_custkey % 190) AS sha256", "CASE WHEN c_nationkey = 3 THEN NULL WHEN c_custkey % 190 % 6 = 0 AND c_nationkey > 12 THEN c_custkey % 190 * 1000 ELSE c_custkey % 190 * 37 % 5000 END AS bytes"], "c_mktsegment <> 'BUILDING'"),
     "moves": ("events", ["concat('repo', user_id % 7) AS repo", "event_id AS ord", "ts", "concat('c', event_id) AS commit", "CASE WHEN event_type = 'purchase' AND value >= 100 THEN 'R100' WHEN event_type = 'signup' THEN 'A' WHEN event_type = 'error' THEN 'D' ELSE 'M' END AS status", "CASE WHEN event_type = 'purchase' AND value >= 100 THEN concat('f', user_id + 7) ELSE concat('f', user_id) END AS path", "CASE WHEN event_type = 'purchase' AND value >= 100 THEN concat('f', user_id) END AS old_path"], "true"),
     "commits": ("events", ["event_id AS sha", "CASE WHEN event_id % 17 = 0 THEN NULL ELSE event_id - 1 - event_id % 3 END AS parent", "event_type AS branch"], "true"),
 }
