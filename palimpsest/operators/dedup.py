@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .shared import cut
+
 
 def originals(rows: DataFrame, content: list[str], order: list[str]) -> DataFrame:
     """The first occurrence of each content, with the number of occurrences. Partial aggregates: hot contents cost one row a task."""
@@ -28,7 +30,7 @@ def pack_coverage(packs: DataFrame, pack: str = "pack", obj: str = "object", siz
     """
     members = packs.groupBy(pack, obj).agg(F.sum(size).alias("_b"))
     sizes = members.groupBy(pack).agg(F.sum("_b").alias("pack_bytes"), F.count("*").alias("objects"))
-    ranked = members.join(sizes, pack)
+    ranked = cut(members.join(sizes, pack))  # read for the owners, and again with them
     owners = ranked.groupBy(obj).agg(F.max(F.struct("pack_bytes", (-F.col(pack)).alias("_m"))).alias("_o")).select(obj, (-F.col("_o._m")).alias("owner"))
     per = ranked.join(owners, obj).groupBy(pack, "pack_bytes", "objects", "owner").agg(F.count("*").alias("n"))
     best = F.max(F.when(F.col("owner") != F.col(pack), F.struct("n", (-F.col("owner")).alias("m"))))

@@ -8,20 +8,48 @@ from pyspark.sql.window import Window
 
 
 def with_totals(rows: DataFrame, by: str, sums: dict[str, Column], distinct: dict[str, Column]) -> DataFrame:
-    """Per value of ``by`` and in total. Distinct counts of the total are counted anew, not added."""
-    aggs = [F.sum(c).alias(n) for n, c in sums.items()] + [F.count_distinct(c).alias(n) for n, c in distinct.items()]
-    out = rows.rollup(by).agg(F.grouping(by).alias("_g"), *aggs)
-    return out.withColumn(by, F.when(F.col("_g") == 1, "total").otherwise(F.col(by))).drop("_g")
+    """Per value of ``by`` and in total. Distinct counts of the total are counted anew, not added.
+
+    Each distinct count goes by steps of its own, so that no row is expanded for several of them.
+    """
+    adds = [F.sum(c).alias(n) for n, c in sums.items()]
+    own = rows.groupBy(F.col(by).alias("_by")).agg(F.count("*").alias("_rows"), *adds).withColumn("_g", F.lit(0))
+    out = own.unionByName(rows.agg(F.count("*").alias("_rows"), *adds).withColumns({"_by": F.lit(None).cast(rows.schema[by].dataType), "_g": F.lit(1)}))
+    for name, c in distinct.items():
+        pairs = rows.select(F.col(by).alias("_v"), c.alias("_d")).where("_d IS NOT NULL").distinct()
+        counts = pairs.groupBy("_v").agg(F.count("*").alias(name)).withColumn("_t", F.lit(0))
+        total = pairs.select("_d").distinct().agg(F.count("*").alias(name)).withColumns({"_v": F.lit(None).cast(rows.schema[by].dataType), "_t": F.lit(1)})
+        counts = counts.unionByName(total)
+        out = out.join(counts, F.col("_by").eqNullSafe(F.col("_v")) & (F.col("_g") == F.col("_t")), "left").drop("_v", "_t").withColumn(name, F.coalesce(name, F.lit(0).cast("long")))
+    return out.select(F.when(F.col("_g") == 1, "total").otherwise(F.col("_by")).alias(by), *sums, *distinct)
+
+
+def running_counts(rows: DataFrame, group: list[str], value: str) -> DataFrame:
+    """Each distinct value of a group once: how many rows have it (_n), how many one up to it (_upto), how many there are (_all).
+
+    Values are cut into bands of a part in 64 of their size; the bands, a few thousand whatever the number of values, are summed first, so that
+    no task has all values of a group. Null values come first.
+    """
+    counts = rows.groupBy(*group, value).agg(F.count("*").alias("_n"))
+    x = F.col(value).cast("double")
+    band = F.when(x.isNull(), -3_000_000).when(F.isnan(x), 2_000_000).when(x > 0, F.floor(F.ln(x) * 64)).when(x < 0, -2_000_000 - F.floor(F.ln(-x) * 64)).otherwise(-1_000_000)
+    counts = counts.withColumn("_band", band.cast("int"))
+    whole = Window.partitionBy(*group)
+    before = F.coalesce(F.sum("_own").over(whole.orderBy("_band").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    bands = counts.groupBy(*group, "_band").agg(F.sum("_n").alias("_own"))
+    bands = bands.select(*[F.col(c).alias(f"_g{i}") for i, c in enumerate(group)], F.col("_band").alias("_b"), before.alias("_before"), F.sum("_own").over(whole).alias("_all"))
+    same = F.col("_band") == F.col("_b")
+    for i, c in enumerate(group):
+        same = same & F.col(c).eqNullSafe(F.col(f"_g{i}"))
+    upto = F.sum("_n").over(Window.partitionBy(*group, "_band").orderBy(value).rowsBetween(Window.unboundedPreceding, 0))
+    return counts.join(bands, same).withColumn("_upto", F.col("_before") + upto).select(*group, value, "_n", "_upto", "_all")
 
 
 def nearest_rank(rows: DataFrame, group: list[str], value: str, shares: dict[str, float]) -> DataFrame:
     """Per group the value at place min(n, floor(n * p) + 1) in ascending order, for each share p."""
-    w = Window.partitionBy(*group)
-    counted = rows.groupBy(*group, value).agg(F.count("*").alias("_c"))
-    upto = F.sum("_c").over(w.orderBy(value).rowsBetween(Window.unboundedPreceding, 0))
-    counted = counted.withColumns({"_to": upto, "_n": F.sum("_c").over(w)})
-    at = lambda p: F.min(F.when(F.col("_to") >= F.least(F.col("_n"), F.floor(F.col("_n") * p) + 1), F.col(value)))
-    return counted.groupBy(*group).agg(*[at(p).alias(n) for n, p in shares.items()], F.max("_n").alias("n"))
+    counted = running_counts(rows, group, value)
+    at = lambda p: F.min(F.when(F.col("_upto") >= F.least(F.col("_all"), F.floor(F.col("_all") * p) + 1), F.col(value)))
+    return counted.groupBy(*group).agg(*[at(p).alias(n) for n, p in shares.items()], F.max("_all").alias("n"))
 
 
 def distribution(rows: DataFrame, bucket: Column, name: str = "bucket") -> DataFrame:
@@ -66,9 +94,7 @@ def status_trail(runs: DataFrame, unit: str) -> DataFrame:
 
 def quantiles(rows: DataFrame, group: list[str], value: str, fractions: dict[str, float]) -> DataFrame:
     """Linear-interpolated quantiles of each group by counts of its values: no aggregate holds all values of a group."""
-    counts = rows.where(F.col(value).isNotNull()).groupBy(*group, value).agg(F.count("*").alias("_n"))
-    whole = Window.partitionBy(*group)
-    counts = counts.withColumns({"_upto": F.sum("_n").over(whole.orderBy(value)), "_all": F.sum("_n").over(whole)})
+    counts = running_counts(rows.where(F.col(value).isNotNull()), group, value)
     at = {name: (F.col("_all") - 1) * F.lit(p) for name, p in fractions.items()}
     ends = [f(F.when(F.col("_upto") > g(at[n]), F.col(value))).alias(f"_{k}_{n}") for n in at for k, f, g in (("a", F.min, F.floor), ("b", F.min, F.ceil))]
     found = counts.groupBy(*group).agg(F.max("_all").alias("_all"), *ends)

@@ -259,11 +259,11 @@ def active_vs_stored(spark, sf):
     return reconcile.store_actions(role(spark, sf, "active"), role(spark, sf, "processed"), "blob", ["org", "repo", "path"]).select("org", "repo", "path", "blob", "action")
 
 
-@query("j38_resend", sql("WITH k AS (SELECT DISTINCT sha FROM manifest WHERE action = 'written' AND ord % 3 = 0) SELECT sha, min(path) AS path FROM manifest WHERE (action = 'written' AND ord % 2 = 0) OR (action = 'deduped' AND sha NOT IN (SELECT sha FROM k)) GROUP BY sha", "manifest"))
+@query("j38_resend", sql("WITH k AS (SELECT DISTINCT sha FROM manifest WHERE action = 'written' AND bytes > 100000) SELECT sha, min(path) AS path FROM manifest WHERE (action = 'written' AND ts < TIMESTAMP '1995-06-01 00:00:00') OR (action = 'deduped' AND sha NOT IN (SELECT sha FROM k)) GROUP BY sha", "manifest"))
 def resend(spark, sf):
     rows = role(spark, sf, "manifest")
-    kept = rows.where("action = 'written' AND ord % 3 = 0").select("sha")
-    again = rows.where("action = 'written' AND ord % 2 = 0").unionByName(rows.where("action = 'deduped'").join(kept, "sha", "left_anti").select(rows.columns))
+    kept = rows.where("action = 'written' AND bytes > 100000").select("sha")
+    again = rows.where("action = 'written' AND ts < TIMESTAMP '1995-06-01 00:00:00'").unionByName(rows.where("action = 'deduped'").join(kept, "sha", "left_anti").select(rows.columns))
     return again.groupBy("sha").agg(F.min("path").alias("path"))
 
 

@@ -46,32 +46,33 @@ def at_head_backfill(spark, sf):
     return rows.select("org", "repo", "path", F.when(F.col("_r"), F.coalesce("_a", F.lit(False))).alias("at_head"))
 
 
-@query("j34_new_contents", sql("SELECT sha, min(path) AS path FROM manifest WHERE ord % 2 = 1 AND sha NOT IN (SELECT sha FROM manifest WHERE ord % 2 = 0 AND action <> 'failed') GROUP BY sha", "manifest"))
+@query("j34_new_contents", sql("SELECT sha, min(path) AS path FROM manifest WHERE ts >= TIMESTAMP '1995-06-01 00:00:00' AND sha NOT IN (SELECT sha FROM manifest WHERE ts < TIMESTAMP '1995-06-01 00:00:00' AND action <> 'failed') GROUP BY sha", "manifest"))
 def new_contents(spark, sf):
     rows = role(spark, sf, "manifest")
-    before = rows.where("ord % 2 = 0 AND action <> 'failed'").select("sha")
-    return rows.where("ord % 2 = 1").join(before, "sha", "left_anti").groupBy("sha").agg(F.min("path").alias("path"))
+    before = rows.where("ts < TIMESTAMP '1995-06-01 00:00:00' AND action <> 'failed'").select("sha")
+    return rows.where("ts >= TIMESTAMP '1995-06-01 00:00:00'").join(before, "sha", "left_anti").groupBy("sha").agg(F.min("path").alias("path"))
 
 
-@query("j17_manifest_join", sql("WITH a AS (SELECT repo, path, count(*) AS n FROM manifest GROUP BY ALL), b AS (SELECT repo, path, max(bytes) AS kept FROM manifest WHERE ord % 3 = 0 GROUP BY ALL) SELECT a.repo, a.path, n, kept FROM a LEFT JOIN b USING (repo, path)", "manifest"))
+@query("j17_manifest_join", sql("WITH a AS (SELECT repo, path, count(*) AS n FROM manifest GROUP BY ALL), b AS (SELECT repo, path, max(bytes) AS kept FROM manifest WHERE action = 'written' GROUP BY ALL) SELECT a.repo, a.path, n, kept FROM a LEFT JOIN b USING (repo, path)", "manifest"))
 def manifest_join(spark, sf):
     rows = role(spark, sf, "manifest")
-    return rows.groupBy("repo", "path").agg(F.count("*").alias("n"), F.max(F.when(F.col("ord") % 3 == 0, F.col("bytes"))).alias("kept"))
+    delta = rows.where("action = 'written'").groupBy("repo", "path").agg(F.max("bytes").alias("kept"))
+    return rows.groupBy("repo", "path").agg(F.count("*").alias("n")).join(delta, ["repo", "path"], "left")
 
 
-@query("j19_run_validation", sql("WITH a AS (SELECT repo, count(*) AS first_run FROM manifest WHERE ord % 5 <> 0 GROUP BY repo), b AS (SELECT repo, count(*) AS new_run FROM manifest WHERE ord % 7 <> 0 AND repo <> 'repo3' GROUP BY repo) SELECT coalesce(a.repo, b.repo) AS repo, coalesce(first_run, 0) AS first_run, coalesce(new_run, 0) AS new_run, coalesce(first_run, 0) = coalesce(new_run, 0) AS agrees FROM a FULL JOIN b ON a.repo = b.repo", "manifest"))
+@query("j19_run_validation", sql("WITH a AS (SELECT repo, count(*) AS first_run FROM manifest WHERE bytes > 20000 GROUP BY repo), b AS (SELECT repo, count(*) AS new_run FROM manifest WHERE action <> 'failed' AND repo <> 'repo3' GROUP BY repo) SELECT coalesce(a.repo, b.repo) AS repo, coalesce(first_run, 0) AS first_run, coalesce(new_run, 0) AS new_run, coalesce(first_run, 0) = coalesce(new_run, 0) AS agrees FROM a FULL JOIN b ON a.repo = b.repo", "manifest"))
 def run_validation(spark, sf):
     rows = role(spark, sf, "manifest")
-    a = rows.where("ord % 5 <> 0").groupBy("repo").agg(F.count("*").alias("first_run"))
-    b = rows.where("ord % 7 <> 0 AND repo <> 'repo3'").groupBy("repo").agg(F.count("*").alias("new_run"))
+    a = rows.where("bytes > 20000").groupBy("repo").agg(F.count("*").alias("first_run"))
+    b = rows.where("action <> 'failed' AND repo <> 'repo3'").groupBy("repo").agg(F.count("*").alias("new_run"))
     return a.join(b, "repo", "full_outer").na.fill(0).withColumn("agrees", F.col("first_run") == F.col("new_run"))
 
 
-@query("j26_stats_chain", sql(f"WITH h AS (SELECT {_EXT} AS ext, count(*) AS history FROM manifest WHERE action <> 'failed' GROUP BY 1), t AS (SELECT {_EXT} AS ext, count(*) AS today FROM manifest WHERE ord % 4 = 0 GROUP BY 1), s AS (SELECT {_EXT} AS ext, count(DISTINCT sha) AS stored FROM manifest WHERE action = 'written' GROUP BY 1) SELECT coalesce(h.ext, t.ext, s.ext) AS ext, history, today, stored FROM h FULL JOIN t ON h.ext = t.ext FULL JOIN s ON s.ext = coalesce(h.ext, t.ext)", "manifest"))
+@query("j26_stats_chain", sql(f"WITH h AS (SELECT {_EXT} AS ext, count(*) AS history FROM manifest WHERE action <> 'failed' GROUP BY 1), t AS (SELECT {_EXT} AS ext, count(*) AS today FROM manifest WHERE ts >= TIMESTAMP '1995-06-01 00:00:00' GROUP BY 1), s AS (SELECT {_EXT} AS ext, count(DISTINCT sha) AS stored FROM manifest WHERE action = 'written' GROUP BY 1) SELECT coalesce(h.ext, t.ext, s.ext) AS ext, history, today, stored FROM h FULL JOIN t ON h.ext = t.ext FULL JOIN s ON s.ext = coalesce(h.ext, t.ext)", "manifest"))
 def stats_chain(spark, sf):
     rows = role(spark, sf, "manifest").withColumn("ext", paths.ext_key(F.col("path")))
     h = rows.where("action <> 'failed'").groupBy("ext").agg(F.count("*").alias("history"))
-    t = rows.where("ord % 4 = 0").groupBy("ext").agg(F.count("*").alias("today"))
+    t = rows.where("ts >= TIMESTAMP '1995-06-01 00:00:00'").groupBy("ext").agg(F.count("*").alias("today"))
     s = rows.where("action = 'written'").groupBy("ext").agg(F.count_distinct("sha").alias("stored"))
     return h.join(t, "ext", "full_outer").join(s, "ext", "full_outer")
 

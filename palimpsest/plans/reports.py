@@ -270,17 +270,20 @@ def combine_runs(spark, sf):
     return out.select("ext", (F.col("0") + F.col("1")).alias("files"), F.col("0").alias("run_0"), F.col("1").alias("run_1"))
 
 
-@query("j18_three_way_ext", sql(f"WITH e AS (SELECT {_EXT} AS ext, * FROM manifest), c AS (SELECT ext, count(*) AS files FROM e GROUP BY ext), d AS (SELECT ext, count(*) AS kept FROM e WHERE ord % 7 = 0 GROUP BY ext), x AS (SELECT ext, count(DISTINCT sha) AS sent FROM e WHERE action = 'written' GROUP BY ext) SELECT c.ext, files, coalesce(kept, 0) AS kept, coalesce(sent, 0) AS sent FROM c LEFT JOIN d USING (ext) LEFT JOIN x USING (ext)", "manifest"))
+@query("j18_three_way_ext", sql(f"WITH e AS (SELECT {_EXT} AS ext, * FROM manifest), c AS (SELECT ext, count(*) AS files FROM e GROUP BY ext), d AS (SELECT ext, count(*) AS kept FROM e WHERE bytes > 150000 GROUP BY ext), x AS (SELECT ext, count(DISTINCT sha) AS sent FROM e WHERE action = 'written' GROUP BY ext) SELECT c.ext, files, coalesce(kept, 0) AS kept, coalesce(sent, 0) AS sent FROM c LEFT JOIN d USING (ext) LEFT JOIN x USING (ext)", "manifest"))
 def three_way_ext(spark, sf):
-    """Conditional aggregates take the place of the joins: one pass."""
+    """Counts of history, of the text delta and of the extraction, brought together by extension."""
     rows = role(spark, sf, "manifest").withColumn("ext", paths.ext_key(F.col("path")))
-    return rows.groupBy("ext").agg(F.count("*").alias("files"), F.count_if(F.col("ord") % 7 == 0).alias("kept"), F.count_distinct(F.when(F.col("action") == "written", F.col("sha"))).alias("sent"))
+    kept = rows.where("bytes > 150000").groupBy("ext").agg(F.count("*").alias("kept"))
+    sent = rows.where("action = 'written'").select("ext", "sha").distinct().groupBy("ext").agg(F.count("*").alias("sent"))
+    files = rows.groupBy("ext").agg(F.count("*").alias("files"))
+    return files.join(kept, "ext", "left").join(sent, "ext", "left").na.fill(0, ["kept", "sent"])
 
 
-@query("j39_conservation", sql(f"WITH b AS (SELECT {_EXT} AS ext, action, path, ord FROM manifest) SELECT ext, count(*) FILTER (ord % 5 <> 0) AS before, count(*) FILTER (ord % 7 <> 0) AS after, count(*) FILTER (ord % 5 = 0 AND ord % 7 <> 0) AS new, count(*) FILTER (ord % 5 <> 0 AND ord % 7 = 0) AS gone, count(*) FILTER (ord % 7 <> 0) - count(*) FILTER (ord % 5 <> 0) = count(*) FILTER (ord % 5 = 0 AND ord % 7 <> 0) - count(*) FILTER (ord % 5 <> 0 AND ord % 7 = 0) AS holds FROM b GROUP BY ext", "manifest"))
+@query("j39_conservation", sql(f"WITH b AS (SELECT {_EXT} AS ext, action, bytes FROM manifest) SELECT ext, count(*) FILTER (bytes > 20000) AS before, count(*) FILTER (action <> 'failed') AS after, count(*) FILTER (bytes <= 20000 AND action <> 'failed') AS new, count(*) FILTER (bytes > 20000 AND action = 'failed') AS gone, count(*) FILTER (action <> 'failed') - count(*) FILTER (bytes > 20000) = count(*) FILTER (bytes <= 20000 AND action <> 'failed') - count(*) FILTER (bytes > 20000 AND action = 'failed') AS holds FROM b GROUP BY ext", "manifest"))
 def conservation(spark, sf):
     rows = role(spark, sf, "manifest").withColumn("ext", paths.ext_key(F.col("path")))
-    was, now = F.col("ord") % 5 != 0, F.col("ord") % 7 != 0
+    was, now = F.col("bytes") > 20000, F.col("action") != "failed"
     out = rows.groupBy("ext").agg(F.count_if(was).alias("before"), F.count_if(now).alias("after"), F.count_if(~was & now).alias("new"), F.count_if(was & ~now).alias("gone"))
     return out.withColumn("holds", F.col("after") - F.col("before") == F.col("new") - F.col("gone"))
 

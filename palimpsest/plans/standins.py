@@ -22,13 +22,14 @@ ROLES: dict[str, tuple[str, list[str], str]] = {
         [*_place("user_id"), "event_id AS ord", "concat('c', event_id % 2500) AS commit", "ts", "concat('a', event_id % 11) AS author", _STATUS, *_BLOB, "CAST(floor(value) AS BIGINT) AS added", "event_id % 97 AS deleted"],
         "true",
     ),
-    "active": ("customer", [*_place("c_custkey"), "concat('b', c_custkey % 490) AS blob", "c_custkey % 490 * 37 % 5000 AS bytes"], "c_custkey % 7 <> 3"),
-    "processed": ("part", ["concat('repo', p_partkey % 7) AS repo", "concat('b', p_partkey % 490) AS blob"], "p_partkey % 4 = 0"),
-    "inv_a": ("documents", ["source AS repo", "concat(lang, '/d', doc_id, '.txt') AS path", "md5(text) AS hash", "n_chars AS bytes"], "doc_id % 3 <> 0"),
+    # The history's repo3 has no active copy; another one, repo9, has nothing else.
+    "active": ("customer", ["concat('org', c_custkey % 7 % 3) AS org", "CASE c_custkey % 7 WHEN 3 THEN 'repo9' ELSE concat('repo', c_custkey % 7) END AS repo", _PATH.format("c_custkey") + " AS path", "concat('b', c_custkey % 490) AS blob", "c_custkey % 490 * 37 % 5000 AS bytes"], "true"),
+    "processed": ("part", ["concat('repo', p_partkey % 7) AS repo", "concat('b', p_partkey % 123 * 4) AS blob"], "true"),
+    "inv_a": ("documents", ["source AS repo", "concat(lang, CASE WHEN doc_id % 3 = 0 THEN '/old/d' ELSE '/d' END, doc_id, '.txt') AS path", "md5(text) AS hash", "n_chars AS bytes"], "true"),
     "inv_b": (
         "documents",
-        ["source AS repo", "concat(lang, '/d', CASE WHEN doc_id % 10 = 2 THEN -doc_id ELSE doc_id END, '.txt') AS path", "CASE WHEN doc_id % 10 = 1 THEN md5(concat(text, 'x')) ELSE md5(text) END AS hash", "CASE WHEN doc_id % 10 = 1 THEN n_chars + 1 ELSE n_chars END AS bytes"],
-        "doc_id % 4 <> 0",
+        ["source AS repo", "concat(lang, CASE WHEN doc_id % 4 = 0 THEN '/new/d' ELSE '/d' END, CASE WHEN doc_id % 10 = 2 THEN -doc_id ELSE doc_id END, '.txt') AS path", "CASE WHEN doc_id % 10 = 1 THEN md5(concat(text, 'x')) ELSE md5(text) END AS hash", "CASE WHEN doc_id % 10 = 1 THEN n_chars + 1 ELSE n_chars END AS bytes"],
+        "true",
     ),
     "packs": ("lineitem", ["l_suppkey AS pack", "l_partkey AS object", "CAST(floor(l_quantity) AS BIGINT) AS bytes"], "true"),
     "manifest": (
@@ -39,10 +40,10 @@ ROLES: dict[str, tuple[str, list[str], str]] = {
     "urls": ("pages", ["page_id", "url", "regexp_replace(regexp_replace(url, '^https?://[^/]+/', ''), '[?#].*$', '') AS path", "html"], "true"),
     "share": (
         "orders",
-        ["concat('unit', o_custkey % 11) AS unit", "concat(CASE WHEN o_orderkey % 13 = 0 THEN 'F' ELSE 'f' END, o_orderkey % 3000, CASE WHEN o_orderkey % 50 = 7 THEN '.tmp.12' ELSE '' END) AS rel", "o_orderkey % 3000 + CASE WHEN o_orderkey % 29 = 0 THEN 1 ELSE 0 END AS bytes"],
-        "o_orderkey % 5 <> 0",
+        ["concat('unit', o_custkey % 11) AS unit", "concat(CASE WHEN o_orderkey % 13 = 0 THEN 'F' WHEN o_orderkey % 5 = 0 THEN 'only/f' ELSE 'f' END, o_orderkey % 3000, CASE WHEN o_orderkey % 50 = 7 THEN '.tmp.12' ELSE '' END) AS rel", "o_orderkey % 3000 + CASE WHEN o_orderkey % 29 = 0 THEN 1 ELSE 0 END AS bytes"],
+        "true",
     ),
-    "source": ("orders", ["concat('unit', o_custkey % 11) AS unit", "concat('f', o_orderkey % 3000) AS rel", "o_orderkey % 3000 AS bytes"], "o_orderkey % 4 <> 0"),
+    "source": ("orders", ["concat('unit', o_custkey % 11) AS unit", "concat(CASE WHEN o_orderkey % 4 = 0 THEN 'here/f' ELSE 'f' END, o_orderkey % 3000) AS rel", "o_orderkey % 3000 AS bytes"], "true"),
     "runs": ("events", ["concat('repo', user_id) AS unit", "event_id % 6 AS run", "ts AS finished", "event_id AS ord", "CASE WHEN event_type IN ('view', 'click') THEN 'ok' WHEN event_type = 'error' THEN 'timeout' ELSE 'failed' END AS status"], "true"),
     "old_files": ("lineitem", ["l_linenumber AS unit", _DAY, "concat('b', CAST(floor(l_quantity) AS BIGINT)) AS blob"], "l_shipdate < TIMESTAMP '1998-10-01 00:00:00'"),
     "new_files": ("lineitem", ["l_linenumber AS unit", _DAY, "concat('b', CAST(floor(l_quantity) AS BIGINT), CASE WHEN l_returnflag = 'R' AND l_quantity > 49 THEN 'x' ELSE '' END) AS blob"], "l_shipdate >= TIMESTAMP '1992-03-01 00:00:00'"),

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from palimpsest.functions import paths, strings
-from palimpsest.operators import identity, shared, summary
+from palimpsest.functions import paths, routes, strings
+from palimpsest.operators import identity, listing, shared, summary, trees
 from palimpsest.sources import objects
 
 from .catalog import query
@@ -135,3 +135,42 @@ def object_stream(spark, sf):
 def strings_in_pages(spark, sf):
     found = strings.mined(F.col("html").cast("binary"))
     return spark.read.parquet(f"{sf}/pages.parquet").select("page_id", F.explode(F.array(found)).alias("s")).select("page_id", F.size("s").alias("n"), F.md5(F.array_join("s", "|")).alias("digest"))
+
+
+_ROUTES = {"code": ["py", "java"], "table": ["csv"], "text": ["txt", "csv"]}
+
+
+@query("f28_routes", sql(f"WITH e AS (SELECT DISTINCT path, {_EXT} AS ext FROM changes) SELECT CASE WHEN ext IN ('py', 'java') THEN 'code' WHEN ext = 'csv' THEN 'table' WHEN ext = 'txt' THEN 'text' WHEN ext = '' THEN 'no_extension' ELSE 'other' END AS route, CASE WHEN ext = 'txt' THEN 'text' WHEN ext = 'csv' THEN 'binary' ELSE 'other' END AS \"group\", count(*) AS files FROM e GROUP BY ALL", "changes"))
+def file_routes(spark, sf):
+    files = role(spark, sf, "changes").select("path").distinct().select(paths.ext_key(F.col("path")).alias("ext"))
+    return files.groupBy(routes.route_of(F.col("ext"), _ROUTES).alias("route"), routes.group_of(F.col("ext"), ["txt"], ["csv"]).alias("group")).agg(F.count("*").alias("files"))
+
+
+@query(
+    "a42_type_routes",
+    ("SELECT ext AS type, CASE WHEN o_orderkey % 3 = 0 THEN 'log' ELSE '-' END AS inner, count(*) FILTER (status = 'ok') AS text, count(*) FILTER (status = 'binary' AND NOT prog) AS whole, count(*) FILTER (status = 'binary' AND prog) AS left_out, count(*) FILTER (status = 'failed') AS no_text FROM (SELECT o_orderkey, CASE o_orderstatus WHEN 'O' THEN 'ok' WHEN 'F' THEN 'binary' ELSE 'failed' END AS status, CASE WHEN o_orderkey % 5 = 0 THEN 'deploy' WHEN o_orderkey % 5 = 1 THEN 'db_backup' ELSE 'txt' END AS ext, o_orderkey % 5 = 0 AND o_orderkey % 3 = 1 AS prog FROM orders) GROUP BY ALL").replace("ELSE '-' END AS inner", "WHEN o_orderkey % 5 = 0 AND o_orderkey % 3 = 1 THEN 'dll' ELSE '-' END AS inner"),
+)
+def type_routes(spark, sf):
+    k = F.col("o_orderkey")
+    inner = F.when(k % 3 == 0, ".LOG.v2").when((k % 5 == 0) & (k % 3 == 1), ".dll.v3").otherwise("")
+    ext = F.when(k % 5 == 0, "deploy").when(k % 5 == 1, "DB_backup").otherwise("txt")
+    status = F.when(F.col("o_orderstatus") == "O", "ok").when(F.col("o_orderstatus") == "F", "binary").otherwise("failed")
+    rows = spark.read.parquet(f"{sf}/orders.parquet").select(F.concat(F.lit("a.b/f"), k, inner, F.lit("."), ext).alias("path"), status.alias("status"))
+    return listing.routes_by_type(rows)
+
+
+@query("s19_active_files", "SELECT concat('org', c_nationkey % 3) AS org, concat('repo', c_nationkey) AS repo, ext, count(*) AS files FROM (SELECT c_nationkey, CASE WHEN c_acctbal < 0 THEN 'py' ELSE 'md' END AS ext FROM customer WHERE c_mktsegment NOT IN ('BUILDING', 'MACHINERY')) GROUP BY ALL")
+def active_copy(spark, sf):
+    """Files below a root as a listing gives them; what lies in folders .git is no part of an active copy."""
+    rows = spark.read.parquet(f"{sf}/customer.parquet")
+    folder = F.when(F.col("c_mktsegment") == "BUILDING", ".git/objects").when(F.col("c_mktsegment") == "MACHINERY", "lib/sub/.git").otherwise("lib/x.git")
+    name = F.concat(F.lit("f"), "c_custkey", F.when(F.col("c_acctbal") < 0, ".py").otherwise(".MD"))
+    listed = rows.select(F.concat_ws("/", F.lit("file:/data/root"), F.concat(F.lit("org"), F.col("c_nationkey") % 3), F.concat(F.lit("repo"), "c_nationkey"), folder, name).alias("path"))
+    return listing.active_files(listing.below(listed, "/data/root")).groupBy("org", "repo", "ext").agg(F.count("*").alias("files"))
+
+
+@query("s31_inventory", sql("SELECT unit, regexp_extract(path, '^(.*)/[^/]*$', 1) AS relpath, regexp_extract(path, '([^/]*)$', 1) AS filename FROM (SELECT DISTINCT unit, path FROM new_files)", "new_files"))
+def tree_inventory(spark, sf):
+    """A file list made from the newest trees."""
+    roots, entries = trees.store(role(spark, sf, "new_files"), ["unit"])
+    return listing.inventory(trees.listed(roots, entries), ["unit"])
