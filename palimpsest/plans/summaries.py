@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from palimpsest.functions import paths, routes, strings
-from palimpsest.operators import identity, listing, shared, summary, trees
+from palimpsest.operators import identity, listing, report, shared, summary, trees
 from palimpsest.sources import objects
 
 from .catalog import query
@@ -174,3 +174,29 @@ def tree_inventory(spark, sf):
     """A file list made from the newest trees."""
     roots, entries = trees.store(role(spark, sf, "new_files"), ["unit"])
     return listing.inventory(trees.listed(roots, entries), ["unit"])
+
+
+_SECTIONS = {"total": [], "extension": ["ext"], "repository": ["org", "repo"], "reason": ["ext", "action"]}
+_REPORT = f"""m AS (SELECT *, {_EXT} AS ext FROM manifest), s AS (SELECT sha, max(bytes) AS size, org, repo, ext, action, count(*) AS files, CAST(sum(bytes) AS BIGINT) AS bytes FROM m GROUP BY ALL)"""
+
+
+def _one(section: str, columns: list[str]) -> str:
+    keys = " || ' | ' || ".join(columns) or "''"
+    by = "".join(f", {c}" for c in columns)
+    return f"SELECT '{section}' AS section, {keys} AS keys, CAST(sum(files) AS BIGINT) AS files, CAST(sum(bytes) AS BIGINT) AS bytes, count(*) AS contents, CAST(sum(size) AS BIGINT) AS content_sum FROM (SELECT sha{by}, sum(files) AS files, sum(bytes) AS bytes, max(size) AS size FROM s GROUP BY ALL) GROUP BY ALL"
+
+
+@query("a40_sections", sql(f"WITH {_REPORT} {' UNION ALL '.join(_one(n, c) for n, c in _SECTIONS.items())}", "manifest"))
+def report_sections(spark, sf):
+    """Total, by extension, by repository and by reason: files, bytes, and each content once in its group."""
+    rows = role(spark, sf, "manifest").withColumn("ext", paths.ext_key(F.col("path")))
+    return report.sections(rows, _SECTIONS, {"files": F.lit(1), "bytes": F.col("bytes")}, "sha", "bytes")
+
+
+@query("a40_cross_check", sql(f"WITH {_REPORT}, e AS ({_one('extension', ['ext'])}), o AS (SELECT {_EXT} AS ext, count(*) AS files, count(DISTINCT sha) AS contents FROM manifest WHERE action <> 'failed' GROUP BY 1) SELECT e.keys AS ext, f AS figure, CASE f WHEN 'files' THEN e.files ELSE e.contents END :: DECIMAL(38, 3) AS report, CASE f WHEN 'files' THEN o.files ELSE o.contents END :: DECIMAL(38, 3) AS other, coalesce(CASE f WHEN 'files' THEN e.files = o.files ELSE e.contents = o.contents END, false) AS same FROM e FULL JOIN o ON o.ext = e.keys, unnest(['files', 'contents']) t(f)", "manifest"))
+def report_check(spark, sf):
+    """The report's figures by extension against those of what did not fail: they differ where something failed."""
+    rows = role(spark, sf, "manifest").withColumn("ext", paths.ext_key(F.col("path")))
+    own = report.sections(rows, {"extension": ["ext"]}, {"files": F.lit(1)}, "sha").select(F.col("keys").alias("ext"), "files", "contents")
+    other = rows.where("action <> 'failed'").groupBy("ext").agg(F.count("*").alias("files"), F.count_distinct("sha").alias("contents"))
+    return report.cross_check(own, other, ["ext"], ["files", "contents"])
