@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from palimpsest.functions import paths, routes, strings
 from palimpsest.operators import identity, listing, report, shared, summary, trees
 from palimpsest.sources import objects
+from palimpsest.streaming import contents
 
 from .catalog import query
 from .standins import role, sql
@@ -200,3 +201,14 @@ def report_check(spark, sf):
     own = report.sections(rows, {"extension": ["ext"]}, {"files": F.lit(1)}, "sha").select(F.col("keys").alias("ext"), "files", "contents")
     other = rows.where("action <> 'failed'").groupBy("ext").agg(F.count("*").alias("files"), F.count_distinct("sha").alias("contents"))
     return report.cross_check(own, other, ["ext"], ["files", "contents"])
+
+
+@query("r10_content_owners", sql("SELECT sha, CAST(min(ord) AS BIGINT) AS ord, arg_min(path, ord) AS path FROM manifest GROUP BY sha", "manifest"))
+def content_owners(spark, sf):
+    """Contents taken in by three batches, the later units first; each is owned by the first unit that has it."""
+    store = shared.scratch(spark)
+    ends = [F.lit(True), F.col("ts") < F.lit("1997-01-01").cast("timestamp"), F.col("ts") < F.lit("1994-01-01").cast("timestamp")]
+    timed = role(spark, sf, "manifest").select("sha", "ord", "path", "ts")
+    for number, (before, since) in enumerate(zip(ends, [*ends[1:], F.lit(False)], strict=True)):
+        contents.add_batch(timed.where(before & ~since).select("sha", "ord", "path"), number, store, ["sha"], ["ord"])
+    return contents.owners(spark, store, ["sha"], ["ord"])

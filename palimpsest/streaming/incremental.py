@@ -17,25 +17,6 @@ def take_new(spark: SparkSession, folder: str, schema: str, checkpoint: str, ste
     query.awaitTermination()
 
 
-def store_contents(spark: SparkSession, folder: str, schema: str, store: str, checkpoint: str, key: list[str]) -> None:
-    """Keep each content once in ``store``: of new rows those whose key is not there yet, one of each.
-
-    A batch overwrites its own folder, so a batch that is run again leaves the same rows.
-    """
-    jvm = spark.sparkContext._jvm
-
-    def step(rows: DataFrame, number: int) -> None:
-        at = jvm.org.apache.hadoop.fs.Path(store)
-        fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        fresh = rows.dropDuplicates(key)
-        if fs.exists(at):
-            before = spark.read.schema(rows.schema.add("batch", "long")).parquet(store).where(f"batch < {number}")
-            fresh = fresh.join(before.select(*key), key, "left_anti")
-        fresh.write.mode("overwrite").parquet(f"{store}/batch={number}")
-
-    take_new(spark, folder, schema, checkpoint, step)
-
-
 def first_arrivals(spark: SparkSession, folder: str, schema: str, key: list[str], time: str, delay: str = "7 days") -> DataFrame:
     """A stream of the first row of each key; what is later than ``delay`` may be given again, so state stays bounded."""
     rows = spark.readStream.schema(schema).parquet(folder)

@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 
 from palimpsest.operators import sinks
 from palimpsest.sources import binaries, history, tabular
-from palimpsest.streaming import incremental
 
 
 def frame(spark, files):
@@ -194,15 +193,3 @@ def test_sinks(spark, tmp_path):
     text = b"".join(p.read_bytes() for p in sorted((tmp_path / "csv").glob("part-*"))).decode()
     assert text == 'k,n\r\n"a,""",1\r\nb,2\r\ntotal,3\r\n'
     assert sinks.markdown(small.orderBy("n")).splitlines()[2:] == ['| a," | 1 |', "| b | 2 |"]
-
-
-def test_streams_take_each_file_once(spark, tmp_path):
-    src, store, point = (str(tmp_path / x) for x in ("in", "store", "point"))
-    put = lambda rows: spark.createDataFrame(rows, "blob string, n long").coalesce(1).write.mode("append").parquet(src)
-    put([("a", 1), ("a", 2), ("b", 3)])
-    incremental.store_contents(spark, src, "blob string, n long", store, point, ["blob"])
-    put([("b", 4), ("c", 5)])
-    incremental.store_contents(spark, src, "blob string, n long", store, point, ["blob"])
-    incremental.store_contents(spark, src, "blob string, n long", store, point, ["blob"])
-    assert sorted(r["blob"] for r in spark.read.parquet(store).collect()) == ["a", "b", "c"]
-    assert spark.read.parquet(store).agg(F.max("n")).first()[0] == 5
