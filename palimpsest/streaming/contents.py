@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from .incremental import take_new
 
 #: Parts of a store, and bits of a part's bitmap (a multiple of a bitmap row's).
-PARTS, BITS = 256, 1 << 20
+PARTS, BITS = 64, 1 << 22
 #: Bits in one row of bitmaps.
 ROW = 1 << 15
 
