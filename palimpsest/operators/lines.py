@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-#: White space but the line feed: Unicode's and the separators U+001C to U+001F.
-_BLANK = r"[[\s\x1c-\x1f]&&[^\n]]"
+#: White space at a line's ends (fixed values): Unicode's and the separators U+001C to U+001F.
+_BLANKS = "".join(map(chr, [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 
 
 def stripped(text: Column) -> Column:
@@ -16,12 +16,8 @@ def stripped(text: Column) -> Column:
 
 
 def stripped_lines(text: Column) -> Column:
-    """The lines of a text, each stripped: the white space around line feeds goes in one pass over the whole text.
-
-    A run of white space is looked at once, however long: matches begin where one begins.
-    """
-    inner = F.regexp_replace(text, rf"(?U)(?<!{_BLANK}){_BLANK}*+\n{_BLANK}*+", "\n")
-    return F.split(F.regexp_replace(inner, rf"(?U)\A{_BLANK}++|(?<!{_BLANK}){_BLANK}++\z", ""), "\n", -1)
+    """The lines of a text, each stripped. Characters at a line's ends are looked up in a set, so what lies between is not read."""
+    return F.transform(F.split(text, "\n", -1), lambda line: F.btrim(line, F.lit(_BLANKS)))
 
 
 def lines(texts: DataFrame, text: str, keys: list[str]) -> DataFrame:
@@ -39,15 +35,19 @@ def delta(history: DataFrame, current: DataFrame, group: list[str], line: str =
     return history.join(current.select(*group, line).distinct(), [*group, line], "left_anti")
 
 
-def lines_by_side(texts: DataFrame, text: str, group: list[str], is_current: Column, in_history: Column | None = None) -> DataFrame:
+def lines_by_side(texts: DataFrame, text: str, group: list[str], is_current: Column, in_history: Column | None = None, hashed: bool = False) -> DataFrame:
     """Each distinct line of a group once: ``_c`` if a current version has it, ``_h`` if history has.
 
-    Versions are marked before they are split, so that lines are shuffled once, by group and line with partial aggregates, and
-    never joined. Without ``in_history`` all texts are history.
+    Versions are marked before they are split, and each gives a line once, so that lines are shuffled once, by group and line with partial
+    aggregates, and never joined. Without ``in_history`` all texts are history. ``hashed``: lines go by two 64-bit hashes, and are not given.
     """
     history = F.lit(True) if in_history is None else in_history
-    marked = texts.select(*group, F.coalesce(is_current, F.lit(False)).alias("_c"), F.coalesce(history, F.lit(False)).alias("_h"), text)
-    return lines(marked, text, [*group, "_c", "_h"]).groupBy(*group, "line").agg(F.bool_or("_c").alias("_c"), F.bool_or("_h").alias("_h"))
+    marked = texts.select(*group, F.coalesce(is_current, F.lit(False)).alias("_c"), F.coalesce(history, F.lit(False)).alias("_h"), F.explode(F.array_distinct(stripped_lines(F.col(text)))).alias("line"))
+    marked, line = marked.where("line <> ''"), ["line"]
+    if hashed:
+        line = ["_l1", "_l2"]
+        marked = marked.select(*group, "_c", "_h", F.xxhash64("line").alias("_l1"), F.xxhash64(F.lit(1), "line").alias("_l2"))
+    return marked.groupBy(*group, *line).agg(F.bool_or("_c").alias("_c"), F.bool_or("_h").alias("_h"))
 
 
 def text_delta(texts: DataFrame, text: str, group: list[str], is_current: Column, in_history: Column | None = None) -> DataFrame:
@@ -56,8 +56,8 @@ def text_delta(texts: DataFrame, text: str, group: list[str], is_current: Column
 
 
 def delta_counts(texts: DataFrame, text: str, group: list[str], is_current: Column, in_history: Column | None = None) -> DataFrame:
-    """Per group: lines of history, of the current version, removed, kept, and what became of the group."""
-    sides = lines_by_side(texts, text, group, is_current, in_history).groupBy(*group)
+    """Per group: lines of history, of the current version, removed, kept, and what became of the group. Lines go by 128-bit hashes."""
+    sides = lines_by_side(texts, text, group, is_current, in_history, hashed=True).groupBy(*group)
     counts = sides.agg(F.count_if("_h").alias("lines_history"), F.count_if("_c").alias("lines_current"), F.count_if(F.col("_h") & ~F.col("_c")).alias("lines_kept"))
     zero = lambda name: F.coalesce(name, F.lit(0)).alias(name)
     rows = texts.select(*group).distinct().join(counts, group, "left").select(*group, zero("lines_history"), zero("lines_current"), zero("lines_kept"))
