@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from palimpsest.functions import paths
+from palimpsest.functions.routes import route_of
 from palimpsest.operators import lineage
 
 from .catalog import query
@@ -25,8 +26,9 @@ def renamed_exists(spark, sf):
 @query("j30_history_share", sql("WITH t AS (SELECT repo, count(*) AS files FROM changes GROUP BY repo), g AS (SELECT repo, count(*) AS gone FROM changes WHERE status = 'D' AND bytes > 3000 GROUP BY repo) SELECT t.repo, files, coalesce(gone, 0) AS gone, round(coalesce(gone, 0) * 100.0 / files, 2) AS share FROM t LEFT JOIN g USING (repo)", "changes"))
 def history_share(spark, sf):
     rows = role(spark, sf, "changes")
-    gone = F.count_if((F.col("status") == "D") & (F.col("bytes") > 3000))
-    return rows.groupBy("repo").agg(F.count("*").alias("files"), gone.alias("gone"), F.round(gone * 100.0 / F.count("*"), 2).alias("share"))
+    gone = rows.where("status = 'D' AND bytes > 3000").groupBy("repo").agg(F.count("*").alias("gone"))
+    both = rows.groupBy("repo").agg(F.count("*").alias("files")).join(gone, "repo", "left").na.fill(0, ["gone"])
+    return both.withColumn("share", F.round(F.col("gone") * 100.0 / F.col("files"), 2))
 
 
 @query("j31_inventory_vs_manifest", sql("WITH i AS (SELECT repo, count(*) AS inventory FROM active GROUP BY repo), m AS (SELECT repo, count(*) AS manifest FROM manifest GROUP BY repo) SELECT repo, inventory, manifest, manifest - inventory AS gap FROM i JOIN m USING (repo)", "active", "manifest"))
@@ -85,11 +87,15 @@ def lost_and_resent(spark, sf):
     return lost.groupBy("repo", F.when(F.col("k"), "stored").when(F.col("d"), "deduped_only").otherwise("lost").alias("fate")).agg(F.count("*").alias("n"))
 
 
-@query("j37_stage_per_ext", sql(f"SELECT repo, {_EXT} AS ext, CASE WHEN bool_or(action = 'written') THEN 'sent' WHEN bool_or(action = 'deduped') THEN 'sent_elsewhere' ELSE 'not_sent' END AS stage, count(*) AS files FROM manifest GROUP BY ALL", "manifest"))
+@query("j37_stage_per_ext", sql(f"WITH e AS (SELECT *, {_EXT} AS ext FROM manifest), f AS (SELECT repo, ext, count(*) AS files FROM e GROUP BY ALL), s AS (SELECT repo, ext, count(DISTINCT sha) AS sent FROM e WHERE action = 'written' GROUP BY ALL) SELECT repo, ext, files, coalesce(sent, 0) AS sent, CASE WHEN ext IN ('urg', 'hig') THEN 'text' WHEN ext = 'med' THEN 'whole files' ELSE 'not in scope' END AS stage, CASE WHEN ext NOT IN ('urg', 'hig', 'med') THEN '' WHEN sent IS NULL THEN 'nothing sent' ELSE 'sent' END AS state FROM f LEFT JOIN s USING (repo, ext)", "manifest"))
 def stage_per_ext(spark, sf):
+    """Files of each repository by extension, with the stage that the extension is in and what was sent of it."""
     rows = role(spark, sf, "manifest").withColumn("ext", paths.ext_key(F.col("path")))
-    any_ = lambda a: F.bool_or(F.col("action") == a)
-    return rows.groupBy("repo", "ext").agg(F.when(any_("written"), "sent").when(any_("deduped"), "sent_elsewhere").otherwise("not_sent").alias("stage"), F.count("*").alias("files"))
+    sent = rows.where("action = 'written'").select("repo", "ext", "sha").distinct().groupBy("repo", "ext").agg(F.count("*").alias("sent"))
+    both = rows.groupBy("repo", "ext").agg(F.count("*").alias("files")).join(sent, ["repo", "ext"], "left")
+    stage = route_of(F.col("ext"), {"text": ["urg", "hig"], "whole files": ["med"]}, "not in scope", "not in scope")
+    state = F.when(stage == "not in scope", "").when(F.col("sent").isNull(), "nothing sent").otherwise("sent")
+    return both.select("repo", "ext", "files", F.coalesce("sent", F.lit(0)).alias("sent"), stage.alias("stage"), state.alias("state"))
 
 
 @query("a15_reasons", sql(f"SELECT {_EXT} AS ext, action AS reason, date_part('year', ts) AS year, count(*) AS versions, CAST(sum(bytes) AS BIGINT) AS bytes FROM manifest GROUP BY ALL", "manifest"))

@@ -7,6 +7,7 @@ from pyspark.sql.window import Window
 
 from palimpsest.functions import buckets, content, paths
 from palimpsest.operators import dedup, planning, rollups
+from palimpsest.sources.binaries import split_part_status
 
 from .catalog import query
 from .standins import role, sql
@@ -309,20 +310,28 @@ def hashes(spark, sf):
     return spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", *content.file_hashes(F.col("text").cast("binary")))
 
 
-@query("f27_magic", "SELECT 'html' AS kind, count(*) AS n FROM pages WHERE starts_with(html, '<!DOCTYPE html') HAVING count(*) > 0 UNION ALL SELECT '', count(*) FROM pages WHERE NOT starts_with(html, '<!DOCTYPE html') HAVING count(*) > 0")
+@query("f27_magic", "SELECT CASE length(url) % 8 WHEN 0 THEN 'zip' WHEN 1 THEN 'gz' WHEN 2 THEN 'bz2' WHEN 3 THEN 'xz' WHEN 4 THEN '7z' WHEN 5 THEN 'tar' WHEN 6 THEN CASE WHEN starts_with(html, '<!DOCTYPE html') THEN 'html' ELSE '' END ELSE '' END AS kind, count(*) AS n FROM pages GROUP BY 1")
 def magic(spark, sf):
-    kind = content.detect(F.col("html").cast("binary"))
+    """Pages, most of them behind the first bytes of another format."""
+    heads = ["504B0304", "1F8B08", "425A68", "FD377A585A00", "377ABCAF271C", "20" * 257 + "7573746172", "", "FF"]
+    head = F.get(F.array(*[F.unhex(F.lit(h)) for h in heads]), F.length("url") % 8)
+    kind = content.detect(F.concat(head, F.col("html").cast("binary")))
     return spark.read.parquet(f"{sf}/pages.parquet").groupBy(kind.alias("kind")).agg(F.count("*").alias("n"))
 
 
-@query("f14_file_classes", sql("SELECT CASE WHEN path LIKE '%.py' OR path LIKE '%.java' THEN 'code' WHEN path LIKE '%.txt' THEN 'doc' WHEN path LIKE '%.csv' THEN 'config/data' ELSE 'no-ext' END AS class, count(DISTINCT path) AS files FROM changes GROUP BY 1", "changes"))
+@query("f14_file_classes", "SELECT CASE p_size % 6 WHEN 0 THEN 'code' WHEN 1 THEN 'config/data' WHEN 2 THEN 'doc' WHEN 3 THEN 'binary' WHEN 4 THEN 'no-ext' ELSE 'other' END AS class, count(*) AS files FROM part GROUP BY 1")
 def file_classes(spark, sf):
-    return role(spark, sf, "changes").groupBy(paths.file_class(F.col("path")).alias("class")).agg(F.count_distinct("path").alias("files"))
+    ends = F.get(F.array(*[F.lit(e) for e in (".PY", ".x.yaml", ".md", ".tar", "", ".mp3")]), F.col("p_size") % 6)
+    name = F.concat(F.lit("src.d/f"), "p_partkey", ends)
+    return spark.read.parquet(f"{sf}/part.parquet").groupBy(paths.file_class(name).alias("class")).agg(F.count("*").alias("files"))
 
 
-@query("f04_vendor", sql("SELECT path, CASE WHEN regexp_matches(concat('/', lower(path)), '/en/.*') THEN 'en' ELSE '' END AS lang_dir, '' AS vendor FROM urls", "urls"))
+@query("f04_vendor", "SELECT CASE p_size % 5 WHEN 0 THEN 'node_modules' WHEN 1 THEN 'wwwroot/lib' WHEN 2 THEN 'build' ELSE '' END AS vendor, count(*) AS files FROM part GROUP BY 1")
 def vendor(spark, sf):
-    return role(spark, sf, "urls").select("path", F.when(F.concat(F.lit("/"), F.lower("path")).rlike("/en/.*"), "en").otherwise("").alias("lang_dir"), paths.vendor_of(F.col("path")).alias("vendor"))
+    """Of several vendored folders the first in the list counts; a file's own name does not."""
+    folder = F.get(F.array(*[F.lit(p) for p in ("x/build/node_modules/", "wwwroot/lib/a/", "BUILD/obj/", "builder/my-dist/", "src/a/vendor")]), F.col("p_size") % 5)
+    path = F.concat(folder, F.when(F.col("p_size") % 5 == 4, "").otherwise(F.concat(F.lit("f"), "p_partkey")))
+    return spark.read.parquet(f"{sf}/part.parquet").groupBy(paths.vendor_of(path).alias("vendor")).agg(F.count("*").alias("files"))
 
 
 @query("a07_mortality", sql("WITH l AS (SELECT repo, path, arg_max(status, ord) AS s FROM changes GROUP BY ALL) SELECT split_part(path, '/', 2) AS top, count(*) AS files, count(*) FILTER (s = 'D') AS dead, round(count(*) FILTER (s = 'D') * 1.0 / count(*), 4) AS mortality FROM l GROUP BY 1", "changes"))
@@ -352,9 +361,8 @@ def extension_research(spark, sf):
     return top.select("ext", F.array_join(F.transform("t", lambda x: x["t"]), "|").alias("top"))
 
 
-@query("w10_split_parts", "WITH p AS (SELECT conv_id, count(DISTINCT turn) AS parts, min(turn) AS lo, max(turn) AS hi FROM conversations GROUP BY conv_id) SELECT conv_id, parts, lo = (SELECT min(turn) FROM conversations) AND hi - lo + 1 = parts AS complete FROM p")
+@query("w10_split_parts", "WITH n AS (SELECT conv_id, turn, max(length(text)) AS v FROM conversations GROUP BY ALL), s AS (SELECT conv_id, min(turn) = 0 AND max(turn) + 1 = count(*) AS whole FROM n GROUP BY conv_id) SELECT c.conv_id, c.turn, CASE WHEN NOT whole THEN 'incomplete_set' WHEN length(text) = n.v THEN 'split_part' ELSE 'split_part_older_version' END AS status, count(*) AS rows FROM conversations c JOIN n USING (conv_id, turn) JOIN s USING (conv_id) GROUP BY ALL")
 def split_parts(spark, sf):
-    rows = spark.read.parquet(f"{sf}/conversations.parquet")
-    low = rows.agg(F.min("turn").alias("_lo"))
-    per = rows.groupBy("conv_id").agg(F.count_distinct("turn").alias("parts"), F.min("turn").alias("lo"), F.max("turn").alias("hi"))
-    return per.join(low).select("conv_id", "parts", ((F.col("lo") == F.col("_lo")) & (F.col("hi") - F.col("lo") + 1 == F.col("parts"))).alias("complete"))
+    """Turns as the parts of a set, numbered from 1; the longest text is a part's newest version."""
+    rows = spark.read.parquet(f"{sf}/conversations.parquet").select("conv_id", (F.col("turn") + 1).alias("part"), F.length("text").alias("version"))
+    return split_part_status(rows, "conv_id", "part", "version").groupBy("conv_id", (F.col("part") - 1).alias("turn"), "status").agg(F.count("*").alias("rows"))

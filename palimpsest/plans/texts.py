@@ -65,14 +65,22 @@ def patch_lines(spark, sf):
     return found.select("doc_id", "path", F.size("l").cast("long").alias("lines"), F.get(text, F.lit(1)).alias("second"), F.md5(F.array_join(text, "\n")).alias("hash"))
 
 
-@query("f25_decoded", "SELECT doc_id, md5(text) AS utf8, md5(array_to_string(string_split(text, chr(10)), '|')) AS lines, true AS looks FROM documents WHERE text IS NOT NULL")
+_CHANGED = "CASE doc_id % 4 WHEN 2 THEN chr(8364) || text WHEN 3 THEN chr(233) || chr(10) || text ELSE text END"
+
+
+@query("f25_decoded", rf"SELECT doc_id, md5({_CHANGED}) AS plain, md5(array_to_string(string_split({_CHANGED}, chr(10)), '|')) AS lines, doc_id % 4 < 2 AS looks FROM documents WHERE regexp_full_match(text, '[\x01-\x7f]*')")
 def decoded(spark, sf):
-    rows = spark.read.parquet(f"{sf}/documents.parquet").where("text IS NOT NULL").withColumn("data", F.col("text").cast("binary"))
+    """ASCII texts: as they are, as UTF-16 behind a mark, and with a first character that only code page 1252 has."""
+    rows = spark.read.parquet(f"{sf}/documents.parquet").where(F.col("text").rlike(r"\A[\x01-\x7f]*\z"))
+    plain, k = F.col("text").cast("binary"), F.col("doc_id") % 4
+    wide = F.concat(F.unhex(F.lit("FFFE")), F.encode("text", "UTF-16LE"))
+    data = F.when(k == 1, wide).when(k == 2, F.concat(F.unhex(F.lit("80")), plain)).when(k == 3, F.concat(F.unhex(F.lit("E90A")), plain)).otherwise(plain)
+    rows = rows.withColumn("data", data)
     lines_ = F.array_join(content.decoded_lines(F.col("data")), "|")
-    return rows.select("doc_id", F.md5(content.decoded(F.col("data"))).alias("utf8"), F.md5(lines_).alias("lines"), content.looks_text(F.col("data")).alias("looks"))
+    return rows.select("doc_id", F.md5(content.decoded(F.col("data"))).alias("plain"), F.md5(lines_).alias("lines"), content.looks_text(F.col("data")).alias("looks"))
 
 
-@query("f05_full_path", "SELECT c_custkey AS id, 'src/m' || c_custkey % 4 || '/f' || c_custkey || '.py' AS path, CASE c_custkey % 3 WHEN 2 THEN 2 ELSE 1 END AS candidates FROM customer")
+@query("f05_full_path", "SELECT c_custkey AS id, p AS path, CASE c_custkey % 3 WHEN 2 THEN p || '|All/ORG/repo/' || p ELSE p END AS candidates FROM (SELECT c_custkey, 'src/m' || c_custkey % 4 || '/f' || c_custkey || '.py' AS p FROM customer)")
 def full_paths(spark, sf):
     """Whole path, folder and name, and path with organisation and repository in front."""
     rows = spark.read.parquet(f"{sf}/customer.parquet")
@@ -80,7 +88,7 @@ def full_paths(spark, sf):
     name, folder = F.concat(F.lit("f"), k.cast("string"), F.lit(".py")), F.concat(F.lit("src/m"), (k % 4).cast("string"))
     rel = F.when(k % 3 == 0, F.concat_ws("/", folder, name)).when(k % 3 == 1, F.concat(F.lit(" ./"), folder, F.lit("//"))).otherwise(F.concat_ws("\\", F.lit("All"), F.lit("ORG"), F.lit("repo"), F.translate(folder, "/", "\\")))
     args = [rel, name, F.lit("org"), F.lit("Repo")]
-    return rows.select(k.alias("id"), paths.full_path(*args).alias("path"), F.size(paths.candidates(*args)).alias("candidates"))
+    return rows.select(k.alias("id"), paths.full_path(*args).alias("path"), F.array_join(paths.candidates(*args), "|").alias("candidates"))
 
 
 @query("f48_name_relation", "SELECT page_id, CASE page_id % 4 WHEN 0 THEN 'includes' WHEN 1 THEN 'conflict' WHEN 2 THEN 'directory' ELSE 'empty' END AS relation FROM pages")
