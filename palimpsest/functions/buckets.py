@@ -91,6 +91,7 @@ def verdict(only_a: Column, only_b: Column, shared: Column, words: tuple[str, st
     )
 
 
+#: Verdicts on two stores (fixed values); those of ``tree_verdict`` and ``why_sent`` are fixed too.
 HISTORY_VERDICTS = ("IDENTICAL OBJECT STORES", "A'S HISTORY IS CONTAINED IN B", "B'S HISTORY IS CONTAINED IN A", "NO SHARED CONTENT AT ALL", "BOTH HOLD CONTENT THE OTHER LACKS")
 COMMIT_VERDICTS = ("IDENTICAL COMMIT SETS", "A'S COMMITS ARE ALL CONTAINED IN B", "B'S COMMITS ARE ALL CONTAINED IN A", "NO SHARED COMMITS AT ALL", "BOTH HOLD COMMITS THE OTHER LACKS")
 TREE_VERDICTS = (

@@ -183,7 +183,7 @@ def ancestors(path: Column) -> Column:
 
 
 def left_out_reason(path: Column) -> Column:
-    """docfx_cache, macos, vendored, or '' for what is to be merged."""
+    """docfx_cache, macos, vendored, or '' for what is to be merged (fixed values, as are the folders they are told by)."""
     low = F.lower(path)
     name = F.regexp_extract(low, r"(?s)([^/]*)\z", 1)
     mac = F.contains(F.concat(F.lit("/"), low), F.lit("__macosx/")) | name.startswith("._") | (name == ".ds_store")
@@ -255,7 +255,7 @@ def name_relation(rel: Column, filename: Column) -> Column:
 
 
 def delivery_kind(rel: Column) -> Column:
-    """Class of a path in a delivery folder: data, leftover, or the kind of tracking file."""
+    """Class of a path in a delivery folder: data, leftover, or the kind of tracking file (fixed values, as are the names of folders and files)."""
     parts = F.split(rel, "/")
     top, second, name = parts[0], F.coalesce(F.get(parts, F.lit(1)), F.lit("")), F.element_at(parts, -1)
     binary = (
