@@ -256,7 +256,8 @@ def encode(docs: DataFrame, rank_path: str, pattern: str, id_col: str = "doc_id"
     """One row per document: id, n_tokens, ids (binary: little-endian unsigned 32-bit). No shuffle.
 
     The tables go to the workers once, by broadcast; their size is the vocabulary's. Null or empty text:
-    no ids. Very long texts are read one at a time. Repeated rows: a row each. Other columns are not read.
+    no ids. Null ids are ids like any other. Very long texts are read one at a time. Repeated rows: a row each. Empty table: no rows.
+    Other columns are not read.
     """
     spark = docs.sparkSession
     ranks = load_ranks(rank_path)
@@ -277,7 +278,7 @@ def encode(docs: DataFrame, rank_path: str, pattern: str, id_col: str = "doc_id"
 
 
 def decode(rows: DataFrame, rank_path: str, ids_col: str = "ids") -> DataFrame:
-    """The rows with ``decoded``: the bytes that the ids stand for. Null ids: null."""
+    """The rows with ``decoded``: the bytes that the ids stand for. Null ids: null. Empty table: no rows. A column ``decoded`` clashes: rename it before."""
     ranks = load_ranks(rank_path)
     tokens: list[bytes] = [b""] * (max(ranks.values()) + 1)
     for k, v in ranks.items():

@@ -232,7 +232,7 @@ def pack(rows: DataFrame, capacity: Capacity, id_cols: list[str], length_col: st
     A third of all rows may have one length, and any number one id: the rows of a length are dealt evenly into
     ``parts`` (0: as many as shuffle partitions, 64 at least), which are counted first, and numbered in each by
     ``id_cols``. The rows are read twice, so they are written to the shared folder before. Lengths must lie between 0
-    and the capacity. Null ids sort first. Empty table: no rows.
+    and the capacity. Null ids sort first. Empty table: no rows. Columns named sequence_id, offset, _len, _part or _at clash: rename them before.
     """
     spark = rows.sparkSession
     parts = parts or max(64, int(spark.conf.get("spark.sql.shuffle.partitions")))

@@ -80,7 +80,7 @@ def ledger(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep
     """One row per document: id, measurements, ``failed`` (a bit per failed rule). No shuffle.
 
     ``keep`` names columns of ``docs`` to carry along. Null or empty text: all measurements 0, and
-    ``few_words`` fails. Null id: kept as it is. Repeated rows: a row each. Empty table: no rows.
+    ``few_words`` fails. Null id: kept as it is. Very long texts are measured whole. Repeated rows: a row each. Empty table: no rows.
     """
     keep = keep or []
     src = docs.select(

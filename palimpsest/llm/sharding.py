@@ -79,7 +79,7 @@ def assign_shards(
     Slots are gapless from 0 in each shard. They are numbered in ``buckets`` parts of each shard (0: as
     many as shuffle partitions), whose sizes are counted from the ids alone, so no task sorts a whole shard.
 
-    Null text: no bytes, crc32 0. Null id: one key like another. Repeated rows: same shard, a slot each.
+    Null text: no bytes, crc32 0. Null id: one key like another. Very long texts count with all their bytes. Repeated rows: same shard, a slot each.
     Empty table: no rows. Other columns are not read.
     """
     spark = docs.sparkSession

@@ -244,7 +244,7 @@ def remove_repeats(
     space after them, otherwise as it was; ``spans`` are the runs of removed words, array<struct<start,end>>.
     Null text: no words. Null id: nothing removed, and nothing removed for its sake. Rows that share an id
     are one document: windows found for the id are removed from rows whose words they cover. Empty table: no
-    rows. ``keep`` names columns to carry along; others are not read.
+    rows. A very long text is worked on whole, by one task at a time. ``keep`` names columns to carry along; others are not read.
     """
     keep = [c for c in keep or [] if c not in (id_col, text_col)]
     repeats = repeated_windows(docs, window, id_col, text_col, group)

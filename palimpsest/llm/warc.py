@@ -282,7 +282,7 @@ def read_archives(archives: DataFrame, payload: bool = False) -> DataFrame:
     """Read archives (a column ``path``) through the salvage reader: a row per record or quarantined gap.
 
     kind ('record' or 'gap'), path, start, end, reason, record_type, page_id, url, payload_bytes,
-    payload_digest, refers_to, payload (null unless asked for, and for revisits). Null paths are left out.
+    payload_digest, refers_to, payload (null unless asked for, and for revisits). Null paths are left out. Empty table: no rows.
     """
     schema = (
         "kind string, path string, start bigint, end bigint, reason string, record_type string, page_id bigint, url string, "
