@@ -1,9 +1,11 @@
 """Trees, commit graphs, identities through renames, names and batches, against plain versions."""
 
 import heapq
-import os
 import random
-from collections import defaultdict
+import re
+from collections import Counter, defaultdict
+from itertools import count
+from pathlib import PurePosixPath
 
 import pytest
 from pyspark.sql import functions as F
@@ -189,25 +191,21 @@ def test_state_at_tips(spark, dag):
 
 
 def plain_records(changes, wanted):
-    """A walk over the changes, oldest first."""
-    recs = {}
-    for o, path, old, status, ts in changes:
-        s = status[0]
-        if s == "R" and old in recs:
-            moved = {k: list(v) if isinstance(v, list) else v for k, v in recs[old].items()}
-            if old not in wanted:
-                del recs[old]
-            cur = recs.get(path)
-            if cur:
-                for k in ("n", "A", "M", "D", "R"):
-                    moved[k] += cur[k]
-                moved["at"] += cur["at"]
-            recs[path] = moved
-        r = recs.setdefault(path, {"n": 0, "A": 0, "M": 0, "D": 0, "R": 0, "at": []})
-        r["n"] += 1
-        r[s if s in "ADR" else "M"] += 1
-        r["at"].append((ts, o, status))
-    return {p: (r["n"], r["A"], r["M"], r["D"], r["R"], f"c{min(r['at'])[1]}", f"c{max(r['at'])[1]}", max(r["at"])[2]) for p, r in recs.items()}
+    """Each name's record as the list of all changes in it."""
+    record = defaultdict(list)
+    for change in changes:
+        _, name, old, status, _ = change
+        if status.startswith("R") and record[old]:
+            taken, record[old] = record[old], record[old] if old in wanted else []
+            record[name] = taken + record[name]
+        record[name] = [*record[name], change]
+    out = {}
+    for name, own in record.items():
+        if own:
+            kinds = Counter(c[3][0] if c[3][0] in "ADR" else "M" for c in own)
+            ends = [f(own, key=lambda c: (c[4], c[0])) for f in (min, max)]
+            out[name] = (len(own), *[kinds[k] for k in "AMDR"], *[f"c{c[0]}" for c in ends], ends[1][3])
+    return out
 
 
 @pytest.mark.parametrize("seed, some", [(1, False), (2, True), (3, True)])
@@ -229,25 +227,20 @@ def test_records_follow_renames(spark, seed, some):
     assert {(r["repo"], r["path"]): tuple(r[c] for c in ("touched", "added", "modified", "deleted", "renamed", "first_commit", "last_commit", "last_status")) for r in got} == want
 
 
+def spelled(path, k):
+    """The k-th name that a path asks for."""
+    return path if k == 1 else re.sub(r"(?<=[^/])(\.[^./]*)?$", rf"__case{k}\1", path, count=1)
+
+
 def plain_names(rels, existing, fixed):
-    """In order, each path its first free name."""
-    folders = {p.rsplit("/", k)[0].lower() for p in {*rels, *existing} for k in range(1, p.count("/") + 1)}
-    taken = folders | {p.lower() for p in existing} | {p.lower() for p in fixed.values()}
-    out = {}
-    for r in sorted(rels):
-        if r in fixed:
-            out[r] = fixed[r]
-        elif r in existing:
-            out[r] = r
-        else:
-            head, _, base = r.rpartition("/")
-            stem, dot, ext = base.rpartition(".")
-            name, k = r, 2
-            while name.lower() in taken:
-                name = os.path.join(head, f"{stem}__case{k}.{ext}" if dot and stem else f"{base}__case{k}")
-                k += 1
-            taken.add(name.lower())
-            out[r] = name
+    """One path after another, each with the first name that is free."""
+    free = lambda name: name.lower() not in used
+    used = {str(folder).lower() for p in {*rels, *existing} for folder in PurePosixPath(p).parents}
+    used.update(p.lower() for p in [*existing, *fixed.values()])
+    out = {r: fixed.get(r, r) for r in rels if r in fixed or r in existing}
+    for r in sorted(set(rels) - set(out)):
+        out[r] = next(filter(free, (spelled(r, k) for k in count(1))))
+        used.add(out[r].lower())
     return out
 
 
