@@ -10,6 +10,7 @@ _STATUS = "CASE event_type WHEN 'signup' THEN 'A' WHEN 'error' THEN 'D' WHEN 'pu
 _BLOB = ["concat('b', CAST(floor(value) AS BIGINT)) AS blob", "CAST(floor(value) AS BIGINT) * 37 % 5000 AS bytes"]
 _DAY = "concat(CAST(year(l_shipdate) AS VARCHAR(4)), '/', CAST(month(l_shipdate) AS VARCHAR(2)), '/', CAST(day(l_shipdate) AS VARCHAR(2)), '/', CAST(l_orderkey AS VARCHAR(20))) AS path"
 
+_STORED = "CASE o_orderstatus WHEN 'F' THEN concat('pack/pack-', o_orderkey, '.pack') WHEN 'O' THEN concat(substr(md5(concat('', o_orderkey)), 1, 2), '/', md5(concat('', o_orderkey))) ELSE concat('info/x', o_orderkey) END AS rel"
 
 def _place(key: str) -> list[str]:
     return [x.format(key) for x in _PLACE]
@@ -57,6 +58,24 @@ ROLES: dict[str, tuple[str, list[str], str]] = {
     "lfs_changes": ("events", [*_place("user_id"), "event_id AS ord", "concat('c', event_id % 2500) AS commit", _STATUS, "concat('b', CAST(floor(value) AS BIGINT)) AS blob", "CAST(floor(value) AS BIGINT) * 37 % 5000 AS bytes", "CASE WHEN CAST(floor(value) AS BIGINT) % 6 = 0 THEN concat('o', CAST(floor(value) AS BIGINT)) END AS lfs_oid", "CASE WHEN CAST(floor(value) AS BIGINT) % 6 = 0 THEN CAST(floor(value) AS BIGINT) * 1000 END AS lfs_bytes"], "true"),
     "lfs_active": ("customer", [*_place("c_custkey"), "CASE WHEN c_nationkey <> 7 THEN concat('b', c_custkey % 190) END AS blob", "concat('o', c_custkey % 190) AS sha256", "CASE WHEN c_nationkey = 3 THEN NULL WHEN c_custkey % 190 % 6 = 0 AND c_nationkey > 12 THEN c_custkey % 190 * 1000 ELSE c_custkey % 190 * 37 % 5000 END AS bytes"], "c_mktsegment <> 'BUILDING'"),
     "moves": ("events", ["concat('repo', user_id % 7) AS repo", "event_id AS ord", "ts", "concat('c', event_id) AS commit", "CASE WHEN event_type = 'purchase' AND value >= 100 THEN 'R100' WHEN event_type = 'signup' THEN 'A' WHEN event_type = 'error' THEN 'D' ELSE 'M' END AS status", "CASE WHEN event_type = 'purchase' AND value >= 100 THEN concat('f', user_id + 7) ELSE concat('f', user_id) END AS path", "CASE WHEN event_type = 'purchase' AND value >= 100 THEN concat('f', user_id) END AS old_path"], "true"),
+    # Files in archives and archives themselves; two listings of object folders; objects; what steps wrote.
+    "members": (
+        "lineitem",
+        ["concat('org', l_suppkey % 3) AS org", "concat('repo', l_suppkey % 40) AS repo", "CASE l_linenumber WHEN 7 THEN '' ELSE concat('x/f', l_partkey) END AS inner_path", "CASE l_partkey % 6 WHEN 0 THEN 'PY' WHEN 1 THEN 'py' WHEN 2 THEN 't~mp' WHEN 3 THEN '' WHEN 4 THEN 'zip' ELSE 'csv' END AS ext",
+         "CASE l_partkey % 6 WHEN 0 THEN 'code' WHEN 1 THEN 'code' WHEN 2 THEN 'other' WHEN 3 THEN 'no_extension' WHEN 4 THEN 'archive' ELSE 'table' END AS route", "concat('s', l_partkey) AS sha", "CAST(floor(l_extendedprice) AS BIGINT) AS bytes", "l_shipdate AS ts",
+         "CASE WHEN l_partkey % 6 = 4 AND l_linestatus = 'O' THEN 'opened_nested' WHEN l_returnflag = 'A' THEN 'written' WHEN l_returnflag = 'N' THEN 'deduped' ELSE 'too_large' END AS action"],
+        "true",
+    ),
+    "archives": (
+        "orders",
+        ["concat('org', o_custkey % 3) AS org", "concat('repo', o_custkey % 41) AS repo", "concat('a/b', o_orderkey, '.', substr(o_orderpriority, 3, 3)) AS archive_path", "CASE o_custkey % 9 WHEN 0 THEN 'split_set' ELSE 'version' END AS source",
+         "CASE WHEN o_orderstatus = 'O' THEN 'ok' WHEN o_orderstatus = 'P' THEN 'too_large' WHEN o_orderpriority = '5-LOW' THEN 'split_part' WHEN o_orderpriority = '2-HIGH' THEN 'encrypted' ELSE 'failed: bad header' END AS status", "CASE WHEN o_orderstatus <> 'F' THEN o_orderkey % 50 END AS members"],
+        "true",
+    ),
+    "folder_before": ("orders", ["concat('repo', o_custkey % 40) AS repo", _STORED, "CAST(floor(o_totalprice) AS BIGINT) AS bytes"], "o_custkey % 40 <> 4"),
+    "folder_after": ("orders", ["concat('repo', o_custkey % 40) AS repo", _STORED, "CAST(floor(o_totalprice) AS BIGINT) AS bytes"], "o_custkey % 40 <> 3 AND (o_orderstatus = 'F' AND o_totalprice > 300000 OR o_orderstatus = 'O' AND o_totalprice > 490000)"),
+    "objects": ("lineitem", ["l_suppkey AS repo", "l_partkey AS object", "CASE l_partkey % 11 WHEN 0 THEN NULL WHEN 1 THEN 'commit' WHEN 2 THEN 'tree' WHEN 3 THEN 'tag' ELSE 'blob' END AS type", "l_partkey * 7 % 5000 AS bytes", "l_returnflag = 'R' AS loose"], "true"),
+    "outputs": ("orders", ["concat('unit', o_custkey % 11) AS unit", "lower(substr(o_orderpriority, 3, 3)) AS type", "concat('step', o_orderstatus) AS step", "concat('f', o_orderkey) AS output", "o_orderdate AS ts", "CAST(floor(o_totalprice) AS BIGINT) AS bytes"], "true"),
     "commits": ("events", ["event_id AS sha", "CASE WHEN event_id % 17 = 0 THEN NULL ELSE event_id - 1 - event_id % 3 END AS parent", "event_type AS branch"], "true"),
 }
 
