@@ -267,3 +267,39 @@ def delivery_kind(rel: Column) -> Column:
     state = F.when(name == "done.json", "text_done_json").when(name == "manifest.csv", "text_manifest").otherwise("text_state_other")
     text = F.when(second == "_state", state).when(rel.endswith(".txt"), "data").otherwise("text_other")
     return F.when(top == "binary", binary).when(top == "text", text).when(top == "reports", "reports").otherwise("other")
+
+
+#: Most bytes of a path and of one of its parts, endings of pack files, names of temporary files (fixed values).
+PATH_BYTES, NAME_BYTES = 4000, 255
+PACK_ENDS = [".pack", ".idx", ".rev"]
+TEMPORARY = r"\.tmp\.(\d+(\.\d+)?|copy)$"
+
+
+def is_git_file(path: Column) -> Column:
+    """Whether a path lies in a .git folder, is one, or is a file of a pack, wherever that lies. Null is not."""
+    plain = slashes(path)
+    packed = [F.lower(plain).endswith(e) for e in PACK_ENDS]
+    return plain.rlike(r"(^|/)\.git(/|$)") | packed[0] | packed[1] | packed[2]
+
+
+def repo_root(label: Column) -> Column:
+    """A label without '/.git' at its end, so that a repository and its object store roll up together; '' for null."""
+    return F.regexp_replace(F.coalesce(label, F.lit("")), r"/\.git\z", "")
+
+
+def too_long(path: Column) -> Column:
+    """Whether a path has more bytes than a file system takes, as a whole or in one of its parts."""
+    return (F.octet_length(path) > PATH_BYTES) | F.exists(F.split(path, "/"), lambda p: F.octet_length(p) > NAME_BYTES)
+
+
+def under_files(stored: Column) -> Column:
+    """What follows the first folder 'files/' of a stored path; '' without one."""
+    plain = slashes(stored)
+    at = F.when(plain.startswith("files/"), 1).otherwise(F.instr(plain, F.lit("/files/")) + 1)
+    return F.when(at > 1, F.substr(plain, at + 6)).when(plain.startswith("files/"), F.substr(plain, F.lit(7))).otherwise("")
+
+
+def is_temporary(path: Column) -> Column:
+    """Whether a file's name is that of a temporary file: '.tmp.' in front, or '.tmp.' and a process, with a thread or not, or 'copy' at its end."""
+    name = leaf(path)
+    return name.startswith(".tmp.") | name.rlike(TEMPORARY)

@@ -197,25 +197,31 @@ def npy_text(files: DataFrame, block: int = 65536) -> DataFrame:
     """Strings in saved arrays: path, ord, text, status (text, numeric, object, structured or bad_header; only the first has text). Nothing is unpickled."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = ["path", "ord", "text", "status"]
+        frame = lambda rows: pd.DataFrame(rows, columns=["path", "ord", "text", "status"]).astype({"ord": "Int64"})
         for pdf in frames:
+            rows: list[tuple] = []  # of several files, so that small ones are not handed on one by one
             for path, data in zip(pdf["path"], pdf["content"], strict=True):
                 stream = io.BytesIO(data)
                 try:
                     major = np.lib.format.read_magic(stream)[0]
                     _, _, kind = (np.lib.format.read_array_header_1_0 if major == 1 else np.lib.format.read_array_header_2_0)(stream)
                 except (ValueError, EOFError, SyntaxError):
-                    yield pd.DataFrame([(path, None, None, "bad_header")], columns=names)
+                    rows.append((path, None, None, "bad_header"))
                     continue
                 what = "structured" if kind.names else "object" if kind.kind == "O" else "text" if kind.kind in "US" and kind.itemsize else "numeric"
                 if what != "text":
-                    yield pd.DataFrame([(path, None, None, what)], columns=names)
+                    rows.append((path, None, None, what))
                     continue
                 many = (len(data) - stream.tell()) // kind.itemsize
                 for k in range(0, many, block):
                     part = np.frombuffer(data, kind, min(block, many - k), stream.tell() + k * kind.itemsize)
                     texts = [x.decode("utf-8", "replace") if isinstance(x, bytes) else x for x in part.tolist()]
-                    yield pd.DataFrame([(path, k + i, t, "text") for i, t in enumerate(texts) if t], columns=names)
+                    rows.extend((path, k + i, t, "text") for i, t in enumerate(texts) if t)
+                    if len(rows) >= block:
+                        yield frame(rows)
+                        rows = []
+            if rows:
+                yield frame(rows)
 
     return files.select("path", "content").mapInPandas(run, "path string, ord bigint, text string, status string")
 

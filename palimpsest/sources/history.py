@@ -7,7 +7,7 @@ Each record is parsed by column expressions, so filters on the result prune earl
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 NULL_ID = "0" * 40
@@ -67,3 +67,10 @@ def merged_branches(log: DataFrame) -> DataFrame:
         F.nullif(F.regexp_extract("subject", r"^Merge pull request #\d+ from [^/\s]+/(\S+)", 1), F.lit("")),
     )
     return log.select("commit", name.alias("name")).where("name IS NOT NULL")
+
+
+def plausible_branch(name: Column) -> Column:
+    """Whether a name can be a branch's: no commit, no place-holder, and not 'refs/' with nothing of its own behind it. Null is not."""
+    name = F.coalesce(name, F.lit(""))
+    short = name.startswith("refs/") & ~name.rlike("(?s)/.*/")
+    return ~(name.isin("", "HEAD", "-") | name.rlike(r"\A[0-9a-f]{40}\z") | short)
