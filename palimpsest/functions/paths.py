@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -36,6 +38,11 @@ RISKY = (
 )
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` computed once per row: a column named several times, step upon step, is otherwise written out each time."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def slashes(path: Column) -> Column:
     """Forward slashes; null becomes empty."""
     return F.translate(F.coalesce(path, F.lit("")), "\\", "/")
@@ -87,27 +94,37 @@ def full_path(rel: Column, filename: Column, org: Column, repo: Column, strip_ro
 
     With ``strip_root`` off, folders down to the repository stay. Null parts are empty.
     """
-    rel, name = F.regexp_replace(_stripped(rel), r"\A(?:\./)*/*", ""), _stripped(filename)
-    if strip_root:
-        mark = F.lower(F.concat(org, F.lit("/"), repo))
-        at = F.instr(F.concat(F.lit("/"), F.lower(rel), F.lit("/")), F.concat(F.lit("/"), mark, F.lit("/")))
-        rel = F.when((at > 0) & (org != "") & (repo != ""), F.substr(rel, at + F.length(mark) + 1)).otherwise(rel)
-    rel = F.when(rel == ".", "").otherwise(rel)
-    both = (
-        F.when(name == "", rel)
-        .when(rel == "", name)
-        .when((rel == name) | rel.endswith(F.concat(F.lit("/"), name)), rel)
-        .otherwise(F.concat(rel, F.lit("/"), name))
-    )
+
+    def inner(v: Column) -> Column:
+        if not strip_root:
+            return v["rel"]
+        after = lambda at: F.when((at > 0) & (v["org"] != "") & (v["repo"] != ""), F.substr(v["rel"], at + F.length(v["mark"]) + 1)).otherwise(v["rel"])
+        return let(F.instr(F.concat(F.lit("/"), F.lower(v["rel"]), F.lit("/")), F.concat(F.lit("/"), v["mark"], F.lit("/"))), after)
+
+    def joined(rel: Column, name: Column) -> Column:
+        return (
+            F.when(rel.isin("", ".") & (name == ""), "")
+            .when(rel.isin("", "."), name)
+            .when((name == "") | (rel == name) | rel.endswith(F.concat(F.lit("/"), name)), rel)
+            .otherwise(F.concat(rel, F.lit("/"), name))
+        )
+
+    plain = [F.regexp_replace(_stripped(rel), r"\A(?:\./)*/*", "").alias("rel"), _stripped(filename).alias("name")]
+    parts = F.struct(*plain, org.alias("org"), repo.alias("repo"), F.lower(F.concat(org, F.lit("/"), repo)).alias("mark"))
+    both = let(parts, lambda v: let(inner(v), lambda r: joined(r, v["name"])))
     return F.regexp_replace(F.regexp_replace(both, "/{2,}", "/"), r"\A/+|/+\z", "")
 
 
 def candidates(rel: Column, filename: Column, org: Column, repo: Column) -> Column:
     """Paths to look for, best first, each once: within the repository, without a leading '<repo>/', and with the folders before the repository."""
-    path = full_path(rel, filename, org, repo)
-    inner = F.when(path.startswith(F.concat(repo, F.lit("/"))), F.substr(path, F.length(repo) + 2))
-    every = F.array(path, F.coalesce(inner, F.lit("")), full_path(rel, filename, org, repo, strip_root=False))
-    return F.filter(F.array_distinct(every), lambda p: p != "")
+
+    def every(v: Column) -> Column:
+        args = [v[c] for c in ("rel", "name", "org", "repo")]
+        inner = lambda p: F.when(p.startswith(F.concat(v["repo"], F.lit("/"))), F.substr(p, F.length(v["repo"]) + 2))
+        return let(full_path(*args), lambda p: F.array(p, F.coalesce(inner(p), F.lit("")), full_path(*args, strip_root=False)))
+
+    found = let(F.struct(rel.alias("rel"), filename.alias("name"), org.alias("org"), repo.alias("repo")), every)
+    return F.filter(F.array_distinct(found), lambda p: p != "")
 
 
 def root_of(rel: Column, org: Column, repo: Column) -> Column:

@@ -30,6 +30,14 @@ def test_full_path(spark):
     assert got == ["a/b/c.txt", "src/c.txt", "f", "f", "a/b", "a"]
 
 
+def test_steps_of_a_path_are_computed_once(spark):
+    df = spark.createDataFrame([("a", "b", "o", "r")], "rel string, name string, org string, repo string")
+    cols = [F.col(c) for c in df.columns]
+    for column, most in ((paths.full_path(*cols), 10), (paths.candidates(*cols), 20)):
+        plan = df.select(column)._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("regexp_replace") <= most
+
+
 def test_paths(spark):
     assert values(spark, paths.ancestors, ["a/b/c", "c"]) == [[".", "a", "a/b"], ["."]]
     assert values(spark, paths.clean_path, ["a/../b", "./x//y", "..\\z"]) == ["a/_../b", "x/y", "_../z"]
