@@ -38,6 +38,12 @@ def test_steps_of_a_path_are_computed_once(spark):
         assert plan.count("regexp_replace") <= most
 
 
+def test_arguments_of_candidates_are_computed_once(spark):
+    df = spark.createDataFrame([("a", "b", "o", "r")], "rel string, name string, org string, repo string")
+    column = paths.candidates(*[F.soundex(c) for c in df.columns]).alias("c")
+    assert df.select(column)._jdf.queryExecution().optimizedPlan().toString().count("soundex") == 4
+
+
 def test_paths(spark):
     assert values(spark, paths.ancestors, ["a/b/c", "c"]) == [[".", "a", "a/b"], ["."]]
     assert values(spark, paths.clean_path, ["a/../b", "./x//y", "..\\z"]) == ["a/_../b", "x/y", "_../z"]
