@@ -11,7 +11,11 @@ similar pair has in common follows from the two sizes; a document that is not li
 the pivot than that, unless its partner is smaller than the pivot. So the pair shares shingles that the pivot lacks,
 and meets again under one of them. Partners of a size with which a document may do without are met by size. After each
 round rows get in ``of`` the component that all links so far give their document; pairs within one are not needed,
-and no other similar pair is lost. Rounds go on until all groups are small: each takes the pivot out of its group.
+and no other similar pair is lost. Of a group with many documents, all but few of them in one component, the few are
+listed with all. Rounds go on until no other groups are left: each takes the pivot out of its group.
+
+Before full sets are sent to each other, listed pairs are ruled out by parities: cells of a set's hashes with an odd count, a bit each. Every
+shingle that only one of two sets has turns one bit, so sets whose bits differ in more cells than a similar pair may differ in shingles are not similar.
 """
 
 from __future__ import annotations
@@ -40,6 +44,8 @@ SPREAD = 256
 BANDS = 100
 #: Cells in which frequencies of shingles are counted.
 COUNTERS = 1 << 21
+#: Words of 64 cells in which parities of sets are kept.
+PARITIES = 32
 _U = np.uint64
 _rng = np.random.default_rng(20240607)
 _ODD = _rng.integers(0, 1 << 63, POSITIONS, dtype=np.uint64) * _U(2) + _U(1)
@@ -108,9 +114,21 @@ def full_sets(docs: DataFrame, n: int = 5, id_col: str = "doc_id", text_col: str
     return _source(docs, id_col, text_col).mapInArrow(run, "x bigint, n bigint, s array<bigint>")
 
 
+def parities(flat: np.ndarray, row: np.ndarray, rows: int) -> np.ndarray:
+    """Of each set whether an odd number of its hashes falls into a cell: PARITIES longs of 64 bits a row."""
+    odd = np.empty((rows, PARITIES), dtype=np.int64)
+    cells, edges = (flat.astype(np.uint64) >> _U(40)).astype(np.int64) % (PARITIES * 64), np.searchsorted(row, np.arange(rows + 1))
+    for first in range(0, rows, 256):  # counts of a few sets at once
+        last = min(rows, first + 256)
+        part = slice(edges[first], edges[last])
+        counts = np.bincount((row[part] - first) * (PARITIES * 64) + cells[part], minlength=(last - first) * PARITIES * 64)
+        odd[first:last] = np.packbits((counts & 1).astype(np.uint8)).view(np.int64).reshape(last - first, PARITIES)
+    return odd
+
+
 def by_rarity(sets: DataFrame) -> DataFrame:
     """The sets with their shingles from rare to frequent, ``own``: how many of them, the first ones, no other set has (or
-    fewer), and ``often``: the mean frequency of a shingle, times 1000.
+    fewer), ``often``: the mean frequency of a shingle, times 1000, and ``odd``: parities.
 
     Any order that all sets share is right for prefixes; a good one puts shingles first that few documents
     have. Frequencies are counted in COUNTERS cells, whatever the number of shingles, so what is broadcast is bounded.
@@ -133,9 +151,11 @@ def by_rarity(sets: DataFrame) -> DataFrame:
             again = pa.ListArray.from_arrays(pa.array(edges - edges[0], pa.int32()), pa.array(flat[order], pa.int64()))
             often = np.add.reduceat(count, (edges - edges[0])[:-1]) * 1000 // np.diff(edges)
             own = np.add.reduceat((count == 1).astype(np.int64), (edges - edges[0])[:-1])
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), again, pa.array(own, pa.int64()), pa.array(often, pa.int64())], ["x", "n", "s", "own", "often"])
+            bits = parities(flat, row, len(lists))
+            odd = pa.ListArray.from_arrays(pa.array(np.arange(0, bits.size + 1, PARITIES), pa.int32()), pa.array(bits.ravel(), pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), again, pa.array(own, pa.int64()), pa.array(often, pa.int64()), odd], ["x", "n", "s", "own", "often", "odd"])
 
-    return sets.where("n > 0").mapInArrow(run, "x bigint, n bigint, s array<bigint>, own bigint, often bigint")
+    return sets.where("n > 0").mapInArrow(run, "x bigint, n bigint, s array<bigint>, own bigint, often bigint, odd array<bigint>")
 
 
 def index_keys(sig: Column) -> Column:
@@ -162,6 +182,23 @@ def _listed_pairs(groups: DataFrame, percent: int) -> DataFrame:
     return left.join(right, "g").where((F.col("a") < F.col("b")) & (F.col("oa") != F.col("ob")) & sizes).select("a", "b").distinct()
 
 
+def _listed_with_few(groups: DataFrame, percent: int) -> DataFrame:
+    """Pairs as ``_listed_pairs`` gives them, of groups that also have ``main``: a component of which all pairs have at most one document."""
+    few = groups.where("of <> main").select("g", F.col("x").alias("a"), F.col("n").alias("na"), F.col("of").alias("oa"))
+    every = groups.select("g", F.col("x").alias("b"), F.col("n").alias("nb"), F.col("of").alias("ob"))
+    sizes = 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
+    pairs = few.join(every, "g").where((F.col("a") != F.col("b")) & (F.col("oa") != F.col("ob")) & sizes)
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _with_main(groups: DataFrame, hold: Scratch) -> DataFrame:
+    """Groups with the component ``main`` that has most of their rows, and ``few``: how many rows it has not."""
+    own = groups.groupBy("g", "of").agg(F.count("*").alias("_n"))
+    main = own.groupBy("g").agg(F.max(F.struct("_n", "of")).alias("_m"), F.sum("_n").alias("_c"))
+    main = hold.put("mains", main.select("g", F.col("_m.of").alias("main"), (F.col("_c") - F.col("_m._n")).alias("few")))
+    return hold.put("large groups", groups.join(main, "g"))
+
+
 def _with_set(rows: DataFrame, key: str, other: str, sets: DataFrame, names: list[str], hold: Scratch) -> DataFrame:
     """Rows with size and shingles of the document in ``key``. A key of more than SPREAD rows is dealt by ``other`` over several tasks."""
     many = rows.groupBy(key).agg(F.count("*").alias("_c")).where(F.col("_c") > SPREAD)
@@ -175,7 +212,17 @@ def _with_set(rows: DataFrame, key: str, other: str, sets: DataFrame, names: lis
     return rows.join(sets, [key, "_part"]).drop("_part")
 
 
+def _not_ruled_out(pairs: DataFrame, sets: DataFrame, percent: int, hold: Scratch) -> DataFrame:
+    """Pairs whose sets may be similar by their sizes and parities."""
+    odd = sets.select("x", "n", F.col("odd").alias("s"), "own")
+    both = _with_set(_with_set(pairs, "a", "b", odd, ["na", "oa"], hold), "b", "a", odd, ["nb", "ob"], hold)
+    apart = sum((F.bit_count(F.col("oa")[k].bitwiseXOR(F.col("ob")[k])) for k in range(PARITIES)), F.lit(0))
+    # The intersection has at least percent / (100 + percent) of both sizes together.
+    return both.where((100 + percent) * apart.cast("long") <= (100 - percent) * (F.col("na") + F.col("nb"))).select("a", "b").distinct()
+
+
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int, hold: Scratch) -> DataFrame:
+    pairs = hold.put("possible", _not_ruled_out(pairs, sets, percent, hold))
     both = _with_set(_with_set(pairs, "a", "b", sets, ["na", "sa"], hold), "b", "a", sets, ["nb", "sb"], hold)
     inter = F.size(F.array_intersect("sa", "sb"))
     return both.where(near(percent, inter, F.col("na"), F.col("nb"))).select("a", "b")
@@ -264,7 +311,10 @@ def near_duplicates(docs: DataFrame, percent: int = 80, n: int = 5, id_col: str
         rel = hold.put("rows", rel.join(of, "x", "left").withColumn("of", F.coalesce("of", "x")))
         groups = _with_counts(_children(rel, percent, hold), hold)
         pairs.append(_listed_pairs(groups.where(F.col("c") <= split), percent))
-        many = groups.where(F.col("c") > split).drop("c")
+        large = _with_main(groups.where(F.col("c") > split), hold)
+        few = F.col("c") * F.col("few") <= split * split
+        pairs.append(_listed_with_few(large.where(few), percent))
+        many = large.where(~few).drop("c", "main", "few")
     listed = pairs[0]
     for p in pairs[1:]:
         listed = listed.unionByName(p)

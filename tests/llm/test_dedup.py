@@ -156,6 +156,38 @@ def test_signatures_meet_within_the_distance():
         assert keys(a) & keys(b)
 
 
+def test_parities_rule_out_no_similar_pair():
+    rnd = np.random.default_rng(5)
+    pairs = []
+    for size in (1, 2, 30, 300, 5000):
+        for gone in (0, 1, size // 20, size // 10, size // 3):
+            a = rnd.integers(-(1 << 63), (1 << 63) - 1, size)
+            pairs.append((a, np.concatenate([a[gone:], rnd.integers(-(1 << 63), (1 << 63) - 1, gone)])))
+    flat = [s for pair in pairs for s in pair]
+    bits = neardup.parities(np.concatenate(flat), np.repeat(np.arange(len(flat)), [len(s) for s in flat]), len(flat))
+    ruled_out = 0
+    for k, (a, b) in enumerate(pairs):
+        apart = int(np.bitwise_count((bits[2 * k] ^ bits[2 * k + 1]).view(np.uint64)).sum())
+        assert apart <= len(set(a.tolist()) ^ set(b.tolist()))
+        ruled_out += 185 * apart > 15 * (len(a) + len(b))
+    assert ruled_out >= 5
+
+
+def test_one_component_with_few_others_takes_no_further_round(spark, monkeypatch):
+    """A group that is too large to be listed as a whole: near copies of a text, and longer and shorter ones that are not linked to it."""
+    rnd = random.Random(4)
+    word = lambda: "".join(rnd.choices("abcdefgh", k=rnd.randint(2, 6)))
+    base = [word() for _ in range(200)]
+    texts = [" ".join(base[:at] + [word()] + base[at + 1 :]) for at in range(5, 65)]
+    texts += [" ".join(base[: 200 - 6 * k]) for k in range(1, 12)]
+    rows = list(enumerate(texts))
+    rounds, compared = [], neardup._compared
+    monkeypatch.setattr(neardup, "_compared", lambda *args: rounds.append(1) or compared(*args))
+    got = neardup.near_duplicates(frame(spark, rows), 85, 5, small=4, split=24).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == brute.components(rows)
+    assert len(rounds) == 1
+
+
 def test_components(spark):
     rnd = random.Random(2)
     links = [(i, i + 1) for i in range(0, 60)] + [(100 + i, 100) for i in range(1, 50)] + [(rnd.randrange(200, 400), rnd.randrange(200, 400)) for _ in range(120)] + [(7, 7), (None, 3), (5, 6)]
