@@ -13,15 +13,19 @@ from .standins import role, sql
 
 
 def _lines(spark, sf, value):
-    """Each order's lines in order, as one array: no more than an order has."""
-    rows = spark.read.parquet(f"{sf}/lineitem.parquet").groupBy("l_orderkey")
-    return rows.agg(F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey", value.alias("v")))), lambda x: x["v"]).alias("items"))
+    """Each order's lines in order, as one array: no more than an order has. ``value`` of a line is made of its keys only when they are there.
+
+    Orders are dealt by number, as the readers behind work longer on a row than its size tells.
+    """
+    rows = spark.read.parquet(f"{sf}/lineitem.parquet").select("l_orderkey", F.struct("l_linenumber", "l_partkey", "l_suppkey").alias("line"))
+    rows = rows.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "l_orderkey").groupBy("l_orderkey")
+    return rows.agg(F.transform(F.array_sort(F.collect_list("line")), value).alias("items"))
 
 
 @query("s26_arrays", "SELECT l_orderkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey) - 1 AS ord, concat('part', l_partkey) AS text FROM lineitem")
 def arrays(spark, sf):
     """Each order's parts as a saved array of texts, read back."""
-    rows = _lines(spark, sf, F.concat(F.lit("part"), "l_partkey"))
+    rows = _lines(spark, sf, lambda x: F.concat(F.lit("part"), x["l_partkey"].cast("string")))
     head = F.concat(F.lit("{'descr': '|S24', 'fortran_order': False, 'shape': ("), F.size("items").cast("string"), F.lit(",), }"))
     padded = F.concat(F.rpad(head, F.lit(117), F.lit(" ")), F.lit("\n")).cast("binary")
     cells = F.unhex(F.array_join(F.transform("items", lambda x: F.rpad(F.hex(x.cast("binary")), F.lit(48), F.lit("0"))), ""))
@@ -33,11 +37,13 @@ def arrays(spark, sf):
 @query("s27_placemarks", "SELECT l_orderkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) - 1 AS ord, concat('n<', l_partkey) AS name, concat('a   b  ', l_partkey) AS description, concat('k=', l_suppkey, '; s=', l_partkey) AS fields, concat(l_suppkey, ',', l_partkey, ',0') AS point FROM lineitem")
 def placemarks(spark, sf):
     """Each order as a map file with a placemark a line."""
-    p, s = F.col("l_partkey").cast("string"), F.col("l_suppkey").cast("string")
-    mark = F.concat(
-        F.lit("<Placemark><name>n&lt;"), p, F.lit("</name><name>later</name><description><![CDATA[a <b> b </b>"), p, F.lit("]]></description><ExtendedData><Data name='k'><value>"), s,
-        F.lit("</value></Data><SchemaData><SimpleData name='s'>"), p, F.lit("</SimpleData></SchemaData></ExtendedData><Point><coordinates> "), s, F.lit(","), p, F.lit(",0 </coordinates></Point></Placemark>"),
-    )
+    def mark(x):
+        p, s = x["l_partkey"].cast("string"), x["l_suppkey"].cast("string")
+        return F.concat(
+            F.lit("<Placemark><name>n&lt;"), p, F.lit("</name><name>later</name><description><![CDATA[a <b> b </b>"), p, F.lit("]]></description><ExtendedData><Data name='k'><value>"), s,
+            F.lit("</value></Data><SchemaData><SimpleData name='s'>"), p, F.lit("</SimpleData></SchemaData></ExtendedData><Point><coordinates> "), s, F.lit(","), p, F.lit(",0 </coordinates></Point></Placemark>"),
+        )
+
     text = F.concat(F.lit("<kml xmlns='http://www.opengis.net/kml/2.2'><Document><name>orders</name>"), F.array_join("items", "\n"), F.lit("</Document></kml>"))
     rows = _lines(spark, sf, mark).select(F.col("l_orderkey").cast("string").alias("path"), text.cast("binary").alias("content"))
     return readers.placemarks(rows).select(F.col("path").cast("long").alias("l_orderkey"), "ord", "name", "description", "fields", "point")

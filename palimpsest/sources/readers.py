@@ -8,7 +8,7 @@ import xml.etree.ElementTree as ElementTree
 from collections.abc import Callable, Iterator
 from functools import reduce
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +16,8 @@ from palimpsest.functions.paths import ext_key
 
 from . import binaries
 
+#: Bytes of a map file that are parsed at once.
+PIECE = 1 << 20
 PLACEMARKS = "path string, ord bigint, name string, description string, address string, fields string, point string, status string"
 
 
@@ -25,50 +27,86 @@ def placemarks(files: DataFrame, block: int = 4096) -> DataFrame:
     The first name and address of a placemark count. A file is parsed as it is read, and a placemark is let go when it is done.
     """
     plain = lambda text: (text or "").strip()
+    short: dict[str, str] = {}  # of each tag what follows its namespace
+    tags = re.compile("<[^>]+>")
+    wanted = {"name", "address", "description", "SimpleData", "Data", "Point"}
+
+    def local(tag: str) -> str:
+        if tag not in short:
+            if len(short) > 10_000:
+                short.clear()
+            short[tag] = tag.rsplit("}", 1)[-1]
+        return short[tag]
+
+    def below(part: ElementTree.Element, end: str) -> list[str]:
+        return [plain(x.text) for x in part if x.tag.endswith(end)]
 
     def fields(mark: ElementTree.Element) -> tuple[str, ...]:
         found: dict[str, str] = {}
         data: list[str] = []
         for part in mark.iter():
-            tag = part.tag.rsplit("}", 1)[-1]
-            below = lambda end: [plain(x.text) for x in part if x.tag.endswith(end)]  # noqa: B023, E731
+            tag = short.get(part.tag) or local(part.tag)
+            if tag not in wanted:
+                continue
             if tag in ("name", "address", "description"):
                 found[tag] = found.get(tag) or plain(part.text)
             elif tag == "SimpleData":
                 data.append(f"{part.get('name', '')}={plain(part.text)}")
             elif tag == "Data":
-                data.append(f"{part.get('name', '')}={''.join(below('value'))}")
+                data.append(f"{part.get('name', '')}={''.join(below(part, 'value'))}")
             elif tag == "Point":
-                found["point"] = " ".join(below("coordinates"))
-        description = html.unescape(re.sub("<[^>]+>", " ", found.get("description", "")))
+                found["point"] = " ".join(below(part, "coordinates"))
+        description = found.get("description", "")
+        if "<" in description:
+            description = tags.sub(" ", description)
+        if "&" in description:
+            description = html.unescape(description)
         return found.get("name", ""), description, found.get("address", ""), "; ".join(data), found.get("point", "")
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = [c.split()[0] for c in PLACEMARKS.split(", ")]
-        for pdf in frames:
+    def at_once(content: bytes) -> list[tuple[str, ...]] | None:
+        """Of a small file; None if it is to be read in pieces: no XML, or a placemark within another."""
+        try:
+            root = ElementTree.fromstring(content)
+        except ElementTree.ParseError:
+            return None
+        marks = [x for name in {x.tag for x in root.iter()} if local(name) == "Placemark" for x in root.iter(name)]
+        names = {x.tag for x in marks}
+        if len(names) > 1 or any(x is not m for name in names for m in marks for x in m.iter(name)):
+            return None
+        return [fields(m) for m in marks]
+
+    def in_pieces(content: bytes) -> Iterator[tuple[str, ...] | None]:
+        """None at the end of what is no XML."""
+        parser = ElementTree.XMLPullParser(["end"])
+        try:
+            for at in range(0, len(content) + 1, PIECE):
+                parser.feed(content[at : at + PIECE])
+                if at + PIECE > len(content):
+                    parser.close()
+                for _, part in parser.read_events():
+                    if local(part.tag) == "Placemark":
+                        yield fields(part)
+                        part.clear()
+        except ElementTree.ParseError:
+            yield None
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([(c.split()[0], pa.int64() if c.endswith("bigint") else pa.string()) for c in PLACEMARKS.split(", ")])
+        batch_of = lambda rows: pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
+        for batch in batches:
             rows: list[tuple] = []
-            for path, content in zip(pdf["path"], pdf["content"], strict=True):
-                n = 0
-                parser = ElementTree.XMLPullParser(["end"])
-                try:
-                    for at in range(0, len(content) + 1, 1 << 20):
-                        parser.feed(content[at : at + (1 << 20)])
-                        if at + (1 << 20) > len(content):
-                            parser.close()
-                        for _, part in parser.read_events():
-                            if part.tag.rsplit("}", 1)[-1] == "Placemark":
-                                rows.append((path, n, *fields(part), "ok"))
-                                n += 1
-                                part.clear()
-                        if len(rows) >= block:
-                            yield pd.DataFrame(rows, columns=names)
-                            rows = []
-                except ElementTree.ParseError:
-                    rows.append((path, n, None, None, None, None, None, "not_read"))
+            for path, value in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                content = value.as_py()
+                found = at_once(content) if len(content) < PIECE else None
+                for n, mark in enumerate(in_pieces(content) if found is None else found):
+                    rows.append((path, n, *mark, "ok") if mark is not None else (path, n, None, None, None, None, None, "not_read"))
+                    if len(rows) >= block:
+                        yield batch_of(rows)
+                        rows = []
             if rows:
-                yield pd.DataFrame(rows, columns=names)
+                yield batch_of(rows)
 
-    return files.where("content IS NOT NULL").select("path", "content").mapInPandas(run, PLACEMARKS)
+    return files.where("content IS NOT NULL").select(F.col("path").cast("string").alias("path"), "content").mapInArrow(run, PLACEMARKS)
 
 
 def _members(files: DataFrame, end: str) -> DataFrame:

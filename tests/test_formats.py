@@ -11,8 +11,11 @@ from pyspark.sql import functions as F
 
 from palimpsest.functions import paths
 from palimpsest.operators import pages
+from palimpsest.plans import catalog, formats  # noqa: F401
 from palimpsest.sources import history, readers
 
+from .conftest import SF
+
 KML = b"<kml xmlns='x'><Placemark><name> one </name></Placemark><Folder><Placemark><name>two</name><address>road</address><Point><coordinates>1,2</coordinates></Point></Placemark></Folder></kml>"
 
 
@@ -58,6 +61,22 @@ def test_each_file_by_its_reader(spark, tmp_path):
     }  # fmt: skip  # files without content are listed by no source
 
 
+def test_placemarks_of_small_and_large_files_are_alike(spark, monkeypatch):
+    """Files parsed at once and in pieces: placemarks within others and of two namespaces, a file of no bytes."""
+    one = b"<Placemark><name>a&amp;lt;</name><description>x &amp;amp; <b>y</b></description></Placemark>"
+    files = [b"<k xmlns='u'>" + one * 3 + b"</k>", b"<k><Placemark><name>out</name>" + one + b"</Placemark></k>", b"<k xmlns:p='q'>" + one + b"<p:Placemark><p:name>z</p:name></p:Placemark></k>", b"", one]
+    df = spark.createDataFrame([(str(i), bytearray(x)) for i, x in enumerate(files)], "path string, content binary")
+    at_once = sorted(tuple(r) for r in readers.placemarks(df).na.fill("").collect())
+    monkeypatch.setattr(readers, "PIECE", 8)
+    assert at_once == sorted(tuple(r) for r in readers.placemarks(df).na.fill("").collect()) and len(at_once) == 9
+
+
+def test_orders_are_dealt_before_they_are_written(spark):
+    """What is shuffled is keys of lines, not the texts made of them."""
+    plan = catalog.QUERIES["s27_placemarks"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan
+
+
 def test_placemarks_in_blocks(spark):
     many = b"<kml>" + b"".join(b"<Placemark><name>%d</name><description>&lt;p&gt;x&amp;amp;y</description></Placemark>" % i for i in range(50_000)) + b"</kml>"
     rows = readers.placemarks(spark.createDataFrame([("p", bytearray(many)), ("q", None)], "path string, content binary"), block=100)
