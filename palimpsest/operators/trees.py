@@ -6,7 +6,9 @@ once; a pair of trees that many roots share is opened once, and a pair of equal
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .shared import cut
@@ -23,11 +25,14 @@ def store(files: DataFrame, root: list[str], path: str = "path", blob: str = "bl
     """
     keys = [F.col(c).alias(f"_r{i}") for i, c in enumerate(root)]
     names = [f"_r{i}" for i in range(len(root))]
-    rows = files.where(F.col(path).isNotNull()).groupBy(*keys, F.col(path).alias("path")).agg(F.max(F.struct(F.col(blob).cast("string").alias("id"), (F.col(mode) if mode else F.lit("100644")).alias("mode"))).alias("f"))
+    rows = files.where(F.col(path).isNotNull()).select(*keys, F.col(path).alias("path"), F.struct(F.col(blob).cast("string").alias("id"), (F.col(mode) if mode else F.lit("100644")).alias("mode")).alias("f"))
+    # A hash in front of the keys decides nearly all comparisons of the sort that the maximum of a struct needs.
+    rows = rows.groupBy(F.xxhash64(*names, "path").alias("_h"), *names, "path").agg(F.max("f").alias("f"))
     level = rows.select(*names, "path", "f.mode", F.lit("blob").alias("kind"), "f.id")
     level = cut(level.withColumn("depth", F.size(F.split("path", "/")) - 1))
     deepest = level.agg(F.max("depth")).first()[0]
-    entries, above = None, None
+    levels: list[tuple[int, DataFrame, DataFrame]] = []
+    above = None
     for depth in range(deepest if deepest is not None else -1, -1, -1):
         own = level.where(F.col("depth") == depth).drop("depth")
         own = own.unionByName(above) if above is not None else own
@@ -35,13 +40,16 @@ def store(files: DataFrame, root: list[str], path: str = "path", blob: str = "bl
         own = own.select(*names, folder.alias("folder"), F.substring_index("path", "/", -1).alias("name"), "mode", "kind", "id")
         one = lambda seed: F.bit_xor(F.xxhash64(F.lit(seed), "name", "mode", "kind", F.coalesce("id", F.lit(""))))
         trees = cut(own.groupBy(*names, "folder").agg(F.concat(F.lit("t"), F.md5(F.concat_ws(":", one(1), one(2), F.count("*")))).alias("tree")))
-        found = own.join(trees, [*names, "folder"]).select("tree", "name", "mode", "kind", "id").distinct()
-        entries = found if entries is None else entries.unionByName(found)
+        levels.append((depth, own, trees))
         above = trees.select(*names, F.col("folder").alias("path"), F.lit("040000").alias("mode"), F.lit("tree").alias("kind"), F.col("tree").alias("id"))
     if above is None:
         return files.sparkSession.createDataFrame([], files.select(*root).schema).withColumn("tree", F.lit(None).cast("string")), level.select(F.lit("").alias("tree"), F.lit("").alias("name"), "mode", "kind", "id").limit(0)
     roots = above.select(*[F.col(n).alias(c) for n, c in zip(names, root, strict=True)], F.col("id").alias("tree"))
-    return roots, cut(entries.distinct())
+    # Of equal folders one gives the entries, so these are distinct without being compared. Folders without a whole root give none.
+    folders = reduce(DataFrame.unionByName, [t.where(reduce(Column.__and__, [F.col(n).isNotNull() for n in names], F.lit(True))).withColumn("_d", F.lit(d)) for d, _, t in levels])
+    first = cut(folders.groupBy("tree").agg(F.min(F.struct("_d", *names, "folder")).alias("at")).select("tree", "at.*"))
+    entries = [own.join(first.where(F.col("_d") == d), [*names, "folder"]).select("tree", "name", "mode", "kind", "id") for d, own, _ in levels]
+    return roots, cut(reduce(DataFrame.unionByName, entries))
 
 
 def listed(roots: DataFrame, entries: DataFrame, tree: str = "tree") -> DataFrame:
@@ -70,18 +78,19 @@ def changes(pairs: DataFrame, entries: DataFrame, old: str = "old_tree", new: st
     frontier, out = cut(frontier), None
     side = lambda which, c: F.max(F.when(F.col("_new") == which, F.col(c)))
     for _ in range(DEEPEST):
-        both = cut(frontier.select("_o", "_n").distinct())
+        both = cut(frontier.select("_o", "_n").distinct().withColumn("_pair", F.monotonically_increasing_id()))
         n = both.count()
         if opened is not None and n:
             opened.append(n)
         if not n:
             break
-        before = both.join(entries, F.col("_o") == F.col("tree")).withColumn("_new", F.lit(False))
-        after = both.join(entries, F.col("_n") == F.col("tree")).withColumn("_new", F.lit(True))
-        met = before.unionByName(after).groupBy("_o", "_n", "name").agg(
+        sides = both.select(F.col("_o").alias("tree"), "_pair", F.lit(1).alias("_in")).unionByName(both.select(F.col("_n").alias("tree"), "_pair", F.lit(2).alias("_in")))
+        # Entries that both trees have go first, by a hashed count; only what is left is brought together by name.
+        met = sides.where("tree IS NOT NULL").join(entries, "tree").groupBy("_pair", "name", "mode", "kind", "id").agg(F.bit_or("_in").alias("_in")).where("_in <> 3")
+        met = met.withColumn("_new", F.col("_in") == 2).groupBy("_pair", "name").agg(
             *[side(w, c).alias(f"{c}{'2' if w else '1'}") for w in (False, True) for c in ("mode", "kind", "id")]
         )
-        met = cut(met.where("NOT (id1 <=> id2) OR NOT (mode1 <=> mode2)"))
+        met = cut(met.where("NOT (id1 <=> id2) OR NOT (mode1 <=> mode2)").join(both, "_pair").drop("_pair"))
         rows = frontier.alias("f").join(met.alias("m"), F.expr("f._o <=> m._o AND f._n <=> m._n"))
         rows = cut(rows.select(*[F.col(f"f.{k}") for k in keys], F.concat("f._at", "m.name").alias("path"), *[F.col(f"m.{c}{i}") for i in (1, 2) for c in ("mode", "kind", "id")]))
         file1, file2 = F.col("kind1") != "tree", F.col("kind2") != "tree"

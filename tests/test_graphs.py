@@ -74,6 +74,19 @@ def test_tree_kinds(spark):
     assert got == [("a", "D"), ("a/f", "A"), ("b", "T"), ("m", "M"), ("x", "M")]
 
 
+def test_equal_entries_of_opened_trees(spark, monkeypatch):
+    """Entries come from one of equal folders, not from a distinct of all; what both trees have is gone before entries meet by name."""
+    plans = []
+    monkeypatch.setattr(trees, "cut", lambda df: (plans.append(df._jdf.queryExecution().optimizedPlan().toString()), shared.cut(df))[1])
+    files = spark.createDataFrame([(k, f"{d}/f{i}", "c" if k and i == 3 else "b") for k in (0, 1) for d in ("x", "y") for i in range(9)], "k int, path string, blob string")
+    roots, entries = trees.store(files, ["k"])
+    assert "Aggregate" not in plans[-1] and entries.count() == 4 + 9 + 9
+    rows = [("o", "a", "100644", "blob", "b1"), ("o", "a", "040000", "tree", "t"), ("n", "a", "100644", "blob", "b2"), ("n", "a", "040000", "tree", "t")]
+    both = spark.createDataFrame(rows, "tree string, name string, mode string, kind string, id string")
+    got = trees.changes(spark.createDataFrame([("p", "o", "n")], "k string, old_tree string, new_tree string"), both).collect()
+    assert [(r["path"], r["status"], r["old_blob"], r["new_blob"]) for r in got] == [("a", "M", "b1", "b2")]
+
+
 def random_graph(rnd, n):
     """Parents of each node: two long branches, the second brought up to date from the first, short branches merged back, new roots."""
     parents, main, side = {0: []}, 0, 0
