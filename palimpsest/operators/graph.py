@@ -140,6 +140,25 @@ def members(bitmap: Column) -> Column:
     return F.flatten(numbers)
 
 
+def has(bitmap: Column, number: Column) -> Column:
+    """Whether a number is in a bitmap."""
+    word = F.coalesce(F.get(bitmap, F.floor(number / BITS).cast("int")), F.lit(0).cast("long"))
+    return F.call_function("shiftrightunsigned", word, (number % BITS).cast("int")).bitwiseAND(F.lit(1).cast("long")) == 1
+
+
+def named(state: DataFrame, tips: DataFrame, unit: list[str], path: list[str], name: str) -> DataFrame:
+    """(path, tips, names): how many tips each bitmap has and their names in the tips' order, of ``tips`` with the unit, tip and name. Bitmaps of a path are joined.
+
+    A bitmap meets its tips by words, so a row holds at most BITS names, and no row is expanded for each tip.
+    """
+    bits = tips.groupBy(*unit, F.floor(F.col("tip") / BITS).cast("int").alias("_i")).agg(F.sort_array(F.collect_list(F.struct((F.col("tip") % BITS).cast("int").alias("b"), F.col(name).alias("n")))).alias("_names"))
+    words = state.select(*path, F.posexplode("bitmap").alias("_i", "_w")).where("_w <> 0").groupBy(*path, "_i").agg(F.bit_or("_w").alias("_w")).join(bits, [*unit, "_i"])
+    held = F.transform(F.filter("_names", lambda t: F.call_function("shiftrightunsigned", F.col("_w"), t["b"]).bitwiseAND(F.lit(1).cast("long")) == 1), lambda t: t["n"])
+    words = words.select(*path, "_i", held.alias("_held"))
+    names = F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("_i", "_held"))), lambda x: x["_held"]))
+    return words.groupBy(*path).agg(names.alias("names")).select(*path, F.size("names").cast("long").alias("tips"), "names")
+
+
 def tips_of_commits(commits: DataFrame, edges: DataFrame, tips: DataFrame, node: str = "commit", parent: str = "parent", number: str = "tip") -> DataFrame:
     """(commit, bitmap): which tips reach each commit, themselves included, as an array of longs with BITS tips each: a row a commit.
 
@@ -166,7 +185,8 @@ def state_at_tips(changes: DataFrame, path: list[str], order: str, bitmap: str =
     """Of each path the changes that some tip still shows: the columns of ``path`` and ``keep``, and the bitmap of those tips.
 
     Every change has the bitmap of the tips that reach its commit. A later change hides an earlier one from the tips that both have; a
-    deletion shows nothing. ``order`` is that of commits, parents first. Windows are by path.
+    deletion shows nothing. ``order`` is that of commits, parents first; a struct, as (generation, date, name), orders them as numbers do.
+    Windows are by path.
     """
     words = changes.agg(F.max(F.size(bitmap))).first()[0] or 0
     later = Window.partitionBy(*path).orderBy(F.desc(order)).rowsBetween(Window.unboundedPreceding, -1)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from palimpsest.operators import graph, identity, naming, planning, trees
+from palimpsest.operators import graph, identity, naming, planning, shared, trees
 
 from .catalog import query
 from .standins import role, sql
@@ -44,10 +44,16 @@ def _commits(spark, sf):
     return rows, edges.where("parent IS NOT NULL")
 
 
+def _tips(rows, edges):
+    """Commits without children, numbered in their repository."""
+    ends = shared.cut(rows.join(edges.select(F.col("parent").alias("sha")), "sha", "left_anti").select("repo", "sha"))
+    return graph.tip_numbers(ends, ["repo"], "sha")
+
+
 def _with_tips(spark, sf):
     """Commits, with the bitmap of the tips (commits without children) of their repository; the tips."""
     rows, edges = _commits(spark, sf)
-    tips = graph.tip_numbers(rows.join(edges.select(F.col("parent").alias("sha")), "sha", "left_anti").select("repo", "sha"), ["repo"], "sha")
+    tips = _tips(rows, edges)
     return rows.join(graph.tips_of_commits(rows, edges, tips, "sha"), "sha"), edges, tips
 
 
@@ -68,15 +74,17 @@ def commit_tips(spark, sf):
 
 
 def _state(spark, sf):
-    rows, edges, tips = _with_tips(spark, sf)
-    order = graph.commit_order(rows.select("repo", "sha", "ts"), edges, ["repo"], "ts", "sha").select("sha", "ord")
-    return rows.join(order, "sha"), tips
+    """Changes with the bitmap of tips and the place of their commit: generation, time and name order as the numbers of commit_order do, without numbering."""
+    rows, _, tips = _with_tips(spark, sf)
+    generations = graph.generations(*_commits(spark, sf), "sha")
+    rows = rows.join(generations, "sha").select("repo", "path", "status", "bitmap", F.struct("generation", "ts", "sha").alias("ord"))
+    return shared.cut(rows), tips
 
 
 def _named(state, tips):
     """Bitmaps as the tips' names, joined."""
-    held = state.select("repo", "path", F.explode(graph.members(F.col("bitmap"))).alias("tip")).join(tips, ["repo", "tip"])
-    return held.groupBy("repo", "path").agg(F.count("*").alias("tips"), F.array_join(F.transform(F.sort_array(F.collect_list("sha")), lambda s: s.cast("string")), "|").alias("held_by"))
+    held = graph.named(state, tips, ["repo"], ["repo", "path"], "sha")
+    return held.select("repo", "path", "tips", F.array_join(F.transform("names", lambda s: s.cast("string")), "|").alias("held_by"))
 
 
 @query("j28_path_tips", sql(f"WITH RECURSIVE {_LEVELS}, {_TIPS}, {_HELD} SELECT repo, path, count(*) AS tips, string_agg(CAST(tip AS VARCHAR), '|' ORDER BY tip) AS held_by FROM s WHERE status <> 'D' GROUP BY ALL", "history"))

@@ -159,6 +159,20 @@ def test_long_chain(spark):
     assert rows.where("generation <> commit").count() == 0 and rows.count() == n
 
 
+def test_names_of_tips(spark):
+    """Bitmaps of several words, several rows of a path, tips of another unit."""
+    tips = spark.range(150).select(F.lit("r").alias("repo"), "id", F.format_string("t%03d", "id").alias("name")).withColumnRenamed("id", "tip")
+    tips = tips.unionByName(tips.where("tip < 3").withColumns({"repo": F.lit("s"), "name": F.concat(F.lit("s"), "name")}))
+    sets = [("r", "p", {0, 63, 64}), ("r", "p", {149}), ("s", "p", {1, 2}), ("r", "q", set(range(150))), ("r", "none", set())]
+    word = lambda held, k: sum(1 << b for b in range(64) if 64 * k + b in held)
+    signed = lambda w: w - (1 << 64) if w >> 63 else w
+    state = spark.createDataFrame([(r, p, [signed(word(h, k)) for k in range(3)]) for r, p, h in sets], "repo string, path string, bitmap array<long>")
+    got = {(r["repo"], r["path"]): (r["tips"], r["names"]) for r in graph.named(state, tips, ["repo"], ["repo", "path"], "name").collect()}
+    assert got == {("r", "p"): (4, ["t000", "t063", "t064", "t149"]), ("s", "p"): (2, ["st001", "st002"]), ("r", "q"): (150, [f"t{i:03}" for i in range(150)])}
+    has = state.select("path", *[graph.has(F.col("bitmap"), F.lit(i)).alias(str(i)) for i in (0, 1, 63, 149, 500)]).where("path = 'p'").collect()
+    assert [list(r)[1:] for r in has] == [[True, False, True, False, False], [False, False, False, True, False], [False, True, False, False, False]]
+
+
 @pytest.mark.parametrize("words", [2])
 def test_tips(spark, dag, monkeypatch, words):
     monkeypatch.setattr(graph, "WORDS", words)
