@@ -100,9 +100,9 @@ def path_tips(spark, sf):
 def exclusive_paths(spark, sf):
     """Paths of branch tips that the default branch (the last tip) neither has nor ever added."""
     rows, tips = _state(spark, sf)
-    state = graph.state_at_tips(rows, ["repo", "path"], "ord")
+    state = shared.cut(graph.state_at_tips(rows, ["repo", "path"], "ord"))
     default = tips.groupBy("repo").agg(F.max("tip").alias("_d"))
-    has = lambda df: df.join(default, "repo").where(F.array_contains(graph.members(F.col("bitmap")), F.col("_d").cast("int"))).select("repo", "path")
+    has = lambda df: df.join(default, "repo").where(graph.has(F.col("bitmap"), F.col("_d"))).select("repo", "path")
     ever = has(state).unionByName(has(rows.where("status = 'A'")))
     return _named(graph.only_at_tips(state, ever, ["repo", "path"]), tips)
 
