@@ -86,44 +86,53 @@ def vendor_of(path: Column) -> Column:
 
 
 def _stripped(text: Column) -> Column:
-    return F.regexp_replace(slashes(F.coalesce(text, F.lit(""))), r"\A\s+|\s+\z", "")
+    return F.trim(slashes(text), F.lit(" \t\n\x0b\f\r"))
 
 
-def full_path(rel: Column, filename: Column, org: Column, repo: Column, strip_root: bool = True) -> Column:
-    """A path within its repository: slashes, no leading ./ or /, no doubled ones, nothing up to '<org>/<repo>/', name appended if it is missing.
-
-    With ``strip_root`` off, folders down to the repository stay. Null parts are empty.
-    """
+def _parts(rel: Column, filename: Column, org: Column, repo: Column) -> Column:
+    """struct<rel, name, repo, after>: path and name without what surrounds them, and what follows '<org>/<repo>/' in the path, else the path."""
 
-    def inner(v: Column) -> Column:
-        if not strip_root:
-            return v["rel"]
-        after = lambda at: F.when((at > 0) & (v["org"] != "") & (v["repo"] != ""), F.substr(v["rel"], at + F.length(v["mark"]) + 1)).otherwise(v["rel"])
-        return let(F.instr(F.concat(F.lit("/"), F.lower(v["rel"]), F.lit("/")), F.concat(F.lit("/"), v["mark"], F.lit("/"))), after)
+    def marked(v: Column) -> Column:
+        after = F.when((v["at"] > 0) & (v["org"] != "") & (v["repo"] != ""), F.substr(v["rel"], v["at"] + F.length(v["mark"]) + 1)).otherwise(v["rel"])
+        return F.struct(v["rel"].alias("rel"), v["name"].alias("name"), v["repo"].alias("repo"), after.alias("after"))
 
-    def joined(rel: Column, name: Column) -> Column:
-        return (
-            F.when(rel.isin("", ".") & (name == ""), "")
-            .when(rel.isin("", "."), name)
-            .when((name == "") | (rel == name) | rel.endswith(F.concat(F.lit("/"), name)), rel)
-            .otherwise(F.concat(rel, F.lit("/"), name))
-        )
+    def found(v: Column) -> Column:
+        at = F.instr(F.concat(F.lit("/"), F.lower(v["rel"]), F.lit("/")), F.concat(F.lit("/"), v["mark"], F.lit("/")))
+        return F.struct(*[v[c].alias(c) for c in ("rel", "name", "org", "repo", "mark")], at.alias("at"))
 
     plain = [F.regexp_replace(_stripped(rel), r"\A(?:\./)*/*", "").alias("rel"), _stripped(filename).alias("name")]
     parts = F.struct(*plain, org.alias("org"), repo.alias("repo"), F.lower(F.concat(org, F.lit("/"), repo)).alias("mark"))
-    both = let(parts, lambda v: let(inner(v), lambda r: joined(r, v["name"])))
-    return F.regexp_replace(F.regexp_replace(both, "/{2,}", "/"), r"\A/+|/+\z", "")
+    return let(let(parts, found), marked)
+
+
+def _named(rel: Column, name: Column) -> Column:
+    """The path with its name, appended if it is missing, without slashes around it and doubled ones."""
+    both = (
+        F.when(rel.isin("", ".") & (name == ""), "")
+        .when(rel.isin("", "."), name)
+        .when((name == "") | (rel == name) | rel.endswith(F.concat(F.lit("/"), name)), rel)
+        .otherwise(F.concat(rel, F.lit("/"), name))
+    )
+    return F.trim(F.regexp_replace(both, "/{2,}", "/"), F.lit("/"))
+
+
+def full_path(rel: Column, filename: Column, org: Column, repo: Column, strip_root: bool = True) -> Column:
+    """A path within its repository: slashes, no leading ./ or /, no doubled ones, nothing up to '<org>/<repo>/', name appended if it is missing.
+
+    With ``strip_root`` off, folders down to the repository stay. Null parts are empty.
+    """
+    return let(_parts(rel, filename, org, repo), lambda v: _named(v["after" if strip_root else "rel"], v["name"]))
 
 
 def candidates(rel: Column, filename: Column, org: Column, repo: Column) -> Column:
     """Paths to look for, best first, each once: within the repository, without a leading '<repo>/', and with the folders before the repository."""
 
     def every(v: Column) -> Column:
-        args = [v[c] for c in ("rel", "name", "org", "repo")]
         inner = lambda p: F.when(p.startswith(F.concat(v["repo"], F.lit("/"))), F.substr(p, F.length(v["repo"]) + 2))
-        return let(full_path(*args), lambda p: F.array(p, F.coalesce(inner(p), F.lit("")), full_path(*args, strip_root=False)))
+        return let(_named(v["after"], v["name"]), lambda p: F.array(p, F.coalesce(inner(p), F.lit("")), _named(v["rel"], v["name"])))
 
-    found = let(F.struct(rel.alias("rel"), filename.alias("name"), org.alias("org"), repo.alias("repo")), every)
+    args = F.struct(rel.alias("rel"), filename.alias("name"), org.alias("org"), repo.alias("repo"))
+    found = let(args, lambda v: let(_parts(*[v[c] for c in ("rel", "name", "org", "repo")]), every))
     return F.filter(F.array_distinct(found), lambda p: p != "")
 
 

@@ -47,19 +47,23 @@ def record_counts(
     ``order`` numbers the changes of a unit, oldest first, and tells them apart. Of first and last the stamp decides, then the order.
     ``wanted`` (unit and path): names that keep a record of their own when they are renamed. A record that two renames bring together
     counts twice, as it does in a walk over the changes. A rename of a name without a record is a change of the new name like any
-    other. Windows are by name. Null paths are left out; null units are a unit.
+    other. Windows are by name; without renames there are none. Null paths are left out; null units are a unit.
     """
     key = F.struct(*[F.col(c) for c in unit]).alias("unit")
     point = F.struct(F.col(stamp).alias("ts"), F.col(order).alias("ord"), F.col(commit).alias("commit"), F.col(status).alias("status")).alias("point")
     rows = changes.where(F.col(path).isNotNull()).select(key, F.col(path).alias("path"), F.col(old).alias("old"), F.substring(status, 1, 1).alias("s"), F.col(order).alias("ord"), point)
+    one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
+    counted: dict[str, Column] = {"touched": one} | {c: F.when(F.col("s") == k, one).otherwise(none) for c, k in COUNTS.items()}
+    totals = [*[F.sum(x).alias(c) for c, x in counted.items()], F.min("point").alias("first"), F.max("point").alias("last")]
+    modified = F.col("touched") - F.col("added") - F.col("deleted") - F.col("renamed")
+    ends = [F.col(f"{e}.{c}").alias(f"{e}_{a}") for e in ("first", "last") for c, a in (("commit", "commit"), ("ts", "change"))]
+    shown = lambda at: [*[F.col(f"{at}unit.{c}").alias(c) for c in unit], F.col(f"{at}name").alias(path), "touched", "added", modified.alias("modified"), "deleted", "renamed", *ends, F.col("last.status").alias("last_status")]
+    if rows.where("s = 'R' AND old IS NOT NULL").isEmpty():  # each name has one stretch
+        return cut(rows.groupBy("unit", F.col("path").alias("name")).agg(*totals).select(*shown("")))
     names = None if wanted is None else wanted.select(key, F.col(path).alias("name"), F.lit(True).alias("_wanted")).distinct()
     events = cut(_stretches(rows, names))
     node = lambda name, c: F.struct("unit", F.col(name).alias("name"), F.col(c).cast("long").alias("c"))
-    one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
-    counted: dict[str, Column] = {"touched": one} | {c: F.when(F.col("s") == k, one).otherwise(none) for c, k in COUNTS.items()}
-    own = events.where(F.col("kind") == OWN).groupBy("unit", "name", "c").agg(
-        *[F.sum(x).alias(c) for c, x in counted.items()], F.min("point").alias("first"), F.max("point").alias("last"), F.min_by(F.struct("link"), "i")["link"].alias("link")
-    )
+    own = events.where(F.col("kind") == OWN).groupBy("unit", "name", "c").agg(*totals, F.min_by(F.struct("link"), "i")["link"].alias("link"))
     lacks = lambda c: F.lit(None).cast(own.schema[c].dataType).alias(c)
     carried = [one.alias("m"), *[none.alias(c) for c in counted], lacks("first"), lacks("last")]
     nowhere = F.lit(None).cast(own.select(node("name", "c").alias("n")).schema["n"].dataType)
@@ -73,7 +77,4 @@ def record_counts(
     known = values(mine.unionByName(before).unionByName(brought), weights)
     last = events.groupBy("unit", "name").agg(F.max(F.when(F.col("kind") == OWN, F.struct("i", "c"))).alias("o"), F.max(F.when(F.col("goes"), F.col("i"))).alias("w"))
     last = last.where("o IS NOT NULL AND (w IS NULL OR o.i > w)").select(F.struct("unit", "name", F.col("o.c").cast("long").alias("c")).alias("node"))
-    out = last.join(known, "node")
-    modified = F.col("touched") - F.col("added") - F.col("deleted") - F.col("renamed")
-    ends = [F.col(f"{e}.{c}").alias(f"{e}_{a}") for e in ("first", "last") for c, a in (("commit", "commit"), ("ts", "change"))]
-    return out.select(*[F.col(f"node.unit.{c}").alias(c) for c in unit], F.col("node.name").alias(path), "touched", "added", modified.alias("modified"), "deleted", "renamed", *ends, F.col("last.status").alias("last_status"))
+    return last.join(known, "node").select(*shown("node."))

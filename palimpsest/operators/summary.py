@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .rollups import quantiles
+from .shared import cut
 from .versions import PATH
 
 #: Results of the identical check (fixed values).
@@ -100,9 +101,10 @@ def listed_history(listed: DataFrame, records: DataFrame, head: DataFrame, repos
 
     listed: id, org, repo, candidates (paths to try, in order). status: repo_missing (not among ``repos``), bad_row (nothing to try), found (the first
     candidate with a record), in_head_no_history (else the first that is there today), not_found (then the first candidate is named).
-    ``head`` has the paths of today; present_at_head is null for repositories that have none.
+    ``head`` has the paths of today; present_at_head is null for repositories that have none. Candidates are computed once.
     """
     key = ["org", "repo"]
+    listed = cut(listed.select("id", *key, "candidates", F.size("candidates").alias("_tries")))
     counts = [c for c in records.columns if c not in PATH]
     tried = listed.select("id", *key, F.posexplode("candidates").alias("_pos", "path"))
     now = head.select(*PATH).distinct().withColumn("_now", F.lit(True))
@@ -110,10 +112,10 @@ def listed_history(listed: DataFrame, records: DataFrame, head: DataFrame, repos
     place = lambda flag: F.when(F.col(flag), F.col("_pos"))
     choice = F.min(F.struct(place("_rec").isNull().alias("a"), F.when(F.col("_rec").isNull(), place("_now").isNull()).alias("b"), F.col("_pos").alias("c"), F.struct("path", "_rec", "_now", *counts).alias("v")))
     best = met.groupBy("id").agg(choice["v"].alias("v"))
-    here = repos.select(*key).distinct().withColumn("_here", F.lit(True))
-    today = head.select(*key).distinct().withColumn("_today", F.lit(True))
-    rows = listed.join(here, key, "left").join(today, key, "left").join(best, "id", "left")
-    status = F.when(F.col("_here").isNull(), "repo_missing").when(F.size("candidates") < 1, "bad_row").when(F.col("v._rec"), "found").when(F.col("v._now"), "in_head_no_history").otherwise("not_found")
+    places = repos.select(*key, F.lit(True).alias("_here"), F.lit(False).alias("_today")).unionByName(head.select(*key, F.lit(False).alias("_here"), F.lit(True).alias("_today")))
+    places = places.groupBy(*key).agg(F.bool_or("_here").alias("_here"), F.bool_or("_today").alias("_today"))
+    rows = listed.drop("candidates").join(places, key, "left").join(best, "id", "left")
+    status = F.when(~F.coalesce("_here", F.lit(False)), "repo_missing").when(F.col("_tries") < 1, "bad_row").when(F.col("v._rec"), "found").when(F.col("v._now"), "in_head_no_history").otherwise("not_found")
     rows = rows.withColumn("status", status)
     shown = F.col("status").isin("found", "in_head_no_history", "not_found")
     at_head = F.when(shown & F.col("_today"), F.coalesce("v._now", F.lit(False)))

@@ -44,6 +44,16 @@ def test_arguments_of_candidates_are_computed_once(spark):
     assert df.select(column)._jdf.queryExecution().optimizedPlan().toString().count("soundex") == 4
 
 
+def test_both_paths_of_candidates_share_their_steps(spark):
+    df = spark.createDataFrame([("a", "b", "o", "r")], "rel string, name string, org string, repo string")
+    column = paths.candidates(*[F.col(c) for c in df.columns]).alias("c")
+    assert df.select(column)._jdf.queryExecution().optimizedPlan().toString().count("regexp_replace") == 3
+    odd = [("\x0b ./ .//a\t", " b\x1c", [" ./a/b\x1c"]), ("\t\n", "\f", []), ("././/\\x/O\\R//c", None, ["c", "x/O/R/c"]), ("\u00a0a", "/", ["\u00a0a"]), ("r/", "r/c", ["r/r/c", "r/c"])]
+    rows = spark.createDataFrame([(i, a, b, "o", "r") for i, (a, b, _) in enumerate(odd)], "i int, rel string, name string, org string, repo string")
+    got = {r["i"]: r["c"] for r in rows.select("i", paths.candidates(*[F.col(c) for c in df.columns]).alias("c")).collect()}
+    assert [got[i] for i in range(len(odd))] == [c for _, _, c in odd]
+
+
 def test_paths(spark):
     assert values(spark, paths.ancestors, ["a/b/c", "c"]) == [[".", "a", "a/b"], ["."]]
     assert values(spark, paths.clean_path, ["a/../b", "./x//y", "..\\z"]) == ["a/_../b", "x/y", "_../z"]

@@ -254,6 +254,20 @@ def test_records_follow_renames(spark, seed, some):
     assert {(r["repo"], r["path"]): tuple(r[c] for c in ("touched", "added", "modified", "deleted", "renamed", "first_commit", "last_commit", "last_status")) for r in got} == want
 
 
+def test_records_without_renames_need_no_stretches(spark, monkeypatch):
+    monkeypatch.setattr(identity, "_stretches", lambda *_: pytest.fail("names were cut into stretches"))
+    rnd = random.Random(4)
+    rows, want = [], {}
+    for unit in [*range(8), None]:
+        own = [(o, rnd.choice(["a", "b", "c"]), None, rnd.choice(["A", "M", "D", "R", "T"]), rnd.randint(0, 9)) for o in range(rnd.randint(1, 30))]
+        rows += [(unit, *r, f"c{r[0]}") for r in own] + [(unit, 99, None, None, "A", 99, "c99")]
+        want |= {(unit, p): v for p, v in plain_records(own, []).items()}
+    df = spark.createDataFrame(rows, "repo long, ord long, path string, old_path string, status string, ts long, commit string").repartition(3)
+    for changes in (df, df.withColumn("old_path", F.when(F.col("status") != "R", "a"))):  # an old name counts in a rename only
+        got = identity.record_counts(changes, ["repo"], df.select("repo", "path").limit(1)).collect()
+        assert {(r["repo"], r["path"]): tuple(r[c] for c in ("touched", "added", "modified", "deleted", "renamed", "first_commit", "last_commit", "last_status")) for r in got} == want
+
+
 def spelled(path, k):
     """The k-th name that a path asks for."""
     return path if k == 1 else re.sub(r"(?<=[^/])(\.[^./]*)?$", rf"__case{k}\1", path, count=1)

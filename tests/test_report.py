@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from palimpsest.operators import report
+from palimpsest.operators import report, summary
 
 
 def test_sections_from_one_scan(spark, tmp_path):
@@ -34,3 +34,19 @@ def test_cross_check(spark):
     b = spark.createDataFrame([("x", 1, 2.25), (None, 3, 1.0), ("other", 1, 1.0)], "k string, n long, v double")
     got = {(r["k"], r["figure"]): r["same"] for r in report.cross_check(a, b, ["k"], ["n", "v"]).collect()}
     assert got == {("x", "n"): True, ("x", "v"): False, (None, "n"): True, (None, "v"): True, ("only", "n"): False, ("only", "v"): False, ("other", "n"): False, ("other", "v"): False}
+
+
+def test_candidates_of_a_file_list_are_computed_once(spark):
+    listed = [(1, "o", "r", "b a"), (2, "o", "r", "x now"), (3, "o", "r", "x y"), (4, "o", "r", None), (5, "o", "none", "a"), (6, "o", "old", "x a"), (7, "o", "new", "a")]
+    df = spark.createDataFrame(listed, "id long, org string, repo string, names string")
+    df = df.select("id", "org", "repo", F.coalesce(F.split(F.reverse(F.reverse("names")), " "), F.array().cast("array<string>")).alias("candidates"))
+    records = spark.createDataFrame([("o", "r", "a", 3), ("o", "old", "a", 5)], "org string, repo string, path string, touched long")
+    head = spark.createDataFrame([("o", "r", p) for p in ("a", "now", "now")] + [("o", "new", "z"), ("o", "none", "z")], "org string, repo string, path string")
+    repos = spark.createDataFrame([("o", "r"), ("o", "r"), ("o", "old"), ("o", "new"), (None, None)], "org string, repo string")
+    out = summary.listed_history(df, records, head, repos)
+    assert "reverse(" not in out._jdf.queryExecution().optimizedPlan().toString()
+    got = sorted((tuple(r) for r in out.collect()), key=str)
+    assert got == [
+        (1, "found", "a", True, 3), (2, "in_head_no_history", "now", True, None), (3, "not_found", "x", False, None), (4, "bad_row", None, None, None),
+        (5, "repo_missing", None, None, None), (6, "found", "a", None, 5), (7, "not_found", "a", False, None),
+    ]
