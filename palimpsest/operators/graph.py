@@ -15,7 +15,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import cut, numbered
+from .shared import cut, dealt, numbered
+
+#: Nodes up to which Spark may choose how a table is joined; larger ones never go whole through the driver.
+FEW = 50_000
 
 
 @dataclass
@@ -49,9 +52,12 @@ def values(edges: DataFrame, weights: list[Weight]) -> DataFrame:
     def combined(rows: DataFrame) -> DataFrame:
         return cut(rows.groupBy("node", "parent").agg(packed([w.beside(F.col("w")[w.name]) for w in weights]).alias("w")))
 
+    spread = lambda df, rows: dealt(df) if rows > FEW else df
+    # Rows without a parent, in the end all of them, are dealt out by their node, not as one null key.
+    meets = (F.coalesce("parent", "node") == F.col("_n")) & F.col("parent").isNotNull()
     upper = lambda df: df.select(F.col("node").alias("_n"), F.col("parent").alias("_p"), F.col("c").alias("_c"), F.col("w").alias("_w"))
     left = combined(edges.select("node", "parent", packed([F.col(n) for n in names]).alias("w")))
-    gone: list[DataFrame] = []
+    gone: list[tuple[DataFrame, int]] = []
     while True:
         # c: from the source; w: from the one parent.
         own = left.groupBy("node").agg(
@@ -60,8 +66,9 @@ def values(edges: DataFrame, weights: list[Weight]) -> DataFrame:
         )
         single = cut(own.where("_k < 2").drop("_k"))
         # As many doublings as the longest chain of so many nodes needs.
-        for _ in range(single.count().bit_length() + 1):
-            met = single.join(upper(single), F.col("parent") == F.col("_n"), "left")
+        n = single.count()
+        for _ in range(n.bit_length() + 1):
+            met = single.join(spread(upper(single), n), meets, "left")
             there = F.col("_n").isNotNull()
             met = met.select("node", F.when(there, F.col("_p")).otherwise(F.col("parent")).alias("parent"), F.when(there, either(F.col("c"), along("_c", "w"))).otherwise(F.col("c")).alias("c"), F.when(there, along("_w", "w")).otherwise(F.col("w")).alias("w"), there.alias("_moved"))
             moved = cut(met)
@@ -69,23 +76,23 @@ def values(edges: DataFrame, weights: list[Weight]) -> DataFrame:
             if moved.where("_moved AND parent IS NOT NULL").isEmpty():
                 break
         else:  # what still leads to a single node is on a cycle, or behind one
-            single = cut(single.join(single.select(F.col("node").alias("parent")), "parent", "left_anti").select("node", "parent", "c", "w"))
+            single = cut(single.join(spread(single.select(F.col("node").alias("parent")), n), "parent", "left_anti").select("node", "parent", "c", "w"))
         if single.isEmpty():
             break
-        gone.append(single)
-        rest = left.join(single, "node", "left_anti").join(upper(single), F.col("parent") == F.col("_n"), "left")
+        gone.append((single, n))
+        rest = left.join(spread(single, n), "node", "left_anti").join(spread(upper(single), n), meets, "left")
         staying = rest.where("_n IS NULL").select("node", "parent", "w")
         above = rest.where("_p IS NOT NULL").select("node", F.col("_p").alias("parent"), along("_w", "w").alias("w"))
         known = rest.where("_c IS NOT NULL").select("node", F.lit(None).cast(left.schema["parent"].dataType).alias("parent"), along("_c", "w").alias("w"))
         left = combined(staying.unionByName(above).unionByName(known))
     # Back from the last nodes taken out: what they lead to has its value by then.
-    out = None
-    for single in reversed(gone):
+    out, total = None, 0
+    for single, n in reversed(gone):
         found = single.where("parent IS NULL").select("node", F.col("c").alias("v"))
         if out is not None:
-            met = single.join(out.select(F.col("node").alias("_n"), F.col("v").alias("_v")), F.col("parent") == F.col("_n"))
+            met = single.join(spread(out.select(F.col("node").alias("_n"), F.col("v").alias("_v")), max(n, total)), F.col("parent") == F.col("_n"))
             found = found.unionByName(met.select("node", either(F.col("c"), along("_v", "w")).alias("v"))).unionByName(out)
-        out = cut(found)
+        out, total = cut(found), total + n
     out = out if out is not None else left.select("node", F.col("w").alias("v")).limit(0)
     return out.select("node", *[F.col("v")[n].alias(n) for n in names])
 
@@ -94,14 +101,14 @@ def _parents(commits: DataFrame, edges: DataFrame, node: str, parent: str) -> tu
     """The distinct commits, and their edges to parents that are there."""
     nodes = commits.select(F.col(node).alias("node")).where("node IS NOT NULL").distinct()
     pairs = edges.select(F.col(node).alias("node"), F.col(parent).alias("parent")).where("parent IS NOT NULL").distinct()
-    pairs = pairs.join(nodes, "node", "left_semi").join(nodes.withColumnRenamed("node", "parent"), "parent", "left_semi")
+    pairs = pairs.join(dealt(nodes), "node", "left_semi").join(dealt(nodes.withColumnRenamed("node", "parent")), "parent", "left_semi")
     return nodes, pairs.select("node", "parent")
 
 
 def generations(commits: DataFrame, edges: DataFrame, node: str = "commit", parent: str = "parent") -> DataFrame:
     """(node, generation): edges on the longest way to a commit without parents. Parents that are not there do not count."""
     nodes, pairs = _parents(commits, edges, node, parent)
-    roots = nodes.join(pairs, "node", "left_anti").select("node", F.lit(None).cast(pairs.schema["parent"].dataType).alias("parent"), F.lit(0).cast("long").alias("generation"))
+    roots = nodes.join(dealt(pairs), "node", "left_anti").select("node", F.lit(None).cast(pairs.schema["parent"].dataType).alias("parent"), F.lit(0).cast("long").alias("generation"))
     longest = Weight("generation", lambda near, far: near("generation") + far("generation"), F.max, F.greatest)
     rows = values(roots.unionByName(pairs.withColumn("generation", F.lit(1).cast("long"))), [longest])
     return rows.withColumnRenamed("node", node)
@@ -111,7 +118,7 @@ def commit_order(commits: DataFrame, edges: DataFrame, unit: list[str], date: st
     """The commits with ``ord``, from 1 in each unit: every parent before its children; among commits that are free to choose the
     generation, then the date, then the name decide. Commits on a cycle get no row. No unit is sorted in one task.
     """
-    rows = commits.dropDuplicates([node]).join(generations(commits, edges, node, parent), node)
+    rows = commits.dropDuplicates([node]).join(dealt(generations(commits, edges, node, parent)), node)
     return numbered(rows, unit, [F.col("generation").asc(), F.col(date).asc(), F.col(node).asc()], "ord").drop("generation")
 
 
@@ -152,7 +159,7 @@ def named(state: DataFrame, tips: DataFrame, unit: list[str], path: list[str], n
     A bitmap meets its tips by words, so a row holds at most BITS names, and no row is expanded for each tip.
     """
     bits = tips.groupBy(*unit, F.floor(F.col("tip") / BITS).cast("int").alias("_i")).agg(F.sort_array(F.collect_list(F.struct((F.col("tip") % BITS).cast("int").alias("b"), F.col(name).alias("n")))).alias("_names"))
-    words = state.select(*path, F.posexplode("bitmap").alias("_i", "_w")).where("_w <> 0").groupBy(*path, "_i").agg(F.bit_or("_w").alias("_w")).join(bits, [*unit, "_i"])
+    words = state.select(*path, F.posexplode("bitmap").alias("_i", "_w")).where("_w <> 0").groupBy(*path, "_i").agg(F.bit_or("_w").alias("_w")).join(dealt(bits), [*unit, "_i"])
     held = F.transform(F.filter("_names", lambda t: F.call_function("shiftrightunsigned", F.col("_w"), t["b"]).bitwiseAND(F.lit(1).cast("long")) == 1), lambda t: t["n"])
     words = words.select(*path, "_i", held.alias("_held"))
     names = F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("_i", "_held"))), lambda x: x["_held"]))
@@ -172,12 +179,12 @@ def tips_of_commits(commits: DataFrame, edges: DataFrame, tips: DataFrame, node:
     for first in range(0, words, WORDS):
         names = [f"w{k}" for k in range(first, min(words, first + WORDS))]
         own = tips.groupBy(F.col(node).alias("node")).agg(*[F.bit_or(bit(F.col(number), int(c[1:]))).alias(c) for c in names])
-        own = nodes.join(own, "node", "left").na.fill(0, names)
-        ends = own.join(pairs.select(F.col("parent").alias("node")), "node", "left_anti").withColumn("parent", F.lit(None).cast(pairs.schema["node"].dataType))
-        down = pairs.select(F.col("parent").alias("node"), F.col("node").alias("parent")).join(own, "node")
+        own = nodes.join(dealt(own), "node", "left").na.fill(0, names)
+        ends = own.join(dealt(pairs.select(F.col("parent").alias("node"))), "node", "left_anti").withColumn("parent", F.lit(None).cast(pairs.schema["node"].dataType))
+        down = pairs.select(F.col("parent").alias("node"), F.col("node").alias("parent")).join(dealt(own), "node")
         either = [Weight(c, lambda near, far, c=c: near(c).bitwiseOR(far(c)), F.bit_or, Column.bitwiseOR) for c in names]
         part = values(ends.select("node", "parent", *names).unionByName(down.select("node", "parent", *names)), either)
-        out = part if out is None else out.join(part, "node")
+        out = part if out is None else out.join(dealt(part), "node")
     return out.select(F.col("node").alias(node), F.array(*[F.col(f"w{k}") for k in range(words)]).alias("bitmap"))
 
 
@@ -198,4 +205,4 @@ def state_at_tips(changes: DataFrame, path: list[str], order: str, bitmap: str =
 
 def only_at_tips(state: DataFrame, ever: DataFrame, path: list[str]) -> DataFrame:
     """The paths that tips show and that the default branch never had: its own tip's paths and all that it ever added are ``ever``."""
-    return state.join(ever.select(*path).distinct(), path, "left_anti")
+    return state.join(dealt(ever.select(*path).distinct()), path, "left_anti")

@@ -45,6 +45,11 @@ def cut(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def dealt(df: DataFrame) -> DataFrame:
+    """The table, to be joined by shuffles only. Spark takes the size of compressed files, a few bytes a row, for the size of a table, and would send millions of rows through the driver."""
+    return df.hint("merge")
+
+
 def _drop(spark: SparkSession, folder: str) -> None:
     if spark.sparkContext._jsc is not None:  # the session is still there
         at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
@@ -65,5 +70,5 @@ def numbered(rows: DataFrame, group: list[str], order: list[Column], name: str =
     for i, c in enumerate(group):
         same = same & F.col(c).eqNullSafe(F.col(f"_g{i}"))
     at = F.row_number().over(Window.partitionBy(*group, "_part").orderBy(*order))
-    out = parts.withColumn("_at", at).join(first, same)
+    out = parts.withColumn("_at", at).join(dealt(first), same)
     return out.withColumn(name, (F.col("_before") + F.col("_at")).cast("long")).select(*rows.columns, name)

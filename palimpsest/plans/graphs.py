@@ -46,7 +46,7 @@ def _commits(spark, sf):
 
 def _tips(rows, edges):
     """Commits without children, numbered in their repository."""
-    ends = shared.cut(rows.join(edges.select(F.col("parent").alias("sha")), "sha", "left_anti").select("repo", "sha"))
+    ends = shared.cut(rows.join(shared.dealt(edges.select(F.col("parent").alias("sha"))), "sha", "left_anti").select("repo", "sha"))
     return graph.tip_numbers(ends, ["repo"], "sha")
 
 
@@ -54,7 +54,7 @@ def _with_tips(spark, sf):
     """Commits, with the bitmap of the tips (commits without children) of their repository; the tips."""
     rows, edges = _commits(spark, sf)
     tips = _tips(rows, edges)
-    return rows.join(graph.tips_of_commits(rows, edges, tips, "sha"), "sha"), edges, tips
+    return rows.join(shared.dealt(graph.tips_of_commits(rows, edges, tips, "sha")), "sha"), edges, tips
 
 
 @query("s02_commit_order", sql(f"WITH RECURSIVE {_LEVELS} SELECT repo, sha, ord FROM o", "history"))
@@ -77,7 +77,7 @@ def _state(spark, sf):
     """Changes with the bitmap of tips and the place of their commit: generation, time and name order as the numbers of commit_order do, without numbering."""
     rows, _, tips = _with_tips(spark, sf)
     generations = graph.generations(*_commits(spark, sf), "sha")
-    rows = rows.join(generations, "sha").select("repo", "path", "status", "bitmap", F.struct("generation", "ts", "sha").alias("ord"))
+    rows = rows.join(shared.dealt(generations), "sha").select("repo", "path", "status", "bitmap", F.struct("generation", "ts", "sha").alias("ord"))
     return shared.cut(rows), tips
 
 
@@ -102,7 +102,7 @@ def exclusive_paths(spark, sf):
     rows, tips = _state(spark, sf)
     state = shared.cut(graph.state_at_tips(rows, ["repo", "path"], "ord"))
     default = tips.groupBy("repo").agg(F.max("tip").alias("_d"))
-    has = lambda df: df.join(default, "repo").where(graph.has(F.col("bitmap"), F.col("_d"))).select("repo", "path")
+    has = lambda df: df.join(shared.dealt(default), "repo").where(graph.has(F.col("bitmap"), F.col("_d"))).select("repo", "path")
     ever = has(state).unionByName(has(rows.where("status = 'A'")))
     return _named(graph.only_at_tips(state, ever, ["repo", "path"]), tips)
 

@@ -10,7 +10,11 @@ from pathlib import PurePosixPath
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__  # noqa: F401  registers the queries
 from palimpsest.operators import graph, identity, naming, planning, shared, trees
+from palimpsest.plans.catalog import QUERIES
+
+from .conftest import SF
 
 
 def plain_files(rnd, n):
@@ -173,6 +177,18 @@ def test_names_of_tips(spark):
     assert [list(r)[1:] for r in has] == [[True, False, True, False, False], [False, False, False, True, False], [False, True, False, False, False]]
 
 
+@pytest.mark.parametrize("name", ["j35_exclusive_paths", "j28_path_tips"])
+def test_tables_of_commits_stay_off_the_driver(spark, monkeypatch, name):
+    """Compressed files of a few bytes a row are no reason to broadcast a table that has a row a commit."""
+    real, plans = shared.cut, []
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    for module in (shared, graph):
+        monkeypatch.setattr(module, "cut", lambda df: (plans.append(plan(df)), real(df))[1])
+    monkeypatch.setattr(graph, "FEW", -1, raising=False)
+    plans.append(plan(QUERIES[name](spark, SF)))
+    assert len(plans) > 20 and any("Join" in p for p in plans) and not any("Broadcast" in p for p in plans)
+
+
 @pytest.mark.parametrize("words", [2])
 def test_tips(spark, dag, monkeypatch, words):
     monkeypatch.setattr(graph, "WORDS", words)
